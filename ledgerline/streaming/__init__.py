@@ -1,0 +1,7 @@
+"""Streaming.
+
+The reference has no streams, watermarks, windows or state: its jobs are
+batch runs on a schedule. The label sync is already incremental because it
+only appends titles the target lacks, so it stays a batch operator; nothing
+is built here yet.
+"""

@@ -2,7 +2,7 @@
 
 Each function takes ``(spark, sf_dir)`` and returns a DataFrame over whole
 tables. Queries that write do so under a fresh folder of the shared
-checkpoint root and read the result back.
+checkpoint root (``spark.checkpoint.dir``) and read the result back.
 """
 
 from __future__ import annotations
@@ -11,14 +11,24 @@ import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ledgerline.functions.enums import EnumType, with_enum
 from ledgerline.operators import labels as L
+from ledgerline.operators import quality as Q
+from ledgerline.operators import restore as R
+from ledgerline.operators import snapshot as S
 from ledgerline.plans.catalogue import (
-    MEDIA_MAX_COLUMNS, media_rows, table, tags_text, training_keys,
+    MEDIA_MAX_COLUMNS, ORDER_PRIORITY, ORDER_STATUS, RETURN_FLAG, TABLES, media_rows, table,
+    tags_text, training_keys,
 )
-from ledgerline.session import apply_session_defaults
+from ledgerline.session import apply_session_defaults, scratch_dir
+from ledgerline.sources.store import TableStore
 
 FIXED_NOW = _dt.datetime(2025, 1, 1, 0, 0, 0)
+SNAPSHOT_DAY = "20250101"
+# fixed value of the adaptation: line statuses as a two-value domain
+LINE_STATUS = EnumType("line_status", ("O", "F"))
 
 
 def _media(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,19 +36,268 @@ def _media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media_rows(table(spark, sf_dir, "lineitem"))
 
 
+def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``orders`` with its priority and status declared as enumerated columns."""
+    apply_session_defaults(spark)
+    o = table(spark, sf_dir, "orders")
+    return with_enum(with_enum(o, "o_orderpriority", ORDER_PRIORITY), "o_orderstatus", ORDER_STATUS)
+
+
+def _store(spark: SparkSession, tag: str) -> TableStore:
+    return TableStore(spark, scratch_dir(spark, tag))
+
+
+def _media_out(df: DataFrame) -> DataFrame:
+    return df.withColumn("tags", tags_text("tags")) if "tags" in df.columns else df
+
+
+# -- Group A: label sync ------------------------------------------------------
 def q_sync_new_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """New training rows from the media rows (stamps left out: clock values)."""
     media = _media(spark, sf_dir)
     training = training_keys(table(spark, sf_dir, "orders"))
     out = L.sync_media_to_training(media, training, key="title_key", status="status",
                                    columns=MEDIA_MAX_COLUMNS, title="title", now=FIXED_NOW)
-    return out.select(
-        "title_key", "label", "title", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
-        tags_text("tags").alias("tags"),
-    )
+    return _media_out(out.drop("created_at", "updated_at"))
+
+
+def q_keyed_rows(spark, sf_dir):
+    """O1."""
+    return _media_out(L.keyed_rows(_media(spark, sf_dir), "title_key"))
+
+
+def q_consolidate_max(spark, sf_dir):
+    """O2 over numeric, text and timestamp columns."""
+    m = _media(spark, sf_dir).select("title_key", "title", "l_partkey", "l_quantity",
+                                     "l_extendedprice", "l_linestatus", "l_shipdate")
+    return L.consolidate_max(m, "title_key")
+
+
+def q_consolidate_enum(spark, sf_dir):
+    """O2 over an enumerated column: greatest by declaration order, not text."""
+    o = _orders(spark, sf_dir).select("o_custkey", "o_orderpriority", "o_orderstatus")
+    return L.consolidate_max(o, "o_custkey")
+
+
+def q_consolidate_array(spark, sf_dir):
+    """O2 over an array column with NULL elements (NULL sorts largest)."""
+    p = table(spark, sf_dir, "part")
+    words = F.transform(F.split(F.col("p_name"), " "), lambda x: F.nullif(x, F.lit("red")))
+    a = p.select("p_brand", words.alias("words"))
+    return L.consolidate_max(a, "p_brand").select("p_brand", tags_text("words").alias("words"))
+
+
+def q_collect_statuses(spark, sf_dir):
+    """O3: the status multiset per title, NULLs and repeats kept."""
+    from ledgerline.functions.domains import REJECTION_STATUS
+
+    c = L.collect_statuses(_media(spark, sf_dir).where(F.col("title_key").isNotNull()),
+                           "title_key", "status", REJECTION_STATUS)
+    return c.select("title_key", F.col("n_statuses").cast("long").alias("n_statuses"),
+                    F.col("n_null_statuses").cast("long").alias("n_null_statuses"),
+                    F.size("statuses").alias("n_distinct_statuses"))
+
+
+def q_derive_label(spark, sf_dir):
+    """Label per title (NULL = not judged), with NULL statuses present."""
+    return L.derive_label(_media(spark, sf_dir), "title_key", "status")
+
+
+def q_new_keys_only(spark, sf_dir):
+    """Orders with no line items."""
+    o = table(spark, sf_dir, "orders")
+    return L.new_keys_only(o, table(spark, sf_dir, "lineitem"), "o_orderkey", "l_orderkey")
+
+
+def q_labelled_only(spark, sf_dir):
+    """Judged titles only."""
+    return L.labelled_only(L.derive_label(_media(spark, sf_dir), "title_key", "status"))
+
+
+def q_fill_title(spark, sf_dir):
+    """Missing titles become ''."""
+    m = _media(spark, sf_dir).select("title_key", "l_partkey", "l_linenumber", "title")
+    return L.fill_title(m, "title")
+
+
+def q_stamp_utc(spark, sf_dir):
+    """O8 with an injected statement time, on the judged titles."""
+    labelled = L.labelled_only(L.derive_label(_media(spark, sf_dir), "title_key", "status"))
+    return L.stamp_utc(labelled, now=FIXED_NOW)
+
+
+def _training_schema(orders: DataFrame) -> T.StructType:
+    """``orders`` plus a ``reviewed`` flag declared with default ``false``."""
+    return T.StructType([*orders.schema.fields,
+                         T.StructField("reviewed", T.BooleanType(), True, {"default": "false"})])
+
+
+def q_append_by_name(spark, sf_dir):
+    """Append existing rows, then new rows lacking a column; read back."""
+    o = _orders(spark, sf_dir)
+    store = _store(spark, "append")
+    store.create("atp", "training", _training_schema(o))
+    is_f = F.col("o_orderstatus").eqNullSafe("F")
+    store.append(L.align_to(o.where(is_f), store.schema_of("atp", "training")), "atp", "training")
+    fresh = o.where(~is_f).drop("o_orderpriority")
+    store.append(L.align_to(fresh, store.schema_of("atp", "training")), "atp", "training")
+    return store.read("atp", "training")
+
+
+def q_set_flag_all(spark, sf_dir):
+    """Every row marked reviewed, by a staged rewrite of the table."""
+    o = _orders(spark, sf_dir)
+    store = _store(spark, "flag")
+    store.write(Q.apply_defaults(o, _training_schema(o)), "atp", "training")
+    store.rewrite("atp", "training", lambda df: L.set_flag_all(df, "reviewed", True))
+    return store.read("atp", "training")
+
+
+# -- Group B/C: snapshot and restore -----------------------------------------
+def _backed_up_orders(spark, sf_dir, tag):
+    store = _store(spark, tag)
+    store.write(_orders(spark, sf_dir), "atp", "orders")
+    S.backup_table(store, "atp", "orders", SNAPSHOT_DAY, created_at=FIXED_NOW)
+    return store
+
+
+def q_snapshot_copy(spark, sf_dir):
+    """O12 + O16: back up orders (enums become text), read the snapshot back."""
+    store = _backed_up_orders(spark, sf_dir, "snapshot")
+    return S.read_snapshot(store, S.snapshot_names("atp", "orders", SNAPSHOT_DAY))
+
+
+def q_latest_snapshot(spark, sf_dir):
+    """Orders written as monthly snapshots; only the newest month is read."""
+    o = table(spark, sf_dir, "orders")
+    path = scratch_dir(spark, "monthly") + "/atp_orders"
+    (o.withColumn(S.PARTITION, F.date_format("o_orderdate", "yyyyMM01"))
+      .write.partitionBy(S.PARTITION).parquet(path))
+    _, df = R.latest_partition(spark, path)
+    return df
+
+
+def _target_schema(o: DataFrame) -> T.StructType:
+    """The live table after a schema change: lost ``o_totalprice``, gained ``o_comment``."""
+    fields = [f for f in o.schema.fields if f.name != "o_totalprice"]
+    return T.StructType([*fields, T.StructField("o_comment", T.StringType())])
+
+
+def q_reconcile_columns(spark, sf_dir):
+    """Columns mapped in the snapshot and present in the target, by name."""
+    store = _backed_up_orders(spark, sf_dir, "reconcile")
+    names = S.snapshot_names("atp", "orders", SNAPSHOT_DAY)
+    rec = R.reconcile(S.read_snapshot(store, names), S.read_snapshot(store, names, "mapping"),
+                      _target_schema(_orders(spark, sf_dir)))
+    return rec.df
+
+
+def q_restore_enums(spark, sf_dir):
+    """O21 (+O19, O20): the rows a restore appends, enums re-checked, target-aligned."""
+    store = _backed_up_orders(spark, sf_dir, "enums")
+    store.create("atp", "orders_v2", _target_schema(_orders(spark, sf_dir)))
+    df, _, _ = R.restored_rows(store, "atp", "orders", target_table="orders_v2")
+    return df
+
+
+def q_reload_round_trip(spark, sf_dir):
+    """O16 + O22 + O24: back up, empty the table, restore, compare with the source."""
+    store = _backed_up_orders(spark, sf_dir, "roundtrip")
+    store.truncate("atp", "orders")
+    res = R.reload_table(store, "atp", "orders")
+    diff = R.round_trip_diff(_orders(spark, sf_dir), store.read("atp", "orders"))
+    return diff.withColumn("rows_inserted", F.lit(res.rows).cast("long"))
+
+
+# -- Group D: checks ------------------------------------------------------------
+LINEITEM_RULES = (
+    ("quantity_range", "l_quantity BETWEEN 1 AND 50"),
+    ("quantity_whole", "l_quantity = floor(l_quantity)"),
+    ("discount_range", "l_discount BETWEEN 0 AND 0.05"),
+    ("tax_nonnegative", "l_tax >= 0"),
+    ("price_positive", "l_extendedprice > 0"),
+    ("flag_code", "l_returnflag RLIKE '^[AR]$'"),
+)
+PART_RULES = (
+    ("size_range", "p_size BETWEEN 1 AND 40"),
+    ("price_at_least_1000", "p_retailprice >= 1000"),
+    ("brand_format", "p_brand RLIKE '^Brand#[0-9]{1,2}$'"),
+    ("name_two_words", "length(p_name) - length(replace(p_name, ' ', '')) = 1"),
+)
+
+
+def q_check_violations(spark, sf_dir):
+    """Violations per rule, all rules of a table in one pass."""
+    li = Q.check_violations(table(spark, sf_dir, "lineitem"),
+                            [Q.Rule.sql(n, t) for n, t in LINEITEM_RULES], "lineitem")
+    pa = Q.check_violations(table(spark, sf_dir, "part"),
+                            [Q.Rule.sql(n, t) for n, t in PART_RULES], "part")
+    return li.unionByName(pa)
+
+
+def q_key_violations(spark, sf_dir):
+    """Duplicate keys, NULLs in required columns, values outside enum domains."""
+    li = table(spark, sf_dir, "lineitem")
+    return Q.key_violations(li, ["l_orderkey"], ["l_partkey", "l_suppkey", "l_shipdate"],
+                            {"l_returnflag": RETURN_FLAG, "l_linestatus": LINE_STATUS})
+
+
+EVENT_DEFAULTS = T.StructType([
+    T.StructField("value", T.DoubleType(), True, {"default": "0.0"}),
+    T.StructField("status", T.StringType(), True, {"default": "'ingested'"}),
+    T.StructField("error_status", T.BooleanType(), True, {"default": "false"}),
+    T.StructField("weight", T.IntegerType(), True, {"default": "1"}),
+    T.StructField("note", T.StringType(), True),
+])
+
+
+def q_apply_defaults(spark, sf_dir):
+    """Absent columns take defaults; present ones (even NULL) stay."""
+    return Q.apply_defaults(table(spark, sf_dir, "events"), EVENT_DEFAULTS)
+
+
+def q_table_stats(spark, sf_dir):
+    """Existence and row count of every driver table (and one absent name)."""
+    paths = {t: f"{sf_dir.rstrip('/')}/{t}.parquet" for t in TABLES}
+    paths["media"] = f"{sf_dir.rstrip('/')}/media.parquet"
+    return Q.table_stats(spark, paths)
+
+
+def q_flag_distribution(spark, sf_dir):
+    """Rows per flag combination."""
+    return Q.flag_distribution(table(spark, sf_dir, "labels"), ["quality", "toxic"])
+
+
+def q_null_pattern(spark, sf_dir):
+    """NULL pattern of the labels over all documents."""
+    d = table(spark, sf_dir, "documents").select("doc_id")
+    lab = table(spark, sf_dir, "labels")
+    return Q.null_pattern(d.join(lab, "doc_id", "left"), ["quality", "toxic"])
 
 
 QUERIES = {
     "sync_new_rows": q_sync_new_rows,
+    "keyed_rows": q_keyed_rows,
+    "consolidate_max": q_consolidate_max,
+    "consolidate_enum": q_consolidate_enum,
+    "consolidate_array": q_consolidate_array,
+    "collect_statuses": q_collect_statuses,
+    "derive_label": q_derive_label,
+    "new_keys_only": q_new_keys_only,
+    "labelled_only": q_labelled_only,
+    "fill_title": q_fill_title,
+    "stamp_utc": q_stamp_utc,
+    "append_by_name": q_append_by_name,
+    "set_flag_all": q_set_flag_all,
+    "snapshot_copy": q_snapshot_copy,
+    "latest_snapshot": q_latest_snapshot,
+    "reconcile_columns": q_reconcile_columns,
+    "restore_enums": q_restore_enums,
+    "reload_round_trip": q_reload_round_trip,
+    "check_violations": q_check_violations,
+    "key_violations": q_key_violations,
+    "apply_defaults": q_apply_defaults,
+    "table_stats": q_table_stats,
+    "flag_distribution": q_flag_distribution,
+    "null_pattern": q_null_pattern,
 }

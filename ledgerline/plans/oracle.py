@@ -63,3 +63,148 @@ WHERE p.label IS NOT NULL AND t.o_orderkey IS NULL
 ORACLE = {
     "sync_new_rows": SYNC_NEW_ROWS,
 }
+
+MEDIA_COLS = ("title_key, status, title, l_partkey, l_suppkey, l_linenumber, l_quantity, "
+              "l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate")
+
+PRIORITY_RANK = ("CASE o_orderpriority WHEN '5-LOW' THEN 1 WHEN '4-NOT SPECIFIED' THEN 2 "
+                 "WHEN '3-MEDIUM' THEN 3 WHEN '2-HIGH' THEN 4 WHEN '1-URGENT' THEN 5 END")
+PRIORITY_OF_RANK = ("CASE {r} WHEN 1 THEN '5-LOW' WHEN 2 THEN '4-NOT SPECIFIED' WHEN 3 THEN '3-MEDIUM' "
+                    "WHEN 4 THEN '2-HIGH' WHEN 5 THEN '1-URGENT' END")
+STATUS_RANK = "CASE o_orderstatus WHEN 'O' THEN 1 WHEN 'P' THEN 2 WHEN 'F' THEN 3 END"
+STATUS_OF_RANK = "CASE {r} WHEN 1 THEN 'O' WHEN 2 THEN 'P' WHEN 3 THEN 'F' END"
+
+ORDERS_COLS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority"
+
+LINEITEM_RULES_SQL = (
+    ("quantity_range", "l_quantity BETWEEN 1 AND 50"),
+    ("quantity_whole", "l_quantity = floor(l_quantity)"),
+    ("discount_range", "l_discount BETWEEN 0 AND 0.05"),
+    ("tax_nonnegative", "l_tax >= 0"),
+    ("price_positive", "l_extendedprice > 0"),
+    ("flag_code", "regexp_matches(l_returnflag, '^[AR]$')"),
+)
+PART_RULES_SQL = (
+    ("size_range", "p_size BETWEEN 1 AND 40"),
+    ("price_at_least_1000", "p_retailprice >= 1000"),
+    ("brand_format", "regexp_matches(p_brand, '^Brand#[0-9]{1,2}$')"),
+    ("name_two_words", "length(p_name) - length(replace(p_name, ' ', '')) = 1"),
+)
+
+
+def _rules_sql(table: str, rules) -> list[str]:
+    return [f"SELECT '{table}' AS table_name, '{n}' AS rule, "
+            f"count(*) FILTER (WHERE NOT ({t})) AS violations FROM {table}" for n, t in rules]
+
+
+ORACLE.update({
+    "keyed_rows": f"""
+WITH {MEDIA_CTE}
+SELECT {MEDIA_COLS}, {TAGS_TEXT.format(c="tags")} AS tags FROM media WHERE title_key IS NOT NULL
+""",
+    "consolidate_max": f"""
+WITH {MEDIA_CTE}
+SELECT title_key, max(title) AS title, max(l_partkey) AS l_partkey, max(l_quantity) AS l_quantity,
+       max(l_extendedprice) AS l_extendedprice, max(l_linestatus) AS l_linestatus,
+       max(l_shipdate) AS l_shipdate
+FROM media WHERE title_key IS NOT NULL GROUP BY title_key
+""",
+    "consolidate_enum": f"""
+SELECT o_custkey,
+       {PRIORITY_OF_RANK.format(r=f"max({PRIORITY_RANK})")} AS o_orderpriority,
+       {STATUS_OF_RANK.format(r=f"max({STATUS_RANK})")} AS o_orderstatus
+FROM orders WHERE o_custkey IS NOT NULL GROUP BY o_custkey
+""",
+    "consolidate_array": f"""
+SELECT p_brand,
+       {TAGS_TEXT.format(c="max(list_transform(string_split(p_name, ' '), lambda x: nullif(x, 'red')))")} AS words
+FROM part WHERE p_brand IS NOT NULL GROUP BY p_brand
+""",
+    "collect_statuses": f"""
+WITH {MEDIA_CTE}
+SELECT title_key,
+       CAST(len(array_agg(status)) AS BIGINT) AS n_statuses,
+       CAST(len(list_filter(array_agg(status), lambda x: x IS NULL)) AS BIGINT) AS n_null_statuses,
+       CAST(count(DISTINCT status) + CASE WHEN count(status) < count(*) THEN 1 ELSE 0 END AS INTEGER)
+           AS n_distinct_statuses
+FROM media WHERE title_key IS NOT NULL GROUP BY title_key
+""",
+    "derive_label": f"""
+WITH {MEDIA_CTE},
+{GROUPED_MEDIA}
+SELECT title_key, label FROM processed
+""",
+    "new_keys_only": """
+SELECT * FROM orders o WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)
+""",
+    "labelled_only": f"""
+WITH {MEDIA_CTE},
+{GROUPED_MEDIA}
+SELECT title_key, label FROM processed WHERE label IS NOT NULL
+""",
+    "fill_title": f"""
+WITH {MEDIA_CTE}
+SELECT title_key, l_partkey, l_linenumber, coalesce(title, '') AS title FROM media
+""",
+    "stamp_utc": f"""
+WITH {MEDIA_CTE},
+{GROUPED_MEDIA}
+SELECT title_key, label, TIMESTAMP '2025-01-01 00:00:00' AS created_at,
+       TIMESTAMP '2025-01-01 00:00:00' AS updated_at
+FROM processed WHERE label IS NOT NULL
+""",
+    "append_by_name": f"""
+SELECT {ORDERS_COLS}, false AS reviewed FROM orders WHERE o_orderstatus = 'F'
+UNION ALL
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, CAST(NULL AS VARCHAR), false
+FROM orders WHERE o_orderstatus IS DISTINCT FROM 'F'
+""",
+    "set_flag_all": "SELECT *, true AS reviewed FROM orders",
+    "snapshot_copy": "SELECT * FROM orders",
+    "latest_snapshot": """
+WITH s AS (SELECT *, strftime(o_orderdate, '%Y%m01') AS snapshot_date FROM orders)
+SELECT * FROM s WHERE snapshot_date = (SELECT max(snapshot_date) FROM s)
+""",
+    "reconcile_columns": "SELECT o_custkey, o_orderdate, o_orderkey, o_orderpriority, o_orderstatus FROM orders",
+    "restore_enums": """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate, o_orderpriority, CAST(NULL AS VARCHAR) AS o_comment
+FROM orders
+""",
+    "reload_round_trip": """
+SELECT count(*) AS rows_before, count(*) AS rows_after, CAST(0 AS BIGINT) AS lost,
+       CAST(0 AS BIGINT) AS added, count(*) AS rows_inserted
+FROM orders
+""",
+    "check_violations": "\nUNION ALL\n".join(_rules_sql("lineitem", LINEITEM_RULES_SQL)
+                                          + _rules_sql("part", PART_RULES_SQL)),
+    "key_violations": """
+WITH k AS (SELECT l_orderkey, count(*) AS n FROM lineitem WHERE l_orderkey IS NOT NULL
+           GROUP BY l_orderkey HAVING count(*) > 1)
+SELECT 'duplicate_key' AS check_name, 'l_orderkey' AS column_name, count(*) AS violations FROM k
+UNION ALL SELECT 'duplicate_row', 'l_orderkey', CAST(coalesce(sum(n - 1), 0) AS BIGINT) FROM k
+UNION ALL SELECT 'not_null', 'l_orderkey', count(*) FILTER (WHERE l_orderkey IS NULL) FROM lineitem
+UNION ALL SELECT 'not_null', 'l_partkey', count(*) FILTER (WHERE l_partkey IS NULL) FROM lineitem
+UNION ALL SELECT 'not_null', 'l_suppkey', count(*) FILTER (WHERE l_suppkey IS NULL) FROM lineitem
+UNION ALL SELECT 'not_null', 'l_shipdate', count(*) FILTER (WHERE l_shipdate IS NULL) FROM lineitem
+UNION ALL SELECT 'enum_domain', 'l_returnflag',
+    count(*) FILTER (WHERE l_returnflag IS NOT NULL AND l_returnflag NOT IN ('R', 'A', 'N')) FROM lineitem
+UNION ALL SELECT 'enum_domain', 'l_linestatus',
+    count(*) FILTER (WHERE l_linestatus IS NOT NULL AND l_linestatus NOT IN ('O', 'F')) FROM lineitem
+""",
+    "apply_defaults": """
+SELECT *, 'ingested' AS status, false AS error_status, CAST(1 AS INTEGER) AS weight,
+       CAST(NULL AS VARCHAR) AS note
+FROM events
+""",
+    "table_stats": "\nUNION ALL\n".join(
+        [f"SELECT '{t}' AS table_name, true AS table_exists, count(*) AS row_count FROM {t}"
+         for t in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+                   "documents", "embeddings", "pages", "benchmark", "labels", "conversations")]
+        + ["SELECT 'media', false, CAST(NULL AS BIGINT)"]),
+    "flag_distribution": "SELECT quality, toxic, count(*) AS n FROM labels GROUP BY quality, toxic",
+    "null_pattern": """
+SELECT l.quality IS NULL AS quality_is_null, l.toxic IS NULL AS toxic_is_null, count(*) AS n
+FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
+GROUP BY ALL
+""",
+})

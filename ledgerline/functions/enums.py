@@ -77,10 +77,14 @@ class EnumType:
         Reduced to ``max`` of an integer position, so the aggregate stays a
         fixed-width, map-side-combinable HashAggregate buffer.
         """
-        return F.element_at(self._domain(), F.max(self.checked_position(c, what)))
+        return self.value_at(F.max(self.checked_position(c, what)))
 
     def min(self, c: Column | str, what: str | None = None) -> Column:
-        return F.element_at(self._domain(), F.min(self.checked_position(c, what)))
+        return self.value_at(F.min(self.checked_position(c, what)))
+
+    def value_at(self, pos: Column) -> Column:
+        """The value at a 1-based declaration position; NULL for NULL."""
+        return F.when(pos.isNotNull(), F.element_at(self._domain(), pos)).cast("string")
 
     def out_of_domain(self, c: Column | str) -> Column:
         """Predicate: non-NULL and not a member of the domain."""

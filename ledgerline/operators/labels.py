@@ -263,3 +263,38 @@ def _keep_metadata(out: DataFrame, src: DataFrame, columns: Iterable[str]) -> Da
             if md and out.schema[c].metadata != md:
                 out = out.withMetadata(c, md)
     return out
+
+
+def sync_target_schema(media_schema: T.StructType, key: str = "imdb_id",
+                       columns: Sequence[str] = SYNC_MAX_COLUMNS,
+                       stamps: Sequence[str] = ("created_at", "updated_at"),
+                       flag: str | None = "reviewed") -> T.StructType:
+    """Schema of the training table the sync fills, derived from the media schema.
+
+    Key, label (``label_type`` enum), the consolidated columns with their
+    media types and metadata, zone-less UTC stamps, and the review flag
+    (default ``false``), which the sync never names.
+    """
+    by_name = {f.name: f for f in media_schema.fields}
+    fields = [T.StructField(key, by_name[key].dataType, True, by_name[key].metadata),
+              LABEL_TYPE.field("label")]
+    fields += [T.StructField(c, by_name[c].dataType, True, by_name[c].metadata) for c in columns if c in by_name]
+    fields += [T.StructField(s, T.TimestampNTZType(), True) for s in stamps]
+    if flag:
+        fields.append(T.StructField(flag, T.BooleanType(), True, {"default": "false"}))
+    order = {c: i for i, c in enumerate(SYNC_TARGET_COLUMNS)}
+    head = sorted((f for f in fields if f.name in order), key=lambda f: order[f.name])
+    return T.StructType(head + [f for f in fields if f.name not in order])
+
+
+def sync_into(store, schema: str = "atp", media: str = "media", training: str = "training",
+              **kwargs) -> int:
+    """The sync as an INSERT: append the new rows to ``schema.training``; returns the count.
+
+    Only the key column of the target is read; the append is one job whose
+    row count comes from an Observation.
+    """
+    target = store.read(schema, training)
+    key = kwargs.get("key", "imdb_id")
+    fresh = sync_media_to_training(store.read(schema, media), target.select(key), **kwargs)
+    return store.append(align_to(fresh, target.schema), schema, training) or 0

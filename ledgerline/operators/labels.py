@@ -151,12 +151,15 @@ def derive_label(df: DataFrame, key: str, status: str, label: str = "label") ->
 def new_keys_only(df: DataFrame, target: DataFrame, key: str, target_key: str | None = None) -> DataFrame:
     """Rows whose key is not in ``target`` (NULL or repeated target keys are harmless).
 
-    Written as a left anti-join on the target's key column only; the
-    planner (AQE) broadcasts the key set only when its measured size is under
-    the broadcast threshold and sort-merges otherwise.
+    Written as a left anti-join on the target's key column only. The key
+    set is de-duplicated first (a map-side partial aggregate), so a key
+    repeated across a third of the target cannot pile up in one join task,
+    and the join reuses that aggregate's hash partitioning. The planner (AQE)
+    broadcasts the key set only when its measured size is under the
+    broadcast threshold and sort-merges otherwise.
     """
     tk = target_key or key
-    keys = target.select(F.col(tk).alias("__tkey"))
+    keys = target.select(F.col(tk).alias("__tkey")).distinct()
     return df.join(keys, df[key] == keys["__tkey"], "left_anti")
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.functions.arrays import array_max_nulls_last
+from ledgerline.functions.defaults import default_column
 from ledgerline.functions.domains import (
     LABEL_TYPE, NEGATIVE_LABEL, POSITIVE_LABEL, POSITIVE_STATUSES, UNJUDGED_STATUS,
 )
@@ -201,8 +202,8 @@ def align_to(df: DataFrame, target_schema: T.StructType, strict: bool = True) ->
             if df.schema[f.name].dataType != f.dataType:
                 c = c.cast(f.dataType)
         else:
-            default = (f.metadata or {}).get("default")
-            c = F.expr(default).cast(f.dataType) if default is not None else F.lit(None).cast(f.dataType)
+            cols.append(default_column(f))
+            continue
         cols.append(c.alias(f.name, metadata=f.metadata or {}))
     return df.select(*cols)
 
@@ -300,4 +301,4 @@ def sync_into(store, schema: str = "atp", media: str = "media", training: str =
     target = store.read(schema, training)
     key = kwargs.get("key", "imdb_id")
     fresh = sync_media_to_training(store.read(schema, media), target.select(key), **kwargs)
-    return store.append(align_to(fresh, target.schema), schema, training) or 0
+    return store.append(fresh, schema, training) or 0

@@ -9,10 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerline.functions.defaults import default_column
 from ledgerline.functions.enums import EnumType, enum_columns
 from ledgerline.sources import fs
 
-DEFAULT_KEY = "default"
 
 
 # O27 ----------------------------------------------------------------------
@@ -102,12 +102,6 @@ def key_violations(df: DataFrame, key: Sequence[str], not_null: Sequence[str] =
 
 
 # O29 ----------------------------------------------------------------------
-def default_column(f: T.StructField) -> Column:
-    default = (f.metadata or {}).get(DEFAULT_KEY)
-    c = F.expr(default).cast(f.dataType) if default is not None else F.lit(None).cast(f.dataType)
-    return c.alias(f.name, metadata=f.metadata or {})
-
-
 def apply_defaults(df: DataFrame, schema: T.StructType, order: str = "input") -> DataFrame:
     """Columns of ``schema`` absent from ``df`` take their declared default (or NULL).
 

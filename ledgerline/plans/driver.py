@@ -138,9 +138,8 @@ def q_append_by_name(spark, sf_dir):
     store = _store(spark, "append")
     store.create("atp", "training", _training_schema(o))
     is_f = F.col("o_orderstatus").eqNullSafe("F")
-    store.append(L.align_to(o.where(is_f), store.schema_of("atp", "training")), "atp", "training")
-    fresh = o.where(~is_f).drop("o_orderpriority")
-    store.append(L.align_to(fresh, store.schema_of("atp", "training")), "atp", "training")
+    store.append(o.where(is_f), "atp", "training")
+    store.append(o.where(~is_f).drop("o_orderpriority"), "atp", "training")
     return store.read("atp", "training")
 
 

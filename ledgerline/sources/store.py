@@ -46,6 +46,10 @@ class TableStore:
     def create_schema(self, schema: str) -> None:
         fs.mkdirs(self.spark, f"{self.root}/{schema}")
 
+    def drop_schema(self, schema: str) -> bool:
+        """Drop a schema and every table in it (``DROP SCHEMA ... CASCADE``)."""
+        return fs.delete(self.spark, f"{self.root}/{schema}")
+
     # -- reads ---------------------------------------------------------------
     def read(self, schema: str, table: str) -> DataFrame:
         if not self.exists(schema, table):
@@ -81,9 +85,19 @@ class TableStore:
         self.write(self.spark.createDataFrame([], struct), schema, table)
 
     def append(self, df: DataFrame, schema: str, table: str, observe: bool = True) -> int | None:
-        """Append rows; returns the number appended (from an Observation, no second scan)."""
+        """Append rows by column name; returns the number appended.
+
+        Rows are aligned to the table's schema first (an INSERT with a column
+        list): target columns the rows lack take their declared default or
+        NULL, types are cast, and field metadata is carried, so every file
+        of the table has the same schema. A column the table lacks is an
+        error. The count comes from an Observation on the write itself.
+        """
+        from ledgerline.operators.labels import align_to
+
         if not self.exists(schema, table):
             raise TableNotFound(f"table {schema}.{table} does not exist")
+        df = align_to(df, self.schema_of(schema, table))
         obs = None
         if observe:
             obs = Observation(f"rows-{uuid.uuid4().hex}")

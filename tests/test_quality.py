@@ -113,3 +113,25 @@ def test_table_stats_and_missing(spark, store):
 def test_flag_distribution_counts_nulls(spark):
     df = spark.createDataFrame([(True,), (False,), (None,), (True,)], "f boolean")
     assert {r.f: r.n for r in Q.flag_distribution(df, "f").collect()} == {True: 2, False: 1, None: 1}
+
+
+def test_read_json_records_keeps_objects_as_text(spark, tmp_path):
+    from ledgerline.sources.spec import read_json_records
+
+    p = tmp_path / "t.jsonl"
+    p.write_text('{"hash": "a", "training_data": {"f": [1, 2]}, "model_version": "v1", '
+                 '"created_at": "2024-01-02T03:04:05"}\n{"hash": "b", "training_data": null}\n')
+    tr = schema_from_spec(spec(), "training")
+    rows = {r.hash: r for r in read_json_records(spark, str(p), tr).collect()}
+    assert rows["a"].training_data == '{"f": [1, 2]}'
+    assert rows["a"].created_at == dt.datetime(2024, 1, 2, 3, 4, 5)
+    assert rows["b"].training_data is None and rows["b"].model_version is None
+    bad = tmp_path / "m.jsonl"
+    bad.write_text('{"hash": "c", "media_type": "film"}\n')
+    with pytest.raises(Exception, match="invalid input value for enum media_type"):
+        read_json_records(spark, str(bad), media_spec()).collect()
+
+
+def test_drop_schema(spark, store):
+    store.write(spark.range(1), "tmp", "t")
+    assert store.drop_schema("tmp") and not store.schema_exists("tmp")

@@ -48,6 +48,9 @@ def apply_session_defaults(spark: SparkSession) -> None:
             pass
 
 
+_LOCAL_ROOT: str | None = None
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names for checkpoints.
 
@@ -55,9 +58,18 @@ def checkpoint_root(spark: SparkSession) -> str:
     when neither is set -- local runs and tests -- a private folder is made and
     registered as the checkpoint dir, so later calls agree.
     """
-    sc = spark.sparkContext
-    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    global _LOCAL_ROOT
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: only the conf is visible here
+        sc = None
+    if not d and sc is not None:
+        d = sc.getCheckpointDir()
     if not d:
+        if sc is None:
+            _LOCAL_ROOT = _LOCAL_ROOT or tempfile.mkdtemp(prefix="ledgerline-ckpt-")
+            return _LOCAL_ROOT
         d = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
         sc.setCheckpointDir(d)
         d = sc.getCheckpointDir() or d

@@ -3,7 +3,8 @@
 Listing, renaming and deleting go through the same Hadoop ``FileSystem`` the
 Parquet reader and writer use, so the store works on HDFS, object stores and
 local disks alike. These are metadata calls on the driver; no data passes
-through them.
+through them. A session without a JVM gateway (Spark Connect) falls back to
+``pyarrow.fs`` with the same semantics.
 """
 
 from __future__ import annotations
@@ -11,19 +12,46 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
+def _jvm(spark: SparkSession):
+    try:
+        sc = spark.sparkContext
+        return sc._jvm, sc._jsc.hadoopConfiguration()
+    except Exception:  # Spark Connect: no JVM on this side
+        return None, None
+
+
 def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
+    jvm, conf = _jvm(spark)
     p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+    return p.getFileSystem(conf), p
+
+
+def _arrow(path: str):
+    from pyarrow import fs as pafs
+
+    return pafs.FileSystem.from_uri(path)
 
 
 def exists(spark: SparkSession, path: str) -> bool:
+    if _jvm(spark)[0] is None:
+        from pyarrow import fs as pafs
+
+        afs, p = _arrow(path)
+        return afs.get_file_info(p).type != pafs.FileType.NotFound
     fs, p = _fs(spark, path)
     return bool(fs.exists(p))
 
 
 def list_dirs(spark: SparkSession, path: str) -> list[str]:
     """Names of the sub-directories of ``path`` (empty if it does not exist)."""
+    if _jvm(spark)[0] is None:
+        from pyarrow import fs as pafs
+
+        if not exists(spark, path):
+            return []
+        afs, p = _arrow(path)
+        infos = afs.get_file_info(pafs.FileSelector(p))
+        return sorted(i.base_name for i in infos if i.type == pafs.FileType.Directory)
     fs, p = _fs(spark, path)
     if not fs.exists(p):
         return []
@@ -31,18 +59,39 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
 
 
 def delete(spark: SparkSession, path: str) -> bool:
+    if _jvm(spark)[0] is None:
+        from pyarrow import fs as pafs
+
+        afs, p = _arrow(path)
+        t = afs.get_file_info(p).type
+        if t == pafs.FileType.NotFound:
+            return False
+        afs.delete_dir(p) if t == pafs.FileType.Directory else afs.delete_file(p)
+        return True
     fs, p = _fs(spark, path)
     return bool(fs.delete(p, True)) if fs.exists(p) else False
 
 
 def mkdirs(spark: SparkSession, path: str) -> None:
+    if _jvm(spark)[0] is None:
+        afs, p = _arrow(path)
+        afs.create_dir(p, recursive=True)
+        return
     fs, p = _fs(spark, path)
     fs.mkdirs(p)
 
 
 def rename(spark: SparkSession, src: str, dst: str) -> None:
+    if _jvm(spark)[0] is None:
+        afs, s_ = _arrow(src)
+        _, d_ = _arrow(dst)
+        parent = d_.rsplit("/", 1)[0]
+        if parent:
+            afs.create_dir(parent, recursive=True)
+        afs.move(s_, d_)
+        return
     fs, s = _fs(spark, src)
-    d = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(dst)
+    d = _jvm(spark)[0].org.apache.hadoop.fs.Path(dst)
     parent = d.getParent()
     if parent is not None and not fs.exists(parent):
         fs.mkdirs(parent)

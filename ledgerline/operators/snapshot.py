@@ -16,13 +16,13 @@ from __future__ import annotations
 
 import datetime as _dt
 from dataclasses import dataclass, field
-from typing import Iterable
+from typing import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.functions.enums import enum_columns, without_enum
+from ledgerline.functions.enums import EnumType, enum_columns, with_enum, without_enum
 from ledgerline.functions.time import yyyymmdd
 from ledgerline.sources import fs
 from ledgerline.sources.store import TableNotFound, TableStore
@@ -143,42 +143,52 @@ class BackupResult:
     converted_enums: list[str] = field(default_factory=list)
 
 
-def backup_table(store: TableStore, schema: str, table: str, date: str | _dt.date | None = None,
+def backup_table(store, schema: str, table: str, date: str | _dt.date | None = None,
                  backup_schema: str = BACKUP_SCHEMA,
-                 created_at: _dt.datetime | None = None) -> BackupResult:
+                 created_at: _dt.datetime | None = None,
+                 backup_store: TableStore | None = None,
+                 enums: Mapping[str, EnumType] | None = None) -> BackupResult:
     """Snapshot ``schema.table`` for one day, replacing that day's snapshot.
 
-    Order of writes: drop the day's mapping (the day is now incomplete),
-    swap in the rows, write metadata, write the mapping last.
+    ``store`` holds the live table (a :class:`TableStore` or a
+    :class:`~ledgerline.sources.jdbc.JdbcTableStore`); the snapshot goes to
+    ``backup_store`` (default: the same store), which must be file-based.
+    ``enums`` declares enumerated columns a source cannot describe itself
+    (e.g. a database read over JDBC). Order of writes: drop the day's mapping
+    (the day is now incomplete), swap in the rows, write metadata, write the
+    mapping last.
     """
+    bs = backup_store or store
     if not store.exists(schema, table):
         raise TableNotFound(f"Table {schema}.{table} does not exist")
     names = snapshot_names(schema, table, date, backup_schema)
-    spark = store.spark
-    store.create_schema(backup_schema)
+    spark = bs.spark
+    bs.create_schema(backup_schema)
     src = store.read(schema, table)
+    for c, e in (enums or {}).items():
+        src = with_enum(src, c, e)
     snap, converted = snapshot(src)
-    fs.delete(spark, snapshot_path(store, names, "mapping"))
-    rows = store.write_path(snap, snapshot_path(store, names, "data"), observe=True)
+    fs.delete(spark, snapshot_path(bs, names, "mapping"))
+    rows = bs.write_path(snap, snapshot_path(bs, names, "data"), observe=True)
     day = _dt.date(int(names.date[:4]), int(names.date[4:6]), int(names.date[6:]))
     meta = backup_metadata(spark, day, schema, table, names.dated, created_at)
-    store.write_path(meta.coalesce(1), snapshot_path(store, names, "metadata"))
-    store.write_path(column_mapping(spark, src.schema).coalesce(1), snapshot_path(store, names, "mapping"))
+    bs.write_path(meta.coalesce(1), snapshot_path(bs, names, "metadata"))
+    bs.write_path(column_mapping(spark, src.schema).coalesce(1), snapshot_path(bs, names, "mapping"))
     return BackupResult(f"{schema}.{table}", f"{backup_schema}.{names.dated}", names.date, rows or 0,
                         converted)
 
 
 # O17 ----------------------------------------------------------------------
-def backup_all(store: TableStore, tables: Iterable[str] = ("media", "prediction", "training"),
+def backup_all(store, tables: Iterable[str] = ("media", "prediction", "training"),
                schema: str = "atp", date: str | _dt.date | None = None,
-               backup_schema: str = BACKUP_SCHEMA) -> DataFrame:
+               backup_schema: str = BACKUP_SCHEMA, backup_store: TableStore | None = None) -> DataFrame:
     """Back up each table independently; one failure does not stop the others."""
     from ledgerline.plans.report import ActionResult, run_report
 
     results = []
     for t in tables:
         try:
-            r = backup_table(store, schema, t, date, backup_schema)
+            r = backup_table(store, schema, t, date, backup_schema, backup_store=backup_store)
             results.append(ActionResult("backup", f"{schema}.{t}", "success", r.rows, None, r.backup_table))
         except Exception as e:  # noqa: BLE001 -- batch entry point: report, do not raise
             results.append(ActionResult("backup", f"{schema}.{t}", "failed", None, f"{type(e).__name__}: {e}", None))

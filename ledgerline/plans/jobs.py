@@ -5,6 +5,9 @@
     python -m ledgerline.plans.jobs --root <store root> reload [--tables ...] [--date YYYYMMDD]
     python -m ledgerline.plans.jobs --root <store root> review [--value false]
 
+``--live-jdbc`` keeps the live tables in PostgreSQL (connection from the
+standard PG* environment variables) with snapshots under ``--root``.
+
 Batch jobs report per table and keep going after a failure (a report row
 with ``status='failed'``); the single-table functions they call raise.
 """
@@ -39,14 +42,14 @@ def sync_job(store: TableStore, schema: str = LIVE_SCHEMA, now: _dt.datetime | N
     return run_report(store.spark, [res])
 
 
-def backup_job(store: TableStore, tables: Sequence[str] = TABLES, schema: str = LIVE_SCHEMA,
-               date: str | None = None) -> DataFrame:
-    return S.backup_all(store, tables, schema, date)
+def backup_job(store, tables: Sequence[str] = TABLES, schema: str = LIVE_SCHEMA,
+               date: str | None = None, backup_store: TableStore | None = None) -> DataFrame:
+    return S.backup_all(store, tables, schema, date, backup_store=backup_store)
 
 
-def reload_job(store: TableStore, tables: Sequence[str] = TABLES, schema: str = LIVE_SCHEMA,
-               date: str | None = None) -> DataFrame:
-    return R.reload_all(store, tables, schema, date)
+def reload_job(store, tables: Sequence[str] = TABLES, schema: str = LIVE_SCHEMA,
+               date: str | None = None, backup_store: TableStore | None = None) -> DataFrame:
+    return R.reload_all(store, tables, schema, date, backup_store=backup_store)
 
 
 def review_job(store: TableStore, schema: str = LIVE_SCHEMA, table: str = "training",
@@ -64,6 +67,8 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
     p = argparse.ArgumentParser(prog="ledgerline.plans.jobs")
     p.add_argument("--root", required=True, help="table store root (any Hadoop file system URI)")
     p.add_argument("--schema", default=LIVE_SCHEMA)
+    p.add_argument("--live-jdbc", action="store_true",
+                   help="live tables in PostgreSQL (PG* environment variables); snapshots under --root")
     sub = p.add_subparsers(dest="job", required=True)
     sub.add_parser("sync")
     for name in ("backup", "reload"):
@@ -77,13 +82,19 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
     a = p.parse_args(argv)
     spark = spark or build_session(app=f"ledgerline-{a.job}")
     apply_session_defaults(spark)
-    store = TableStore(spark, a.root)
+    files = TableStore(spark, a.root)
+    if a.live_jdbc:
+        from ledgerline.sources.jdbc import JdbcTableStore
+
+        store = JdbcTableStore.from_env(spark)
+    else:
+        store = files
     if a.job == "sync":
         rep = sync_job(store, a.schema)
     elif a.job == "backup":
-        rep = backup_job(store, a.tables.split(","), a.schema, a.date)
+        rep = backup_job(store, a.tables.split(","), a.schema, a.date, files)
     elif a.job == "reload":
-        rep = reload_job(store, a.tables.split(","), a.schema, a.date)
+        rep = reload_job(store, a.tables.split(","), a.schema, a.date, files)
     else:
         rep = review_job(store, a.schema, a.table, a.column, a.value == "true")
     rows = [r.asDict() for r in rep.collect()]  # one row per table: a small report

@@ -220,3 +220,35 @@ def test_latest_partition_anchors_the_pattern(spark, tmp_path):
     assert value == "20250101" and df.count() == 3
     with pytest.raises(R.SnapshotNotFound):
         R.latest_partition(spark, base, value="20991231")
+
+
+def test_snapshots_in_a_separate_store(spark, tmp_path):
+    from ledgerline.sources.store import TableStore
+
+    live = TableStore(spark, str(tmp_path / "live"))
+    bak = TableStore(spark, str(tmp_path / "bak"))
+    live.write(media_df(spark), "atp", "media")
+    plain = live.read("atp", "media")
+    for c in ("media_type", "pipeline_status", "rejection_status", "rss_source"):
+        plain = plain.withMetadata(c, {})
+    live.write(plain, "atp", "plain")       # like a database read: no enum metadata
+    from ledgerline.functions.domains import MEDIA_TYPE
+
+    res = S.backup_table(live, "atp", "plain", DAY1, backup_store=bak, enums={"media_type": MEDIA_TYPE})
+    assert res.converted_enums == ["media_type"]
+    assert not live.schema_exists("bak") and bak.schema_exists("bak")
+    live.truncate("atp", "plain")
+    assert R.reload_table(live, "atp", "plain", backup_store=bak).rows == 3
+    assert R.reload_all(live, ["plain"], backup_store=bak).first().status == "success"
+
+
+def test_jdbc_store_options_without_a_database(spark):
+    from ledgerline.sources.jdbc import JdbcTableStore
+
+    st = JdbcTableStore.from_env(spark, env={"PGHOST": "db", "PGDATABASE": "cat", "PGUSER": "u"},
+                                 partitions={"atp.media": {"partitionColumn": "tmdb_id", "numPartitions": "64"}})
+    assert st.url == "jdbc:postgresql://db:5432/cat"
+    o = st.options(dbtable="atp.media")
+    assert o["user"] == "u" and o["stringtype"] == "unspecified" and "password" not in o
+    assert st._catalog_query("atp", "o'x").endswith("AND table_name = 'o''x'")
+    assert st.partitions["atp.media"]["numPartitions"] == "64"

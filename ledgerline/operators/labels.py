@@ -184,12 +184,16 @@ def stamp_utc(df: DataFrame, columns: Sequence[str] = ("created_at", "updated_at
 
 
 # O9 -----------------------------------------------------------------------
-def align_to(df: DataFrame, target_schema: T.StructType, strict: bool = True) -> DataFrame:
+def align_to(df: DataFrame, target_schema: T.StructType, strict: bool = True,
+             enforce: bool = True) -> DataFrame:
     """``df`` in the target's column order and types, for an append by name.
 
     Target columns missing from ``df`` take their declared default (field
     metadata ``default``, a Spark SQL expression) or NULL. A column of ``df``
-    the target lacks is an error, as in an INSERT with a column list.
+    the target lacks is an error, as in an INSERT with a column list. With
+    ``enforce`` the target's declared constraints hold as in the database:
+    a value outside an enum domain, a NULL in a ``not_null`` column, or a
+    row failing a column's ``check`` (NULL passes) aborts the write.
     """
     have = set(df.columns)
     extra = [c for c in df.columns if c not in {f.name for f in target_schema.fields}]
@@ -201,13 +205,38 @@ def align_to(df: DataFrame, target_schema: T.StructType, strict: bool = True) ->
             c = F.col(f.name)
             if df.schema[f.name].dataType != f.dataType:
                 c = c.cast(f.dataType)
+            if enforce:
+                c = _enforce(c, f, df.schema[f.name])
         else:
-            cols.append(default_column(f))
-            continue
+            c = default_column(f)
+            if enforce and (f.metadata or {}).get(NOT_NULL_KEY):
+                c = _not_null(c, f.name)
         cols.append(c.alias(f.name, metadata=f.metadata or {}))
     return df.select(*cols)
 
 
+NOT_NULL_KEY = "not_null"
+CHECK_KEY = "check"
+
+
+def _not_null(c: Column, name: str) -> Column:
+    msg = F.lit(f"null value in column {name} violates not-null constraint")
+    return F.when(c.isNull(), F.raise_error(msg)).otherwise(c)
+
+
+def _enforce(c: Column, target: T.StructField, source: T.StructField) -> Column:
+    md = target.metadata or {}
+    e = enum_of(target)
+    if e is not None:  # metadata on the input does not prove its values
+        c = e.checked(c, target.name)
+    if md.get(NOT_NULL_KEY):
+        c = _not_null(c, target.name)
+    if md.get(CHECK_KEY):
+        msg = F.lit(f"new row violates check constraint {target.name}_check")
+        c = F.when(F.expr(md[CHECK_KEY]) == F.lit(False), F.raise_error(msg)).otherwise(c)
+    return c
+
+
 def append_by_name(df: DataFrame, target: DataFrame) -> DataFrame:
     """``target`` followed by ``df`` aligned to it by column name."""
     return target.unionByName(align_to(df, target.schema))

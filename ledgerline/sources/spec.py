@@ -23,6 +23,7 @@ from ledgerline.functions.enums import EnumType
 DEFAULT_KEY = "default"
 CHECK_KEY = "check"
 LENGTH_KEY = "char_length"
+NOT_NULL_KEY = "not_null"
 
 # fixed values: database type names and their Spark types
 _SIMPLE_TYPES = {
@@ -110,6 +111,7 @@ def schema_from_spec(spec: Mapping[str, Any], table: str, schema_key: str | None
         not_null = "NOT NULL" in cons or "PRIMARY KEY" in cons
         if not_null:
             nn.append(c["name"])
+            md[NOT_NULL_KEY] = True
         if "default" in c:
             md[DEFAULT_KEY] = default_expression(c["default"])
         if "check" in c:
@@ -117,8 +119,9 @@ def schema_from_spec(spec: Mapping[str, Any], table: str, schema_key: str | None
             checks.append((c["name"], md[CHECK_KEY]))
         if c["type"] in enums:
             enum_cols[c["name"]] = enums[c["type"]]
-        # Spark does not enforce NOT NULL on file tables; keep fields nullable
-        # and check with key_violations instead.
+        # Spark does not enforce NOT NULL on file tables: fields stay nullable,
+        # the flag in the metadata is enforced on appends (labels.align_to)
+        # and counted by quality.key_violations.
         fields.append(T.StructField(c["name"], dtype, True, md))
     indexes = [list(i["columns"]) for i in tdef.get("indexes", [])]
     return TableSpec(table, T.StructType(fields), pk, nn, checks, enum_cols, indexes)

@@ -135,3 +135,21 @@ def test_read_json_records_keeps_objects_as_text(spark, tmp_path):
 def test_drop_schema(spark, store):
     store.write(spark.range(1), "tmp", "t")
     assert store.drop_schema("tmp") and not store.schema_exists("tmp")
+
+
+def test_appends_enforce_declared_constraints(spark, store):
+    ms = media_spec()
+    store.create("atp", "media", ms.schema)
+    good = media_df(spark)
+    assert store.append(good, "atp", "media") == 3
+    cases = [
+        (dict(MEDIA_SAMPLES[0], release_year=1700), "release_year_check"),
+        (dict(MEDIA_SAMPLES[0], media_type="film"), "invalid input value for enum media_type"),
+        (dict(MEDIA_SAMPLES[0], original_title=None), "original_title violates not-null"),
+    ]
+    for rec, msg in cases:
+        with pytest.raises(Exception, match=msg):
+            store.append(media_df(spark, [rec]), "atp", "media")
+    # NULL passes a CHECK, as in SQL
+    assert store.append(media_df(spark, [dict(MEDIA_SAMPLES[0], release_year=None)]), "atp", "media") == 1
+    assert store.read("atp", "media").count() == 4

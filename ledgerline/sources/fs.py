@@ -99,6 +99,14 @@ def rename(spark: SparkSession, src: str, dst: str) -> None:
         raise OSError(f"rename failed: {src} -> {dst}")
 
 
+def recover(spark: SparkSession, live: str) -> None:
+    """Finish an interrupted :func:`swap_in`: if ``live`` is gone but the copy
+    moved aside is still there, move it back (the staged copy is left)."""
+    aside = f"{live}.__replaced"
+    if not exists(spark, live) and exists(spark, aside):
+        rename(spark, aside, live)
+
+
 def swap_in(spark: SparkSession, staged: str, live: str) -> None:
     """Make ``staged`` the content of ``live``.
 
@@ -107,6 +115,7 @@ def swap_in(spark: SparkSession, staged: str, live: str) -> None:
     data in place (and the aside copy recoverable), never a half-written one.
     """
     aside = f"{live}.__replaced"
+    recover(spark, live)
     delete(spark, aside)
     had_old = exists(spark, live)
     if had_old:

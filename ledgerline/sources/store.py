@@ -34,7 +34,9 @@ class TableStore:
         return f"{self.root}/{schema}/{table}"
 
     def exists(self, schema: str, table: str) -> bool:
-        return fs.exists(self.spark, self.path(schema, table))
+        path = self.path(schema, table)
+        fs.recover(self.spark, path)  # a replace interrupted by a lost driver
+        return fs.exists(self.spark, path)
 
     def schema_exists(self, schema: str) -> bool:
         return fs.exists(self.spark, f"{self.root}/{schema}")

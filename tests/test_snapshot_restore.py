@@ -252,3 +252,21 @@ def test_jdbc_store_options_without_a_database(spark):
     assert o["user"] == "u" and o["stringtype"] == "unspecified" and "password" not in o
     assert st._catalog_query("atp", "o'x").endswith("AND table_name = 'o''x'")
     assert st.partitions["atp.media"]["numPartitions"] == "64"
+
+
+def test_table_name_extending_another_is_separate(spark, store):
+    store.write(spark.range(2), "atp", "media")
+    store.write(spark.range(5), "atp", "media_x")
+    S.backup_table(store, "atp", "media", DAY1)
+    S.backup_table(store, "atp", "media_x", DAY2)
+    assert R.snapshot_dates(store, "atp", "media") == [DAY1]
+    assert R.latest_snapshot(store, "atp", "media").date == DAY1
+
+
+def test_interrupted_replace_is_recovered(spark, store):
+    from ledgerline.sources import fs
+
+    store.write(spark.range(3), "atp", "t")
+    live = store.path("atp", "t")
+    fs.rename(spark, live, live + ".__replaced")   # driver lost mid-swap
+    assert store.exists("atp", "t") and store.read("atp", "t").count() == 3

@@ -19,7 +19,6 @@ from dataclasses import dataclass, field
 from typing import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.functions.enums import EnumType, enum_columns, with_enum, without_enum

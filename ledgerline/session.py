@@ -55,8 +55,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names for checkpoints.
 
     Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir). Only
-    when neither is set -- local runs and tests -- a private folder is made and
-    registered as the checkpoint dir, so later calls agree.
+    when neither is set and the master is local (tests, a laptop) a private
+    folder is made and registered as the checkpoint dir, so later calls agree;
+    on a cluster an unset checkpoint dir is an error, never a local folder.
     """
     global _LOCAL_ROOT
     d = spark.conf.get("spark.checkpoint.dir", None)
@@ -67,6 +68,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not d and sc is not None:
         d = sc.getCheckpointDir()
     if not d:
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not str(master).startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: a cluster needs a shared folder "
+                               "for checkpoints and scratch tables")
         if sc is None:
             _LOCAL_ROOT = _LOCAL_ROOT or tempfile.mkdtemp(prefix="ledgerline-ckpt-")
             return _LOCAL_ROOT

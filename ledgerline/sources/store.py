@@ -82,9 +82,16 @@ class TableStore:
             raise FileExistsError(f"table {schema}.{table} exists")
         return self.write_path(df, self.path(schema, table), observe)
 
-    def create(self, schema: str, table: str, struct: T.StructType) -> None:
-        """An empty table with a declared schema (field metadata kept)."""
+    def create(self, schema: str, table: str, struct: T.StructType, if_not_exists: bool = False) -> bool:
+        """An empty table with a declared schema (field metadata kept).
+
+        Replaces an existing table, unless ``if_not_exists`` (then an existing
+        table and its rows are kept). Returns whether a table was created.
+        """
+        if if_not_exists and self.exists(schema, table):
+            return False
         self.write(self.spark.createDataFrame([], struct), schema, table)
+        return True
 
     def append(self, df: DataFrame, schema: str, table: str, observe: bool = True) -> int | None:
         """Append rows by column name; returns the number appended.

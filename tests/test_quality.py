@@ -152,3 +152,17 @@ def test_appends_enforce_declared_constraints(spark, store):
     # NULL passes a CHECK, as in SQL
     assert store.append(media_df(spark, [dict(MEDIA_SAMPLES[0], release_year=None)]), "atp", "media") == 1
     assert store.read("atp", "media").count() == 4
+
+
+def test_create_is_idempotent_with_if_not_exists(spark, store):
+    ms = media_spec()
+    assert store.create("atp", "media", ms.schema, if_not_exists=True)
+    store.append(media_df(spark), "atp", "media")
+    assert not store.create("atp", "media", ms.schema, if_not_exists=True)
+    assert store.read("atp", "media").count() == 3
+    s = store.schema_of("atp", "media")
+    assert [f.name for f in s] == [f.name for f in ms.schema]
+    assert s["pipeline_status"].metadata["default"] == "'ingested'"
+    assert s["hash"].metadata["not_null"] is True
+    assert store.create("atp", "media", ms.schema)          # plain create replaces
+    assert store.read("atp", "media").count() == 0

@@ -64,6 +64,8 @@ def max_of(df: DataFrame, column: str, enums: Mapping[str, EnumType] | None = No
     if enum is not None:
         return enum.max(column, column).alias(column)
     if isinstance(field.dataType, T.ArrayType):
+        if not field.dataType.containsNull:  # no NULL elements: Spark's order is the same
+            return F.max(column).alias(column)
         return array_max_nulls_last(column).alias(column)
     if collation and isinstance(field.dataType, T.StringType):
         return F.max(F.collate(F.col(column), collation)).cast("string").alias(column)

@@ -184,3 +184,12 @@ def test_set_flag_all_keeps_other_columns(spark, store):
 def test_enum_type_rejects_repeats():
     with pytest.raises(ValueError):
         EnumType("x", ("a", "a"))
+
+
+def test_array_without_null_elements_uses_plain_max(spark):
+    df = spark.createDataFrame([("t", ["a", "b"]), ("t", ["a"])],
+                               T.StructType([T.StructField("k", T.StringType()),
+                                             T.StructField("arr", T.ArrayType(T.StringType(), False))]))
+    out = L.consolidate_max(df, "k")
+    assert out.first().arr == ["a", "b"]
+    assert "transform" not in out._jdf.queryExecution().executedPlan().toString()

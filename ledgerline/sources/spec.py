@@ -43,7 +43,7 @@ _SIMPLE_TYPES = {
     "JSONB": T.StringType(),
     "JSON": T.StringType(),
 }
-# Default expressions the database writes differently from Spark SQL.
+# fixed values: default expressions the database writes differently from Spark SQL
 _DEFAULT_EXPRESSIONS = {
     "(CURRENT_TIMESTAMP AT TIME ZONE 'UTC')": "current_timestamp()",
     "CURRENT_TIMESTAMP": "current_timestamp()",

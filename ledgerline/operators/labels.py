@@ -245,6 +245,38 @@ def append_by_name(df: DataFrame, target: DataFrame) -> DataFrame:
 
 
 # O10 ----------------------------------------------------------------------
+def broadcast_limit(spark) -> int:
+    """``spark.sql.autoBroadcastJoinThreshold`` in bytes (-1: broadcasts disabled)."""
+    raw = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")).strip().lower()
+    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
+             "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40}
+    num = raw.rstrip("bkmgt")
+    unit = raw[len(num):] or "b"
+    try:
+        return int(float(num) * units.get(unit, 1))
+    except ValueError:
+        return -1
+
+
+# Per-key overhead assumed on top of the key's text bytes when bounding the
+# size of a broadcast hash relation of keys (row header, hash slot, pointer).
+KEY_OVERHEAD_BYTES = 48
+
+
+def key_set_bound(target: DataFrame, key: str) -> int:
+    """Upper bound, in bytes, of the target's non-NULL key set held in memory.
+
+    One aggregate over the key column only (column-pruned scan, partial
+    counts, no shuffle of rows): the number of keys -- repeats included, so
+    it bounds the distinct set -- and their length as text, which is at
+    least their binary size for numbers.
+    """
+    k = F.col(key)
+    r = target.agg(F.count(k).alias("n"), F.sum(F.octet_length(k.cast("string"))).alias("b")).first()
+    n, b = int(r["n"] or 0), int(r["b"] or 0)
+    return b + KEY_OVERHEAD_BYTES * n
+
+
 def sync_media_to_training(media: DataFrame, training: DataFrame, *, key: str = "imdb_id",
                            status: str = "rejection_status",
                            columns: Sequence[str] | None = SYNC_MAX_COLUMNS,
@@ -252,23 +284,42 @@ def sync_media_to_training(media: DataFrame, training: DataFrame, *, key: str =
                            stamps: Sequence[str] = ("created_at", "updated_at"),
                            enums: Mapping[str, EnumType] | None = None,
                            now: _dt.datetime | None = None,
-                           collation: str | None = None) -> DataFrame:
+                           collation: str | None = None,
+                           prefilter: bool | str = "auto") -> DataFrame:
     """New training rows: one per title not yet in ``training`` and judged.
 
     keyed_rows -> consolidate (MAX per column) + label state in the same
     aggregate -> label -> labelled_only -> new_keys_only -> fill_title ->
     stamp_utc, in the target's column order. Existing target rows are never
     touched, so a second run over the same input yields nothing.
+
+    Where the anti-join runs is a size decision. With ``prefilter='auto'``
+    the target's key set is bounded first (:func:`key_set_bound`, one small
+    aggregate); if the bound is within ``spark.sql.autoBroadcastJoinThreshold``
+    the keys are broadcast and media rows of known titles are dropped before
+    the aggregate -- in steady state most titles are known, so the sort-based
+    aggregate and its shuffle only see new titles. Beyond the bound the
+    anti-join runs after the aggregate, sort-merge on the de-duplicated keys
+    (:func:`new_keys_only`). Both give the same rows: a title is kept or
+    dropped whole.
     """
     wanted = columns if columns is not None else [c for c in media.columns if c not in stamps]
     cols = [c for c in wanted if c not in (key, status) and c in media.columns]
+    if prefilter == "auto":
+        limit = broadcast_limit(media.sparkSession)
+        prefilter = limit > 0 and key_set_bound(training, key) <= limit
     keyed = keyed_rows(media, key)
+    if prefilter:
+        known = training.select(F.col(key).alias("__tkey")).where(F.col("__tkey").isNotNull())
+        keyed = keyed.join(F.broadcast(known), keyed[key] == known["__tkey"], "left_anti")
     grouped = keyed.groupBy(key).agg(
         *[max_of(media, c, enums, collation) for c in cols],
         *label_aggregates(status),
     )
     labelled = grouped.withColumn("label", label_from_aggregates()).drop(_ANY_POSITIVE, _N_UNJUDGED, _N_ROWS)
-    fresh = new_keys_only(labelled_only(labelled), training, key)
+    fresh = labelled_only(labelled)
+    if not prefilter:
+        fresh = new_keys_only(fresh, training, key)
     if title and title in cols:
         fresh = fill_title(fresh, title)
     if stamps:

@@ -193,3 +193,41 @@ def test_array_without_null_elements_uses_plain_max(spark):
     out = L.consolidate_max(df, "k")
     assert out.first().arr == ["a", "b"]
     assert "transform" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_prefilter_and_post_filter_give_the_same_rows(spark):
+    media = media_df(spark)
+    known = media.where("imdb_id = 'tt1234567'").select("imdb_id")
+    a = L.sync_media_to_training(media, known, prefilter=True, stamps=()).collect()
+    b = L.sync_media_to_training(media, known, prefilter=False, stamps=()).collect()
+    assert sorted(a) == sorted(b) and [r.imdb_id for r in a] == ["tt5555555"]
+
+
+def test_prefilter_is_chosen_by_a_size_bound(spark):
+    media = media_df(spark)
+    known = media.select("imdb_id")
+    assert L.key_set_bound(known, "imdb_id") == 3 * (9 + L.KEY_OVERHEAD_BYTES)
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    small = plan(L.sync_media_to_training(media, known, stamps=()))
+    assert "BroadcastHashJoin" in small and small.index("LeftAnti") > small.index("SortAggregate")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        big = plan(L.sync_media_to_training(media, known, stamps=()))
+        assert "SortMergeJoin" in big and "LeftAnti" in big
+        assert big.index("LeftAnti") < big.index("SortAggregate")  # anti-join above the aggregate
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_broadcast_limit_parsing(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for raw, want in (("10485760", 10485760), ("10MB", 10 << 20), ("512k", 512 << 10), ("-1", -1)):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", raw)
+            assert L.broadcast_limit(spark) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

@@ -110,7 +110,35 @@ def collect_statuses(df: DataFrame, key: str, status: str,
     )
 
 
+def statuses_as_array(statuses: Column | str = "statuses", status: str = "status") -> Column:
+    """The literal status array (repeats and NULLs kept, grouped by value)
+    from the multiset of :func:`collect_statuses`.
+
+    The array has one element per source row of the key: call it only where
+    that is small (reports, fixtures); the label itself never needs it.
+    """
+    c = F.col(statuses) if isinstance(statuses, str) else statuses
+    return F.flatten(F.transform(c, lambda e: F.array_repeat(e.getField(status), e.getField("n").cast("int"))))
+
+
 # O4 -----------------------------------------------------------------------
+def label_from_statuses(statuses: Column | str, positive: Iterable[str] = POSITIVE_STATUSES,
+                        unjudged: str = UNJUDGED_STATUS) -> Column:
+    """The label rule over a status array, in its array form.
+
+    ``exists`` and ``forall`` are three-valued like the source's
+    ``x = ANY(array)`` / ``x = ALL(array)``: a NULL element with no match
+    makes ``exists`` NULL and ``forall`` NULL, so those arrays fall through
+    to the ELSE branch exactly as in the source.
+    """
+    arr = F.col(statuses) if isinstance(statuses, str) else statuses
+    pos = list(positive)
+    return (F.when(F.exists(arr, lambda x: x.isin(*pos)), F.lit(POSITIVE_LABEL))
+            .when(F.forall(arr, lambda x: x == F.lit(unjudged)), F.lit(None).cast("string"))
+            .otherwise(F.lit(NEGATIVE_LABEL)))
+
+
+
 def label_aggregates(status: str | Column, positive: Iterable[str] = POSITIVE_STATUSES,
                      unjudged: str = UNJUDGED_STATUS) -> list[Column]:
     """Constant-size aggregate state for the label rule.

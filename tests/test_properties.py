@@ -77,7 +77,16 @@ def test_label_matches_three_valued_model(spark, gs):
     rows = [(str(i), s) for i, g in enumerate(gs) for s in g]
     df = spark.createDataFrame(rows, "k string, s string")
     got = {r.k: r.label for r in L.derive_label(df, "k", "s").collect()}
-    assert got == {str(i): model_label(g) for i, g in enumerate(gs)}
+    want = {str(i): model_label(g) for i, g in enumerate(gs)}
+    assert got == want
+    # the array form over the expanded multiset agrees, and the array is the multiset
+    c = L.collect_statuses(df, "k", "s")
+    arr = c.select("k", L.statuses_as_array("statuses", "s").alias("a"))
+    out = {r.k: (r.label, r.a) for r in arr.select("k", "a", L.label_from_statuses("a").alias("label")).collect()}
+    assert {k: v[0] for k, v in out.items()} == want
+    key = lambda x: (x is None, x or "")
+    assert {k: sorted(v[1], key=key) for k, v in out.items()} == \
+        {str(i): sorted(g, key=key) for i, g in enumerate(gs)}
 
 
 elem = st.one_of(st.none(), st.sampled_from(["a", "b", "c"]))

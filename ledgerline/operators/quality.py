@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from ledgerline.functions.defaults import default_column
 from ledgerline.functions.enums import EnumType, enum_columns
+from ledgerline.functions.rows import empty_frame, literal_rows
 from ledgerline.sources import fs
 
 
@@ -146,10 +147,10 @@ def table_stats(spark: SparkSession, tables: Mapping[str, str], fmt: str = "parq
     for p in parts:
         out = p if out is None else out.unionByName(p)
     if missing:
-        m = spark.createDataFrame(missing, STATS_SCHEMA)
+        m = literal_rows(spark, missing, STATS_SCHEMA)
         out = m if out is None else out.unionByName(m)
     if out is None:
-        out = spark.createDataFrame([], STATS_SCHEMA)
+        out = empty_frame(spark, STATS_SCHEMA)
     return out
 
 

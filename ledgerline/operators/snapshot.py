@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ledgerline.functions.enums import EnumType, enum_columns, with_enum, without_enum
+from ledgerline.functions.rows import literal_rows
 from ledgerline.functions.time import yyyymmdd
 from ledgerline.sources import fs
 from ledgerline.sources.store import TableNotFound, TableStore
@@ -75,15 +76,15 @@ def column_mapping_rows(schema: T.StructType) -> list[tuple]:
 
 def column_mapping(spark: SparkSession, schema: T.StructType) -> DataFrame:
     """One row per source column (schema-sized, built on the driver)."""
-    return spark.createDataFrame(column_mapping_rows(schema), MAPPING_SCHEMA)
+    return literal_rows(spark, column_mapping_rows(schema), MAPPING_SCHEMA)
 
 
 # O14 ----------------------------------------------------------------------
 def backup_metadata(spark: SparkSession, day: _dt.date, source_schema: str, source_table: str,
                     backup_table: str, created_at: _dt.datetime | None = None) -> DataFrame:
     created_at = created_at or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    return spark.createDataFrame([(day, source_schema, source_table, backup_table, created_at)],
-                                 METADATA_SCHEMA)
+    return literal_rows(spark, [(day, source_schema, source_table, backup_table, created_at)],
+                        METADATA_SCHEMA)
 
 
 # O15 ----------------------------------------------------------------------

@@ -29,4 +29,6 @@ class ActionResult:
 
 def run_report(spark: SparkSession, results: list[ActionResult]) -> DataFrame:
     """The results of a batch entry point as a small DataFrame (one row per table)."""
-    return spark.createDataFrame([astuple(r) for r in results], REPORT_SCHEMA)
+    from ledgerline.functions.rows import literal_rows
+
+    return literal_rows(spark, [astuple(r) for r in results], REPORT_SCHEMA)

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerline.functions.rows import empty_frame
 from ledgerline.sources.store import TableNotFound
 
 
@@ -132,7 +133,7 @@ class JdbcTableStore:
         return self._write(staged, schema, table, "overwrite", True) or 0
 
     def truncate(self, schema: str, table: str) -> None:
-        self._write(self.spark.createDataFrame([], self.schema_of(schema, table)), schema, table,
+        self._write(empty_frame(self.spark, self.schema_of(schema, table)), schema, table,
                     "overwrite", False)
 
     def create_schema(self, schema: str) -> None:

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerline.functions.rows import empty_frame
 from ledgerline.sources import fs
 
 
@@ -90,7 +91,7 @@ class TableStore:
         """
         if if_not_exists and self.exists(schema, table):
             return False
-        self.write(self.spark.createDataFrame([], struct), schema, table)
+        self.write(empty_frame(self.spark, struct), schema, table)
         return True
 
     def append(self, df: DataFrame, schema: str, table: str, observe: bool = True) -> int | None:
@@ -124,4 +125,4 @@ class TableStore:
 
     def truncate(self, schema: str, table: str) -> None:
         struct = self.schema_of(schema, table)
-        self.write(self.spark.createDataFrame([], struct), schema, table)
+        self.write(empty_frame(self.spark, struct), schema, table)

@@ -270,3 +270,17 @@ def test_interrupted_replace_is_recovered(spark, store):
     live = store.path("atp", "t")
     fs.rename(spark, live, live + ".__replaced")   # driver lost mid-swap
     assert store.exists("atp", "t") and store.read("atp", "t").count() == 3
+
+
+def test_thousand_scores_back_up_exactly(spark, store):
+    scores = T.StructType([T.StructField("hash", T.StringType()),
+                           T.StructField("prediction_score", T.DecimalType(5, 3))])
+    df = spark.range(1000).select(F.format_string("%040x", "id").alias("hash"),
+                                  (F.col("id") / F.lit(1000)).cast(T.DecimalType(5, 3)).alias("prediction_score"))
+    store.write(df, "atp", "prediction")
+    assert S.backup_table(store, "atp", "prediction", DAY1).rows == 1000
+    snap = S.read_snapshot(store, S.snapshot_names("atp", "prediction", DAY1))
+    assert snap.schema["prediction_score"].dataType == scores["prediction_score"].dataType
+    got = {r.hash: r.prediction_score for r in snap.collect()}
+    assert len(got) == 1000
+    assert all(got[f"{i:040x}"] == decimal.Decimal(i) / 1000 for i in range(1000))

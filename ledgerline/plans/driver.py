@@ -208,6 +208,21 @@ def q_reload_round_trip(spark, sf_dir):
     return diff.withColumn("rows_inserted", F.lit(res.rows).cast("long"))
 
 
+def q_backup_reload_all(spark, sf_dir):
+    """O17 + O23 + O32: back up three tables and a missing one, empty them,
+    reload all; the two batch reports, failures reported rather than raised."""
+    store = _store(spark, "batch")
+    store.write(_orders(spark, sf_dir), "atp", "orders")
+    store.write(table(spark, sf_dir, "customer"), "atp", "customer")
+    store.write(table(spark, sf_dir, "part"), "atp", "part")
+    names = ["orders", "customer", "part", "absent"]
+    backed = S.backup_all(store, names, "atp", SNAPSHOT_DAY)
+    for t in names[:3]:
+        store.truncate("atp", t)
+    reloaded = R.reload_all(store, names, "atp")
+    return backed.unionByName(reloaded)  # one report row per table and action
+
+
 # -- Group D: checks ------------------------------------------------------------
 LINEITEM_RULES = (
     ("quantity_range", "l_quantity BETWEEN 1 AND 50"),
@@ -293,6 +308,7 @@ QUERIES = {
     "reconcile_columns": q_reconcile_columns,
     "restore_enums": q_restore_enums,
     "reload_round_trip": q_reload_round_trip,
+    "backup_reload_all": q_backup_reload_all,
     "check_violations": q_check_violations,
     "key_violations": q_key_violations,
     "apply_defaults": q_apply_defaults,

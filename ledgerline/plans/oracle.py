@@ -208,3 +208,17 @@ FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
 GROUP BY ALL
 """,
 })
+
+
+ORACLE["backup_reload_all"] = """
+SELECT 'backup' AS action, 'atp.orders' AS source, 'success' AS status, count(*) AS rows,
+       CAST(NULL AS VARCHAR) AS error, 'bak.atp_orders_20250101' AS target FROM orders
+UNION ALL SELECT 'backup', 'atp.customer', 'success', count(*), NULL, 'bak.atp_customer_20250101' FROM customer
+UNION ALL SELECT 'backup', 'atp.part', 'success', count(*), NULL, 'bak.atp_part_20250101' FROM part
+UNION ALL SELECT 'backup', 'atp.absent', 'failed', NULL, 'TableNotFound: Table atp.absent does not exist', NULL
+UNION ALL SELECT 'reload', 'bak.atp_orders_20250101', 'success', count(*), NULL, 'atp.orders' FROM orders
+UNION ALL SELECT 'reload', 'bak.atp_customer_20250101', 'success', count(*), NULL, 'atp.customer' FROM customer
+UNION ALL SELECT 'reload', 'bak.atp_part_20250101', 'success', count(*), NULL, 'atp.part' FROM part
+UNION ALL SELECT 'reload', 'atp.absent', 'failed', NULL,
+    'SnapshotNotFound: No backup tables found for atp.absent in schema bak', NULL
+"""

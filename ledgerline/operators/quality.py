@@ -68,38 +68,43 @@ def key_violations(df: DataFrame, key: Sequence[str], not_null: Sequence[str] =
 
     * ``duplicate_key``: key values held by more than one row, and
       ``duplicate_row``: the rows beyond the first of each such key (NULL
-      keys excluded; they are ``not_null`` violations) -- one
-      ``groupBy(key).count()`` whose counts combine map-side, so a key held by
-      a third of the table is one partial count per task, not a hot partition;
+      keys excluded; they are ``not_null`` violations);
     * ``not_null``: NULLs in key and NOT NULL columns, and ``enum_domain``:
-      values outside each enum's domain -- together in one more aggregate.
+      values outside each enum's domain.
+
+    One scan and one shuffle: a ``groupBy(key)`` carries the row count and
+    the per-key NULL / out-of-domain counts, all combined map-side (a key
+    held by a third of the table is one partial row per task), and a final
+    single-row aggregate over the per-key rows turns them into totals.
     """
     key = list(key)
     key_name = ",".join(key)
-    keyed = df.where(F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in key)))
-    per_key = keyed.groupBy(*key).agg(F.count(F.lit(1)).alias("__n"))
-    dup = per_key.where(F.col("__n") > 1).agg(
-        F.count(F.lit(1)).alias("__keys"), F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).alias("__rows"))
-    dup_rows = dup.select(F.inline(F.array(
-        F.struct(F.lit("duplicate_key").alias("check_name"), F.lit(key_name).alias("column_name"),
-                 F.col("__keys").cast("long").alias("violations")),
-        F.struct(F.lit("duplicate_row").alias("check_name"), F.lit(key_name).alias("column_name"),
-                 F.col("__rows").cast("long").alias("violations")),
-    )))
     nn = list(dict.fromkeys([*key, *not_null]))
     doms = dict(enum_columns(df.schema))
     doms.update(enums or {})
-    aggs, entries = [], []
-    for i, c in enumerate(nn):
-        aggs.append(F.count_if(F.col(c).isNull()).alias(f"__nn{i}"))
-        entries.append(F.struct(F.lit("not_null").alias("check_name"), F.lit(c).alias("column_name"),
-                                F.col(f"__nn{i}").cast("long").alias("violations")))
-    for i, (c, e) in enumerate(doms.items()):
-        aggs.append(F.count_if(e.out_of_domain(c)).alias(f"__en{i}"))
-        entries.append(F.struct(F.lit("enum_domain").alias("check_name"), F.lit(c).alias("column_name"),
-                                F.col(f"__en{i}").cast("long").alias("violations")))
-    single = df.agg(*aggs).select(F.inline(F.array(*entries)))
-    return dup_rows.unionByName(single)
+    per_key_aggs = [F.count(F.lit(1)).alias("__n")]
+    per_key_aggs += [F.count_if(F.col(c).isNull()).alias(f"__nn{i}") for i, c in enumerate(nn)]
+    per_key_aggs += [F.count_if(e.out_of_domain(c)).alias(f"__en{i}") for i, (c, e) in enumerate(doms.items())]
+    per_key = df.groupBy(*key).agg(*per_key_aggs)
+    keyed = F.lit(True)
+    for k in key:
+        keyed = keyed & F.col(k).isNotNull()
+    dup = keyed & (F.col("__n") > 1)
+    totals = per_key.agg(
+        F.count_if(dup).alias("__keys"),
+        F.coalesce(F.sum(F.when(dup, F.col("__n") - 1)), F.lit(0)).alias("__rows"),
+        *[F.coalesce(F.sum(f"__nn{i}"), F.lit(0)).alias(f"__nn{i}") for i in range(len(nn))],
+        *[F.coalesce(F.sum(f"__en{i}"), F.lit(0)).alias(f"__en{i}") for i in range(len(doms))],
+    )
+
+    def entry(check: str, column: str, value: str) -> Column:
+        return F.struct(F.lit(check).alias("check_name"), F.lit(column).alias("column_name"),
+                        F.col(value).cast("long").alias("violations"))
+
+    entries = [entry("duplicate_key", key_name, "__keys"), entry("duplicate_row", key_name, "__rows")]
+    entries += [entry("not_null", c, f"__nn{i}") for i, c in enumerate(nn)]
+    entries += [entry("enum_domain", c, f"__en{i}") for i, c in enumerate(doms)]
+    return totals.select(F.inline(F.array(*entries)))
 
 
 # O29 ----------------------------------------------------------------------

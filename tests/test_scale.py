@@ -82,3 +82,11 @@ def test_session_defaults_enable_aqe_and_utc(spark):
     assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
     assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+
+
+def test_key_violations_is_one_scan(spark, tmp_path):
+    p = str(tmp_path / "kv")
+    _skewed(spark).write.parquet(p)
+    plan = _plan(Q.key_violations(spark.read.parquet(p), ["k"], ["title"]))
+    assert plan.count("FileScan parquet") == 1
+    assert "partial_count" in plan

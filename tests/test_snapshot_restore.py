@@ -284,3 +284,13 @@ def test_thousand_scores_back_up_exactly(spark, store):
     got = {r.hash: r.prediction_score for r in snap.collect()}
     assert len(got) == 1000
     assert all(got[f"{i:040x}"] == decimal.Decimal(i) / 1000 for i in range(1000))
+
+
+def test_on_conflict_error_for_repeated_snapshot_keys(spark, store):
+    df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "hash string, v int")
+    store.write(df, "atp", "prediction")
+    S.backup_table(store, "atp", "prediction", DAY1)
+    store.truncate("atp", "prediction")
+    with pytest.raises(R.DuplicateKeys, match="snapshot repeats"):
+        R.reload_table(store, "atp", "prediction", on_conflict="error", key=["hash"])
+    assert store.read("atp", "prediction").count() == 0   # nothing appended

@@ -166,3 +166,22 @@ def test_create_is_idempotent_with_if_not_exists(spark, store):
     assert s["hash"].metadata["not_null"] is True
     assert store.create("atp", "media", ms.schema)          # plain create replaces
     assert store.read("atp", "media").count() == 0
+
+
+def test_literal_rows_and_empty_frame_keep_the_schema(spark):
+    import decimal as _d
+
+    from ledgerline.functions.rows import empty_frame, literal_rows
+
+    s = T.StructType([T.StructField("a", T.StringType(), True, {"default": "'x'"}),
+                      T.StructField("d", T.DateType()),
+                      T.StructField("t", T.TimestampNTZType()),
+                      T.StructField("n", T.DecimalType(5, 3))])
+    rows = [("p", dt.date(2025, 1, 2), dt.datetime(2025, 1, 2, 3, 4, 5, 6), _d.Decimal("1.250")),
+            (None, None, None, None)]
+    df = literal_rows(spark, rows, s)
+    assert [f.dataType for f in df.schema] == [f.dataType for f in s]
+    assert df.schema["a"].metadata["default"] == "'x'"
+    assert [tuple(r) for r in df.collect()] == rows
+    e = empty_frame(spark, s)
+    assert e.count() == 0 and e.schema["a"].metadata["default"] == "'x'"

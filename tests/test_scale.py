@@ -90,3 +90,28 @@ def test_key_violations_is_one_scan(spark, tmp_path):
     plan = _plan(Q.key_violations(spark.read.parquet(p), ["k"], ["title"]))
     assert plan.count("FileScan parquet") == 1
     assert "partial_count" in plan
+
+
+def test_no_local_scratch_folder_on_a_cluster():
+    import pytest
+
+    from ledgerline.session import checkpoint_root
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf = Conf()
+        sparkContext = Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_root(Session())
+    Context.getCheckpointDir = lambda self: "hdfs:///shared/ckpt/"
+    assert checkpoint_root(Session()) == "hdfs:///shared/ckpt"

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from ledgerline.llm import decontaminate, exact_dedup
+from ledgerline.llm import decontaminate, exact_dedup, packing, prefix_tokens, token_files
 
 QUERIES = {
+    "op3_token_counts": prefix_tokens.op3_token_counts,
     "op4_decontamination": decontaminate.op4_decontamination,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
+    "op9_token_files": token_files.op9_token_files,
+    "op10_best_fit_packing": packing.op10_best_fit_packing,
 }
 
 ORACLE = {**exact_dedup.SQL}

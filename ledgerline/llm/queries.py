@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from ledgerline.llm import decontaminate, exact_dedup, minhash, packing, prefix_tokens, token_files, toxicity
+from ledgerline.llm import decontaminate, exact_dedup, minhash, packing, prefix_tokens, repeats, token_files, toxicity
 
 QUERIES = {
     "op3_token_counts": prefix_tokens.op3_token_counts,
     "op4_decontamination": decontaminate.op4_decontamination,
     "op5_toxicity": toxicity.op5_toxicity,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
+    "op7_suffix_dedup": repeats.op7_suffix_dedup,
     "op8_minhash": minhash.op8_minhash,
     "op9_token_files": token_files.op9_token_files,
     "op10_best_fit_packing": packing.op10_best_fit_packing,

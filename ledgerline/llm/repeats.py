@@ -18,14 +18,16 @@ unique yet:
 * Whole contexts: anchors whose owned strings all agree with another anchor's
   are settled by one count, so a passage that a third of all texts share costs
   one row a map task.
-* Round 400: the strings of the anchors still open, as pairs (rank of 200 bytes,
+* Round 385: strings of 16 neighbouring starts share 385 bytes, found at a fixed
+  place beside the anchor; where those are unique, all 16 are done.
+* Round 400: the strings still open, as pairs (rank of 200 bytes,
   rank of the 200 bytes after it); Spark finds pairs held by several contexts.
 
 Ranks are 64-bit hashes of the bytes (a rank is a name here, equal exactly if the
 bytes are, up to hash collisions; round 400 and the contexts use 128 bits).
 What is unique needs no exact set: each scan skips anchors by a bitmap of at
 most 2^``FILTER_BITS`` bits of the ranks still open; a fuller bitmap only lets
-more rows through. Texts are never shuffled before the last step.
+more rows through. Only texts that lose something are shuffled, in the last step.
 
 Defined cases: null and shorter texts lose nothing; matches never cross texts;
 rows that repeat a text count as other places; an empty table gives an empty
@@ -47,6 +49,7 @@ from ledgerline.llm.common import buffers, documents, mix64, saved, slices, text
 LENGTH = 400
 GRAM = 50
 FILTER_BITS = 27         # a bitmap of 16 MB at most
+CELL = 16                # neighbouring starts of round 385
 CONTEXT_MEMO = 200_000   # contexts a task remembers to have emitted
 _LETTER = mix64(np.arange(1, 257, dtype=np.uint64), 0x9E3779B97F4A7C15)
 _LETTER2 = mix64(np.arange(1, 257, dtype=np.uint64), 0x52DCE729DA3ED2A9)
@@ -226,47 +229,78 @@ def _side(tag: int):
 STRING = "w1 long, w2 long, c1 long, c2 long, d int"
 
 
-def _scan_strings(open_grams: Open, open_sides: Open):
-    """The strings of open contexts, one emission of a context in a task."""
+def _open_contexts(batches, open_grams: Open, open_sides: Open):
+    """For each buffer the open contexts, each once in a task: ranks, anchor, first and
+    last open start, rank of the context, and the texts' bounds."""
     half = LENGTH // 2
+    done: set[int] = set()
+    for data, offsets, *_ in _blocks(batches):
+        r = Ranks(data)
+        q, lo, hi = anchors(data, offsets, r, LENGTH, GRAM)
+        keep = open_grams.has(r.of(q, GRAM))
+        q, lo, hi = q[keep], lo[keep], hi[keep]
+        if not len(q):
+            continue
+        r2 = Ranks(data, 1)
+        c1, c2 = _context(r, r2, q, lo, hi)
+        right, left = (open_sides.has(x) for x in _sides(c1))
+        # a string at most ``half`` before its anchor needs the right side open, another one the left
+        first = np.where(right & ~left, np.maximum(lo, q - half), lo)
+        last = np.where(left & ~right, np.minimum(hi, q - half - 1), hi)
+        new = []
+        for k in np.flatnonzero((right | left) & (first <= last)).tolist():
+            c = int(c1[k])
+            if c not in done:
+                if len(done) >= CONTEXT_MEMO:
+                    done.clear()
+                done.add(c)
+                new.append(k)
+        if new:
+            new = np.array(new)
+            yield r, r2, q[new], first[new], last[new], c1[new], c2[new]
+
+
+def _expand(size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Owner and number within the owner, for ``size`` items of each."""
+    of = np.repeat(np.arange(len(size)), size)
+    return of, np.arange(len(of)) - np.repeat(np.cumsum(size) - size, size)
 
+
+def _cells(r: Ranks, q: np.ndarray, first: np.ndarray, last: np.ndarray):
+    """Cells of each context (owner, number), and the rank of the bytes all strings of a cell share."""
+    low, high = (q - last) // CELL, (q - first) // CELL
+    of, k = _expand(high - low + 1)
+    cell = low[of] + k
+    with np.errstate(over="ignore"):
+        return of, cell, r.of(q[of] - CELL * cell, LENGTH - CELL + 1) ^ mix64(cell.astype(np.uint64), 31)
+
+
+def _scan_cells(open_grams: Open, open_sides: Open):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        done: set[int] = set()
-        for data, offsets, *_ in _blocks(batches):
-            r = Ranks(data)
-            q, lo, hi = anchors(data, offsets, r, LENGTH, GRAM)
-            keep = open_grams.has(r.of(q, GRAM))
-            q, lo, hi = q[keep], lo[keep], hi[keep]
-            if not len(q):
-                continue
-            r2 = Ranks(data, 1)
-            c1, c2 = _context(r, r2, q, lo, hi)
-            right, left = (open_sides.has(x) for x in _sides(c1))
-            new = []
-            for k in np.flatnonzero(right | left).tolist():
-                c = int(c1[k])
-                if c not in done:
-                    if len(done) >= CONTEXT_MEMO:
-                        done.clear()
-                    done.add(c)
-                    new.append(k)
-            if not new:
-                continue
-            new = np.array(new)
-            # a string at most ``half`` before its anchor needs the right side open, another one the left
-            first = np.where(right[new] & ~left[new], np.maximum(lo[new], q[new] - half), lo[new])
-            last = np.where(left[new] & ~right[new], np.minimum(hi[new], q[new] - half - 1), hi[new])
-            some = first <= last
-            new, first, last = new[some], first[some], last[some]
-            if not len(new):
+        for r, _, q, first, last, c1, _ in _open_contexts(batches, open_grams, open_sides):
+            of, _, rank = _cells(r, q, first, last)
+            yield pa.RecordBatch.from_arrays([pa.array(rank.view(np.int64)), pa.array(c1[of].view(np.int64))], ["w", "c1"])
+
+    return run
+
+
+def _scan_strings(open_grams: Open, open_sides: Open, open_cells: Open):
+    half = LENGTH // 2
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for r, r2, q, first, last, c1, c2 in _open_contexts(batches, open_grams, open_sides):
+            of, cell, rank = _cells(r, q, first, last)
+            some = open_cells.has(rank)
+            of, cell = of[some], cell[some]
+            if not len(of):
                 continue
-            size = last - first + 1
-            of = np.repeat(np.arange(len(new)), size)
-            p = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + first[of]
+            top = np.minimum(q[of] - CELL * cell, last[of])                 # the cell's last start
+            low = np.maximum(q[of] - CELL * cell - (CELL - 1), first[of])   # and its first
+            at, k = _expand(top - low + 1)
+            p, of = low[at] + k, of[at]
             w = [mix64(x.of(p, half) ^ mix64(x.of(p + half, LENGTH - half), 23), 29) for x in (r, r2)]
-            d = (q[new][of] - p).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [*(pa.array(x.view(np.int64)) for x in (*w, c1[new][of], c2[new][of])), pa.array(d)],
+                [*(pa.array(x.view(np.int64)) for x in (*w, c1[of], c2[of])), pa.array((q[of] - p).astype(np.int32))],
                 ["w1", "w2", "c1", "c2", "d"])
 
     return run
@@ -295,6 +329,33 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
              pa.array(sha, pa.string())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
 
+def _only(some: Open):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            k = np.asarray(b.column("k1").to_numpy(zero_copy_only=False), np.int64).view(np.uint64)
+            yield b.filter(pa.array(some.has(k)))
+
+    return run
+
+
+def _whole(some: Open):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            k = np.asarray(b.column("k1").to_numpy(zero_copy_only=False), np.int64).view(np.uint64)
+            b = b.filter(pa.array(~some.has(k)))
+            raws = [t.encode("utf-8") for t in b.column("t").to_pylist()]
+            none = pa.array(np.zeros(len(raws), np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [b.column("doc_id"), pa.array([len(x) for x in raws], pa.int64()), none, none,
+                 pa.array([hashlib.sha256(x).hexdigest() for x in raws], pa.string())],
+                ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+
+    return run
+
+
+RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+
+
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """k1, k2 (the text's key) and spans: the byte ranges [start, stop) to remove."""
     t = text_of()
@@ -311,11 +372,16 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
                                                    F.first(F.col("q") - F.col("hi")).alias("d_min")), "contexts")
     sides = []
     for side, tag in (("r", 17), ("l", 19)):
-        twice = contexts.where(F.col(side) != 0).groupBy(side).count().where("count > 1").select(side)
+        twice = (contexts.where(F.col(side) != 0).groupBy(side).agg(F.count("*").alias("m"), F.min("n").alias("least"))
+                 .where("m > 1 AND least = 1").select(side))
         sides.append(contexts.join(twice, side, "left_semi").select("c1").mapInArrow(_side(tag), "h long"))
     open_sides = Open(saved(sides[0].unionByName(sides[1]), "sides"))
+    # round 385
+    cells = keyed.select("t").mapInArrow(_scan_cells(open_grams, open_sides), "w long, c1 long")
+    open_cells = Open(saved(cells.groupBy("w").agg(F.min("c1").alias("a"), F.max("c1").alias("b")).where("a <> b").select("w"),
+                            "cells"))
     # round 400
-    strings = saved(keyed.select("t").mapInArrow(_scan_strings(open_grams, open_sides), STRING), "strings")
+    strings = saved(keyed.select("t").mapInArrow(_scan_strings(open_grams, open_sides, open_cells), STRING), "strings")
     equal = strings.groupBy("w1", "w2").agg(F.min("c1").alias("a"), F.max("c1").alias("b")).where("a <> b").select("w1", "w2")
     partly = (strings.join(equal, ["w1", "w2"], "left_semi").groupBy("c1", "c2")
               .agg(F.min("d").alias("lo_d"), F.max("d").alias("hi_d")))
@@ -334,8 +400,12 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     t = text_of()
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), t.alias("t"), F.xxhash64(t).alias("k1"),
                        F.xxhash64(t, F.lit(42)).alias("k2"))
-    return (rows.join(spans, ["k1", "k2"], "left").select("doc_id", "t", "spans")
-            .mapInArrow(_cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"))
+    # only texts that lose something move; the bitmap may send a few others along
+    some = Open(spans.select("k1"))
+    cut = (rows.mapInArrow(_only(some), rows.schema).join(spans, ["k1", "k2"], "left").select("doc_id", "t", "spans")
+           .mapInArrow(_cut, RESULT))
+    whole = rows.select("doc_id", "t", "k1").mapInArrow(_whole(some), RESULT)
+    return whole.unionByName(cut)
 
 
 def op7_suffix_dedup(spark, sf_dir):

@@ -2,7 +2,8 @@
 
 A text is cut where the tokenizer's own rules never look across: at white
 space (word_bpe) or before a single space between two other characters
-(byte_bpe). Each cut piece is encoded once by the tokenizers library and kept,
+(byte_bpe), and around single full stops, commas and line breaks of plain
+texts, which leaves fewer different pieces. Each cut piece is encoded once by the tokenizers library and kept,
 as little-endian 32-bit ids, in a dictionary that is emptied at ``KEEP``
 entries. Texts with added-token strings or rare control spaces go to the
 library whole, so ids always equal the library's.
@@ -11,11 +12,10 @@ library whole, so ids always equal the library's.
 from __future__ import annotations
 
 import re
+import struct
 
-import numpy as np
-
-KEEP = 400_000   # pieces kept per worker
-LONGEST = 200    # longer pieces are encoded each time
+KEEP = 600_000   # pieces kept per worker
+LONGEST = 200    # longer pieces are not kept
 
 # Latin-1 letters and ASCII: one code point in lower case, unchanged by NFC
 _PLAIN = re.compile(r"[!-~À-ÖØ-Þß-öø-ÿ]+\Z")
@@ -23,6 +23,11 @@ _LOW_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z
 # for byte_bpe also single line breaks between such runs
 _GPT_PLAIN = re.compile(r" ?[!-~À-ÖØ-öø-ÿ]+(?:\n[!-~À-ÖØ-öø-ÿ]+)*\Z")
 _GPT_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[0-9]+| ?[^ \nA-Za-zÀ-ÖØ-öø-ÿ0-9]+|\n")
+# plain texts: ASCII and Latin-1 letters only
+_PLAIN_TEXT = re.compile(r"[\n -~À-ÖØ-öø-ÿ]*\Z")
+# a full stop or comma beside another mark belongs to a run of marks
+_RUN = re.compile(r"[.,][^\sA-Za-z0-9À-ÖØ-öø-ÿ]|[^\sA-Za-z0-9À-ÖØ-öø-ÿ][.,]")
+_GPT_RUN = re.compile(r"[.,\n][^\s\dA-Za-zÀ-ÖØ-öø-ÿ]|[^A-Za-z0-9À-ÖØ-öø-ÿ][.,]|[ \n][ \n]|^[ \n]|[ \n]\Z")
 _TWO_SPACES = re.compile(r"\s\s|^\s|\s\Z")
 _CONTROL_SPACE = re.compile("[\x1c-\x1f]")
 
@@ -45,6 +50,10 @@ def stand_ins(piece: str) -> str:
     return "".join([_BYTE[b] for b in piece.encode("utf-8")])
 
 
+def _ids(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class _Encoder:
     """Common parts; ``kind``: 'word' or 'byte'."""
 
@@ -55,25 +64,22 @@ class _Encoder:
         self.model = self.tok.model
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.cache: dict[str, bytes] = {}
-        self.small: dict[str, bytes] = {}
+        self.long: list[str] = []
 
     def whole(self, text: str) -> bytes:
-        return np.asarray(self.tok.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        return _ids(self.tok.encode(text, add_special_tokens=False).ids)
 
     def odd(self, text: str) -> bool:
         return any(s in text for s in self.special)
 
     def unit(self, piece: str) -> bytes:
         """Ids of one pre-token of plain characters, by the library's model."""
-        got = self.small.get(piece)
-        if got is None:
-            ids = [t.id for t in self.model.tokenize(stand_ins(piece))]
-            got = np.asarray(ids, dtype="<u4").tobytes()
-            if len(piece) <= LONGEST:
-                if len(self.small) >= KEEP:
-                    self.small.clear()
-                self.small[piece] = got
-        return got
+        word = piece[1:] if piece[0] == " " else piece
+        if word.isascii() and word.isalnum():
+            piece = piece.replace(" ", _BYTE[32])
+        else:
+            piece = stand_ins(piece)
+        return _ids([t.id for t in self.model.tokenize(piece)])
 
     def fill(self, pieces: set[str]) -> dict[str, bytes]:
         """The cache, with all of ``pieces`` in it."""
@@ -84,6 +90,8 @@ class _Encoder:
         cache, piece_of = self.cache, self.piece
         for p in missing:
             cache[p] = piece_of(p)
+            if len(p) > LONGEST:
+                self.long.append(p)
         return cache
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -91,8 +99,11 @@ class _Encoder:
         cut = [None if self.odd(t) else self.cut(t) for t in texts]
         cache = self.fill({p for c in cut if c is not None for p in c})
         out = [self.whole(t) if c is None else b"".join(map(cache.__getitem__, c)) for t, c in zip(texts, cut)]
-        if len(self.cache) > KEEP:  # one call's texts had more pieces than that
+        if len(cache) > KEEP:  # one call's texts had more pieces than that
             self.cache = {}
+        for p in self.long:
+            self.cache.pop(p, None)
+        self.long.clear()
         return out
 
 
@@ -103,9 +114,15 @@ class WordEncoder(_Encoder):
         return super().odd(text) or _CONTROL_SPACE.search(text) is not None
 
     def cut(self, text: str) -> list[str]:
+        if _PLAIN_TEXT.match(text):
+            text = text.lower()
+            if not _RUN.search(text):
+                text = text.replace(".", " . ").replace(",", " , ")
         return text.split()
 
     def piece(self, p: str) -> bytes:
+        if p.isascii() and p.isalpha():
+            return self.unit(p.lower())
         if _PLAIN.match(p):
             return b"".join([self.unit(x) for x in _LOW_PIECES.findall(p.lower())])
         return self.whole(p)
@@ -118,6 +135,9 @@ class ByteEncoder(_Encoder):
         return super().odd(text) or _CONTROL_SPACE.search(text) is not None
 
     def cut(self, text: str) -> list[str]:
+        if _PLAIN_TEXT.match(text) and not _GPT_RUN.search(text):
+            text = text.replace(" ", "\0 ").replace(".", "\0.\0").replace(",", "\0,\0").replace("\n", "\0\n\0")
+            return text.replace("\0\0", "\0").strip("\0").split("\0") if text else []
         if _TWO_SPACES.search(text):
             parts = re.split(r"(?<=\S)(?= \S)", text)
             return parts if text else []
@@ -125,6 +145,9 @@ class ByteEncoder(_Encoder):
         return [parts[0], *[" " + p for p in parts[1:]]] if text else []
 
     def piece(self, p: str) -> bytes:
+        word = p[1:] if p[0] == " " else p
+        if word.isascii() and word.isalpha():
+            return self.unit(p)
         if _GPT_PLAIN.match(p):
             return b"".join([self.unit(x) for x in _GPT_PIECES.findall(p)])
         return self.whole(p)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from ledgerline.llm import decontaminate, exact_dedup, minhash, packing, prefix_tokens, repeats, token_files, toxicity
+from ledgerline.llm import decontaminate, exact_dedup, minhash, packing, pii, prefix_tokens, repeats, secrets, token_files, toxicity
 
 QUERIES = {
+    "op1_personal_data": pii.op1_personal_data,
+    "op2_secret_scan": secrets.op2_secret_scan,
     "op3_token_counts": prefix_tokens.op3_token_counts,
     "op4_decontamination": decontaminate.op4_decontamination,
     "op5_toxicity": toxicity.op5_toxicity,

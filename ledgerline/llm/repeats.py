@@ -18,10 +18,14 @@ unique yet:
 * Whole contexts: anchors whose owned strings all agree with another anchor's
   are settled by one count, so a passage that a third of all texts share costs
   one row a map task.
-* Round 385: strings of 16 neighbouring starts share 385 bytes, found at a fixed
-  place beside the anchor; where those are unique, all 16 are done.
-* Round 400: the strings still open, as pairs (rank of 200 bytes,
-  rank of the 200 bytes after it); Spark finds pairs held by several contexts.
+* Round 393: strings of 8 neighbouring starts (a cell) share 393 bytes, found at
+  a fixed place beside the anchor; where those are unique, all 8 are done.
+* Round 400: what an anchor's repeated strings cover is one range, as they
+  overlap, so only its outermost open cells are looked at (and the same cells of
+  others, so that both sides of a match are there): their strings, as pairs
+  (rank of 200 bytes, rank of the 200 bytes after it); Spark finds the pairs that
+  several contexts hold. Anchors whose outermost cells hold no such string are
+  looked at once more, with all their cells.
 
 Ranks are 64-bit hashes of the bytes (a rank is a name here, equal exactly if the
 bytes are, up to hash collisions; round 400 and the contexts use 128 bits).
@@ -49,7 +53,7 @@ from ledgerline.llm.common import buffers, documents, mix64, saved, slices, text
 LENGTH = 400
 GRAM = 50
 FILTER_BITS = 27         # a bitmap of 16 MB at most
-CELL = 16                # neighbouring starts of round 385
+CELL = 8                 # neighbouring starts of round 393
 CONTEXT_MEMO = 200_000   # contexts a task remembers to have emitted
 _LETTER = mix64(np.arange(1, 257, dtype=np.uint64), 0x9E3779B97F4A7C15)
 _LETTER2 = mix64(np.arange(1, 257, dtype=np.uint64), 0x52DCE729DA3ED2A9)
@@ -126,11 +130,16 @@ def anchors(data: np.ndarray, offsets: np.ndarray, ranks: Ranks, length: int, gr
 
 
 # -- bitmaps of open ranks -----------------------------------------------------------------
+def _places(hashes: np.ndarray, bits: int) -> list[np.ndarray]:
+    """Three cells of a bitmap for each hash."""
+    return [x >> np.uint64(64 - bits) for x in (hashes, mix64(hashes, 37), mix64(hashes, 41))]
+
+
 def _mark(bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x = np.asarray(b.column(0).to_numpy(zero_copy_only=False), np.int64).view(np.uint64) >> np.uint64(64 - bits)
-            yield pa.RecordBatch.from_arrays([pa.array(np.unique(x).astype(np.int64) + 1)], ["cell"])
+            h = np.asarray(b.column(0).to_numpy(zero_copy_only=False), np.int64).view(np.uint64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(_places(h, bits))).astype(np.int64) + 1)], ["cell"])
 
     return run
 
@@ -140,7 +149,7 @@ class Open:
 
     def __init__(self, hashes: DataFrame):
         n = max(1, hashes.count())
-        self.bits = int(min(FILTER_BITS, max(10, np.ceil(np.log2(n)) + 5)))
+        self.bits = int(min(FILTER_BITS, max(10, np.ceil(np.log2(n)) + 6)))
         field = np.zeros(1 << self.bits, bool)
         # cells as bitmaps by slice of 2^15 cells, or'ed in Spark: at most 2^FILTER_BITS bits come back
         cell = hashes.toDF("h").mapInArrow(_mark(self.bits), "cell long").select(
@@ -151,8 +160,10 @@ class Open:
         self.field = np.packbits(field, bitorder="little")
 
     def has(self, hashes: np.ndarray) -> np.ndarray:
-        x = hashes >> np.uint64(64 - self.bits)
-        return (self.field[(x >> np.uint64(3)).astype(np.int64)] >> (x & np.uint64(7)).astype(np.uint8)) & 1 == 1
+        out = np.ones(len(hashes), bool)
+        for x in _places(hashes, self.bits):
+            out &= (self.field[(x >> np.uint64(3)).astype(np.int64)] >> (x & np.uint64(7)).astype(np.uint8)) & 1 == 1
+        return out
 
 
 # -- scans ------------------------------------------------------------------------------------
@@ -284,13 +295,39 @@ def _scan_cells(open_grams: Open, open_sides: Open):
     return run
 
 
-def _scan_strings(open_grams: Open, open_sides: Open, open_cells: Open):
+ENDS = "w long, c1 long, c2 long, low int, high int"
+
+
+def _scan_ends(open_grams: Open, open_sides: Open, open_cells: Open, only: Open | None = None):
+    """Ranks of the outermost open cells of each context, or of all open cells of the contexts in ``only``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for r, _, q, first, last, c1, c2 in _open_contexts(batches, open_grams, open_sides):
+            of, cell, rank = _cells(r, q, first, last)
+            some = open_cells.has(rank)
+            if only is not None:
+                some &= only.has(c1)[of]
+            of, cell, rank = of[some], cell[some], rank[some]
+            if not len(of):
+                continue
+            lead = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
+            tail = np.r_[lead[1:], len(of)] - 1
+            group = np.repeat(np.arange(len(lead)), tail - lead + 1)
+            pick = np.unique(np.r_[lead, tail]) if only is None else np.arange(len(of))
+            yield pa.RecordBatch.from_arrays(
+                [*(pa.array(x.view(np.int64)) for x in (rank[pick], c1[of[pick]], c2[of[pick]])),
+                 *(pa.array(cell[x[group[pick]]].astype(np.int32)) for x in (lead, tail))], ["w", "c1", "c2", "low", "high"])
+
+    return run
+
+
+def _scan_strings(open_grams: Open, open_sides: Open, wanted: Open):
+    """The strings of the wanted cells."""
     half = LENGTH // 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for r, r2, q, first, last, c1, c2 in _open_contexts(batches, open_grams, open_sides):
             of, cell, rank = _cells(r, q, first, last)
-            some = open_cells.has(rank)
+            some = wanted.has(rank)
             of, cell = of[some], cell[some]
             if not len(of):
                 continue
@@ -306,6 +343,14 @@ def _scan_strings(open_grams: Open, open_sides: Open, open_cells: Open):
     return run
 
 
+def _matches(keyed: DataFrame, open_grams: Open, open_sides: Open, wanted: DataFrame) -> DataFrame:
+    """c1, c2, lo_d, hi_d: outermost repeated strings in the cells of the ranks in ``wanted``."""
+    strings = saved(keyed.select("t").mapInArrow(_scan_strings(open_grams, open_sides, Open(wanted)), STRING), "strings")
+    equal = strings.groupBy("w1", "w2").agg(F.min("c1").alias("a"), F.max("c1").alias("b")).where("a <> b").select("w1", "w2")
+    return saved(strings.join(equal, ["w1", "w2"], "left_semi").groupBy("c1", "c2")
+                 .agg(F.min("d").alias("lo_d"), F.max("d").alias("hi_d")), "matches")
+
+
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         sizes, gone, runs, sha = [], [], [], []
@@ -376,15 +421,20 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
                  .where("m > 1 AND least = 1").select(side))
         sides.append(contexts.join(twice, side, "left_semi").select("c1").mapInArrow(_side(tag), "h long"))
     open_sides = Open(saved(sides[0].unionByName(sides[1]), "sides"))
-    # round 385
+    # round 393
     cells = keyed.select("t").mapInArrow(_scan_cells(open_grams, open_sides), "w long, c1 long")
     open_cells = Open(saved(cells.groupBy("w").agg(F.min("c1").alias("a"), F.max("c1").alias("b")).where("a <> b").select("w"),
                             "cells"))
     # round 400
-    strings = saved(keyed.select("t").mapInArrow(_scan_strings(open_grams, open_sides, open_cells), STRING), "strings")
-    equal = strings.groupBy("w1", "w2").agg(F.min("c1").alias("a"), F.max("c1").alias("b")).where("a <> b").select("w1", "w2")
-    partly = (strings.join(equal, ["w1", "w2"], "left_semi").groupBy("c1", "c2")
-              .agg(F.min("d").alias("lo_d"), F.max("d").alias("hi_d")))
+    ends = saved(keyed.select("t").mapInArrow(_scan_ends(open_grams, open_sides, open_cells), ENDS), "ends")
+    partly = _matches(keyed, open_grams, open_sides, ends.select("w"))
+    held = ends.groupBy("c1", "c2").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    unsettled = saved(held.join(partly, ["c1", "c2"], "left").where(
+        f"lo_d IS NULL OR floor(lo_d / {CELL}) <> low OR floor(hi_d / {CELL}) <> high").select("c1"), "unsettled")
+    if not unsettled.isEmpty():
+        again = saved(keyed.select("t").mapInArrow(_scan_ends(open_grams, open_sides, open_cells, Open(unsettled)), ENDS)
+                      .select("w").distinct(), "ends")
+        partly = partly.unionByName(_matches(keyed, open_grams, open_sides, again))
     # strings of one anchor overlap, so what goes around it is one range
     whole = contexts.where("n > 1").select("c1", "c2", F.col("d_min").alias("lo_d"), F.col("d_max").alias("hi_d"))
     ranges = (partly.unionByName(whole).groupBy("c1", "c2").agg(F.min("lo_d").alias("lo_d"), F.max("hi_d").alias("hi_d")))

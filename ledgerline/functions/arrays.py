@@ -24,7 +24,3 @@ def unwrap(c: Column) -> Column:
 def array_max_nulls_last(c: Column | str) -> Column:
     """Aggregate: greatest array under NULL-largest element order."""
     return unwrap(F.max(nulls_last_key(c)))
-
-
-def array_min_nulls_last(c: Column | str) -> Column:
-    return unwrap(F.min(nulls_last_key(c)))

@@ -79,8 +79,10 @@ class EnumType:
         """
         return self.value_at(F.max(self.checked_position(c, what)))
 
-    def min(self, c: Column | str, what: str | None = None) -> Column:
-        return self.value_at(F.min(self.checked_position(c, what)))
+    def max_known(self, c: Column | str) -> Column:
+        """Like :meth:`max`, with values outside the domain left out instead of an error."""
+        pos = self.position(c)
+        return self.value_at(F.max(F.when(pos > 0, pos)))
 
     def value_at(self, pos: Column) -> Column:
         """The value at a 1-based declaration position; NULL for NULL."""

@@ -41,6 +41,7 @@ SYNC_MAX_COLUMNS = tuple(c for c in SYNC_TARGET_COLUMNS
 _ANY_POSITIVE = "__any_positive"
 _N_UNJUDGED = "__n_unjudged"
 _N_ROWS = "__n_rows"
+_BAD = "__bad_"
 
 
 # O1 -----------------------------------------------------------------------
@@ -87,24 +88,20 @@ def collect_statuses(df: DataFrame, key: str, status: str,
     """The multiset of statuses per key, NULLs and duplicates kept.
 
     Returned as ``statuses: array<struct<status, n>>`` (one entry per distinct
-    status, NULL included) plus ``n_statuses`` and ``n_null_statuses``. A
-    status column is enumerated, so each array is bounded by the domain size
-    however many rows a key has; with a known domain it is a single reducible
-    aggregate, otherwise (key, status) counts are combined map-side first.
+    status, NULL included) plus ``n_statuses`` and ``n_null_statuses``. Counts
+    per (key, status) combine map-side, so an array is as long as a key has
+    different statuses, however many rows it has. With a ``domain`` the entries
+    stand in its order; values outside it follow, then NULL: none is dropped.
     """
-    values = domain.values if isinstance(domain, EnumType) else (tuple(domain) if domain else None)
-    s = F.col(status)
-    if values is not None:
-        counts = [F.count_if(s == v).alias(f"__n{i}") for i, v in enumerate(values)]
-        g = df.groupBy(key).agg(*counts, F.count_if(s.isNull()).alias("__nnull"), F.count(F.lit(1)).alias("n_statuses"))
-        entries = [F.struct(F.lit(v).cast("string").alias(status), F.col(f"__n{i}").alias("n"))
-                   for i, v in enumerate(values)]
-        entries.append(F.struct(F.lit(None).cast("string").alias(status), F.col("__nnull").alias("n")))
-        arr = F.filter(F.array(*entries), lambda e: e.getField("n") > 0)
-        return g.select(key, arr.alias("statuses"), "n_statuses", F.col("__nnull").alias("n_null_statuses"))
+    values = domain.values if isinstance(domain, EnumType) else tuple(domain or ())
+    place = F.when(F.col(status).isNull(), F.lit(len(values) + 1)).otherwise(F.lit(len(values)))
+    for i, v in reversed(list(enumerate(values))):
+        place = F.when(F.col(status) == F.lit(v), F.lit(i)).otherwise(place)
     per = df.groupBy(key, status).agg(F.count(F.lit(1)).alias("n"))
+    entry = F.struct(place.alias("place"), F.col(status), F.col("n"))
     return per.groupBy(key).agg(
-        F.collect_list(F.struct(F.col(status), F.col("n"))).alias("statuses"),
+        F.transform(F.array_sort(F.collect_list(entry)),
+                    lambda e: F.struct(e.getField(status).alias(status), e.getField("n").alias("n"))).alias("statuses"),
         F.sum("n").alias("n_statuses"),
         F.coalesce(F.sum(F.when(F.col(status).isNull(), F.col("n"))), F.lit(0)).alias("n_null_statuses"),
     )
@@ -221,9 +218,11 @@ def align_to(df: DataFrame, target_schema: T.StructType, strict: bool = True,
     Target columns missing from ``df`` take their declared default (field
     metadata ``default``, a Spark SQL expression) or NULL. A column of ``df``
     the target lacks is an error, as in an INSERT with a column list. With
-    ``enforce`` the target's declared constraints hold as in the database:
-    a value outside an enum domain, a NULL in a ``not_null`` column, or a
-    row failing a column's ``check`` (NULL passes) aborts the write.
+    ``enforce`` the target's declared constraints hold as in the database, for
+    given values and defaults alike: a value outside an enum domain, a NULL in
+    a ``not_null`` column, a text longer than the declared length (blanks at
+    its end are cut), or a row failing a column's ``check`` (NULL passes)
+    aborts the write.
     """
     have = set(df.columns)
     extra = [c for c in df.columns if c not in {f.name for f in target_schema.fields}]
@@ -235,18 +234,18 @@ def align_to(df: DataFrame, target_schema: T.StructType, strict: bool = True,
             c = F.col(f.name)
             if df.schema[f.name].dataType != f.dataType:
                 c = c.cast(f.dataType)
-            if enforce:
-                c = _enforce(c, f, df.schema[f.name])
         else:
             c = default_column(f)
-            if enforce and (f.metadata or {}).get(NOT_NULL_KEY):
-                c = _not_null(c, f.name)
         cols.append(c.alias(f.name, metadata=f.metadata or {}))
-    return df.select(*cols)
+    out = df.select(*cols)
+    if enforce:  # on the rows as they will stand, defaults included
+        out = out.select(*[_enforce(f).alias(f.name, metadata=f.metadata or {}) for f in target_schema.fields])
+    return out
 
 
 NOT_NULL_KEY = "not_null"
 CHECK_KEY = "check"
+LENGTH_KEY = "char_length"
 
 
 def _not_null(c: Column, name: str) -> Column:
@@ -254,11 +253,15 @@ def _not_null(c: Column, name: str) -> Column:
     return F.when(c.isNull(), F.raise_error(msg)).otherwise(c)
 
 
-def _enforce(c: Column, target: T.StructField, source: T.StructField) -> Column:
-    md = target.metadata or {}
+def _enforce(target: T.StructField) -> Column:
+    md, c = target.metadata or {}, F.col(target.name)
     e = enum_of(target)
     if e is not None:  # metadata on the input does not prove its values
         c = e.checked(c, target.name)
+    if md.get(LENGTH_KEY) and isinstance(target.dataType, T.StringType):
+        n = int(md[LENGTH_KEY])
+        long = F.raise_error(F.lit(f"value too long for {target.name}: at most {n} characters")).cast("string")
+        c = F.when(F.length(c) <= n, c).when(F.length(F.rtrim(c)) <= n, F.substring(c, 1, n)).when(c.isNotNull(), long)
     if md.get(NOT_NULL_KEY):
         c = _not_null(c, target.name)
     if md.get(CHECK_KEY):
@@ -273,38 +276,6 @@ def append_by_name(df: DataFrame, target: DataFrame) -> DataFrame:
 
 
 # O10 ----------------------------------------------------------------------
-def broadcast_limit(spark) -> int:
-    """``spark.sql.autoBroadcastJoinThreshold`` in bytes (-1: broadcasts disabled)."""
-    raw = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")).strip().lower()
-    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
-             "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40}
-    num = raw.rstrip("bkmgt")
-    unit = raw[len(num):] or "b"
-    try:
-        return int(float(num) * units.get(unit, 1))
-    except ValueError:
-        return -1
-
-
-# Per-key overhead assumed on top of the key's text bytes when bounding the
-# size of a broadcast hash relation of keys (row header, hash slot, pointer).
-KEY_OVERHEAD_BYTES = 48
-
-
-def key_set_bound(target: DataFrame, key: str) -> int:
-    """Upper bound, in bytes, of the target's non-NULL key set held in memory.
-
-    One aggregate over the key column only (column-pruned scan, partial
-    counts, no shuffle of rows): the number of keys -- repeats included, so
-    it bounds the distinct set -- and their length as text, which is at
-    least their binary size for numbers.
-    """
-    k = F.col(key)
-    r = target.agg(F.count(k).alias("n"), F.sum(F.octet_length(k.cast("string"))).alias("b")).first()
-    n, b = int(r["n"] or 0), int(r["b"] or 0)
-    return b + KEY_OVERHEAD_BYTES * n
-
-
 def sync_media_to_training(media: DataFrame, training: DataFrame, *, key: str = "imdb_id",
                            status: str = "rejection_status",
                            columns: Sequence[str] | None = SYNC_MAX_COLUMNS,
@@ -312,8 +283,7 @@ def sync_media_to_training(media: DataFrame, training: DataFrame, *, key: str =
                            stamps: Sequence[str] = ("created_at", "updated_at"),
                            enums: Mapping[str, EnumType] | None = None,
                            now: _dt.datetime | None = None,
-                           collation: str | None = None,
-                           prefilter: bool | str = "auto") -> DataFrame:
+                           collation: str | None = None) -> DataFrame:
     """New training rows: one per title not yet in ``training`` and judged.
 
     keyed_rows -> consolidate (MAX per column) + label state in the same
@@ -321,33 +291,28 @@ def sync_media_to_training(media: DataFrame, training: DataFrame, *, key: str =
     stamp_utc, in the target's column order. Existing target rows are never
     touched, so a second run over the same input yields nothing.
 
-    Where the anti-join runs is a size decision. With ``prefilter='auto'``
-    the target's key set is bounded first (:func:`key_set_bound`, one small
-    aggregate); if the bound is within ``spark.sql.autoBroadcastJoinThreshold``
-    the keys are broadcast and media rows of known titles are dropped before
-    the aggregate -- in steady state most titles are known, so the sort-based
-    aggregate and its shuffle only see new titles. Beyond the bound the
-    anti-join runs after the aggregate, sort-merge on the de-duplicated keys
-    (:func:`new_keys_only`). Both give the same rows: a title is kept or
-    dropped whole.
+    There is one plan whatever the sizes: an anti-join on the key, for which
+    Spark picks the join. An enumerated value outside its domain is carried
+    through the aggregate beside the maximum and raises only if its title is
+    one of the new rows, so where the join runs cannot change the outcome.
+    Every requested column must exist. Building the plan starts no job.
     """
     wanted = columns if columns is not None else [c for c in media.columns if c not in stamps]
-    cols = [c for c in wanted if c not in (key, status) and c in media.columns]
-    if prefilter == "auto":
-        limit = broadcast_limit(media.sparkSession)
-        prefilter = limit > 0 and key_set_bound(training, key) <= limit
-    keyed = keyed_rows(media, key)
-    if prefilter:
-        known = training.select(F.col(key).alias("__tkey")).where(F.col("__tkey").isNotNull())
-        keyed = keyed.join(F.broadcast(known), keyed[key] == known["__tkey"], "left_anti")
-    grouped = keyed.groupBy(key).agg(
-        *[max_of(media, c, enums, collation) for c in cols],
+    cols = [c for c in wanted if c not in (key, status)]
+    absent = [c for c in (key, status, *cols) if c not in media.columns]
+    if absent:
+        raise ValueError(f"columns not in media: {absent}")
+    domains = {c: (enums or {}).get(c) or enum_of(media.schema[c]) for c in cols}
+    domains = {c: e for c, e in domains.items() if e is not None}
+    grouped = keyed_rows(media, key).groupBy(key).agg(
+        *[domains[c].max_known(c).alias(c) if c in domains else max_of(media, c, enums, collation) for c in cols],
+        *[F.max(F.when(e.out_of_domain(c), F.col(c))).alias(_BAD + c) for c, e in domains.items()],
         *label_aggregates(status),
     )
     labelled = grouped.withColumn("label", label_from_aggregates()).drop(_ANY_POSITIVE, _N_UNJUDGED, _N_ROWS)
-    fresh = labelled_only(labelled)
-    if not prefilter:
-        fresh = new_keys_only(fresh, training, key)
+    fresh = new_keys_only(labelled_only(labelled), training, key)
+    fresh = fresh.withColumns({c: F.when(F.col(_BAD + c).isNull(), F.col(c)).otherwise(e.checked(_BAD + c, c))
+                               for c, e in domains.items()})
     if title and title in cols:
         fresh = fill_title(fresh, title)
     if stamps:

@@ -139,13 +139,16 @@ def table_stats(spark: SparkSession, tables: Mapping[str, str], fmt: str = "parq
     Counts are ordinary aggregates (Parquet answers them from row-group
     metadata); the tables are unioned into one job.
     """
+    return _stats(spark, {n: spark.read.format(fmt).load(p) if fs.exists(spark, p) else None for n, p in tables.items()})
+
+
+def _stats(spark: SparkSession, tables: Mapping[str, DataFrame | None]) -> DataFrame:
     parts = []
     missing = []
-    for name, path in tables.items():
-        if fs.exists(spark, path):
-            parts.append(spark.read.format(fmt).load(path).agg(
-                F.lit(name).alias("table_name"), F.lit(True).alias("table_exists"),
-                F.count(F.lit(1)).alias("row_count")))
+    for name, df in tables.items():
+        if df is not None:
+            parts.append(df.agg(F.lit(name).alias("table_name"), F.lit(True).alias("table_exists"),
+                                F.count(F.lit(1)).alias("row_count")))
         else:
             missing.append((name, False, None))
     out = None
@@ -160,7 +163,7 @@ def table_stats(spark: SparkSession, tables: Mapping[str, str], fmt: str = "parq
 
 
 def store_table_stats(store, schema: str, tables: Iterable[str]) -> DataFrame:
-    return table_stats(store.spark, {t: store.path(schema, t) for t in tables}, store.fmt)
+    return _stats(store.spark, {t: store.read(schema, t) if store.exists(schema, t) else None for t in tables})
 
 
 # O31 ----------------------------------------------------------------------

@@ -1,15 +1,16 @@
 """Typed, dated snapshots of a table.
 
-Layout in the store's backup schema (default ``bak``), one dataset per kind,
-partitioned by the snapshot day::
+Layout in the store's backup schema (default ``bak``), one folder a day::
 
-    bak/<schema>_<table>/snapshot_date=YYYYMMDD/                 the rows
-    bak/<schema>_<table>_metadata/snapshot_date=YYYYMMDD/        one row
-    bak/<schema>_<table>_column_mapping/snapshot_date=YYYYMMDD/  one row per column
+    bak/<schema>_<table>/snapshot_date=YYYYMMDD/v-<id>/data      the rows
+                                                      /metadata  one row
+                                                      /mapping   one row per column
+    bak/<schema>_<table>/snapshot_date=YYYYMMDD/_log/<n>.json    names the folder in force
 
 Each day's rows keep their own schema (snapshots of different schema ages
-sit side by side). The mapping is written last: a day without a mapping is
-an incomplete snapshot and is never restored.
+sit side by side). All three parts are written to a new folder first; the small
+log file, written last, makes them the day's snapshot at once. A backup that
+fails leaves the day as it was.
 """
 
 from __future__ import annotations
@@ -25,12 +26,13 @@ from ledgerline.functions.enums import EnumType, enum_columns, with_enum, withou
 from ledgerline.functions.rows import literal_rows
 from ledgerline.functions.time import yyyymmdd
 from ledgerline.sources import fs
-from ledgerline.sources.store import TableNotFound, TableStore
+from ledgerline.sources.store import ConcurrentWrite, TableNotFound, TableStore
 
 BACKUP_SCHEMA = "bak"
 PARTITION = "snapshot_date"
 TEXT_TYPE = "string"
 
+# fixed values: column names of the mapping and metadata tables
 MAPPING_SCHEMA = T.StructType([
     T.StructField("source_column_name", T.StringType()),
     T.StructField("bak_column_name", T.StringType()),
@@ -99,18 +101,6 @@ class SnapshotNames:
     def base(self) -> str:
         return f"{self.schema}_{self.table}"
 
-    @property
-    def data(self) -> str:
-        return self.base
-
-    @property
-    def metadata(self) -> str:
-        return f"{self.base}_metadata"
-
-    @property
-    def mapping(self) -> str:
-        return f"{self.base}_column_mapping"
-
     @property
     def dated(self) -> str:
         """The dated name of the snapshot, ``<schema>_<table>_<YYYYMMDD>``."""
@@ -129,8 +119,15 @@ def snapshot_names(schema: str, table: str, date: str | _dt.date | None = None,
     return SnapshotNames(schema, table, d, backup_schema)
 
 
-def snapshot_path(store: TableStore, names: SnapshotNames, kind: str = "data") -> str:
-    return f"{store.path(names.backup_schema, getattr(names, kind))}/{names.partition}"
+def day_path(store: TableStore, names: SnapshotNames) -> str:
+    return f"{store.path(names.backup_schema, names.base)}/{names.partition}"
+
+
+def snapshot_path(store: TableStore, names: SnapshotNames, kind: str = "data") -> str | None:
+    """Folder of one part of the snapshot in force; None if the day has none."""
+    day = day_path(store, names)
+    head = store.head(day)
+    return f"{day}/{head.folders[0]}/{kind}" if head.folders else None
 
 
 # O16 ----------------------------------------------------------------------
@@ -153,14 +150,13 @@ def backup_table(store, schema: str, table: str, date: str | _dt.date | None = N
     ``store`` holds the live table (a :class:`TableStore` or a
     :class:`~ledgerline.sources.jdbc.JdbcTableStore`); the snapshot goes to
     ``backup_store`` (default: the same store), which must be file-based.
-    ``enums`` declares enumerated columns a source cannot describe itself
-    (e.g. a database read over JDBC). Order of writes: drop the day's mapping
-    (the day is now incomplete), swap in the rows, write metadata, write the
-    mapping last.
+    ``enums`` declares enumerated columns a source does not describe itself.
+    Rows, metadata and mapping are published together; the snapshot they
+    replace is deleted last.
     """
     bs = backup_store or store
     if not store.exists(schema, table):
-        raise TableNotFound(f"Table {schema}.{table} does not exist")
+        raise TableNotFound(f"no table {schema}.{table} to back up")
     names = snapshot_names(schema, table, date, backup_schema)
     spark = bs.spark
     bs.create_schema(backup_schema)
@@ -168,12 +164,16 @@ def backup_table(store, schema: str, table: str, date: str | _dt.date | None = N
     for c, e in (enums or {}).items():
         src = with_enum(src, c, e)
     snap, converted = snapshot(src)
-    fs.delete(spark, snapshot_path(bs, names, "mapping"))
-    rows = bs.write_path(snap, snapshot_path(bs, names, "data"), observe=True)
+    path, folder = day_path(bs, names), bs.new_folder()
+    head = bs.head(path)
+    rows = bs._save(snap, f"{path}/{folder}/data", True)
     day = _dt.date(int(names.date[:4]), int(names.date[4:6]), int(names.date[6:]))
     meta = backup_metadata(spark, day, schema, table, names.dated, created_at)
-    bs.write_path(meta.coalesce(1), snapshot_path(bs, names, "metadata"))
-    bs.write_path(column_mapping(spark, src.schema).coalesce(1), snapshot_path(bs, names, "mapping"))
+    bs._save(meta.coalesce(1), f"{path}/{folder}/metadata", False)
+    bs._save(column_mapping(spark, src.schema).coalesce(1), f"{path}/{folder}/mapping", False)
+    if not bs.publish(path, head, (folder,), None):
+        raise ConcurrentWrite(f"another backup of {schema}.{table} for {names.date} was published meanwhile")
+    bs.vacuum(path)
     return BackupResult(f"{schema}.{table}", f"{backup_schema}.{names.dated}", names.date, rows or 0,
                         converted)
 
@@ -182,21 +182,18 @@ def backup_table(store, schema: str, table: str, date: str | _dt.date | None = N
 def backup_all(store, tables: Iterable[str] = ("media", "prediction", "training"),
                schema: str = "atp", date: str | _dt.date | None = None,
                backup_schema: str = BACKUP_SCHEMA, backup_store: TableStore | None = None) -> DataFrame:
-    """Back up each table independently; one failure does not stop the others."""
-    from ledgerline.plans.report import ActionResult, run_report
+    """Back up the tables side by side; one failure does not stop the others."""
+    from ledgerline.plans.report import ActionResult, run_each
+
+    def one(t: str) -> ActionResult:
+        r = backup_table(store, schema, t, date, backup_schema, backup_store=backup_store)
+        return ActionResult("backup", f"{schema}.{t}", "success", r.rows, None, r.backup_table)
 
-    results = []
-    for t in tables:
-        try:
-            r = backup_table(store, schema, t, date, backup_schema, backup_store=backup_store)
-            results.append(ActionResult("backup", f"{schema}.{t}", "success", r.rows, None, r.backup_table))
-        except Exception as e:  # noqa: BLE001 -- batch entry point: report, do not raise
-            results.append(ActionResult("backup", f"{schema}.{t}", "failed", None, f"{type(e).__name__}: {e}", None))
-    return run_report(store.spark, results)
+    return run_each(store.spark, "backup", schema, tables, one)
 
 
 def read_snapshot(store: TableStore, names: SnapshotNames, kind: str = "data") -> DataFrame:
     path = snapshot_path(store, names, kind)
-    if not fs.exists(store.spark, path):
+    if path is None or not fs.exists(store.spark, path):
         raise TableNotFound(f"{kind} of snapshot {names.backup_schema}.{names.dated} does not exist")
     return store.spark.read.format(store.fmt).load(path)

@@ -48,13 +48,14 @@ def backup_job(store, tables: Sequence[str] = TABLES, schema: str = LIVE_SCHEMA,
 
 
 def reload_job(store, tables: Sequence[str] = TABLES, schema: str = LIVE_SCHEMA,
-               date: str | None = None, backup_store: TableStore | None = None) -> DataFrame:
-    return R.reload_all(store, tables, schema, date, backup_store=backup_store)
+               date: str | None = None, backup_store: TableStore | None = None,
+               on_conflict: str | None = None, key: Sequence[str] | None = None) -> DataFrame:
+    return R.reload_all(store, tables, schema, date, backup_store=backup_store, on_conflict=on_conflict, key=key)
 
 
 def review_job(store: TableStore, schema: str = LIVE_SCHEMA, table: str = "training",
                column: str = "reviewed", value: bool = True) -> DataFrame:
-    """Set the review flag on every training row (staged rewrite of the table)."""
+    """Set the review flag on every training row (a rewrite of the table)."""
     try:
         rows = store.rewrite(schema, table, lambda df: L.set_flag_all(df, column, value))
         res = ActionResult("review", f"{schema}.{table}", "success", rows, None, f"{schema}.{table}")
@@ -63,18 +64,32 @@ def review_job(store: TableStore, schema: str = LIVE_SCHEMA, table: str = "train
     return run_report(store.spark, [res])
 
 
+def jdbc_partitions(texts: Sequence[str], schema: str) -> dict[str, dict[str, str]]:
+    """``table:column:lower:upper:n`` to Spark's JDBC read options by table."""
+    out = {}
+    for text in texts:
+        table, column, lower, upper, n = text.split(":")
+        out[f"{schema}.{table}"] = {"partitionColumn": column, "lowerBound": lower, "upperBound": upper, "numPartitions": n}
+    return out
+
+
 def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -> list[dict]:
     p = argparse.ArgumentParser(prog="ledgerline.plans.jobs")
     p.add_argument("--root", required=True, help="table store root (any Hadoop file system URI)")
     p.add_argument("--schema", default=LIVE_SCHEMA)
     p.add_argument("--live-jdbc", action="store_true",
                    help="live tables in PostgreSQL (PG* environment variables); snapshots under --root")
+    p.add_argument("--partition", action="append", default=[], metavar="TABLE:COLUMN:LOWER:UPPER:N",
+                   help="read a database table in N tasks over a numeric or date column")
     sub = p.add_subparsers(dest="job", required=True)
     sub.add_parser("sync")
     for name in ("backup", "reload"):
         sp = sub.add_parser(name)
         sp.add_argument("--tables", default=",".join(TABLES))
         sp.add_argument("--date", default=None)
+        if name == "reload":
+            sp.add_argument("--on-conflict", default=None, choices=("error", "append"))
+            sp.add_argument("--key", default=None, help="key columns, comma-separated (default: the declared primary key)")
     rv = sub.add_parser("review")
     rv.add_argument("--table", default="training")
     rv.add_argument("--column", default="reviewed")
@@ -86,7 +101,7 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
     if a.live_jdbc:
         from ledgerline.sources.jdbc import JdbcTableStore
 
-        store = JdbcTableStore.from_env(spark)
+        store = JdbcTableStore.from_env(spark, partitions=jdbc_partitions(a.partition, a.schema))
     else:
         store = files
     if a.job == "sync":
@@ -94,7 +109,8 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
     elif a.job == "backup":
         rep = backup_job(store, a.tables.split(","), a.schema, a.date, files)
     elif a.job == "reload":
-        rep = reload_job(store, a.tables.split(","), a.schema, a.date, files)
+        rep = reload_job(store, a.tables.split(","), a.schema, a.date, files, a.on_conflict,
+                         a.key.split(",") if a.key else None)
     else:
         rep = review_job(store, a.schema, a.table, a.column, a.value == "true")
     rows = [r.asDict() for r in rep.collect()]  # one row per table: a small report

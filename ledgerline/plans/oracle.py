@@ -25,39 +25,34 @@ media AS (
 FLAG_RANK = "CASE l_returnflag WHEN 'R' THEN 1 WHEN 'A' THEN 2 WHEN 'N' THEN 3 END"
 FLAG_OF_RANK = "CASE {r} WHEN 1 THEN 'R' WHEN 2 THEN 'A' WHEN 3 THEN 'N' END"
 
-GROUPED_MEDIA = f"""
-grouped AS (
-    SELECT title_key,
-        array_agg(status) AS statuses,
-        max(title) AS title, max(l_partkey) AS l_partkey, max(l_suppkey) AS l_suppkey,
-        max(l_linenumber) AS l_linenumber, max(l_quantity) AS l_quantity,
-        max(l_extendedprice) AS l_extendedprice, max(l_discount) AS l_discount, max(l_tax) AS l_tax,
-        {FLAG_OF_RANK.format(r=f"max({FLAG_RANK})")} AS l_returnflag,
-        max(l_linestatus) AS l_linestatus, max(l_shipdate) AS l_shipdate,
-        max(tags) AS tags
-    FROM media
-    WHERE title_key IS NOT NULL
-    GROUP BY title_key
+# The rule in terms of counts: any favoured row; else nothing but rows without a verdict; else the rest.
+JUDGED = """
+tally AS (
+    SELECT title_key AS k, count(*) AS n,
+           count(*) FILTER (status IN ('accepted', 'override')) AS favoured,
+           count(*) FILTER (status = 'unfiltered') AS open
+    FROM media WHERE title_key IS NOT NULL GROUP BY ALL
 ),
-processed AS (
-    SELECT *,
-        CASE WHEN 'accepted' = ANY(statuses) OR 'override' = ANY(statuses) THEN 'would_watch'
-             WHEN 'unfiltered' = ALL(statuses) THEN NULL
-             ELSE 'would_not_watch' END AS label
-    FROM grouped
+judged AS (
+    SELECT k, if(favoured > 0, 'would_watch', 'would_not_watch') AS label
+    FROM tally WHERE favoured > 0 OR open < n
 )"""
 
 TAGS_TEXT = "array_to_string(list_transform({c}, lambda x: coalesce(x, '~')), '|')"
 
 SYNC_NEW_ROWS = f"""
 WITH {MEDIA_CTE},
-{GROUPED_MEDIA}
-SELECT p.title_key, p.label, coalesce(p.title, '') AS title, p.l_partkey, p.l_suppkey,
-       p.l_linenumber, p.l_quantity, p.l_extendedprice, p.l_discount, p.l_tax,
-       p.l_returnflag, p.l_linestatus, p.l_shipdate, {TAGS_TEXT.format(c="p.tags")} AS tags
-FROM processed p
-LEFT JOIN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F') t ON p.title_key = t.o_orderkey
-WHERE p.label IS NOT NULL AND t.o_orderkey IS NULL
+{JUDGED}
+SELECT m.title_key, any_value(j.label) AS label, coalesce(max(m.title), '') AS title,
+       max(m.l_partkey) AS l_partkey, max(m.l_suppkey) AS l_suppkey, max(m.l_linenumber) AS l_linenumber,
+       max(m.l_quantity) AS l_quantity, max(m.l_extendedprice) AS l_extendedprice,
+       max(m.l_discount) AS l_discount, max(m.l_tax) AS l_tax,
+       {FLAG_OF_RANK.format(r=f"max({FLAG_RANK})")} AS l_returnflag,
+       max(m.l_linestatus) AS l_linestatus, max(m.l_shipdate) AS l_shipdate,
+       {TAGS_TEXT.format(c="max(m.tags)")} AS tags
+FROM media m JOIN judged j ON m.title_key = j.k
+WHERE NOT EXISTS (FROM orders WHERE o_orderstatus = 'F' AND o_orderkey = m.title_key)
+GROUP BY m.title_key
 """
 
 ORACLE = {
@@ -121,26 +116,26 @@ SELECT p_brand,
 FROM part WHERE p_brand IS NOT NULL GROUP BY p_brand
 """,
     "collect_statuses": f"""
-WITH {MEDIA_CTE}
-SELECT title_key,
-       CAST(len(array_agg(status)) AS BIGINT) AS n_statuses,
-       CAST(len(list_filter(array_agg(status), lambda x: x IS NULL)) AS BIGINT) AS n_null_statuses,
-       CAST(count(DISTINCT status) + CASE WHEN count(status) < count(*) THEN 1 ELSE 0 END AS INTEGER)
-           AS n_distinct_statuses
-FROM media WHERE title_key IS NOT NULL GROUP BY title_key
+WITH {MEDIA_CTE},
+each AS (SELECT title_key, status, count(*) AS n FROM media WHERE title_key IS NOT NULL GROUP BY ALL)
+SELECT title_key, CAST(sum(n) AS BIGINT) AS n_statuses,
+       CAST(coalesce(sum(n) FILTER (status IS NULL), 0) AS BIGINT) AS n_null_statuses,
+       string_agg(coalesce(status, '~') || '=' || n, '|' ORDER BY coalesce(status, '~') || '=' || n) AS statuses
+FROM each GROUP BY title_key
 """,
     "derive_label": f"""
 WITH {MEDIA_CTE},
-{GROUPED_MEDIA}
-SELECT title_key, label FROM processed
+{JUDGED}
+SELECT DISTINCT title_key, (SELECT label FROM judged WHERE k = title_key) AS label
+FROM media WHERE title_key IS NOT NULL
 """,
     "new_keys_only": """
 SELECT * FROM orders o WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)
 """,
     "labelled_only": f"""
 WITH {MEDIA_CTE},
-{GROUPED_MEDIA}
-SELECT title_key, label FROM processed WHERE label IS NOT NULL
+{JUDGED}
+SELECT k AS title_key, label FROM judged
 """,
     "fill_title": f"""
 WITH {MEDIA_CTE}
@@ -148,10 +143,10 @@ SELECT title_key, l_partkey, l_linenumber, coalesce(title, '') AS title FROM med
 """,
     "stamp_utc": f"""
 WITH {MEDIA_CTE},
-{GROUPED_MEDIA}
-SELECT title_key, label, TIMESTAMP '2025-01-01 00:00:00' AS created_at,
+{JUDGED}
+SELECT k AS title_key, label, TIMESTAMP '2025-01-01 00:00:00' AS created_at,
        TIMESTAMP '2025-01-01 00:00:00' AS updated_at
-FROM processed WHERE label IS NOT NULL
+FROM judged
 """,
     "append_by_name": f"""
 SELECT {ORDERS_COLS}, false AS reviewed FROM orders WHERE o_orderstatus = 'F'
@@ -161,6 +156,20 @@ FROM orders WHERE o_orderstatus IS DISTINCT FROM 'F'
 """,
     "set_flag_all": "SELECT *, true AS reviewed FROM orders",
     "snapshot_copy": "SELECT * FROM orders",
+    "snapshot_mapping": """
+SELECT column_name AS source_column_name, column_name AS bak_column_name,
+       CASE column_name WHEN 'o_orderpriority' THEN 'order_priority' WHEN 'o_orderstatus' THEN 'order_status' ELSE t END
+           AS source_data_type,
+       t AS bak_data_type,
+       CASE column_name WHEN 'o_orderpriority' THEN 'order_priority' WHEN 'o_orderstatus' THEN 'order_status' END AS enum_name
+FROM (SELECT column_name, CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double'
+             WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(column_type) END AS t FROM (DESCRIBE orders))
+""",
+    "snapshot_metadata": """
+SELECT DATE '2025-01-01' AS backup_date, 'atp' AS source_schema, 'orders' AS source_table,
+       'atp_orders_20250101' AS backup_table, TIMESTAMP '2025-01-01 00:00:00' AS created_at, count(*) AS snapshot_rows
+FROM orders
+""",
     "latest_snapshot": """
 WITH s AS (SELECT *, strftime(o_orderdate, '%Y%m01') AS snapshot_date FROM orders)
 SELECT * FROM s WHERE snapshot_date = (SELECT max(snapshot_date) FROM s)
@@ -171,28 +180,33 @@ SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate, o_orderpriority, CAST(
 FROM orders
 """,
     "reload_round_trip": """
-SELECT count(*) AS rows_before, count(*) AS rows_after, CAST(0 AS BIGINT) AS lost,
-       CAST(0 AS BIGINT) AS added, count(*) AS rows_inserted
-FROM orders
+WITH o AS (SELECT o_orderkey % 7 <> 0 AS stays, o_custkey % 11 = 0 AS twice FROM orders)
+SELECT 'restored' AS compared, count(*) AS rows_before, count(*) AS rows_after, CAST(0 AS BIGINT) AS lost,
+       CAST(0 AS BIGINT) AS added, count(*) AS rows_inserted FROM o
+UNION ALL
+SELECT 'changed', count(*), count(*) FILTER (stays) + count(*) FILTER (twice),
+       count(*) FILTER (NOT stays AND NOT twice), count(*) FILTER (stays AND twice), count(*) FROM o
+UNION ALL
+SELECT 'by key', count(*), count(*) FILTER (stays OR twice), count(*) FILTER (NOT stays AND NOT twice), 0, count(*) FROM o
 """,
     "check_violations": "\nUNION ALL\n".join(_rules_sql("lineitem", LINEITEM_RULES_SQL)
                                           + _rules_sql("part", PART_RULES_SQL)),
-    "key_violations": """
-WITH k AS (SELECT l_orderkey, count(*) AS n FROM lineitem WHERE l_orderkey IS NOT NULL
-           GROUP BY l_orderkey HAVING count(*) > 1)
-SELECT 'duplicate_key' AS check_name, 'l_orderkey' AS column_name, count(*) AS violations FROM k
-UNION ALL SELECT 'duplicate_row', 'l_orderkey', CAST(coalesce(sum(n - 1), 0) AS BIGINT) FROM k
-UNION ALL SELECT 'not_null', 'l_orderkey', count(*) FILTER (WHERE l_orderkey IS NULL) FROM lineitem
-UNION ALL SELECT 'not_null', 'l_partkey', count(*) FILTER (WHERE l_partkey IS NULL) FROM lineitem
-UNION ALL SELECT 'not_null', 'l_suppkey', count(*) FILTER (WHERE l_suppkey IS NULL) FROM lineitem
-UNION ALL SELECT 'not_null', 'l_shipdate', count(*) FILTER (WHERE l_shipdate IS NULL) FROM lineitem
+    "key_violations": f"""
+WITH {MEDIA_CTE},
+k AS (SELECT title_key, count(*) AS n FROM media WHERE title_key IS NOT NULL GROUP BY ALL HAVING count(*) > 1)
+SELECT 'duplicate_key' AS check_name, 'title_key' AS column_name, count(*) AS violations FROM k
+UNION ALL SELECT 'duplicate_row', 'title_key', CAST(coalesce(sum(n - 1), 0) AS BIGINT) FROM k
+UNION ALL SELECT 'not_null', 'title_key', count(*) FILTER (WHERE title_key IS NULL) FROM media
+UNION ALL SELECT 'not_null', 'title', count(*) FILTER (WHERE title IS NULL) FROM media
+UNION ALL SELECT 'not_null', 'status', count(*) FILTER (WHERE status IS NULL) FROM media
+UNION ALL SELECT 'not_null', 'l_shipdate', count(*) FILTER (WHERE l_shipdate IS NULL) FROM media
 UNION ALL SELECT 'enum_domain', 'l_returnflag',
-    count(*) FILTER (WHERE l_returnflag IS NOT NULL AND l_returnflag NOT IN ('R', 'A', 'N')) FROM lineitem
+    count(*) FILTER (WHERE l_returnflag IS NOT NULL AND l_returnflag NOT IN ('R', 'A')) FROM media
 UNION ALL SELECT 'enum_domain', 'l_linestatus',
-    count(*) FILTER (WHERE l_linestatus IS NOT NULL AND l_linestatus NOT IN ('O', 'F')) FROM lineitem
+    count(*) FILTER (WHERE l_linestatus IS NOT NULL AND l_linestatus NOT IN ('O', 'F')) FROM media
 """,
     "apply_defaults": """
-SELECT *, 'ingested' AS status, false AS error_status, CAST(1 AS INTEGER) AS weight,
+SELECT * REPLACE (if(value >= 5, value, NULL) AS value), 'ingested' AS status, false AS error_status, CAST(1 AS INTEGER) AS weight,
        CAST(NULL AS VARCHAR) AS note
 FROM events
 """,
@@ -211,14 +225,18 @@ GROUP BY ALL
 
 
 ORACLE["backup_reload_all"] = """
-SELECT 'backup' AS action, 'atp.orders' AS source, 'success' AS status, count(*) AS rows,
-       CAST(NULL AS VARCHAR) AS error, 'bak.atp_orders_20250101' AS target FROM orders
-UNION ALL SELECT 'backup', 'atp.customer', 'success', count(*), NULL, 'bak.atp_customer_20250101' FROM customer
-UNION ALL SELECT 'backup', 'atp.part', 'success', count(*), NULL, 'bak.atp_part_20250101' FROM part
-UNION ALL SELECT 'backup', 'atp.absent', 'failed', NULL, 'TableNotFound: Table atp.absent does not exist', NULL
-UNION ALL SELECT 'reload', 'bak.atp_orders_20250101', 'success', count(*), NULL, 'atp.orders' FROM orders
-UNION ALL SELECT 'reload', 'bak.atp_customer_20250101', 'success', count(*), NULL, 'atp.customer' FROM customer
-UNION ALL SELECT 'reload', 'bak.atp_part_20250101', 'success', count(*), NULL, 'atp.part' FROM part
-UNION ALL SELECT 'reload', 'atp.absent', 'failed', NULL,
-    'SnapshotNotFound: No backup tables found for atp.absent in schema bak', NULL
+WITH t AS (
+    SELECT 'orders' AS name, count(*) AS rows FROM orders
+    UNION ALL SELECT 'customer', count(*) FROM customer
+    UNION ALL SELECT 'part', count(*) FROM part
+)
+SELECT 'backup' AS action, 'atp.' || name AS source, 'success' AS status, rows, CAST(NULL AS VARCHAR) AS error,
+       'bak.atp_' || name || '_20250101' AS target, CAST(NULL AS VARCHAR) AS skipped FROM t
+UNION ALL
+SELECT 'reload', 'bak.atp_' || name || '_20250101', 'success', rows, NULL, 'atp.' || name,
+       CASE name WHEN 'part' THEN 'p_size: the target has no such column' END FROM t
+UNION ALL
+SELECT 'backup', 'atp.absent', 'failed', NULL, 'TableNotFound: no table atp.absent to back up', NULL, NULL
+UNION ALL
+SELECT 'reload', 'atp.absent', 'failed', NULL, 'SnapshotNotFound: bak holds no snapshot of atp.absent', NULL, NULL
 """

@@ -37,17 +37,12 @@ def build_session(master: str | None = None, app: str = "ledgerline",
 
 
 def apply_session_defaults(spark: SparkSession) -> None:
-    """Runtime SQL settings the operators rely on (time zone, AQE)."""
+    """Runtime SQL settings the operators rely on (time zone, AQE); raises where one cannot be set."""
     for k in ("spark.sql.session.timeZone", "spark.sql.adaptive.enabled",
               "spark.sql.adaptive.skewJoin.enabled",
               "spark.sql.sources.partitionColumnTypeInference.enabled"):
-        try:
+        if spark.conf.get(k, None) != DEFAULT_CONF[k]:
             spark.conf.set(k, DEFAULT_CONF[k])
-        except Exception:  # a static or locked setting: leave the cluster's value
-            pass
-
-
-_LOCAL_ROOT: str | None = None
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -58,7 +53,6 @@ def checkpoint_root(spark: SparkSession) -> str:
     folder is made and registered as the checkpoint dir, so later calls agree;
     on a cluster an unset checkpoint dir is an error, never a local folder.
     """
-    global _LOCAL_ROOT
     d = spark.conf.get("spark.checkpoint.dir", None)
     try:
         sc = spark.sparkContext
@@ -72,8 +66,7 @@ def checkpoint_root(spark: SparkSession) -> str:
             raise RuntimeError("spark.checkpoint.dir is not set: a cluster needs a shared folder "
                                "for checkpoints and scratch tables")
         if sc is None:
-            _LOCAL_ROOT = _LOCAL_ROOT or tempfile.mkdtemp(prefix="ledgerline-ckpt-")
-            return _LOCAL_ROOT
+            raise RuntimeError("spark.checkpoint.dir is not set: a client folder is of no use to the server")
         d = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
         sc.setCheckpointDir(d)
         d = sc.getCheckpointDir() or d
@@ -82,7 +75,23 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 def scratch_dir(spark: SparkSession, tag: str = "scratch") -> str:
     """A fresh, unused folder under the shared checkpoint root."""
-    return f"{checkpoint_root(spark)}/ledgerline/{tag}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_root(spark)}/ledgerline/{tag}-{uuid.uuid4().hex}"
+    _SCRATCH.append(path)
+    return path
+
+
+_SCRATCH: list[str] = []
+
+
+def clean_scratch(spark: SparkSession) -> int:
+    """Delete the scratch folders this process has handed out; call it once the
+    results that read them are no longer needed."""
+    from ledgerline.sources import fs
+
+    n = 0
+    while _SCRATCH:
+        n += fs.delete(spark, _SCRATCH.pop())
+    return n
 
 
 def env_int(name: str, default: int) -> int:

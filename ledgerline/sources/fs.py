@@ -1,10 +1,10 @@
 """File-system calls through the session's Hadoop configuration.
 
-Listing, renaming and deleting go through the same Hadoop ``FileSystem`` the
-Parquet reader and writer use, so the store works on HDFS, object stores and
-local disks alike. These are metadata calls on the driver; no data passes
-through them. A session without a JVM gateway (Spark Connect) falls back to
-``pyarrow.fs`` with the same semantics.
+Listing, deleting and the small pointer files go through the same Hadoop
+``FileSystem`` the Parquet reader and writer use, so the store works on HDFS,
+object stores and local disks alike. These are metadata calls on the driver; no
+data passes through them, and nothing is renamed. They need a session with a
+JVM (not Spark Connect).
 """
 
 from __future__ import annotations
@@ -12,119 +12,65 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
-def _jvm(spark: SparkSession):
-    try:
-        sc = spark.sparkContext
-        return sc._jvm, sc._jsc.hadoopConfiguration()
-    except Exception:  # Spark Connect: no JVM on this side
-        return None, None
-
-
 def _fs(spark: SparkSession, path: str):
-    jvm, conf = _jvm(spark)
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(conf), p
-
-
-def _arrow(path: str):
-    from pyarrow import fs as pafs
-
-    return pafs.FileSystem.from_uri(path)
+    sc = spark.sparkContext  # Spark Connect raises here
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(sc._jsc.hadoopConfiguration()), p
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    if _jvm(spark)[0] is None:
-        from pyarrow import fs as pafs
-
-        afs, p = _arrow(path)
-        return afs.get_file_info(p).type != pafs.FileType.NotFound
     fs, p = _fs(spark, path)
     return bool(fs.exists(p))
 
 
-def list_dirs(spark: SparkSession, path: str) -> list[str]:
-    """Names of the sub-directories of ``path`` (empty if it does not exist)."""
-    if _jvm(spark)[0] is None:
-        from pyarrow import fs as pafs
-
-        if not exists(spark, path):
-            return []
-        afs, p = _arrow(path)
-        infos = afs.get_file_info(pafs.FileSelector(p))
-        return sorted(i.base_name for i in infos if i.type == pafs.FileType.Directory)
+def _names(spark: SparkSession, path: str, dirs: bool) -> list[str]:
     fs, p = _fs(spark, path)
     if not fs.exists(p):
         return []
-    return sorted(st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory())
+    return sorted(st.getPath().getName() for st in fs.listStatus(p) if bool(st.isDirectory()) == dirs)
 
 
-def delete(spark: SparkSession, path: str) -> bool:
-    if _jvm(spark)[0] is None:
-        from pyarrow import fs as pafs
+def list_dirs(spark: SparkSession, path: str) -> list[str]:
+    """Names of the sub-directories of ``path`` (empty if it does not exist)."""
+    return _names(spark, path, True)
 
-        afs, p = _arrow(path)
-        t = afs.get_file_info(p).type
-        if t == pafs.FileType.NotFound:
-            return False
-        afs.delete_dir(p) if t == pafs.FileType.Directory else afs.delete_file(p)
-        return True
+
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    return _names(spark, path, False)
+
+
+def delete(spark: SparkSession, path: str) -> bool:
     fs, p = _fs(spark, path)
     return bool(fs.delete(p, True)) if fs.exists(p) else False
 
 
 def mkdirs(spark: SparkSession, path: str) -> None:
-    if _jvm(spark)[0] is None:
-        afs, p = _arrow(path)
-        afs.create_dir(p, recursive=True)
-        return
     fs, p = _fs(spark, path)
     fs.mkdirs(p)
 
 
-def rename(spark: SparkSession, src: str, dst: str) -> None:
-    if _jvm(spark)[0] is None:
-        afs, s_ = _arrow(src)
-        _, d_ = _arrow(dst)
-        parent = d_.rsplit("/", 1)[0]
-        if parent:
-            afs.create_dir(parent, recursive=True)
-        afs.move(s_, d_)
-        return
-    fs, s = _fs(spark, src)
-    d = _jvm(spark)[0].org.apache.hadoop.fs.Path(dst)
-    parent = d.getParent()
-    if parent is not None and not fs.exists(parent):
-        fs.mkdirs(parent)
-    if not fs.rename(s, d):
-        raise OSError(f"rename failed: {src} -> {dst}")
-
-
-def recover(spark: SparkSession, live: str) -> None:
-    """Finish an interrupted :func:`swap_in`: if ``live`` is gone but the copy
-    moved aside is still there, move it back (the staged copy is left)."""
-    aside = f"{live}.__replaced"
-    if not exists(spark, live) and exists(spark, aside):
-        rename(spark, aside, live)
-
-
-def swap_in(spark: SparkSession, staged: str, live: str) -> None:
-    """Make ``staged`` the content of ``live``.
-
-    The old directory is renamed aside before the new one is renamed in and
-    only deleted afterwards, so a failure leaves either the old or the new
-    data in place (and the aside copy recoverable), never a half-written one.
-    """
-    aside = f"{live}.__replaced"
-    recover(spark, live)
-    delete(spark, aside)
-    had_old = exists(spark, live)
-    if had_old:
-        rename(spark, live, aside)
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small new file; False if another writer has created it already."""
+    fs, p = _fs(spark, path)
+    if fs.exists(p):
+        return False
     try:
-        rename(spark, staged, live)
-    except Exception:
-        if had_old:
-            rename(spark, aside, live)
+        stream = fs.create(p, False)
+    except Exception as e:
+        if "AlreadyExists" in str(e) or fs.exists(p):
+            return False
         raise
-    if had_old:
-        delete(spark, aside)
+    try:
+        stream.write(bytearray(text.encode("utf-8")))
+    finally:
+        stream.close()
+    return True

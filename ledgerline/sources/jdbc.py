@@ -1,10 +1,11 @@
 """Live tables in a relational database, through Spark's built-in JDBC source.
 
-The same read/write/append/rewrite surface as :class:`TableStore`, so the
-label sync and the batch jobs can run against tables kept in a database,
-while snapshots go to a file store (``backup_store=``). Nothing here is
-database-specific beyond the URL and the catalog query for table existence
-(``information_schema.tables``, which PostgreSQL and most databases have).
+The same read and append surface as :class:`TableStore`, so the label sync,
+backups and reloads can run against tables kept in a PostgreSQL database, while
+snapshots go to a file store (``backup_store=``). Enumerated types come from the
+database's catalog. Replacing a whole table is refused. Written against the
+documented options and catalogs, and tested with a stub reader: no database
+has been reached.
 
 Scale: a JDBC read is one task unless the table has a numeric or date
 ``partitionColumn`` with bounds (``partitions=``); give one for large tables.
@@ -21,9 +22,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.functions.rows import empty_frame
+from ledgerline.functions.enums import EnumType, with_enum
 from ledgerline.sources.store import TableNotFound
 
+# TRUNCATE followed by INSERT would leave an empty table if the second fails.
+_NO_REPLACE = "replacing a database table is not one transaction over JDBC; do it in the database"
+
 
 class JdbcTableStore:
     fmt = "jdbc"
@@ -81,18 +85,36 @@ class JdbcTableStore:
         return f"{schema}.{table}"
 
     def exists(self, schema: str, table: str) -> bool:
-        return self._reader(query=self._catalog_query(schema, table)).count() > 0
+        return self._reader(query=self._catalog_query(schema, table)).load().count() > 0
 
     def tables(self, schema: str) -> list[str]:
         # Catalog-sized: one row per table.
-        return sorted(r[0] for r in self._reader(query=self._catalog_query(schema)).collect())
+        return sorted(r[0] for r in self._reader(query=self._catalog_query(schema)).load().collect())
+
+    def enums(self, schema: str, table: str) -> dict[str, EnumType]:
+        """Enumerated columns from the database's catalog, labels in declaration order."""
+        rows = self._reader(query=self._enum_query(schema, table)).load().collect()  # one row per label
+        types: dict[str, tuple[str, list]] = {}
+        for r in rows:
+            types.setdefault(r["column_name"], (r["type_name"], []))[1].append((r["place"], r["label"]))
+        return {c: EnumType(name, tuple(v for _, v in sorted(labels))) for c, (name, labels) in types.items()}
+
+    def _enum_query(self, schema: str, table: str) -> str:
+        return ("SELECT a.attname AS column_name, t.typname AS type_name, e.enumsortorder AS place, e.enumlabel AS label "
+                "FROM pg_attribute a JOIN pg_type t ON t.oid = a.atttypid JOIN pg_enum e ON e.enumtypid = t.oid "
+                "JOIN pg_class c ON c.oid = a.attrelid JOIN pg_namespace n ON n.oid = c.relnamespace "
+                f"WHERE n.nspname = {self._quote(schema)} AND c.relname = {self._quote(table)} AND a.attnum > 0")
 
     # -- reads ---------------------------------------------------------------------
     def read(self, schema: str, table: str) -> DataFrame:
         if not self.exists(schema, table):
             raise TableNotFound(f"table {schema}.{table} does not exist")
-        return self._reader(dbtable=self.path(schema, table),
-                            **self.partitions.get(self.path(schema, table), {})).load()
+        df = self._reader(dbtable=self.path(schema, table),
+                          **self.partitions.get(self.path(schema, table), {})).load()
+        for c, e in self.enums(schema, table).items():  # a plain text column to Spark
+            if c in df.columns:
+                df = with_enum(df, c, e)
+        return df
 
     def schema_of(self, schema: str, table: str) -> T.StructType:
         return self.read(schema, table).schema
@@ -103,9 +125,7 @@ class JdbcTableStore:
         if observe:
             obs = Observation(f"rows-{uuid.uuid4().hex}")
             df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-        # truncate keeps the table's definition (types, enums, keys, defaults)
-        df.write.format("jdbc").options(**self.options(dbtable=self.path(schema, table),
-                                                       truncate="true")).mode(mode).save()
+        df.write.format("jdbc").options(**self.options(dbtable=self.path(schema, table))).mode(mode).save()
         return int(obs.get["rows"]) if obs is not None else None
 
     def append(self, df: DataFrame, schema: str, table: str, observe: bool = True) -> int | None:
@@ -115,26 +135,14 @@ class JdbcTableStore:
         target = self.schema_of(schema, table)
         return self._write(align_to(df, target), schema, table, "append", observe)
 
-    def write(self, df: DataFrame, schema: str, table: str, mode: str = "overwrite",
-              observe: bool = False) -> int | None:
-        """Replace the rows of an existing table (TRUNCATE + INSERT)."""
-        return self._write(df, schema, table, "overwrite", observe)
+    def write(self, df: DataFrame, schema: str, table: str, mode: str = "overwrite", observe: bool = False) -> int | None:
+        raise NotImplementedError(_NO_REPLACE)
 
     def rewrite(self, schema: str, table: str, fn: Callable[[DataFrame], DataFrame]) -> int:
-        """Replace a table by a function of itself.
-
-        The new rows are checkpointed to the shared checkpoint folder first,
-        so the truncate cannot race the read of the old rows.
-        """
-        from ledgerline.session import checkpoint_root
-
-        checkpoint_root(self.spark)
-        staged = fn(self.read(schema, table)).checkpoint(eager=True)
-        return self._write(staged, schema, table, "overwrite", True) or 0
+        raise NotImplementedError(_NO_REPLACE)
 
     def truncate(self, schema: str, table: str) -> None:
-        self._write(empty_frame(self.spark, self.schema_of(schema, table)), schema, table,
-                    "overwrite", False)
+        raise NotImplementedError(_NO_REPLACE)
 
     def create_schema(self, schema: str) -> None:
         raise NotImplementedError("schemas of a database are created by its administrator")

@@ -24,6 +24,7 @@ DEFAULT_KEY = "default"
 CHECK_KEY = "check"
 LENGTH_KEY = "char_length"
 NOT_NULL_KEY = "not_null"
+PRIMARY_KEY = "primary_key"
 
 # fixed values: database type names and their Spark types
 _SIMPLE_TYPES = {
@@ -108,6 +109,7 @@ def schema_from_spec(spec: Mapping[str, Any], table: str, schema_key: str | None
         cons = [x.upper() for x in c.get("constraints", [])]
         if "PRIMARY KEY" in cons:
             pk.append(c["name"])
+            md[PRIMARY_KEY] = True
         not_null = "NOT NULL" in cons or "PRIMARY KEY" in cons
         if not_null:
             nn.append(c["name"])
@@ -134,13 +136,9 @@ def _first_schema_with(spec: Mapping[str, Any], table: str) -> Mapping[str, Any]
     raise KeyError(table)
 
 
-def enums_from_spec(spec: Mapping[str, Any]) -> dict[str, EnumType]:
-    out = {}
-    for v in spec.values():
-        if isinstance(v, Mapping):
-            for e in v.get("enums", []):
-                out[e["name"]] = EnumType(e["name"], tuple(e["values"]))
-    return out
+# fixed values: texts a database reads as booleans
+_TRUTH = {"true": True, "t": True, "yes": True, "on": True, "1": True,
+          "false": False, "f": False, "no": False, "off": False, "0": False}
 
 
 # O26 ----------------------------------------------------------------------
@@ -162,6 +160,10 @@ def _convert(value: Any, dtype: T.DataType) -> Any:
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
         return float(value)
     if isinstance(dtype, T.BooleanType):
+        if isinstance(value, str):
+            if value.strip().lower() not in _TRUTH:
+                raise ValueError(f"not a boolean: {value!r}")
+            return _TRUTH[value.strip().lower()]
         return bool(value)
     return value
 

@@ -1,15 +1,24 @@
 """A table store of Parquet directories: ``<root>/<schema>/<table>/``.
 
 It stands in for the source's database schemas (a live schema and a backup
-schema). Reads and writes are ordinary ``spark.read`` / ``df.write`` jobs;
-replacing a table writes a staged copy next to it and swaps it in, because
-Spark cannot overwrite a path it is reading from. Field metadata (enum
-domains, defaults) travels in the Parquet footer.
+schema). Reads and writes are ordinary ``spark.read`` / ``df.write`` jobs.
+
+Every write goes to a new folder ``v-<id>`` and becomes visible with one small
+file, written last: ``_log/<number>.json`` lists the folders that make up the
+table and its schema (with field metadata: enum domains, defaults, constraints).
+A reader takes the file of the highest number; nothing is ever renamed, so it
+sees a state before or after a write, never between, and a failed or lost
+write leaves only a folder that no file names. A writer whose number was taken
+meanwhile does not overwrite the other's work: an append is published again on
+top of it, a replacement made from an older state raises
+:class:`ConcurrentWrite`. :meth:`TableStore.vacuum` removes what is not named.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
+from dataclasses import dataclass
 from typing import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -19,11 +28,27 @@ from pyspark.sql import types as T
 from ledgerline.functions.rows import empty_frame
 from ledgerline.sources import fs
 
+LOG = "_log"
+RETRIES = 20
+
 
 class TableNotFound(LookupError):
     """A table the operation needs does not exist."""
 
 
+class ConcurrentWrite(RuntimeError):
+    """Another writer has published the table since it was read."""
+
+
+@dataclass(frozen=True)
+class Head:
+    """The published state of a folder: 0 and nothing before the first write."""
+
+    number: int
+    folders: tuple[str, ...] = ()
+    schema: T.StructType | None = None
+
+
 class TableStore:
     def __init__(self, spark: SparkSession, root: str, fmt: str = "parquet"):
         self.spark = spark
@@ -35,16 +60,13 @@ class TableStore:
         return f"{self.root}/{schema}/{table}"
 
     def exists(self, schema: str, table: str) -> bool:
-        path = self.path(schema, table)
-        fs.recover(self.spark, path)  # a replace interrupted by a lost driver
-        return fs.exists(self.spark, path)
+        return self.head(self.path(schema, table)).number > 0
 
     def schema_exists(self, schema: str) -> bool:
         return fs.exists(self.spark, f"{self.root}/{schema}")
 
     def tables(self, schema: str) -> list[str]:
-        return [t for t in fs.list_dirs(self.spark, f"{self.root}/{schema}")
-                if not t.startswith(("_", ".")) and "__" not in t]
+        return [t for t in fs.list_dirs(self.spark, f"{self.root}/{schema}") if self.exists(schema, t)]
 
     def create_schema(self, schema: str) -> None:
         fs.mkdirs(self.spark, f"{self.root}/{schema}")
@@ -53,35 +75,85 @@ class TableStore:
         """Drop a schema and every table in it (``DROP SCHEMA ... CASCADE``)."""
         return fs.delete(self.spark, f"{self.root}/{schema}")
 
+    # -- publishing ------------------------------------------------------------
+    def head(self, path: str) -> Head:
+        """The state that readers see."""
+        names = [n for n in fs.list_files(self.spark, f"{path}/{LOG}") if n.endswith(".json") and n[:-5].isdigit()]
+        for name in sorted(names, key=lambda n: int(n[:-5]), reverse=True):
+            text = fs.read_text(self.spark, f"{path}/{LOG}/{name}")
+            if text.endswith("\n"):  # a file still being written is not published yet
+                entry = json.loads(text)
+                struct = T.StructType.fromJson(entry["schema"]) if entry["schema"] else None
+                return Head(int(name[:-5]), tuple(entry["folders"]), struct)
+        return Head(0)
+
+    def publish(self, path: str, after: Head, folders: tuple[str, ...], struct: T.StructType | None) -> bool:
+        """Make ``folders`` the content of ``path``, if ``after`` is still its state."""
+        entry = {"folders": list(folders), "schema": json.loads(struct.json()) if struct is not None else None}
+        return fs.create_text(self.spark, f"{path}/{LOG}/{after.number + 1:010d}.json", json.dumps(entry) + "\n")
+
+    def new_folder(self) -> str:
+        return f"v-{uuid.uuid4().hex}"
+
+    def vacuum(self, path: str) -> int:
+        """Delete folders and log files that the published state does not need. Not while others write."""
+        head, gone = self.head(path), 0
+        for d in fs.list_dirs(self.spark, path):
+            if d.startswith("v-") and d not in head.folders:
+                gone += fs.delete(self.spark, f"{path}/{d}")
+        for n in fs.list_files(self.spark, f"{path}/{LOG}"):
+            if n.endswith(".json") and n[:-5].isdigit() and int(n[:-5]) < head.number:
+                fs.delete(self.spark, f"{path}/{LOG}/{n}")
+        return gone
+
     # -- reads ---------------------------------------------------------------
     def read(self, schema: str, table: str) -> DataFrame:
-        if not self.exists(schema, table):
+        return self._load(self.path(schema, table), self._head_of(schema, table))
+
+    def _head_of(self, schema: str, table: str) -> Head:
+        head = self.head(self.path(schema, table))
+        if not head.number:
             raise TableNotFound(f"table {schema}.{table} does not exist")
-        return self.spark.read.format(self.fmt).load(self.path(schema, table))
+        return head
+
+    def _load(self, path: str, head: Head) -> DataFrame:
+        if not head.folders:
+            return empty_frame(self.spark, head.schema)
+        df = self.spark.read.format(self.fmt).schema(head.schema).load([f"{path}/{d}" for d in head.folders])
+        for f in head.schema.fields:
+            if f.metadata and df.schema[f.name].metadata != f.metadata:
+                df = df.withMetadata(f.name, f.metadata)
+        return df
 
     def schema_of(self, schema: str, table: str) -> T.StructType:
-        return self.read(schema, table).schema
+        return self._head_of(schema, table).schema
 
     # -- writes --------------------------------------------------------------
-    def write_path(self, df: DataFrame, live: str, observe: bool = False) -> int | None:
-        """Write ``df`` to a staged path and swap it in at ``live``."""
-        staged = f"{live}.__staged-{uuid.uuid4().hex}"
+    def _save(self, df: DataFrame, path: str, observe: bool) -> int | None:
         obs = None
         if observe:
             obs = Observation(f"rows-{uuid.uuid4().hex}")
             df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-        df.write.format(self.fmt).mode("errorifexists").save(staged)
-        fs.swap_in(self.spark, staged, live)
+        df.write.format(self.fmt).mode("errorifexists").save(path)
         return int(obs.get["rows"]) if obs is not None else None
 
+    def _replace(self, df: DataFrame, path: str, after: Head, observe: bool, what: str) -> int | None:
+        folder = self.new_folder()
+        rows = self._save(df, f"{path}/{folder}", observe)
+        if not self.publish(path, after, (folder,), _nullable(df.schema)):
+            raise ConcurrentWrite(f"{what} was changed by another writer")
+        return rows
+
     def write(self, df: DataFrame, schema: str, table: str, mode: str = "overwrite",
               observe: bool = False) -> int | None:
         """Create or replace a table (``mode='error'`` refuses to replace)."""
         if mode not in ("overwrite", "error", "errorifexists"):
             raise ValueError(mode)
-        if mode != "overwrite" and self.exists(schema, table):
+        path = self.path(schema, table)
+        head = self.head(path)
+        if mode != "overwrite" and head.number:
             raise FileExistsError(f"table {schema}.{table} exists")
-        return self.write_path(df, self.path(schema, table), observe)
+        return self._replace(df, path, head, observe, f"{schema}.{table}")
 
     def create(self, schema: str, table: str, struct: T.StructType, if_not_exists: bool = False) -> bool:
         """An empty table with a declared schema (field metadata kept).
@@ -89,40 +161,51 @@ class TableStore:
         Replaces an existing table, unless ``if_not_exists`` (then an existing
         table and its rows are kept). Returns whether a table was created.
         """
-        if if_not_exists and self.exists(schema, table):
+        path = self.path(schema, table)
+        head = self.head(path)
+        if if_not_exists and head.number:
             return False
-        self.write(empty_frame(self.spark, struct), schema, table)
+        if not self.publish(path, head, (), struct):
+            raise ConcurrentWrite(f"{schema}.{table} was changed by another writer")
         return True
 
-    def append(self, df: DataFrame, schema: str, table: str, observe: bool = True) -> int | None:
+    def append(self, df: DataFrame, schema: str, table: str, observe: bool = True,
+               after: Head | None = None) -> int | None:
         """Append rows by column name; returns the number appended.
 
         Rows are aligned to the table's schema first (an INSERT with a column
         list): target columns the rows lack take their declared default or
-        NULL, types are cast, and field metadata is carried, so every file
-        of the table has the same schema. A column the table lacks is an
-        error. The count comes from an Observation on the write itself.
+        NULL, types are cast, constraints hold, and a column the table lacks is
+        an error. All rows become visible at once. With ``after`` the table
+        must still be in that state (what was checked against it holds).
         """
         from ledgerline.operators.labels import align_to
 
-        if not self.exists(schema, table):
-            raise TableNotFound(f"table {schema}.{table} does not exist")
-        df = align_to(df, self.schema_of(schema, table))
-        obs = None
-        if observe:
-            obs = Observation(f"rows-{uuid.uuid4().hex}")
-            df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-        df.write.format(self.fmt).mode("append").save(self.path(schema, table))
-        return int(obs.get["rows"]) if obs is not None else None
+        path, head = self.path(schema, table), after or self._head_of(schema, table)
+        df = align_to(df, head.schema)
+        folder = self.new_folder()
+        rows = self._save(df, f"{path}/{folder}", observe)
+        for _ in range(RETRIES):
+            if self.publish(path, head, (*head.folders, folder), head.schema):
+                return rows
+            now = self._head_of(schema, table)
+            if after is not None or now.schema != head.schema:
+                break
+            head = now
+        raise ConcurrentWrite(f"{schema}.{table} was changed by another writer")
 
     def rewrite(self, schema: str, table: str, fn: Callable[[DataFrame], DataFrame]) -> int:
-        """Replace a table by a function of itself (stage, then swap)."""
-        out = fn(self.read(schema, table))
-        return self.write_path(out, self.path(schema, table), observe=True)
+        """Replace a table by a function of itself; raises if it was changed meanwhile."""
+        path, head = self.path(schema, table), self._head_of(schema, table)
+        return self._replace(fn(self._load(path, head)), path, head, True, f"{schema}.{table}") or 0
 
     def drop(self, schema: str, table: str) -> bool:
         return fs.delete(self.spark, self.path(schema, table))
 
     def truncate(self, schema: str, table: str) -> None:
-        struct = self.schema_of(schema, table)
-        self.write(empty_frame(self.spark, struct), schema, table)
+        self.create(schema, table, self.schema_of(schema, table))
+
+
+def _nullable(struct: T.StructType) -> T.StructType:
+    """The schema as files give it back."""
+    return T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in struct.fields])

@@ -99,8 +99,8 @@ def test_sync_over_samples_inserts_two_then_nothing(spark, store):
     store.create("atp", "training", L.sync_target_schema(media.schema))
     assert L.sync_into(store) == 2
     rows = store.read("atp", "training").collect()
-    assert sorted((r.imdb_id, r.label) for r in rows) == [("tt1234567", "would_watch"),
-                                                          ("tt5555555", "would_watch")]
+    assert sorted((r.imdb_id, r.label) for r in rows) == [("tt7000011", "would_watch"),
+                                                          ("tt7000033", "would_watch")]
     assert all(r.reviewed is False for r in rows)
     assert len({r.created_at for r in rows}) == 1 and rows[0].created_at == rows[0].updated_at
     assert L.sync_into(store) == 0
@@ -112,7 +112,7 @@ def test_sync_consolidates_many_rows_per_title(spark):
     recs[0].update(rejection_status="rejected", media_title=None, budget=7)
     recs[1].update(media_title=None, tmdb_id=None, budget=None)
     recs[2].update(media_type="tv_season", media_title=None)
-    recs[3].update(media_type="tv_show", media_title=None, genre=["Horror", None])
+    recs[3].update(media_type="tv_show", media_title=None, genre=["Western", None])
     training = media_df(spark).select("imdb_id").limit(0)
     out = L.sync_media_to_training(media_df(spark, recs), training,
                                    now=dt.datetime(2025, 1, 2, 3, 4, 5)).collect()
@@ -121,8 +121,8 @@ def test_sync_consolidates_many_rows_per_title(spark):
     assert r.label == "would_not_watch"
     assert r.media_title == ""              # all NULL -> filled
     assert r.media_type == "tv_season"      # enum order
-    assert r.budget == 7 and r.tmdb_id == 98765
-    assert r.genre == ["Horror", None]      # NULL element largest
+    assert r.budget == 7 and r.tmdb_id == 7022
+    assert r.genre == ["Western", None]      # NULL element largest
     assert r.created_at == dt.datetime(2025, 1, 2, 3, 4, 5)
 
 
@@ -195,39 +195,63 @@ def test_array_without_null_elements_uses_plain_max(spark):
     assert "transform" not in out._jdf.queryExecution().executedPlan().toString()
 
 
-def test_prefilter_and_post_filter_give_the_same_rows(spark):
-    media = media_df(spark)
-    known = media.where("imdb_id = 'tt1234567'").select("imdb_id")
-    a = L.sync_media_to_training(media, known, prefilter=True, stamps=()).collect()
-    b = L.sync_media_to_training(media, known, prefilter=False, stamps=()).collect()
-    assert sorted(a) == sorted(b) and [r.imdb_id for r in a] == ["tt5555555"]
-
-
-def test_prefilter_is_chosen_by_a_size_bound(spark):
-    media = media_df(spark)
-    known = media.select("imdb_id")
-    assert L.key_set_bound(known, "imdb_id") == 3 * (9 + L.KEY_OVERHEAD_BYTES)
-
-    def plan(df):
-        return df._jdf.queryExecution().executedPlan().toString()
-
-    small = plan(L.sync_media_to_training(media, known, stamps=()))
-    assert "BroadcastHashJoin" in small and small.index("LeftAnti") > small.index("SortAggregate")
+def _with_threshold(spark, value, fn):
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     try:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-        big = plan(L.sync_media_to_training(media, known, stamps=()))
-        assert "SortMergeJoin" in big and "LeftAnti" in big
-        assert big.index("LeftAnti") < big.index("SortAggregate")  # anti-join above the aggregate
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", value)
+        return fn()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
-def test_broadcast_limit_parsing(spark):
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+@pytest.mark.parametrize("threshold", ["-1", "16", "1g"])
+def test_sync_outcome_does_not_depend_on_sizes(spark, threshold):
+    """A bad enum value on a known or unjudged title never matters; on a new one it always raises."""
+    rows = [("known", "film", "accepted"), ("open", "film", "unfiltered"), ("new", "movie", "accepted")]
+    media = with_enum(spark.createDataFrame(rows, "k string, mt string, s string"), "mt", MEDIA_TYPE)
+    training = spark.createDataFrame([("known",)], "k string")
+
+    def sync(df):
+        return L.sync_media_to_training(df, training, key="k", status="s", columns=["mt"], title=None, stamps=()).collect()
+
+    assert _with_threshold(spark, threshold, lambda: [tuple(r) for r in sync(media)]) == [("new", "would_watch", "movie")]
+    bad = with_enum(media.unionByName(spark.createDataFrame([("new", "reel", "accepted")], media.schema)), "mt", MEDIA_TYPE)
+    with pytest.raises(Exception, match="invalid input value for enum media_type"):
+        _with_threshold(spark, threshold, lambda: sync(bad))
+
+
+def test_sync_plan_starts_no_job_and_columns_must_exist(spark):
+    media = media_df(spark)
+    sc = spark.sparkContext
+    sc.setJobGroup("plan-only", "")
     try:
-        for raw, want in (("10485760", 10485760), ("10MB", 10 << 20), ("512k", 512 << 10), ("-1", -1)):
-            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", raw)
-            assert L.broadcast_limit(spark) == want
+        L.sync_media_to_training(media, media.select("imdb_id"))
+        assert not sc.statusTracker().getJobIdsForGroup("plan-only")
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    with pytest.raises(ValueError, match="titel"):
+        L.sync_media_to_training(media, media.select("imdb_id"), columns=["media_type", "titel"])
+
+
+def test_statuses_outside_the_domain_stay(spark):
+    df = spark.createDataFrame([("a", "accepted"), ("a", "weird"), ("a", None), ("a", "weird")], STATUS_SCHEMA)
+    r = L.collect_statuses(df, "k", "s", ("rejected", "accepted")).first()
+    assert [tuple(e) for e in r.statuses] == [("accepted", 1), ("weird", 2), (None, 1)]
+    assert (r.n_statuses, r.n_null_statuses) == (4, 1)
+    assert {tuple(e) for e in L.collect_statuses(df, "k", "s").first().statuses} == {tuple(e) for e in r.statuses}
+
+
+def test_constraints_hold_for_values_and_defaults(spark):
+    def target(**md):
+        return T.StructType([T.StructField("k", T.StringType()), T.StructField("a", T.IntegerType(), True, md)])
+
+    rows = spark.createDataFrame([("x",)], "k string")
+    with pytest.raises(Exception, match="a_check"):
+        L.align_to(rows, target(default="-1", check="a > 0")).collect()
+    assert L.align_to(rows, target(default="3", check="a > 0")).first().a == 3
+    with pytest.raises(Exception, match="not-null"):
+        L.align_to(rows, target(not_null=True)).collect()
+    code = T.StructType([T.StructField("k", T.StringType(), True, {"char_length": 3})])
+    assert [r.k for r in L.align_to(spark.createDataFrame([("abc",), ("ab  ",), (None,)], "k string"), code).collect()] == ["abc", "ab ", None]
+    with pytest.raises(Exception, match="too long"):
+        L.align_to(spark.createDataFrame([("abcd",)], "k string"), code).collect()

@@ -35,7 +35,7 @@ def test_check_expression_translates_regex_match():
 def test_defaults_apply_only_to_absent_columns(spark):
     df = media_df(spark)
     r = {x.imdb_id: x for x in df.collect()}
-    assert r["tt1234567"].error_condition is None
+    assert r["tt7000011"].error_condition is None
     # explicit NULL in the records stays NULL; absent column takes its default
     recs = [dict(MEDIA_SAMPLES[0])]
     recs[0].pop("pipeline_status")

@@ -69,7 +69,7 @@ def test_backup_all_reports_each_table(spark, store):
     _media(spark, store)
     rep = {r.source: r for r in S.backup_all(store, ["media", "prediction"], date=DAY1).collect()}
     assert rep["atp.media"].status == "success" and rep["atp.media"].rows == 3
-    assert rep["atp.prediction"].status == "failed" and "does not exist" in rep["atp.prediction"].error
+    assert rep["atp.prediction"].status == "failed" and "no table" in rep["atp.prediction"].error
 
 
 def test_restore_picks_newest_and_round_trips(spark, store):
@@ -80,14 +80,18 @@ def test_restore_picks_newest_and_round_trips(spark, store):
     S.backup_table(store, "atp", "media", DAY2)
     assert R.latest_snapshot(store, "atp", "media").date == DAY2
     store.truncate("atp", "media")
-    res = R.reload_table(store, "atp", "media")
+    with pytest.raises(R.DuplicateKeys, match="snapshot repeats"):
+        R.reload_table(store, "atp", "media")
+    res = R.reload_table(store, "atp", "media", on_conflict="append")
     assert res.rows == 6 and res.date == DAY2 and res.skipped == []
     after = store.read("atp", "media")
     assert enum_of(after.schema["media_type"]).name == "media_type"
     diff = R.round_trip_diff(df.unionByName(df), after).first()
     assert (diff.rows_before, diff.rows_after, diff.lost, diff.added) == (6, 6, 0, 0)
-    # explicit date, and restoring again appends again (nothing truncates)
-    assert R.reload_table(store, "atp", "media", date=DAY1).rows == 3
+    # explicit date; a second restore repeats primary keys, which is refused unless asked for
+    with pytest.raises(R.DuplicateKeys):
+        R.reload_table(store, "atp", "media", date=DAY1)
+    assert R.reload_table(store, "atp", "media", date=DAY1, on_conflict="append").rows == 3
     assert store.read("atp", "media").count() == 9
 
 
@@ -96,17 +100,18 @@ def test_restore_errors(spark, store):
         R.latest_snapshot(store, "atp", "media")
     _media(spark, store)
     S.backup_table(store, "atp", "media", DAY1)
-    with pytest.raises(TableNotFound, match="Target table"):
+    with pytest.raises(TableNotFound, match="to restore into"):
         R.reload_table(store, "atp", "media", target_table="absent")
     with pytest.raises(R.SnapshotNotFound):
         R.reload_table(store, "atp", "media", date="20240101")
-    # a day with rows but no mapping is incomplete: not chosen, and refused by date
+    # the newest day without its mapping is an error, not a reason to take an older one
     from ledgerline.sources import fs
-    fs.delete(spark, S.snapshot_path(store, S.snapshot_names("atp", "media", DAY1), "mapping"))
-    with pytest.raises(R.SnapshotNotFound):
-        R.latest_snapshot(store, "atp", "media")
-    with pytest.raises(R.MappingNotFound):
-        R.reload_table(store, "atp", "media", date=DAY1)
+    S.backup_table(store, "atp", "media", DAY2)
+    fs.delete(spark, S.snapshot_path(store, S.snapshot_names("atp", "media", DAY2), "mapping"))
+    assert R.latest_snapshot(store, "atp", "media").date == DAY2
+    for date in (None, DAY2):
+        with pytest.raises(R.MappingNotFound):
+            R.reload_table(store, "atp", "media", date=date)
 
 
 def test_partial_mapping_and_schema_change(spark, store):
@@ -123,7 +128,7 @@ def test_partial_mapping_and_schema_change(spark, store):
                           + [T.StructField("note", T.StringType(), True, {"default": "'restored'"})])
     rec = R.reconcile(snap, partial, target)
     assert rec.columns == sorted(c for c in keep if c != "season")
-    assert rec.skipped == [("season", "not found in target table")]
+    assert rec.skipped == [("season", "the target has no such column")]
     store.create("atp", "media_v2", target)
     res = R.reload_table(store, "atp", "media", target_table="media_v2")
     assert res.rows == 3
@@ -131,7 +136,7 @@ def test_partial_mapping_and_schema_change(spark, store):
     out = store.read("atp", "media_v2")
     assert out.columns == [f.name for f in target.fields]
     assert {r.note for r in out.collect()} == {"restored"}
-    assert sorted(r.budget for r in out.collect() if r.budget is not None) == [5000000]
+    assert sorted(r.budget for r in out.collect() if r.budget is not None) == [410000]
 
 
 def test_reconcile_renamed_and_missing_backup_column(spark):
@@ -142,7 +147,7 @@ def test_reconcile_renamed_and_missing_backup_column(spark):
     target = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("w", T.StringType())])
     rec = R.reconcile(snap, mapping, target)
     assert rec.df.collect()[0].id == 1 and rec.columns == ["id"]
-    assert rec.skipped == [("w", "backup column w not found in backup table")]
+    assert rec.skipped == [("w", "the snapshot has no column w")]
     with pytest.raises(R.NoCommonColumns):
         R.reconcile(snap, mapping[1:], target)
 
@@ -152,7 +157,9 @@ def test_restore_rejects_value_outside_enum(spark, store):
     S.backup_table(store, "atp", "media", DAY1)
     names = S.snapshot_names("atp", "media", DAY1)
     bad = S.read_snapshot(store, names).withColumn("media_type", F.lit("film"))
-    store.write_path(bad, S.snapshot_path(store, names))
+    bad = spark.createDataFrame(bad.collect(), bad.schema)
+    bad.write.mode("overwrite").parquet(S.snapshot_path(store, names))
+    store.truncate("atp", "media")
     with pytest.raises(Exception, match="invalid input value for enum media_type"):
         R.reload_table(store, "atp", "media")
 
@@ -239,7 +246,7 @@ def test_snapshots_in_a_separate_store(spark, tmp_path):
     assert not live.schema_exists("bak") and bak.schema_exists("bak")
     live.truncate("atp", "plain")
     assert R.reload_table(live, "atp", "plain", backup_store=bak).rows == 3
-    assert R.reload_all(live, ["plain"], backup_store=bak).first().status == "success"
+    assert R.reload_all(live, ["plain"], backup_store=bak, on_conflict="append").first().status == "success"
 
 
 def test_jdbc_store_options_without_a_database(spark):
@@ -263,13 +270,149 @@ def test_table_name_extending_another_is_separate(spark, store):
     assert R.latest_snapshot(store, "atp", "media").date == DAY1
 
 
-def test_interrupted_replace_is_recovered(spark, store):
-    from ledgerline.sources import fs
+def test_failed_write_leaves_the_old_rows(spark, store):
+    store.write(spark.range(3), "atp", "t")
+    boom = spark.range(5).select(F.when(F.col("id") < 4, F.col("id")).otherwise(F.raise_error(F.lit("boom")).cast("long")).alias("id"))
+    for attempt in (lambda: store.write(boom, "atp", "t"), lambda: store.append(boom, "atp", "t"),
+                    lambda: store.rewrite("atp", "t", lambda _: boom)):
+        with pytest.raises(Exception, match="boom"):
+            attempt()
+        assert store.read("atp", "t").count() == 3
+    assert store.tables("atp") == ["t"]
+
+
+def test_failed_same_day_backup_leaves_the_old_one(spark, store):
+    df = _media(spark, store)
+    S.backup_table(store, "atp", "media", DAY1)
+
+    class Broken:
+        spark = store.spark
+
+        def exists(self, *a):
+            return True
+
+        def read(self, *a):
+            return df.withColumn("media_title", F.raise_error(F.lit("boom")).cast("string"))
+
+    with pytest.raises(Exception, match="boom"):
+        S.backup_table(Broken(), "atp", "media", DAY1, backup_store=store)
+    store.truncate("atp", "media")
+    assert R.reload_table(store, "atp", "media").rows == 3
+
+
+def test_failed_reload_appends_nothing(spark, store):
+    _media(spark, store)
+    S.backup_table(store, "atp", "media", DAY1)
+    live = store.schema_of("atp", "media")
+    strict = T.StructType([T.StructField(f.name, f.dataType, True, {**f.metadata, "check": "tmdb_id <> 7033"} if f.name == "tmdb_id" else f.metadata)
+                           for f in live.fields])
+    store.create("atp", "media", strict)
+    with pytest.raises(Exception, match="tmdb_id_check"):
+        R.reload_table(store, "atp", "media")
+    assert store.read("atp", "media").count() == 0
+
+
+def test_readers_between_the_steps_change_nothing(spark, store):
+    """Readers at every point of a replacement see the old or the new rows, and the writer's result stands."""
+    from ledgerline.sources.store import TableStore
+
+    store.write(spark.range(3), "atp", "t")
+    reader, seen = TableStore(spark, store.root), []
+
+    class Watched(TableStore):
+        def _save(self, df, path, observe):
+            seen.append(reader.read("atp", "t").count())
+            out = super()._save(df, path, observe)
+            seen.append(reader.read("atp", "t").count())
+            return out
+
+        def publish(self, *a):
+            seen.append(reader.read("atp", "t").count())
+            return super().publish(*a)
+
+    Watched(spark, store.root).write(spark.range(7), "atp", "t")
+    assert seen == [3, 3, 3] and reader.read("atp", "t").count() == 7
+
+
+def test_writers_do_not_undo_each_other(spark, store):
+    from ledgerline.sources.store import ConcurrentWrite
 
     store.write(spark.range(3), "atp", "t")
-    live = store.path("atp", "t")
-    fs.rename(spark, live, live + ".__replaced")   # driver lost mid-swap
-    assert store.exists("atp", "t") and store.read("atp", "t").count() == 3
+
+    def meanwhile(df):
+        store.append(spark.range(2), "atp", "t")
+        return df
+
+    with pytest.raises(ConcurrentWrite):
+        store.rewrite("atp", "t", meanwhile)
+    assert store.read("atp", "t").count() == 5
+    head = store.head(store.path("atp", "t"))
+    store.append(spark.range(1), "atp", "t")
+    with pytest.raises(ConcurrentWrite):
+        store.append(spark.range(9), "atp", "t", after=head)
+    # two appends from one state: the second goes on top of the first
+    old = store._head_of
+    store._head_of = lambda *a: (setattr(store, "_head_of", old), head)[1]
+    store.append(spark.range(4), "atp", "t")
+    assert store.read("atp", "t").count() == 10
+    # an unfinished log file is not the published state, and vacuum keeps what is
+    from ledgerline.sources import fs
+    fs.create_text(spark, f"{store.path('atp', 't')}/_log/0000000099.json", "{")
+    store.vacuum(store.path("atp", "t"))
+    assert store.read("atp", "t").count() == 10
+
+
+def test_reload_report_names_skipped_columns(spark, store):
+    df = _media(spark, store)
+    S.backup_table(store, "atp", "media", DAY1)
+    store.create("atp", "media", T.StructType([f for f in df.schema.fields if f.name not in ("season", "budget")]))
+    r = R.reload_all(store, ["media"]).first()
+    assert r.status == "success" and r.skipped == "budget: the target has no such column; season: the target has no such column"
+    again = R.reload_all(store, ["media"]).first()
+    assert again.status == "failed" and "DuplicateKeys" in again.error
+    assert R.reload_all(store, ["media"], on_conflict="append").first().status == "success"
+
+
+def test_keyed_diff(spark):
+    a = spark.createDataFrame([(1, "x", None), (2, "y", 1.0), (3, "z", 2.0)], "k int, v string, w double")
+    b = spark.createDataFrame([(1, "x", None), (2, "y", 1.5), (4, "z", 2.0)], "k int, v string, w double")
+    assert tuple(R.keyed_diff(a, b, ["k"]).first()) == (3, 3, 2, 2)
+    assert tuple(R.keyed_diff(a, a, ["k"]).first()) == (3, 3, 0, 0)
+    with pytest.raises(Exception, match="not unique"):
+        R.keyed_diff(a.union(a), b, ["k"]).collect()
+
+
+def test_jdbc_reads_go_through_load(spark):
+    """A stub reader in the place of the database: catalog, enums, and the row read."""
+    from ledgerline.sources.jdbc import JdbcTableStore
+
+    asked = []
+
+    class Stub(JdbcTableStore):
+        def _reader(self, **extra):
+            asked.append(extra)
+
+            class Reader:
+                def load(self):
+                    q = extra.get("query", "")
+                    if "pg_enum" in q:
+                        return spark.createDataFrame([("s", "state", 2.0, "b"), ("s", "state", 1.0, "a")],
+                                                     "column_name string, type_name string, place double, label string")
+                    if q:
+                        return spark.createDataFrame([("media",)] if "'media'" in q or "table_name =" not in q else [], "table_name string")
+                    return spark.createDataFrame([(1, "b")], "id int, s string")
+
+            return Reader()
+
+    st = Stub.from_env(spark, env={}, partitions={"atp.media": {"partitionColumn": "id", "numPartitions": "8"}})
+    assert st.exists("atp", "media") and not st.exists("atp", "other") and st.tables("atp") == ["media"]
+    df = st.read("atp", "media")
+    assert enum_of(df.schema["s"]).values == ("a", "b") and df.count() == 1
+    assert any(x.get("dbtable") == "atp.media" and x.get("numPartitions") == "8" for x in asked)
+    with pytest.raises(NotImplementedError):
+        st.rewrite("atp", "media", lambda d: d)
+    from ledgerline.plans.jobs import jdbc_partitions
+    assert jdbc_partitions(["media:id:0:100:8"], "atp")["atp.media"]["numPartitions"] == "8"
 
 
 def test_thousand_scores_back_up_exactly(spark, store):

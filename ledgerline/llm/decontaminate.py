@@ -184,3 +184,22 @@ def op4_decontamination(spark, sf_dir):
     return search(docs, table(spark, sf_dir, "benchmark")).select(
         "doc_id", F.col("_q_n").alias("n_words"), F.col("_q_hit").alias("n_hit"), F.col("_q_count").alias("n_items"),
         F.col("_q_sha").alias("items_sha256"), F.col("_q_bad").alias("contaminated"))
+
+
+_SQL_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), " \
+             r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+SQL = {"op4_decontamination": f"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, {_SQL_WORDS} AS w FROM documents),
+b AS (SELECT item_id, {_SQL_WORDS} AS w FROM benchmark),
+runs AS (SELECT DISTINCT item_id, least(13, len(w)) AS m, list_slice(w, i, i + least(13, len(w)) - 1) AS words
+         FROM b, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS t(i) WHERE len(w) > 0),
+places AS (SELECT r, m, i, list_slice(w, i, i + m - 1) AS words
+           FROM (SELECT r, w, m FROM d, (SELECT DISTINCT m FROM runs) WHERE len(w) >= m), unnest(range(1, len(w) - m + 2)) AS t(i)),
+found AS (SELECT r, m, i, item_id FROM places JOIN runs USING (m, words)),
+hit AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT DISTINCT r, m, i FROM found), unnest(range(i, i + m)) AS t(p) GROUP BY r),
+items AS (SELECT r, count(*) AS n_items, string_agg(k, ',' ORDER BY k) AS ids
+          FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS k FROM found) GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN hit USING (r) LEFT JOIN items USING (r)
+"""}

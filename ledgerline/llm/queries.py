@@ -17,4 +17,4 @@ QUERIES = {
     "op10_best_fit_packing": packing.op10_best_fit_packing,
 }
 
-ORACLE = {**exact_dedup.SQL}
+ORACLE = {**decontaminate.SQL, **exact_dedup.SQL}

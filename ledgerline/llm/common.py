@@ -8,7 +8,8 @@ result with the same schema.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -17,9 +18,6 @@ from pyspark.sql import functions as F
 
 from ledgerline.session import scratch_dir
 
-__all__ = ["buffers", "components", "documents", "mix64", "read", "saved", "slices", "table", "text_of"]
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{str(sf_dir).rstrip('/')}/{name}.parquet")
 
@@ -43,10 +41,6 @@ def saved(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
-
-
 # -- Arrow ----------------------------------------------------------------------
 def buffers(arr: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and n+1 offsets of a string or binary array (null: empty)."""
@@ -76,6 +70,36 @@ def slices(offsets: np.ndarray, limit: int = 1 << 21) -> Iterator[tuple[int, int
         i = j
 
 
+def texts_of(batch: pa.RecordBatch, column: str, limit: int = 4 << 20) -> Iterator[tuple[int, int, list[str]]]:
+    """First and last row and the texts of parts of a batch of about ``limit``
+    bytes, so that few Python strings are held at a time."""
+    col = batch.column(column)
+    _, offsets = buffers(col)
+    for i, j in slices(offsets, limit):
+        yield i, j, col.slice(i, j - i).to_pylist()
+
+
+class Memo(dict):
+    """What ``make`` gives for a string, remembered in two generations of ``size``
+    entries: the older one goes when the newer is full, so what is used again
+    stays. Long strings are not kept."""
+
+    def __init__(self, make: Callable[[str], Any], size: int, longest: int = 100):
+        super().__init__()
+        self.make, self.size, self.longest, self.old = make, size, longest, {}
+
+    def __missing__(self, key: str):
+        got = self.old.get(key)
+        if got is None:
+            got = self.make(key)
+        if len(key) <= self.longest:
+            if len(self) >= self.size:
+                self.old = dict(self)
+                self.clear()
+            self[key] = got
+        return got
+
+
 # -- 64-bit hashing in numpy -------------------------------------------------------
 def mix64(x: np.ndarray, seed: int = 0) -> np.ndarray:
     """A bijective 64-bit finaliser."""

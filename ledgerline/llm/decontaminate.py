@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import table, text_of
+from ledgerline.llm.common import table, text_of, texts_of
 
 WINDOW = 13
 BLOCK_PATTERNS = 200_000
@@ -104,7 +104,7 @@ def _search(sets: list[PatternSet], first: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ns, starts, ends, items = [], [], [], []
-            for k, text in enumerate(b.column("_q_text").to_pylist()):
+            for text in (t for _, _, part in texts_of(b, "_q_text") for t in part):
                 words = words_of(text)
                 spans, found = [], set()
                 for s in sets:
@@ -162,16 +162,17 @@ def search(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, min_share: in
     spans = [T.StructField("_q_n", T.LongType()), T.StructField("_q_starts", T.ArrayType(T.IntegerType())),
              T.StructField("_q_ends", T.ArrayType(T.IntegerType())), T.StructField("_q_items", T.ArrayType(T.StringType()))]
     with_spans = T.StructType([*df.schema.fields, *spans])
-    first = True
-    for sets in pattern_blocks(benchmark, n, block):
-        df = df.mapInArrow(_search(sets, first), with_spans)
-        first = False
-    if first:  # no item at all
-        df = df.mapInArrow(_search([], True), with_spans)
     judged = T.StructType([*docs.schema.fields, spans[0], T.StructField("_q_hit", T.LongType()),
                            T.StructField("_q_count", T.LongType()), T.StructField("_q_sha", T.StringType()),
                            T.StructField("_q_bad", T.BooleanType())])
-    return df.mapInArrow(_judge(min_share), judged)
+    first, waiting = True, []
+    for sets in pattern_blocks(benchmark, n, block):
+        if waiting:  # a block before the last
+            df = df.mapInArrow(_search(waiting, first), with_spans)
+            first = False
+        waiting = sets
+    search_last, judge = _search(waiting, first), _judge(min_share)
+    return df.mapInArrow(lambda batches: judge(search_last(batches)), judged)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

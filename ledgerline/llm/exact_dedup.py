@@ -36,7 +36,7 @@ from ledgerline.llm.common import documents, saved, text_of
 
 BUCKET_KEYS = 512       # distinct hashes in a bucket before it is split
 MAX_DEPTH = 20          # directory of at most 2^20 slots, one byte each
-COMBINE_BYTES = 32 << 20  # texts held by a map task while it combines equal rows
+COMBINE_BYTES = 16 << 20  # texts held by a map task while it combines equal rows
 
 
 class Directory:
@@ -105,8 +105,9 @@ def _combine(directory: Directory):
         table: dict = {}
         held = 0
         for b in batches:
-            for i, t, h in zip(b.column("doc_id").to_pylist(), b.column("text").cast(pa.binary()).to_pylist(),
-                               b.column("h").to_pylist()):
+            ids, hashes, raw = b.column("doc_id").to_pylist(), b.column("h").to_pylist(), b.column("text").cast(pa.binary())
+            for k, (i, h) in enumerate(zip(ids, hashes)):
+                t = raw[k].as_py()
                 got = table.get((h, t))
                 if got is None:
                     table[h, t] = [i, 1]

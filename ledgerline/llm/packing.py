@@ -27,8 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import documents, saved, text_of
-from ledgerline.llm.tokens import batches_of, default_path, encoder
+from ledgerline.llm.common import documents, saved, text_of, texts_of
+from ledgerline.llm.tokens import default_path, encoder
 
 SEQUENCE = 1024
 END_ID = 2
@@ -159,10 +159,10 @@ def _cut(path: str, kind: str, capacity: int, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, end = encoder(path, kind), np.array([end_id], "<u4").tobytes()
         for b in batches:
-            ids, texts = b.column("doc_id").to_pylist(), b.column("_q_text").to_pylist()
-            for i, j in batches_of(texts):
+            ids = b.column("doc_id").to_pylist()
+            for i, j, texts in texts_of(b, "_q_text"):
                 rows = []
-                for d, raw in zip(ids[i:j], enc.encode(texts[i:j])):
+                for d, raw in zip(ids[i:j], enc.encode(texts)):
                     raw += end
                     n = len(raw) // 4
                     at, size, k = 0, (n - 1) % capacity + 1, 0  # the first piece takes the remainder

@@ -31,8 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import documents, text_of
-from ledgerline.llm.tokens import batches_of
+from ledgerline.llm.common import documents, text_of, texts_of
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -290,10 +289,10 @@ def digest(spans: list[tuple[int, int, int]]) -> str:
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        ids, texts = b.column("doc_id"), b.column("_q_text").to_pylist()
-        for i, j in batches_of(texts):
+        ids = b.column("doc_id")
+        for i, j, texts in texts_of(b, "_q_text"):
             counts, sha, spans = [[], [], [], []], [], []
-            for t in texts[i:j]:
+            for t in texts:
                 base = find(t)
                 for k in range(len(KINDS)):
                     counts[k].append(sum(1 for x in base if x[0] == k))

@@ -30,10 +30,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import documents, text_of
-from ledgerline.llm.tokens import _CONTROL_SPACE, _PLAIN, batches_of, default_path, stand_ins
+from ledgerline.llm.common import Memo, documents, text_of, texts_of
+from ledgerline.llm.tokens import _CONTROL_SPACE, _PLAIN, default_path, stand_ins
 
-KEEP = 300_000
+KEEP = 150_000    # pre-tokens, and runs, remembered by a worker in each of two generations
 PAIRS = 1_000_000
 LIMIT = 2048
 END = "</w>"
@@ -48,93 +48,117 @@ class PrefixCounter:
         with open(path, encoding="utf-8") as f:
             model = json.load(f)["model"]
         self.vocab = model["vocab"]
-        self.rank = {tuple(m.split(" ")) if isinstance(m, str) else tuple(m): k for k, m in enumerate(model["merges"])}
-        self.longest = max(len(t.removesuffix(END)) for t in self.vocab)
-        self.closed = {t[:-len(END)] for t in self.vocab if t.endswith(END)}
-        self.open = {t for t in self.vocab if not t.endswith(END)}
+        ids, n = self.vocab, len(self.vocab)
+        # how each entry is made: merge number, left and right part (none for single bytes)
+        self.made = [(-1, -1, -1)] * n
+        self.pair: dict[int, int] = {}
+        for k, m in enumerate(model["merges"]):
+            x, y = m.split(" ") if isinstance(m, str) else m
+            self.pair[ids[x] * n + ids[y]] = k
+            self.made[ids[x + y]] = (k, ids[x], ids[y])
+        self.size = n
+        self.longest = max(len(t.removesuffix(END)) for t in ids)
+        self.closed = {t[:-len(END)]: i for t, i in ids.items() if t.endswith(END)}
+        self.open = {t: i for t, i in ids.items() if not t.endswith(END)}
         self.tok = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.pieces = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-        self.fits: dict = {}
-        self.words: dict[str, tuple] = {}
-        self.chunks: dict[str, object] = {}
-
-    # -- byte-pair encoding of one short run, for the compatibility of two tokens
-    def merge(self, symbols: list[str]) -> list[str]:
-        rank = self.rank
-        while len(symbols) > 1:
-            best = min(zip(symbols, symbols[1:]), key=lambda p: rank.get(p, 1 << 60))
-            if best not in rank:
-                break
-            out, i = [], 0
-            while i < len(symbols):
-                if i + 1 < len(symbols) and (symbols[i], symbols[i + 1]) == best:
-                    out.append(symbols[i] + symbols[i + 1])
-                    i += 2
+        self.fits: dict[int, bool] = {}
+        self.alone: dict[int, bool] = {}
+        self.words = Memo(self.piece, KEEP)
+        self.chunks = Memo(self.chunk, KEEP)
+
+    def fit(self, a: int, b: int) -> bool:
+        """Whether entry a followed by entry b is the encoding of their joint text,
+        that is, whether no merge across the border comes before the merges that
+        make them. Looks back from the end: the part made last is undone, and
+        the border pair of the moment before is tried."""
+        made, pair, n = self.made, self.pair, self.size
+        limit = 1 << 60
+        while True:
+            if pair.get(a * n + b, limit) < limit:
+                return False
+            (x, _, inner), (y, outer, _) = made[a], made[b]
+            if x < 0 and y < 0:
+                return True
+            if x > y:   # equal merges go from left to right: one across the border would come later
+                limit, a = x, inner
+            else:       # ... or earlier
+                limit, b = y + 1, outer
+
+    def word(self, s: str, bounds) -> tuple | bytes:
+        """Counts of the closed prefixes of ``s`` (byte stand-ins) at ``bounds``."""
+        longest, fits, n, opened, closed = self.longest, self.fits, self.size, self.open, self.closed
+        last, count, out = [-1], [0], []
+        if len(fits) > PAIRS:
+            fits.clear()
+        at = set(bounds)
+        for i in range(1, len(s) + 1):
+            for entries in ((opened, closed) if i in at else (opened,)):
+                for w in range(1, min(i, longest) + 1):
+                    t = entries.get(s[i - w:i])
+                    if t is None:
+                        continue
+                    before = last[i - w]
+                    if before >= 0:
+                        key = before * n + t
+                        ok = fits.get(key)
+                        if ok is None:
+                            ok = fits[key] = self.fit(before, t)
+                        if not ok:
+                            continue
+                    elif w < i or self.made[t][0] >= 0 and not self.whole(t):
+                        continue
+                    if entries is opened:
+                        last.append(t)
+                        count.append(count[i - w] + 1)
+                    else:
+                        out.append(count[i - w] + 1)
+                    break
                 else:
-                    out.append(symbols[i])
-                    i += 1
-            symbols = out
-        return symbols
-
-    def fit(self, a: str, b: str, end: bool) -> bool:
-        """Whether token a followed by token b (with a word end) is an encoding."""
-        key = (a, b, end)
-        got = self.fits.get(key)
+                    raise ValueError(f"no encoding of {s[:i]!r}")
+        return bytes(out) if out[-1] < 256 and max(out) < 256 else tuple(out)
+
+    def whole(self, t: int) -> bool:
+        """Whether an entry is the encoding of its own text."""
+        got = self.alone.get(t)
         if got is None:
-            s = [*a, *b]
-            if end:
-                s[-1] += END
-            got = self.merge(s) == ([a] if a else []) + [b + END if end else b]
-            if len(self.fits) >= PAIRS:
-                self.fits.clear()
-            self.fits[key] = got
+            _, x, y = self.made[t]
+            ok = self.made[x][0] < 0 or self.whole(x)
+            ok = ok and (self.made[y][0] < 0 or self.whole(y))
+            # no merge across the border of its parts before theirs
+            got = self.alone[t] = ok and self.meets(x, y, self.made[t][0])
         return got
 
-    def word(self, s: str, bounds: list[int]) -> tuple:
-        """Counts of the closed prefixes of ``s`` (byte stand-ins) at ``bounds``."""
-        n, longest, fit = len(s), self.longest, self.fit
-        last, count = [""], [0]
-        for i in range(1, n):
-            for w in range(min(i, longest), 0, -1):
-                t = s[i - w:i]
-                if t in self.open and last[i - w] is not None and fit(last[i - w], t, False):
-                    last.append(t)
-                    count.append(count[i - w] + 1)
-                    break
+    def meets(self, a: int, b: int, final: int) -> bool:
+        """Like :meth:`fit`, where the last merge of all joins a and b."""
+        made, pair, n = self.made, self.pair, self.size
+        limit = final
+        while True:
+            if pair.get(a * n + b, limit) < limit:
+                return False
+            (x, _, inner), (y, outer, _) = made[a], made[b]
+            if x < 0 and y < 0:
+                return True
+            if x > y:
+                limit, a = min(limit, x), inner
             else:
-                last.append(None)
-                count.append(0)
-        out = []
-        for i in bounds:
-            for w in range(min(i, longest), 0, -1):
-                t = s[i - w:i]
-                if t in self.closed and last[i - w] is not None and fit(last[i - w], t, True):
-                    out.append(count[i - w] + 1)
-                    break
-            else:  # no such entry: count the encoding itself
-                out.append(len(self.merge([*s[:i - 1], s[i - 1] + END])))
-        return tuple(out)
+                limit, b = min(limit, y + 1), outer
 
-    def piece(self, p: str) -> tuple:
+    def piece(self, p: str) -> tuple | bytes:
         """Counts after each code point of a pre-token."""
-        got = self.words.get(p)
-        if got is None:
-            if p in ("'re", "'ve", "'ll"):  # cut short it is an apostrophe and a letter
-                got = (1, 2, self.word(stand_ins(p), [3])[0])
-            elif p.isascii():
-                got = self.word(stand_ins(p), list(range(1, len(p) + 1)))
-            else:
-                got = self.word(stand_ins(p), list(accumulate(len(c.encode()) for c in p)))
-            if len(p) < 100:
-                if len(self.words) >= KEEP:
-                    self.words.clear()
-                self.words[p] = got
-        return got
+        if p in ("'re", "'ve", "'ll"):  # cut short it is an apostrophe and a letter
+            return (1, 2, self.word(stand_ins(p), [3])[0])
+        if p.isascii():
+            return self.word(p if p.isalnum() else stand_ins(p), range(1, len(p) + 1))
+        return self.word(stand_ins(p), list(accumulate(len(c.encode()) for c in p)))
 
     def chunk(self, c: str):
         """Counts after each code point of a run without white space, or, where
         a prefix's normal form depends on what follows, only the total."""
+        plain = c.isascii() and c.isalpha()
+        if plain:
+            return self.words[c.lower()]
         plain = _PLAIN.match(c) is not None
         if plain:
             pieces = _LOW.findall(c.lower())
@@ -145,26 +169,13 @@ class PrefixCounter:
             pieces = self.pieces.findall("".join(x.lower() for x in c))
         out, base = [], 0
         for p in pieces:
-            got = self.piece(p)
+            got = self.words[p]
             out += [base + k for k in got] if base else got
             base += got[-1]
         if not plain and (len(out) != len(c) or base != len(self.tok.encode(c, add_special_tokens=False))):
             return len(self.tok.encode(c, add_special_tokens=False))
         return bytes(out) if base < 256 else tuple(out)
 
-    def of(self, chunks: list[str]) -> list:
-        if len(self.chunks) > KEEP:
-            self.chunks = {}
-        memo, out = self.chunks, []
-        for c in chunks:
-            got = memo.get(c)
-            if got is None:
-                got = self.chunk(c)
-                if len(c) < 200:
-                    memo[c] = got
-            out.append(got)
-        return out
-
     def index(self, text: str) -> PrefixIndex:
         return PrefixIndex(self, text)
 
@@ -175,7 +186,7 @@ class PrefixIndex:
     def __init__(self, counter: PrefixCounter, text: str):
         self.counter, self.text = counter, text
         self.odd = any(s in text for s in counter.special) or _CONTROL_SPACE.search(text) is not None
-        self.tables = [] if self.odd else counter.of(text.split())
+        self.tables = [] if self.odd else list(map(counter.chunks.__getitem__, text.split()))
         self.before = [0, *accumulate(t if type(t) is int else t[-1] for t in self.tables)]
         self.total = len(counter.tok.encode(text, add_special_tokens=False)) if self.odd else self.before[-1]
         self._starts: list[int] | None = None
@@ -230,9 +241,8 @@ def _count(path: str, limit: int):
         c = counter(path)
         for b in batches:
             total, size, fit = [], [], []
-            texts = b.column("_q_text").to_pylist()
-            for i, j in batches_of(texts):
-                for t in texts[i:j]:
+            for _, _, texts in texts_of(b, "_q_text"):
+                for t in texts:
                     x = c.index(t)
                     total.append(x.total)
                     size.append(len(t.encode("utf-8")))

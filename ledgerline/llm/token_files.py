@@ -29,8 +29,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import documents, text_of
-from ledgerline.llm.tokens import batches_of, default_path, encoder
+from ledgerline.llm.common import documents, text_of, texts_of
+from ledgerline.llm.tokens import default_path, encoder
 from ledgerline.session import scratch_dir
 
 CHUNK_BITS = 8
@@ -136,9 +136,9 @@ def _pack(path: str, kind: str, end_id: int):
         enc, end = encoder(path, kind), np.array([end_id], "<u4").tobytes()
         part, seg, docs, raws, held = TaskContext.get().partitionId(), 0, [], [], 0
         for b in batches:
-            ids, texts = b.column("doc_id").to_pylist(), b.column("_q_text").to_pylist()
-            for i, j in batches_of(texts):
-                for d, raw in zip(ids[i:j], enc.encode(texts[i:j])):
+            ids = b.column("doc_id").to_pylist()
+            for i, j, texts in texts_of(b, "_q_text"):
+                for d, raw in zip(ids[i:j], enc.encode(texts)):
                     docs.append(d)
                     raws.append(raw + end)
                     held += len(raw) // 4 + 1

@@ -3,9 +3,8 @@
 A text is cut where the tokenizer's own rules never look across: at white
 space (word_bpe) or before a single space between two other characters
 (byte_bpe), and around single full stops, commas and line breaks of plain
-texts, which leaves fewer different pieces. Each cut piece is encoded once by the tokenizers library and kept,
-as little-endian 32-bit ids, in a dictionary that is emptied at ``KEEP``
-entries. Texts with added-token strings or rare control spaces go to the
+texts, which leaves fewer different pieces. Each piece is encoded by the
+tokenizers library and remembered as little-endian 32-bit ids. Texts with added-token strings or rare control spaces go to the
 library whole, so ids always equal the library's.
 """
 
@@ -14,8 +13,9 @@ from __future__ import annotations
 import re
 import struct
 
-KEEP = 600_000   # pieces kept per worker
-LONGEST = 200    # longer pieces are not kept
+from ledgerline.llm.common import Memo
+
+KEEP = 180_000   # pieces remembered by a worker, in each of two generations
 
 # Latin-1 letters and ASCII: one code point in lower case, unchanged by NFC
 _PLAIN = re.compile(r"[!-~À-ÖØ-Þß-öø-ÿ]+\Z")
@@ -63,8 +63,13 @@ class _Encoder:
         self.tok = Tokenizer.from_file(path)
         self.model = self.tok.model
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
-        self.cache: dict[str, bytes] = {}
-        self.long: list[str] = []
+        self.known = Memo(self.piece, KEEP)
+
+    def piece(self, p: str) -> bytes:
+        raise NotImplementedError
+
+    def cut(self, text: str) -> list[str]:
+        raise NotImplementedError
 
     def whole(self, text: str) -> bytes:
         return _ids(self.tok.encode(text, add_special_tokens=False).ids)
@@ -81,30 +86,10 @@ class _Encoder:
             piece = stand_ins(piece)
         return _ids([t.id for t in self.model.tokenize(piece)])
 
-    def fill(self, pieces: set[str]) -> dict[str, bytes]:
-        """The cache, with all of ``pieces`` in it."""
-        missing = pieces - self.cache.keys()
-        if len(self.cache) + len(missing) > KEEP:
-            self.cache = {}
-            missing = pieces
-        cache, piece_of = self.cache, self.piece
-        for p in missing:
-            cache[p] = piece_of(p)
-            if len(p) > LONGEST:
-                self.long.append(p)
-        return cache
-
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text, without special tokens added."""
-        cut = [None if self.odd(t) else self.cut(t) for t in texts]
-        cache = self.fill({p for c in cut if c is not None for p in c})
-        out = [self.whole(t) if c is None else b"".join(map(cache.__getitem__, c)) for t, c in zip(texts, cut)]
-        if len(cache) > KEEP:  # one call's texts had more pieces than that
-            self.cache = {}
-        for p in self.long:
-            self.cache.pop(p, None)
-        self.long.clear()
-        return out
+        get = self.known.__getitem__
+        return [self.whole(t) if self.odd(t) else b"".join(map(get, self.cut(t))) for t in texts]
 
 
 class WordEncoder(_Encoder):
@@ -168,15 +153,3 @@ def encoder(path: str, kind: str) -> _Encoder:
     if key not in _LOADED:
         _LOADED[key] = (WordEncoder if kind == "word" else ByteEncoder)(path)
     return _LOADED[key]
-
-
-def batches_of(texts: list[str], limit: int = 4 << 20):
-    """Index ranges of about ``limit`` characters, to bound what is held at once."""
-    i, n = 0, len(texts)
-    while i < n:
-        j, size = i, 0
-        while j < n and (j == i or size + len(texts[j]) <= limit):
-            size += len(texts[j])
-            j += 1
-        yield i, j
-        i = j

@@ -35,13 +35,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import table, text_of
-from ledgerline.llm.tokens import batches_of
+from ledgerline.llm.common import Memo, table, text_of, texts_of
 
 TRAIN_ROWS = 6000
 TRAIN_WORDS = 150_000
 FOLDS = 5
-KEEP = 500_000
+KEEP = 100_000
 CONTEXT = 8
 _WORD = re.compile(r"\w+")
 L2 = 1e-4
@@ -59,25 +58,24 @@ class Field:
 
     def __init__(self, weights: dict[str, float], bias: float, trans: list[list[float]], calibration: list[float]):
         self.weights, self.bias, self.trans, self.calibration = weights, bias, trans, calibration
-        self.memo: dict[str, float] = {}
+        self.memo = Memo(self.odds, KEEP)
+
+    def __getstate__(self):
+        return self.weights, self.bias, self.trans, self.calibration
+
+    def __setstate__(self, state):
+        self.__init__(*state)
 
     def odds(self, word: str) -> float:
         """exp(emission of toxic - emission of clean)."""
-        got = self.memo.get(word)
-        if got is None:
-            w = self.weights
-            got = math.exp(max(-40.0, min(40.0, self.bias + sum([w.get(f, 0.0) for f in features(word)]))))
-            if len(word) < 60:
-                if len(self.memo) >= KEEP:
-                    self.memo.clear()
-                self.memo[word] = got
-        return got
+        w = self.weights
+        return math.exp(max(-40.0, min(40.0, self.bias + sum([w.get(f, 0.0) for f in features(word)]))))
 
     def marginals(self, words: list[str]) -> list[float]:
         """Probability of the toxic state at each word, by forward-backward on
         the ratio of the two states (so that long texts neither over- nor underflow)."""
         (t00, t01), (t10, t11) = [[math.exp(x) for x in row] for row in self.trans]
-        odds = [self.odds(w) for w in words]
+        odds = list(map(self.memo.__getitem__, words))
         forward, r = [], None
         for e in odds:
             r = e if r is None else e * (t01 + r * t11) / (t00 + r * t10)
@@ -233,7 +231,6 @@ def train(rows: list[tuple[str, int]]) -> Field:
     for words, _ in docs:
         xs.append(summary(field.marginals(words)))
     field.calibration = _fit_logistic(np.array(xs), np.array([y for _, y in docs], float))
-    field.memo.clear()
     return field
 
 
@@ -255,10 +252,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_ROWS) -
 def _score(field: Field, column: str, with_spans: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = b.column(column).to_pylist()
             scores, spans = [], []
-            for i, j in batches_of(texts):
-                for t in texts[i:j]:
+            for _, _, texts in texts_of(b, column):
+                for t in texts:
                     p = field.marginals(words_of(t))
                     scores.append(field.score(p))
                     if with_spans:

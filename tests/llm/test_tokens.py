@@ -48,6 +48,7 @@ def test_ids_equal_the_library_on_any_mix(word, byte, t):
 
 def test_small_memory_gives_the_same_ids(byte, monkeypatch):
     monkeypatch.setattr("ledgerline.llm.tokens.KEEP", 3)
+    assert ByteEncoder(BYTE).known.size == 3
     enc = ByteEncoder(BYTE)
     assert [ids(x) for x in enc.encode(ODD)] == [ids(x) for x in byte.encode(ODD)]
 

@@ -124,13 +124,11 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     labels = saved(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"))
                    .select("node", F.least("node", "m").alias("root")), "labels")
     for _ in range(max_rounds):
-        near = (both.join(labels.withColumnRenamed("node", "b"), "b")
-                .groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near")))
-        step = (labels.join(near, "node").select("node", F.col("root").alias("old"),
-                                                 F.least("root", "near").alias("mid")))
+        heard = (both.join(labels.withColumnRenamed("node", "b"), "b").select(F.col("a").alias("node"), "root", F.lit(None).alias("old"))
+                 .unionByName(labels.select("node", "root", F.col("root").alias("old"))))
+        step = heard.groupBy("node").agg(F.min("root").alias("mid"), F.max("old").alias("old"))
         up = labels.select(F.col("node").alias("mid"), F.col("root").alias("up"))
-        new = saved(step.join(up, "mid", "left")
-                    .select("node", "old", F.least("mid", F.coalesce("up", "mid")).alias("root")), "labels")
+        new = saved(step.join(up, "mid", "left").select("node", "old", F.least("mid", F.coalesce("up", "mid")).alias("root")), "labels")
         if new.where("old <> root").isEmpty():
             return new.select("node", "root")
         labels = new.select("node", "root")

@@ -10,14 +10,15 @@
 3. Texts with an equal band are candidates. In each bucket all members are first
    held against one leader, so a group of n near copies costs n - 1 comparisons.
    Pairs are verified by the exact weighted Jaccard similarity, ``SIMILARITY`` or
-   more, and components of the links are found. A large group of copies makes
+   more. A large group of copies makes
    its own shingles common and its members' edits weigh more, so the similarity
    is taken with and without the IDF factor and the greater one counts.
-4. Buckets whose members still fall into several components are compared
-   member by member between components: pairs whose samples agree too rarely
-   to reach the similarity (20 of 40, 4.7 standard deviations below it) are
-   passed over, the others verified. A large such bucket is split into blocks
-   of ``BLOCK`` members that are compared block by block; none is capped.
+4. Members that are not similar to their bucket's leader are held against all
+   other members of the bucket: pairs whose samples agree too rarely to reach the
+   similarity (20 of 40, 4.7 standard deviations below it) are passed over, the
+   others verified. (Members that are similar to the leader are linked through
+   it.) A large such bucket is split into blocks of ``BLOCK`` members that are
+   compared block by block; none is capped.
 
 Equal texts share one node (the text's digest), so copies cost no comparison.
 Classes are the components; a class's id is its smallest doc_id.
@@ -184,39 +185,37 @@ def verified(pairs: DataFrame, texts: DataFrame, idf: np.ndarray, least: float)
 
 # -- 4. open buckets ---------------------------------------------------------------------------
 def _between(agree: int):
-    """Pairs of one block pair: different components, enough equal samples."""
+    """Pairs of one block pair with a member that is apart from the leader, and enough equal samples."""
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        left = rows[rows["side"] != 1].reset_index(drop=True)
-        right = rows[rows["side"] != 0].reset_index(drop=True)
-        sig = [np.frombuffer(b"".join(x["sig"]), "<u4").reshape(len(x), -1) for x in (left, right)]
-        roots = [x["root"].to_numpy() for x in (left, right)]
-        nodes = [x["node"].to_numpy() for x in (left, right)]
-        a, b = [], []
-        for k in range(len(left)):
-            near = np.flatnonzero((sig[1] == sig[0][k]).sum(axis=1) >= agree)
-            for m in near.tolist():
-                if roots[1][m] != roots[0][k] and nodes[0][k] < nodes[1][m] or \
-                        roots[1][m] != roots[0][k] and left["side"][k] == 0 and nodes[0][k] != nodes[1][m]:
-                    a.append(min(nodes[0][k], nodes[1][m]))
-                    b.append(max(nodes[0][k], nodes[1][m]))
-        return pd.DataFrame({"a": pd.Series(a, dtype=object), "b": pd.Series(b, dtype=object)})
+        left, right = (rows[rows["side"] != k].reset_index(drop=True) for k in (1, 0))  # side 2: both
+        out = set()
+        for x, y in ((left, right), (right, left)):
+            apart = x[x["apart"]]
+            if not len(apart) or not len(y):
+                continue
+            sig = np.frombuffer(b"".join(y["sig"]), "<u4").reshape(len(y), -1)
+            others = y["node"].tolist()
+            for node, own in zip(apart["node"], apart["sig"]):
+                near = np.flatnonzero((sig == np.frombuffer(own, "<u4")).sum(axis=1) >= agree)
+                out.update((min(node, others[m]), max(node, others[m])) for m in near.tolist() if others[m] != node)
+        return pd.DataFrame({"a": pd.Series([p[0] for p in out], dtype=object), "b": pd.Series([p[1] for p in out], dtype=object)})
 
     return run
 
 
-def open_pairs(members: DataFrame, labels: DataFrame, sigs: DataFrame, agree: int) -> DataFrame:
-    """Candidate pairs between components that share a bucket."""
-    named = (members.join(labels.withColumnRenamed("node", "_n"), F.col("node") == F.col("_n"), "left")
-             .select("key", "node", F.coalesce("root", "node").alias("root")))
-    named = saved(named, "members")
-    still = (named.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n"))
-             .where("lo <> hi").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
-    rows = (named.join(still, "key").join(sigs, "node")
+def open_pairs(members: DataFrame, links: DataFrame, sigs: DataFrame, agree: int) -> DataFrame:
+    """Candidate pairs of buckets (key, node, leader) beyond those with the leader;
+    ``links(a, b)``: leaders and the members found similar to them."""
+    linked = links.select(F.col("a").alias("leader"), F.col("b").alias("node"), F.lit(True).alias("linked"))
+    flagged = saved(members.join(linked, ["leader", "node"], "left")
+                    .select("key", "node", (F.col("linked").isNull() & (F.col("node") != F.col("leader"))).alias("apart")), "members")
+    still = (flagged.groupBy("key").agg(F.bool_or("apart").alias("some"), F.count("*").alias("n"))
+             .where("some AND n > 2").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
+    rows = (flagged.join(still, "key").join(sigs, "node")
             .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")))
     # a block meets itself and every other block once
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    met = (rows.withColumn("with", other)
-           .select("key", "node", "root", "sig", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"),
+    met = (rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+           .select("key", "node", "apart", "sig", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"),
                    F.when(F.col("block") == F.col("with"), 2).when(F.col("block") < F.col("with"), 0).otherwise(1).alias("side")))
     return met.groupBy("key", "i", "j").applyInPandas(_between(agree), "a binary, b binary").distinct()
 
@@ -242,12 +241,8 @@ def node_classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     texts = texts.withColumn("_n", F.row_number().over(Window.partitionBy("node").orderBy("node"))).where("_n = 1").drop("_n")
     pairs = saved(members.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
     edges = saved(verified(pairs, texts, idf, least), "links")
-    labels = components(edges)
-    more = open_pairs(members.select("key", "node"), labels, sigs, int(AGREE * BANDS * ROWS)).join(pairs, ["a", "b"], "left_anti")
-    extra = saved(verified(saved(more, "pairs"), texts, idf, least), "links")
-    if extra.isEmpty():
-        return labels
-    return components(edges.unionByName(extra))
+    more = saved(open_pairs(members, edges, sigs, int(AGREE * BANDS * ROWS)).join(pairs, ["a", "b"], "left_anti"), "pairs")
+    return components(edges.unionByName(verified(more, texts, idf, least)))
 
 
 def near_classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:

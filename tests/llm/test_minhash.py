@@ -129,21 +129,20 @@ def test_empty_table(spark):
 
 
 def test_open_buckets_compare_every_block(spark, monkeypatch):
-    """Members of one bucket in several components: all pairs with enough equal samples come out once."""
+    """Members apart from the leader meet all others of the bucket; pairs with enough equal samples come out once."""
     monkeypatch.setattr(minhash, "BLOCK", 3)
     rng = random.Random(1)
-    sig = {}
-    for k in range(14):
-        base = [rng.randrange(5) for _ in range(40)]
-        sig[f"{k:02}".encode()] = np.array(base, "<u4").tobytes()
+    sig = {f"{k:02}".encode(): np.array([rng.randrange(5) for _ in range(40)], "<u4").tobytes() for k in range(14)}
     nodes = sorted(sig)
-    roots = {n: nodes[k % 4] for k, n in enumerate(nodes)}
-    members = spark.createDataFrame([(1, n) for n in nodes] + [(2, nodes[0]), (2, nodes[4])], "key long, node binary")
-    labels = spark.createDataFrame([(n, r) for n, r in roots.items()], "node binary, root binary")
+    members = spark.createDataFrame([(1, n, nodes[0]) for n in nodes] + [(2, nodes[1], nodes[1]), (2, nodes[4], nodes[1])],
+                                    "key long, node binary, leader binary")
+    near = set(nodes[1:9:2])  # similar to the leader
+    links = spark.createDataFrame([(nodes[0], n) for n in near] + [(nodes[1], nodes[4])], "a binary, b binary")
     sigs = spark.createDataFrame([(n, s) for n, s in sig.items()], "node binary, sig binary")
-    got = {(bytes(r.a), bytes(r.b)) for r in minhash.open_pairs(members, labels, sigs, 9).collect()}
+    got = {(bytes(r.a), bytes(r.b)) for r in minhash.open_pairs(members, links, sigs, 9).collect()}
     arr = {n: np.frombuffer(s, "<u4") for n, s in sig.items()}
-    want = {(a, b) for a in nodes for b in nodes if a < b and roots[a] != roots[b] and (arr[a] == arr[b]).sum() >= 9}
+    apart = set(nodes[1:]) - near
+    want = {(a, b) for a in nodes for b in nodes if a < b and (a in apart or b in apart) and (arr[a] == arr[b]).sum() >= 9}
     assert got == want and want
 
 

@@ -14,11 +14,12 @@
    its own shingles common and its members' edits weigh more, so the similarity
    is taken with and without the IDF factor and the greater one counts.
 4. Members that are not similar to their bucket's leader are held against all
-   other members of the bucket: pairs whose samples agree too rarely to reach the
-   similarity (20 of 40, 4.7 standard deviations below it) are passed over, the
-   others verified. (Members that are similar to the leader are linked through
-   it.) A large such bucket is split into blocks of ``BLOCK`` members that are
-   compared block by block; none is capped.
+   other members of the bucket that they are not joined with yet: pairs whose
+   samples agree too rarely to reach the similarity (20 of 40, 4.7 standard
+   deviations below it) are passed over, the others verified in the task; only
+   links come out. (Members that are similar to the leader are joined through it.)
+   A large such bucket is split into blocks of ``BLOCK`` members that are compared
+   block by block; none is capped.
 
 Equal texts share one node (the text's digest), so copies cost no comparison.
 Classes are the components; a class's id is its smallest doc_id.
@@ -158,18 +159,10 @@ def _verify(idf: np.ndarray, least: float):
             good = np.zeros(b.num_rows, bool)
             for i, j in slices(sides[0][1] + sides[1][1]):
                 (sa, ka, aa), (sb, kb, ab) = [shingles(x[o[i]:o[j]], o[i:j + 1] - o[i]) for x, o in sides]
-                sides_w = ((weights(sa, ka, idf), weights(sb, kb, idf)), (ka, kb))
+                wa, wb = weights(sa, ka, idf), weights(sb, kb, idf)
                 for k in range(j - i):
-                    pa_, pb_ = slice(aa[k], aa[k + 1]), slice(ab[k], ab[k + 1])
-                    x, y = sa[pa_], sb[pb_]
-                    if not len(x) or not len(y):
-                        continue
-                    pos = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                    hit = y[pos] == x
-                    for wa, wb in sides_w:
-                        total = float(wa[pa_].sum(dtype=np.float64) + wb[pb_].sum(dtype=np.float64))
-                        both = float(np.minimum(wa[pa_][hit], wb[pb_][pos[hit]]).sum(dtype=np.float64))
-                        good[i + k] |= both >= least * (total - both) - 1e-9
+                    x, y = slice(aa[k], aa[k + 1]), slice(ab[k], ab[k + 1])
+                    good[i + k] = _similar(sa[x], (wa[x], ka[x]), sb[y], (wb[y], kb[y]), least)
             keep = pa.array(np.flatnonzero(good))
             yield pa.RecordBatch.from_arrays([b.column("a").take(keep), b.column("b").take(keep)], ["a", "b"])
 
@@ -184,40 +177,63 @@ def verified(pairs: DataFrame, texts: DataFrame, idf: np.ndarray, least: float)
 
 
 # -- 4. open buckets ---------------------------------------------------------------------------
-def _between(agree: int):
-    """Pairs of one block pair with a member that is apart from the leader, and enough equal samples."""
+def _similar(x: np.ndarray, wx: tuple, y: np.ndarray, wy: tuple, least: float) -> bool:
+    """Weighted Jaccard of ``least`` or more, with or without the IDF factor."""
+    if not len(x) or not len(y):
+        return False
+    pos = np.minimum(np.searchsorted(y, x), len(y) - 1)
+    hit = y[pos] == x
+    for u, v in zip(wx, wy):
+        total = float(u.sum(dtype=np.float64) + v.sum(dtype=np.float64))
+        both = float(np.minimum(u[hit], v[pos[hit]]).sum(dtype=np.float64))
+        if both >= least * (total - both) - 1e-9:
+            return True
+    return False
+
+
+def _between(agree: int, idf: np.ndarray, least: float):
+    """Links of one block pair that join what is not joined yet: each member apart
+    from the leader is held against all others of enough equal samples."""
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        left, right = (rows[rows["side"] != k].reset_index(drop=True) for k in (1, 0))  # side 2: both
-        out = set()
-        for x, y in ((left, right), (right, left)):
-            apart = x[x["apart"]]
-            if not len(apart) or not len(y):
-                continue
-            sig = np.frombuffer(b"".join(y["sig"]), "<u4").reshape(len(y), -1)
-            others = y["node"].tolist()
-            for node, own in zip(apart["node"], apart["sig"]):
-                near = np.flatnonzero((sig == np.frombuffer(own, "<u4")).sum(axis=1) >= agree)
-                out.update((min(node, others[m]), max(node, others[m])) for m in near.tolist() if others[m] != node)
+        rows = rows.drop_duplicates("node").reset_index(drop=True)
+        data, at = buffers(pa.array(rows["t"], pa.string()))
+        s, times, off = shingles(data, at)
+        w = weights(s, times, idf)
+        part = [slice(off[k], off[k + 1]) for k in range(len(rows))]
+        sig = np.frombuffer(b"".join(rows["sig"]), "<u4").reshape(len(rows), -1)
+        apart, side = rows["apart"].to_numpy(bool), rows["side"].to_numpy()
+        root = np.arange(len(rows))
+        if not apart.all():  # all these are similar to the leader
+            root[~apart] = np.flatnonzero(~apart)[0]
+        out = []
+        for k in np.flatnonzero(apart).tolist():
+            near = (sig == sig[k]).sum(axis=1) >= agree
+            near &= (side == 2) | (side != side[k])
+            for m in np.flatnonzero(near).tolist():
+                if root[m] != root[k] and _similar(s[part[k]], (w[part[k]], times[part[k]]), s[part[m]], (w[part[m]], times[part[m]]), least):
+                    root[root == root[k]] = root[m]
+                    out.append((min(rows["node"][k], rows["node"][m]), max(rows["node"][k], rows["node"][m])))
         return pd.DataFrame({"a": pd.Series([p[0] for p in out], dtype=object), "b": pd.Series([p[1] for p in out], dtype=object)})
 
     return run
 
 
-def open_pairs(members: DataFrame, links: DataFrame, sigs: DataFrame, agree: int) -> DataFrame:
-    """Candidate pairs of buckets (key, node, leader) beyond those with the leader;
+def more_links(members: DataFrame, links: DataFrame, sigs: DataFrame, texts: DataFrame, idf: np.ndarray, least: float) -> DataFrame:
+    """Links within buckets (key, node, leader) beyond those with the leader;
     ``links(a, b)``: leaders and the members found similar to them."""
     linked = links.select(F.col("a").alias("leader"), F.col("b").alias("node"), F.lit(True).alias("linked"))
     flagged = saved(members.join(linked, ["leader", "node"], "left")
                     .select("key", "node", (F.col("linked").isNull() & (F.col("node") != F.col("leader"))).alias("apart")), "members")
     still = (flagged.groupBy("key").agg(F.bool_or("apart").alias("some"), F.count("*").alias("n"))
              .where("some AND n > 2").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
-    rows = (flagged.join(still, "key").join(sigs, "node")
+    rows = (flagged.join(still, "key").join(sigs, "node").join(texts, "node")
             .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")))
     # a block meets itself and every other block once
     met = (rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-           .select("key", "node", "apart", "sig", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"),
+           .select("key", "node", "apart", "sig", "t", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"),
                    F.when(F.col("block") == F.col("with"), 2).when(F.col("block") < F.col("with"), 0).otherwise(1).alias("side")))
-    return met.groupBy("key", "i", "j").applyInPandas(_between(agree), "a binary, b binary").distinct()
+    agree = int(AGREE * BANDS * ROWS)
+    return met.groupBy("key", "i", "j").applyInPandas(_between(agree, idf, least), "a binary, b binary").distinct()
 
 
 # -- classes -----------------------------------------------------------------------------------
@@ -241,8 +257,8 @@ def node_classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     texts = texts.withColumn("_n", F.row_number().over(Window.partitionBy("node").orderBy("node"))).where("_n = 1").drop("_n")
     pairs = saved(members.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
     edges = saved(verified(pairs, texts, idf, least), "links")
-    more = saved(open_pairs(members, edges, sigs, int(AGREE * BANDS * ROWS)).join(pairs, ["a", "b"], "left_anti"), "pairs")
-    return components(edges.unionByName(verified(more, texts, idf, least)))
+    more = saved(more_links(members, edges, sigs, texts, idf, least), "links")
+    return components(edges.unionByName(more))
 
 
 def near_classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:

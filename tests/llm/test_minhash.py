@@ -128,22 +128,40 @@ def test_empty_table(spark):
     assert minhash.deduplicate(docs).collect() == []
 
 
-def test_open_buckets_compare_every_block(spark, monkeypatch):
-    """Members apart from the leader meet all others of the bucket; pairs with enough equal samples come out once."""
+def test_members_apart_from_the_leader_are_linked(spark, monkeypatch):
+    """One bucket of several families: links join each family, across blocks, and nothing else."""
     monkeypatch.setattr(minhash, "BLOCK", 3)
     rng = random.Random(1)
-    sig = {f"{k:02}".encode(): np.array([rng.randrange(5) for _ in range(40)], "<u4").tobytes() for k in range(14)}
-    nodes = sorted(sig)
-    members = spark.createDataFrame([(1, n, nodes[0]) for n in nodes] + [(2, nodes[1], nodes[1]), (2, nodes[4], nodes[1])],
-                                    "key long, node binary, leader binary")
-    near = set(nodes[1:9:2])  # similar to the leader
-    links = spark.createDataFrame([(nodes[0], n) for n in near] + [(nodes[1], nodes[4])], "a binary, b binary")
-    sigs = spark.createDataFrame([(n, s) for n, s in sig.items()], "node binary, sig binary")
-    got = {(bytes(r.a), bytes(r.b)) for r in minhash.open_pairs(members, links, sigs, 9).collect()}
-    arr = {n: np.frombuffer(s, "<u4") for n, s in sig.items()}
-    apart = set(nodes[1:]) - near
-    want = {(a, b) for a in nodes for b in nodes if a < b and (a in apart or b in apart) and (arr[a] == arr[b]).sum() >= 9}
-    assert got == want and want
+    rows, family = {}, {}
+    for f in range(4):
+        base = [rng.choice(WORDS) + rng.choice(WORDS) for _ in range(80)]
+        for k in range(5):
+            t = list(base)
+            t[k * 9] = "changed"
+            node = f"{k}{f}".encode()
+            rows[node], family[node] = " ".join(t), f
+    nodes = sorted(rows)
+    idf = np.ones(1 << minhash.FEATURE_BITS, np.float32)
+    data, at = buffers(pa.array([rows[n] for n in nodes]))
+    s, times, off = shingles(data, at)
+    sig = minhash.samples(s, minhash.weights(s, times, idf), off).astype("<u4")
+    members = spark.createDataFrame([(1, n, nodes[0]) for n in nodes], "key long, node binary, leader binary")
+    links = spark.createDataFrame([(nodes[0], n) for n in nodes[1:] if family[n] == family[nodes[0]]][:2], "a binary, b binary")
+    sigs = spark.createDataFrame([(n, x.tobytes()) for n, x in zip(nodes, sig)], "node binary, sig binary")
+    texts = spark.createDataFrame(list(rows.items()), "node binary, t string")
+    got = [(bytes(r.a), bytes(r.b)) for r in minhash.more_links(members, links, sigs, texts, idf, 0.8).collect()]
+    assert all(a < b and family[a] == family[b] for a, b in got)
+    every = links.collect()
+    root = {n: n for n in nodes}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in got + [(bytes(r.a), bytes(r.b)) for r in every]:
+        root[find(a)] = find(b)
+    assert len({find(n) for n in nodes}) == 4
 
 
 def test_weights_grow_with_rarity(spark):

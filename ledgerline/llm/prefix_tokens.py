@@ -6,10 +6,10 @@ encoding is the right one exactly if each two neighbouring tokens are the
 encoding of their joint text, so last(i) is the one vocabulary entry t that
 ends at i and is compatible with last(i - |t|), and count(i) = count(i - |t|) + 1.
 Vocabulary entries with a word end are tried separately, as the end of the
-prefix, on top of the open prefix before them. The table of a pre-token is kept
-per worker, the counts before each pre-token of a text are summed once, and the
-count at any code point, the longest prefix within a budget, or the total are
-then look-ups: nothing is encoded again.
+prefix, on top of the open prefix before them. A worker remembers the totals of
+pre-tokens and runs, and the counts before each run of a text are summed once. The
+total is a look-up; the count at any code point and the longest prefix within a
+budget need the table of one run besides: no text is encoded again.
 
 Defined cases: a null text is empty and has no tokens; added-token strings are
 one token each, as the library's default has it; texts with combining marks, jamo
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from ledgerline.llm.common import Memo, documents, text_of, texts_of
 from ledgerline.llm.tokens import _CONTROL_SPACE, _PLAIN, default_path, stand_ins
 
-KEEP = 150_000    # pre-tokens, and runs, remembered by a worker in each of two generations
+KEEP = 250_000    # pre-tokens, and runs, remembered by a worker in each of two generations
 PAIRS = 1_000_000
 LIMIT = 2048
 END = "</w>"
@@ -65,8 +65,8 @@ class PrefixCounter:
         self.pieces = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
         self.fits: dict[int, bool] = {}
         self.alone: dict[int, bool] = {}
-        self.words = Memo(self.piece, KEEP)
-        self.chunks = Memo(self.chunk, KEEP)
+        self.words = Memo(self.piece_total, KEEP)
+        self.chunks = Memo(self.run_total, KEEP)
 
     def fit(self, a: int, b: int) -> bool:
         """Whether entry a followed by entry b is the encoding of their joint text,
@@ -119,6 +119,51 @@ class PrefixCounter:
                     raise ValueError(f"no encoding of {s[:i]!r}")
         return bytes(out) if out[-1] < 256 and max(out) < 256 else tuple(out)
 
+    def total(self, s: str) -> int:
+        """Tokens of a pre-token: the counts of its open prefixes, and the closed end."""
+        fits, n, entry = self.fits, self.size, self.open.get
+        last, count, size = [-1], [0], len(s)
+        if len(fits) > PAIRS:
+            fits.clear()
+        for i in range(1, size + 1):
+            if i == size:
+                entry = self.closed.get
+            j = i
+            while j:
+                j -= 1
+                t = entry(s[j:i])
+                if t is None:
+                    continue
+                before = last[j]
+                if before >= 0:
+                    key = before * n + t
+                    ok = fits.get(key)
+                    if ok is None:
+                        ok = fits[key] = self.fit(before, t)
+                else:
+                    ok = self.made[t][0] < 0 or self.whole(t)
+                if ok:
+                    last.append(t)
+                    count.append(count[j] + 1)
+                    break
+                if i - j > self.longest:
+                    raise ValueError(f"no encoding of {s[:i]!r}")
+            else:
+                raise ValueError(f"no encoding of {s[:i]!r}")
+        return count[-1]
+
+    def piece_total(self, p: str) -> int:
+        return self.total(p if p.isascii() and p.isalnum() else stand_ins(p))
+
+    def run_total(self, c: str) -> int:
+        if c.isascii() and c.isalpha():
+            return self.words[c.lower()]
+        if c[-1] in ".," and c[:-1].isascii() and c[:-1].isalpha():
+            return self.words[c[:-1].lower()] + self.words[c[-1]]
+        if _PLAIN.match(c):
+            return sum([self.words[p] for p in _LOW.findall(c.lower())])
+        return len(self.tok.encode(c, add_special_tokens=False))
+
     def whole(self, t: int) -> bool:
         """Whether an entry is the encoding of its own text."""
         got = self.alone.get(t)
@@ -158,7 +203,7 @@ class PrefixCounter:
         a prefix's normal form depends on what follows, only the total."""
         plain = c.isascii() and c.isalpha()
         if plain:
-            return self.words[c.lower()]
+            return self.piece(c.lower())
         plain = _PLAIN.match(c) is not None
         if plain:
             pieces = _LOW.findall(c.lower())
@@ -169,7 +214,7 @@ class PrefixCounter:
             pieces = self.pieces.findall("".join(x.lower() for x in c))
         out, base = [], 0
         for p in pieces:
-            got = self.words[p]
+            got = self.piece(p)
             out += [base + k for k in got] if base else got
             base += got[-1]
         if not plain and (len(out) != len(c) or base != len(self.tok.encode(c, add_special_tokens=False))):
@@ -186,8 +231,8 @@ class PrefixIndex:
     def __init__(self, counter: PrefixCounter, text: str):
         self.counter, self.text = counter, text
         self.odd = any(s in text for s in counter.special) or _CONTROL_SPACE.search(text) is not None
-        self.tables = [] if self.odd else list(map(counter.chunks.__getitem__, text.split()))
-        self.before = [0, *accumulate(t if type(t) is int else t[-1] for t in self.tables)]
+        self.runs = [] if self.odd else text.split()
+        self.before = list(accumulate(map(counter.chunks.__getitem__, self.runs), initial=0))
         self.total = len(counter.tok.encode(text, add_special_tokens=False)) if self.odd else self.before[-1]
         self._starts: list[int] | None = None
 
@@ -206,7 +251,7 @@ class PrefixIndex:
         k = bisect_right(starts, i - 1) - 1
         if k < 0:
             return 0
-        t, inside = self.tables[k], i - starts[k]
+        t, inside = self.counter.chunk(self.runs[k]), i - starts[k]
         if type(t) is int:
             run = self.text[starts[k]:i].rstrip()
             return self.before[k] + len(self.counter.tok.encode(run, add_special_tokens=False))
@@ -221,7 +266,7 @@ class PrefixIndex:
         k = bisect_right(self.before, budget) - 1  # the first run that does not fit whole
         starts = self._at()
         end = starts[k]
-        t = self.tables[k]
+        t = self.counter.chunk(self.runs[k])
         size = len(re.compile(r"\S+").match(self.text, end)[0])
         return next(i for i in range(end + size, end - 1, -1)
                     if i == end or (self.count(i) if type(t) is int else self.before[k] + t[i - end - 1]) <= budget)

@@ -15,7 +15,7 @@ import struct
 
 from ledgerline.llm.common import Memo
 
-KEEP = 180_000   # pieces remembered by a worker, in each of two generations
+KEEP = 300_000   # pieces remembered by a worker, in each of two generations
 
 # Latin-1 letters and ASCII: one code point in lower case, unchanged by NFC
 _PLAIN = re.compile(r"[!-~À-ÖØ-Þß-öø-ÿ]+\Z")

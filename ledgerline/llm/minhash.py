@@ -5,8 +5,9 @@
    sends compressed slices, owners of slices add them up, and the counts (at most
    16 MB whatever the data) weigh every shingle: tf * log(1 + N / df). A shingle
    in a given share of documents weighs alike at every corpus size.
-2. ``BANDS`` x ``ROWS`` consistent weighted samples of each text: two texts agree in
-   a sample with the probability of their weighted Jaccard similarity.
+2. Two sets of ``BANDS`` x ``ROWS`` consistent weighted samples of each text, one with
+   and one without the IDF factor: two texts agree in a sample with the probability
+   of their weighted Jaccard similarity under the weights of its set.
 3. Texts with an equal band are candidates. In each bucket all members are first
    held against one leader, so a group of n near copies costs n - 1 comparisons.
    Pairs are verified by the exact weighted Jaccard similarity, ``SIMILARITY`` or
@@ -15,8 +16,8 @@
    is taken with and without the IDF factor and the greater one counts.
 4. Members that are not similar to their bucket's leader are held against all
    other members of the bucket that they are not joined with yet: pairs whose
-   samples agree too rarely to reach the similarity (20 of 40, 4.7 standard
-   deviations below it) are passed over, the others verified in the task; only
+   samples agree too rarely in both sets to reach the similarity (20 of 40, 4.7
+   standard deviations below it) are passed over, the others verified in the task; only
    links come out. (Members that are similar to the leader are joined through it.)
    A large such bucket is split into blocks of ``BLOCK`` members that are compared
    block by block; none is capped.
@@ -44,11 +45,12 @@ from ledgerline.llm.common import buffers, components, documents, mix64, saved,
 from ledgerline.llm.shingles import shingles
 
 BANDS, ROWS = 10, 4
+SETS = 2                 # samples with and without the IDF factor
 SIMILARITY = 0.8
 FEATURE_BITS = 21
 SLICE = 1 << 13          # features in a slice of the counts
 BLOCK = 256
-AGREE = 0.5              # share of equal samples below which a pair is not verified
+AGREE = 0.5              # share of equal samples, of either set, below which a pair is not verified
 _SEEDS = mix64(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64), 0xD6E8FEB86659FD93)
 
 
@@ -99,11 +101,12 @@ def weights(s: np.ndarray, times: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return times.astype(np.float32) * idf[(s >> np.uint64(64 - FEATURE_BITS)).astype(np.int64)]
 
 
-def samples(s: np.ndarray, w: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """(texts, BANDS * ROWS) consistent weighted samples; every text has a shingle."""
+def samples(s: np.ndarray, w: np.ndarray, at: np.ndarray, *more: np.ndarray) -> np.ndarray:
+    """(texts, BANDS * ROWS) consistent weighted samples, and as many columns again
+    for each of ``more`` weights; every text has a shingle."""
     starts, counts = at[:-1], np.diff(at)
-    out = np.zeros((len(starts), len(_SEEDS)), np.uint32)
-    ln = np.log(w)
+    out = np.zeros((len(starts), 1 + len(more), len(_SEEDS)), np.uint32)
+    logs = [np.log(x) for x in (w, *more)]
     low, mid = np.uint64((1 << 21) - 1), np.uint64(0xFFFFFFFF)
     for d, seed in enumerate(_SEEDS):
         x = mix64(s, int(seed))
@@ -113,13 +116,15 @@ def samples(s: np.ndarray, w: np.ndarray, at: np.ndarray) -> np.ndarray:
         beta = (x >> np.uint64(42)).astype(np.float32) * np.float32(2.0**-22)
         r = np.maximum(-np.log(np.minimum(u12 * np.float32(2.0**-42), np.float32(1))), np.float32(1e-6))  # Gamma(2, 1)
         c = np.maximum(-np.log(np.minimum(u34 * np.float32(2.0**-64), np.float32(1))), np.float32(1e-6))
-        t = np.floor(ln / r + beta)
-        a = np.log(c) - r * (t - beta + np.float32(1))
-        least = np.minimum.reduceat(a, starts)
-        hit = np.flatnonzero(a == np.repeat(least, counts))
-        k = hit[np.searchsorted(hit, starts)]
-        out[:, d] = mix64(s[k] ^ t[k].astype(np.int64).view(np.uint64), int(seed)).astype(np.uint32)
-    return out
+        c = np.log(c)
+        for e, ln in enumerate(logs):  # one set's random numbers serve every set
+            t = np.floor(ln / r + beta)
+            a = c - r * (t - beta + np.float32(1))
+            least = np.minimum.reduceat(a, starts)
+            hit = np.flatnonzero(a == np.repeat(least, counts))
+            k = hit[np.searchsorted(hit, starts)]
+            out[:, e, d] = mix64(s[k] ^ t[k].astype(np.int64).view(np.uint64), int(seed)).astype(np.uint32)
+    return out.reshape(len(starts), -1)
 
 
 def _sample(idf: np.ndarray):
@@ -131,7 +136,7 @@ def _sample(idf: np.ndarray):
                 some = np.flatnonzero(np.diff(at))
                 if not len(some):
                     continue
-                sig = samples(s, weights(s, times, idf), at[np.append(some, j - i)])
+                sig = samples(s, weights(s, times, idf), at[np.append(some, j - i)], times.astype(np.float32))
                 yield pa.RecordBatch.from_arrays(
                     [b.column("node").slice(i, j - i).take(pa.array(some)),
                      pa.array([x.tobytes() for x in sig.astype("<u4")], pa.binary())], ["node", "sig"])
@@ -142,12 +147,13 @@ def _sample(idf: np.ndarray):
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         raw, _ = buffers(b.column("sig"))
-        sig = raw.view("<u4").reshape(b.num_rows, BANDS, ROWS).astype(np.uint64)
+        bands = SETS * BANDS
+        sig = raw.view("<u4").reshape(b.num_rows, bands, ROWS).astype(np.uint64)
         with np.errstate(over="ignore"):
-            key = np.zeros((b.num_rows, BANDS), np.uint64) + np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+            key = np.zeros((b.num_rows, bands), np.uint64) + np.arange(1, bands + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
             for r in range(ROWS):
                 key = mix64(key ^ sig[:, :, r], r + 1)
-        nodes = b.column("node").take(pa.array(np.repeat(np.arange(b.num_rows), BANDS)))
+        nodes = b.column("node").take(pa.array(np.repeat(np.arange(b.num_rows), bands)))
         yield pa.RecordBatch.from_arrays([pa.array(key.reshape(-1).view(np.int64)), nodes], ["key", "node"])
 
 
@@ -200,14 +206,14 @@ def _between(agree: int, idf: np.ndarray, least: float):
         s, times, off = shingles(data, at)
         w = weights(s, times, idf)
         part = [slice(off[k], off[k + 1]) for k in range(len(rows))]
-        sig = np.frombuffer(b"".join(rows["sig"]), "<u4").reshape(len(rows), -1)
+        sig = np.frombuffer(b"".join(rows["sig"]), "<u4").reshape(len(rows), -1, BANDS * ROWS)
         apart, side = rows["apart"].to_numpy(bool), rows["side"].to_numpy()
         root = np.arange(len(rows))
         if not apart.all():  # all these are similar to the leader
             root[~apart] = np.flatnonzero(~apart)[0]
         out = []
         for k in np.flatnonzero(apart).tolist():
-            near = (sig == sig[k]).sum(axis=1) >= agree
+            near = ((sig == sig[k]).sum(axis=2) >= agree).any(axis=1)
             near &= (side == 2) | (side != side[k])
             for m in np.flatnonzero(near).tolist():
                 if root[m] != root[k] and _similar(s[part[k]], (w[part[k]], times[part[k]]), s[part[m]], (w[part[m]], times[part[m]]), least):

@@ -189,3 +189,24 @@ def test_samples_agree_as_often_as_weighted_jaccard_says(share):
         b = minhash.samples(t[o], w[o], np.array([0, len(o)]))
         agree.append((a == b).mean())
     assert abs(np.mean(agree) - want) < 0.04
+
+
+@pytest.mark.parametrize("changed", [5, 8, 11])
+def test_members_of_a_large_group_far_apart_under_idf_are_found(spark, changed):
+    """A third of all rows are edits of one base: their own shingles weigh most with IDF, yet without it each is similar to the base."""
+    rng = random.Random(changed)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(9))
+    base = [word() for _ in range(104)]  # 100 shingles
+    rows = [(0, " ".join(base))]
+    for k in range(1, 60):
+        t = list(base)
+        if changed == 5:
+            t[rng.randrange(8, 96)] = word()  # five shingles
+        else:
+            t[:changed] = [word() for _ in range(changed)]  # the first shingles
+        rows.append((k, " ".join(t)))
+    rows += [(1000 + k, " ".join(word() for _ in range(104))) for k in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.class_id for r in minhash.near_classes(docs).collect()}
+    assert [got[k] for k in range(60)] == [0] * 60
+    assert all(got[k] == k for k, _ in rows[60:])

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -123,3 +124,21 @@ def test_candidates_do_not_overlap():
     got = secrets.candidates(text)
     assert all(a[1] <= b[0] for a, b in zip(got, got[1:]))
     assert [r for _, _, r in got] == ["aws_key", "long_run", "assigned", "long_run"]
+
+
+def test_candidates_are_whole_runs_of_any_length():
+    rng = random.Random(3)
+    key = lambda n: "".join(rng.choice("abcdefghijkLMNOPQRST0123456789") for _ in range(n))
+    for n in (20, 500, 10_000, 300_000):
+        for rule, head, value in (("long_run", "at ", key(n)), ("assigned", "password = '", key(n)), ("github_token", "see ", "ghp_" + key(n + 30)),
+                                  ("slack_token", "see ", "xoxb-" + key(n)), ("jwt", "see ", f"eyJ{key(n)}.eyJ{key(n)}.{key(n)}"),
+                                  ("jwt", "see x-", f"eyJ{key(n)}.{key(9)}.{key(n)}")):
+            text = f"{head}{value}' end"
+            assert (len(head), len(head) + len(value), rule) in secrets.candidates(text), (rule, n)
+
+
+def test_candidates_of_hostile_texts_are_found_in_linear_time():
+    for part in ("eyJ-", "eyJaaaaaaaa.", "xoxb-", "ghp_", "token=", "-----BEGIN ", "A" * 8 + ".", "eyJaaaaaaaa-"):
+        start = time.process_time()
+        secrets.candidates(part * 100_000)
+        assert time.process_time() - start < 10, part

@@ -104,6 +104,16 @@ def words_of(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
+def places(text: str) -> list[tuple[int, int]]:
+    """Start and end in ``text`` of each of its :func:`words_of`."""
+    low = text.lower()
+    at = [m.span() for m in _WORD.finditer(low)]
+    if len(low) == len(text):
+        return at
+    source = [k for k, c in enumerate(text) for _ in c.lower()]  # lower case may be longer
+    return [(source[a], source[e - 1] + 1) for a, e in at]
+
+
 def evidence(docs: list[tuple[list[str], int]]) -> set[str]:
     """Features found (nearly) only in toxic documents."""
     seen, toxic = Counter(), Counter()
@@ -261,13 +271,11 @@ def _score(field: Field, column: str, with_spans: bool):
                         hot = [k for k, x in enumerate(p) if x > 0.5]
                         found = []
                         if hot:
-                            # offsets are those of the text as it stands: lower case may change lengths
-                            at = [m.span() for m in _WORD.finditer(t)]
-                            same = len(at) == len(p)
+                            at = places(t)  # offsets are those of the text as it stands
                             for k in hot:
-                                if same and found and k == last + 1:
+                                if found and k == last + 1:
                                     found[-1][1] = at[k][1]
-                                elif same:
+                                else:
                                     found.append(list(at[k]))
                                 last = k
                         spans.append(",".join(f"{a}:{e}" for a, e in found))

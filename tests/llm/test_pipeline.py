@@ -6,6 +6,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -221,3 +222,11 @@ def test_pipeline_against_brute_force(spark, tmp_path):
     assert {r[0] for r in outs[4]} == {r[0] for r in outs[3]}
     whole = corpus_pipeline.run(spark, sf)
     assert sorted((r.doc_id, r.piece, r.ids_crc32) for r in whole.collect()) == sorted((r[0], r[1], r[4]) for r in outs[4])
+
+
+def test_spans_stay_where_lower_case_has_more_words():
+    field = toxicity.Field({"w:hate": 9.0}, -4.0, [[0.0, 0.0], [0.0, 0.0]], [0.0] * 5)
+    texts = ["x İstanbul hate", "hate İİ a HATE, hate aİ", "x y hate", "ΑΣ hate"]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["t"])
+    got = [b.column("_q_spans").to_pylist() for b in toxicity._score(field, "t", True)([batch])][0]
+    assert got == ["11:15", "0:4,10:20", "4:8", "3:7"]

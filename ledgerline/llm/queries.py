@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerline.llm import decontaminate, exact_dedup, minhash, packing, pii, prefix_tokens, repeats, secrets, token_files, toxicity
+from ledgerline.llm import decontaminate, exact_dedup, merkle, minhash, packing, pii, prefix_tokens, repeats, secrets, token_files, toxicity
 
 QUERIES = {
     "op1_personal_data": pii.op1_personal_data,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_minhash": minhash.op8_minhash,
     "op9_token_files": token_files.op9_token_files,
     "op10_best_fit_packing": packing.op10_best_fit_packing,
+    "op11_merkle_manifest": merkle.op11_merkle_manifest,
 }
 
-ORACLE = {**decontaminate.SQL, **exact_dedup.SQL}
+ORACLE = {**decontaminate.SQL, **exact_dedup.SQL, **merkle.SQL}

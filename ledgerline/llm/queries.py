@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerline.llm import decontaminate, exact_dedup, filter_audit, merkle, minhash, packing, pii, prefix_tokens, repeats, secrets, token_files, toxicity
+from ledgerline.llm import decontaminate, exact_dedup, filter_audit, merkle, minhash, packing, pii, prefix_tokens, quality, repeats, secrets, token_files, toxicity
 
 QUERIES = {
     "op1_personal_data": pii.op1_personal_data,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_best_fit_packing": packing.op10_best_fit_packing,
     "op11_merkle_manifest": merkle.op11_merkle_manifest,
     "op12_filter_audit": filter_audit.op12_filter_audit,
+    "op13_quality": quality.op13_quality,
 }
 
 ORACLE = {**decontaminate.SQL, **exact_dedup.SQL, **merkle.SQL, **filter_audit.SQL}

@@ -16,7 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.functions.arrays import array_max_nulls_last
+from ledgerline.functions.arrays import array_max_nulls_last, collated
+from ledgerline.functions.chars import LENGTH_KEY, as_text, char_width, element_metadata, is_char, padded
 from ledgerline.functions.defaults import default_column
 from ledgerline.functions.domains import (
     LABEL_TYPE, NEGATIVE_LABEL, POSITIVE_LABEL, POSITIVE_STATUSES, UNJUDGED_STATUS,
@@ -57,20 +58,38 @@ def max_of(df: DataFrame, column: str, enums: Mapping[str, EnumType] | None = No
 
     * enumerated column (field metadata or ``enums``): declaration order;
     * array column: element-wise with NULL elements largest;
-    * text with ``collation``: compared under that collation;
+    * text, and text in arrays, with ``collation``: compared under that collation, what it
+      holds equal by code points;
+    * ``CHAR(n)``, and arrays of it: compared without its padding;
     * everything else: Spark's ``max`` (NULLs ignored, all-NULL -> NULL).
     """
     field = df.schema[column]
     enum = (enums or {}).get(column) or enum_of(field)
     if enum is not None:
         return enum.max(column, column).alias(column)
+    value = as_text(field)
     if isinstance(field.dataType, T.ArrayType):
-        if not field.dataType.containsNull:  # no NULL elements: Spark's order is the same
-            return F.max(column).alias(column)
-        return array_max_nulls_last(column).alias(column)
+        by = collation if _holds_text(field.dataType) else None
+        if not field.dataType.containsNull and not by:  # no NULL elements: Spark's order is the same
+            return padded(field, F.max(value)).alias(column)
+        return padded(field, array_max_nulls_last(value, by)).alias(column)
     if collation and isinstance(field.dataType, T.StringType):
-        return F.max(F.collate(F.col(column), collation)).cast("string").alias(column)
-    return F.max(column).alias(column)
+        return padded(field, F.max(collated(value, collation)).getField("v")).alias(column)
+    return padded(field, F.max(value)).alias(column)
+
+
+def _holds_text(dtype: T.DataType) -> bool:
+    return _holds_text(dtype.elementType) if isinstance(dtype, T.ArrayType) else isinstance(dtype, T.StringType)
+
+
+def keyed_by(df: DataFrame, key: str) -> Column:
+    """The key in the form that is compared (``CHAR`` without its padding)."""
+    return as_text(df.schema[key]).alias(key)
+
+
+def _stored_key(out: DataFrame, src: DataFrame, key: str) -> DataFrame:
+    """The key as the source stores it."""
+    return out.withColumn(key, padded(src.schema[key])) if is_char(src.schema[key]) else out
 
 
 def consolidate_max(df: DataFrame, key: str, columns: Sequence[str] | None = None,
@@ -78,8 +97,8 @@ def consolidate_max(df: DataFrame, key: str, columns: Sequence[str] | None = Non
                     collation: str | None = None) -> DataFrame:
     """One row per key; each column is its own MAX (so a row may mix sources)."""
     cols = [c for c in (columns or df.columns) if c != key]
-    out = keyed_rows(df, key).groupBy(key).agg(*[max_of(df, c, enums, collation) for c in cols])
-    return _keep_metadata(out, df, [key, *cols])
+    out = keyed_rows(df, key).groupBy(keyed_by(df, key)).agg(*[max_of(df, c, enums, collation) for c in cols])
+    return _keep_metadata(_stored_key(out, df, key), df, [key, *cols])
 
 
 # O3 -----------------------------------------------------------------------
@@ -97,14 +116,14 @@ def collect_statuses(df: DataFrame, key: str, status: str,
     place = F.when(F.col(status).isNull(), F.lit(len(values) + 1)).otherwise(F.lit(len(values)))
     for i, v in reversed(list(enumerate(values))):
         place = F.when(F.col(status) == F.lit(v), F.lit(i)).otherwise(place)
-    per = df.groupBy(key, status).agg(F.count(F.lit(1)).alias("n"))
+    per = df.groupBy(keyed_by(df, key), status).agg(F.count(F.lit(1)).alias("n"))
     entry = F.struct(place.alias("place"), F.col(status), F.col("n"))
-    return per.groupBy(key).agg(
+    return _stored_key(per.groupBy(key).agg(
         F.transform(F.array_sort(F.collect_list(entry)),
                     lambda e: F.struct(e.getField(status).alias(status), e.getField("n").alias("n"))).alias("statuses"),
         F.sum("n").alias("n_statuses"),
         F.coalesce(F.sum(F.when(F.col(status).isNull(), F.col("n"))), F.lit(0)).alias("n_null_statuses"),
-    )
+    ), df, key)
 
 
 def statuses_as_array(statuses: Column | str = "statuses", status: str = "status") -> Column:
@@ -171,7 +190,7 @@ def label_from_aggregates(any_positive: Column | str = _ANY_POSITIVE,
 
 def derive_label(df: DataFrame, key: str, status: str, label: str = "label") -> DataFrame:
     """Per key: the derived label (NULL = not judged yet)."""
-    g = keyed_rows(df, key).groupBy(key).agg(*label_aggregates(status))
+    g = _stored_key(keyed_rows(df, key).groupBy(keyed_by(df, key)).agg(*label_aggregates(status)), df, key)
     return g.select(key, label_from_aggregates().alias(label)).withMetadata(label, LABEL_TYPE.metadata)
 
 
@@ -184,11 +203,11 @@ def new_keys_only(df: DataFrame, target: DataFrame, key: str, target_key: str |
     repeated across a third of the target cannot pile up in one join task,
     and the join reuses that aggregate's hash partitioning. The planner (AQE)
     broadcasts the key set only when its measured size is under the
-    broadcast threshold and sort-merges otherwise.
+    broadcast threshold and sort-merges otherwise. ``CHAR`` keys meet without their padding.
     """
     tk = target_key or key
-    keys = target.select(F.col(tk).alias("__tkey")).distinct()
-    return df.join(keys, df[key] == keys["__tkey"], "left_anti")
+    keys = target.select(as_text(target.schema[tk]).alias("__tkey")).distinct()
+    return df.join(keys, as_text(df.schema[key], df[key]) == keys["__tkey"], "left_anti")
 
 
 # O6 -----------------------------------------------------------------------
@@ -222,7 +241,8 @@ def align_to(df: DataFrame, target_schema: T.StructType, strict: bool = True,
     given values and defaults alike: a value outside an enum domain, a NULL in
     a ``not_null`` column, a text longer than the declared length (blanks at
     its end are cut), or a row failing a column's ``check`` (NULL passes)
-    aborts the write.
+    aborts the write. Domains and lengths hold for the elements of arrays too.
+    ``CHAR`` values are stored padded, and rules see them without the padding.
     """
     have = set(df.columns)
     extra = [c for c in df.columns if c not in {f.name for f in target_schema.fields}]
@@ -239,13 +259,14 @@ def align_to(df: DataFrame, target_schema: T.StructType, strict: bool = True,
         cols.append(c.alias(f.name, metadata=f.metadata or {}))
     out = df.select(*cols)
     if enforce:  # on the rows as they will stand, defaults included
-        out = out.select(*[_enforce(f).alias(f.name, metadata=f.metadata or {}) for f in target_schema.fields])
+        fields = target_schema.fields
+        out = out.select(*[_typed(F.col(f.name), f.dataType, f.metadata, f.name).alias(f.name) for f in fields])
+        out = out.select(*[padded(f, _ruled(f)).alias(f.name, metadata=f.metadata or {}) for f in fields])
     return out
 
 
 NOT_NULL_KEY = "not_null"
 CHECK_KEY = "check"
-LENGTH_KEY = "char_length"
 
 
 def _not_null(c: Column, name: str) -> Column:
@@ -253,15 +274,33 @@ def _not_null(c: Column, name: str) -> Column:
     return F.when(c.isNull(), F.raise_error(msg)).otherwise(c)
 
 
-def _enforce(target: T.StructField) -> Column:
-    md, c = target.metadata or {}, F.col(target.name)
-    e = enum_of(target)
+def _limited(c: Column, n: int, name: str, blank_padded: bool) -> Column:
+    """Text of at most ``n`` characters: blanks beyond them are cut, those of ``CHAR`` mean nothing."""
+    long = F.raise_error(F.lit(f"value too long for {name}: at most {n} characters")).cast("string")
+    short = F.rtrim(c)
+    if blank_padded:
+        return F.when(F.length(short) <= n, short).when(c.isNotNull(), long)
+    return F.when(F.length(c) <= n, c).when(F.length(short) <= n, F.substring(c, 1, n)).when(c.isNotNull(), long)
+
+
+def _typed(c: Column, dtype: T.DataType, metadata: dict | None, name: str) -> Column:
+    """The value if its declared type admits it (enum domain, text length), ``CHAR`` unpadded;
+    the same for each element of an array, where NULL passes."""
+    md = metadata or {}
+    if isinstance(dtype, T.ArrayType):
+        inner = element_metadata(md)
+        return F.transform(c, lambda x: _typed(x, dtype.elementType, inner, f"an element of {name}")) if inner else c
+    e = enum_of(T.StructField(name, dtype, True, md))
     if e is not None:  # metadata on the input does not prove its values
-        c = e.checked(c, target.name)
-    if md.get(LENGTH_KEY) and isinstance(target.dataType, T.StringType):
-        n = int(md[LENGTH_KEY])
-        long = F.raise_error(F.lit(f"value too long for {target.name}: at most {n} characters")).cast("string")
-        c = F.when(F.length(c) <= n, c).when(F.length(F.rtrim(c)) <= n, F.substring(c, 1, n)).when(c.isNotNull(), long)
+        c = e.checked(c, name)
+    if md.get(LENGTH_KEY) and isinstance(dtype, T.StringType):
+        c = _limited(c, int(md[LENGTH_KEY]), name, char_width(dtype, md) is not None)
+    return c
+
+
+def _ruled(target: T.StructField) -> Column:
+    """The value if NOT NULL and the column's rule admit it."""
+    md, c = target.metadata or {}, F.col(target.name)
     if md.get(NOT_NULL_KEY):
         c = _not_null(c, target.name)
     if md.get(CHECK_KEY):
@@ -304,11 +343,12 @@ def sync_media_to_training(media: DataFrame, training: DataFrame, *, key: str =
         raise ValueError(f"columns not in media: {absent}")
     domains = {c: (enums or {}).get(c) or enum_of(media.schema[c]) for c in cols}
     domains = {c: e for c, e in domains.items() if e is not None}
-    grouped = keyed_rows(media, key).groupBy(key).agg(
+    grouped = keyed_rows(media, key).groupBy(keyed_by(media, key)).agg(
         *[domains[c].max_known(c).alias(c) if c in domains else max_of(media, c, enums, collation) for c in cols],
         *[F.max(F.when(e.out_of_domain(c), F.col(c))).alias(_BAD + c) for c, e in domains.items()],
         *label_aggregates(status),
     )
+    grouped = _keep_metadata(_stored_key(grouped, media, key), media, [key])
     labelled = grouped.withColumn("label", label_from_aggregates()).drop(_ANY_POSITIVE, _N_UNJUDGED, _N_ROWS)
     fresh = new_keys_only(labelled_only(labelled), training, key)
     fresh = fresh.withColumns({c: F.when(F.col(_BAD + c).isNull(), F.col(c)).otherwise(e.checked(_BAD + c, c))
@@ -371,9 +411,16 @@ def sync_into(store, schema: str = "atp", media: str = "media", training: str =
     """The sync as an INSERT: append the new rows to ``schema.training``; returns the count.
 
     Only the key column of the target is read; the append is one job whose
-    row count comes from an Observation.
+    row count comes from an Observation. The append lands on just the state the
+    anti-join read: a title that another sync brings meanwhile is left out, so two
+    syncs at once leave each title once, as two in a row would. (A database
+    table has its own constraints for that.)
     """
-    target = store.read(schema, training)
     key = kwargs.get("key", "imdb_id")
-    fresh = sync_media_to_training(store.read(schema, media), target.select(key), **kwargs)
-    return store.append(fresh, schema, training) or 0
+
+    def plan(target: DataFrame) -> DataFrame:
+        return sync_media_to_training(store.read(schema, media), target.select(key), **kwargs)
+
+    if hasattr(store, "append_planned"):
+        return store.append_planned(plan, schema, training, new_by=[key]) or 0
+    return store.append(plan(store.read(schema, training)), schema, training) or 0

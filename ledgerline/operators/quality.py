@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerline.functions.chars import text_view
 from ledgerline.functions.defaults import default_column
 from ledgerline.functions.enums import EnumType, enum_columns
 from ledgerline.functions.rows import empty_frame, literal_rows
@@ -47,10 +48,11 @@ def check_violations(df: DataFrame, rules: Sequence[Rule], table: str | None = N
     """Rows breaking each rule: ``(rule, violations)`` (plus ``table_name``).
 
     All rules are counted in one aggregate over one scan, then turned into
-    one row per rule with ``inline``.
+    one row per rule with ``inline``. Rules see ``CHAR`` values without their padding.
     """
     if not rules:
         raise ValueError("no rules")
+    df = text_view(df)
     aggs = [F.count_if(~r.predicate).alias(f"__r{i}") for i, r in enumerate(rules)]
     wide = df.agg(*aggs)
     entries = [F.struct(F.lit(r.name).alias("rule"), F.col(f"__r{i}").cast("long").alias("violations"))
@@ -78,6 +80,7 @@ def key_violations(df: DataFrame, key: Sequence[str], not_null: Sequence[str] =
     single-row aggregate over the per-key rows turns them into totals.
     """
     key = list(key)
+    df = text_view(df)  # CHAR keys that differ in blanks at the end are equal
     key_name = ",".join(key)
     nn = list(dict.fromkeys([*key, *not_null]))
     doms = dict(enum_columns(df.schema))

@@ -6,16 +6,19 @@ Layout in the store's backup schema (default ``bak``), one folder a day::
                                                       /metadata  one row
                                                       /mapping   one row per column
     bak/<schema>_<table>/snapshot_date=YYYYMMDD/_log/<n>.json    names the folder in force
+    bak/<schema>_<table>/_days/_log/<n>.json                     names the days
 
 Each day's rows keep their own schema (snapshots of different schema ages
 sit side by side). All three parts are written to a new folder first; the small
 log file, written last, makes them the day's snapshot at once. A backup that
-fails leaves the day as it was.
+fails leaves the day as it was. A new day goes on the list of days before it is
+published, so the list may name a day that never was, but lacks none.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import re
 from dataclasses import dataclass, field
 from typing import Iterable, Mapping
 
@@ -26,7 +29,7 @@ from ledgerline.functions.enums import EnumType, enum_columns, with_enum, withou
 from ledgerline.functions.rows import literal_rows
 from ledgerline.functions.time import yyyymmdd
 from ledgerline.sources import fs
-from ledgerline.sources.store import ConcurrentWrite, TableNotFound, TableStore
+from ledgerline.sources.store import RETRIES, ConcurrentWrite, TableNotFound, TableStore
 
 BACKUP_SCHEMA = "bak"
 PARTITION = "snapshot_date"
@@ -130,6 +133,31 @@ def snapshot_path(store: TableStore, names: SnapshotNames, kind: str = "data") -
     return f"{day}/{head.folders[0]}/{kind}" if head.folders else None
 
 
+def days_path(store: TableStore, schema: str, table: str, backup_schema: str = BACKUP_SCHEMA) -> str:
+    return f"{store.path(backup_schema, snapshot_names(schema, table, '00000000', backup_schema).base)}/_days"
+
+
+def announced_days(store: TableStore, schema: str, table: str, backup_schema: str = BACKUP_SCHEMA) -> list[str] | None:
+    """The list of days, oldest first: one listing and one small file. None if there is no list."""
+    head = store.head(days_path(store, schema, table, backup_schema))
+    return sorted(head.folders) if head.number else None
+
+
+def announce(store: TableStore, names: SnapshotNames) -> None:
+    """Put a day on the list; the first time, with the days that are there already."""
+    path = days_path(store, names.schema, names.table, names.backup_schema)
+    for _ in range(RETRIES):
+        head = store.head(path)
+        days = set(head.folders)
+        if not head.number:
+            base = fs.list_dirs(store.spark, store.path(names.backup_schema, names.base))
+            days = {d.removeprefix(f"{PARTITION}=") for d in base if re.fullmatch(rf"{PARTITION}=\d{{8}}", d)}
+        if names.date in days and head.number or store.publish(path, head, tuple(sorted(days | {names.date})), None):
+            store.vacuum(path)
+            return
+    raise ConcurrentWrite(f"the list of days of {names.schema}.{names.table} was changed by other backups {RETRIES} times")
+
+
 # O16 ----------------------------------------------------------------------
 @dataclass
 class BackupResult:
@@ -171,6 +199,7 @@ def backup_table(store, schema: str, table: str, date: str | _dt.date | None = N
     meta = backup_metadata(spark, day, schema, table, names.dated, created_at)
     bs._save(meta.coalesce(1), f"{path}/{folder}/metadata", False)
     bs._save(column_mapping(spark, src.schema).coalesce(1), f"{path}/{folder}/mapping", False)
+    announce(bs, names)
     if not bs.publish(path, head, (folder,), None):
         raise ConcurrentWrite(f"another backup of {schema}.{table} for {names.date} was published meanwhile")
     bs.vacuum(path)

@@ -18,13 +18,13 @@ from typing import Any, Iterable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from ledgerline.functions.chars import ELEMENT, KIND_KEY, LENGTH_KEY, char_width
 from ledgerline.functions.enums import EnumType
+from ledgerline.sources.keys import PRIMARY_KEY
 
 DEFAULT_KEY = "default"
 CHECK_KEY = "check"
-LENGTH_KEY = "char_length"
 NOT_NULL_KEY = "not_null"
-PRIMARY_KEY = "primary_key"
 
 # fixed values: database type names and their Spark types
 _SIMPLE_TYPES = {
@@ -71,7 +71,7 @@ def spark_type(type_name: str, enums: Mapping[str, EnumType]) -> tuple[T.DataTyp
     t = type_name.strip()
     if t.endswith("[]"):
         inner, md = spark_type(t[:-2], enums)
-        return T.ArrayType(inner), ({"element_" + k: v for k, v in md.items()} if md else {})
+        return T.ArrayType(inner), ({ELEMENT + k: v for k, v in md.items()} if md else {})
     if t in enums:
         return T.StringType(), enums[t].metadata
     u = t.upper()
@@ -79,7 +79,7 @@ def spark_type(type_name: str, enums: Mapping[str, EnumType]) -> tuple[T.DataTyp
         return _SIMPLE_TYPES[u], {}
     m = _SIZED.match(u)
     if m:
-        return T.StringType(), {LENGTH_KEY: int(m.group(2)), "char_kind": m.group(1)}
+        return T.StringType(), {LENGTH_KEY: int(m.group(2)), KIND_KEY: m.group(1)}
     m = _DECIMAL.match(u)
     if m:
         return T.DecimalType(int(m.group(2)), int(m.group(3))), {}
@@ -91,8 +91,14 @@ def default_expression(text: str) -> str:
     return _DEFAULT_EXPRESSIONS.get(text.strip(), _DEFAULT_EXPRESSIONS.get(text.strip().upper(), text.strip()))
 
 
-def check_expression(text: str) -> str:
-    """The Spark SQL form of a CHECK rule: the regex-match operator becomes RLIKE."""
+def check_expression(text: str, widths: Mapping[str, int] | None = None) -> str:
+    """The Spark SQL form of a CHECK rule: the regex-match operator becomes RLIKE.
+
+    Rules are given ``CHAR`` values without their padding, which is right for all but
+    pattern matches: ``widths`` names such columns, which are padded there.
+    """
+    for column, n in (widths or {}).items():
+        text = re.sub(rf"\b{re.escape(column)}(?=\s+(?:~|(?:NOT\s+)?LIKE\b))", f"rpad({column}, {n}, ' ')", text)
     return re.sub(r"\s~\s", " RLIKE ", text)
 
 
@@ -102,9 +108,11 @@ def schema_from_spec(spec: Mapping[str, Any], table: str, schema_key: str | None
     block = spec[schema_key] if schema_key else _first_schema_with(spec, table)
     enums = {e["name"]: EnumType(e["name"], tuple(e["values"])) for e in block.get("enums", [])}
     tdef = block["tables"][table]
+    types = {c["name"]: spark_type(c["type"], enums) for c in tdef["columns"]}
+    widths = {name: n for name, (dtype, md) in types.items() if (n := char_width(dtype, md)) is not None}
     fields, pk, nn, checks, enum_cols = [], [], [], [], {}
     for c in tdef["columns"]:
-        dtype, md = spark_type(c["type"], enums)
+        dtype, md = types[c["name"]]
         md = dict(md)
         cons = [x.upper() for x in c.get("constraints", [])]
         if "PRIMARY KEY" in cons:
@@ -117,7 +125,7 @@ def schema_from_spec(spec: Mapping[str, Any], table: str, schema_key: str | None
         if "default" in c:
             md[DEFAULT_KEY] = default_expression(c["default"])
         if "check" in c:
-            md[CHECK_KEY] = check_expression(c["check"])
+            md[CHECK_KEY] = check_expression(c["check"], widths)
             checks.append((c["name"], md[CHECK_KEY]))
         if c["type"] in enums:
             enum_cols[c["name"]] = enums[c["type"]]

@@ -12,21 +12,27 @@ write leaves only a folder that no file names. A writer whose number was taken
 meanwhile does not overwrite the other's work: an append is published again on
 top of it, a replacement made from an older state raises
 :class:`ConcurrentWrite`. :meth:`TableStore.vacuum` removes what is not named.
+
+A declared primary key holds on every append, see :mod:`ledgerline.sources.keys`: rows that
+repeat a key among themselves or one of the table raise :class:`DuplicateKeys` and
+nothing becomes visible, whoever appends at the same time.
 """
 
 from __future__ import annotations
 
 import json
 import uuid
-from dataclasses import dataclass
-from typing import Callable
+from dataclasses import dataclass, field
+from typing import Callable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerline.functions.chars import as_text
 from ledgerline.functions.rows import empty_frame
-from ledgerline.sources import fs
+from ledgerline.sources import fs, keys
+from ledgerline.sources.keys import DuplicateKeys, KeyIndex, key_rows, primary_key  # noqa: F401
 
 LOG = "_log"
 RETRIES = 20
@@ -42,11 +48,18 @@ class ConcurrentWrite(RuntimeError):
 
 @dataclass(frozen=True)
 class Head:
-    """The published state of a folder: 0 and nothing before the first write."""
+    """The published state of a folder: 0 and nothing before the first write.
+    ``depths``: folders with key files, and the depth of their filter."""
 
     number: int
     folders: tuple[str, ...] = ()
     schema: T.StructType | None = None
+    depths: dict[str, int] = field(default_factory=dict)
+
+    def added_to(self, old: Head) -> tuple[str, ...] | None:
+        """Folders that came since ``old`` by appends alone; None if the table was replaced."""
+        n = len(old.folders)
+        return self.folders[n:] if self.schema == old.schema and self.folders[:n] == old.folders else None
 
 
 class TableStore:
@@ -84,12 +97,14 @@ class TableStore:
             if text.endswith("\n"):  # a file still being written is not published yet
                 entry = json.loads(text)
                 struct = T.StructType.fromJson(entry["schema"]) if entry["schema"] else None
-                return Head(int(name[:-5]), tuple(entry["folders"]), struct)
+                return Head(int(name[:-5]), tuple(entry["folders"]), struct, entry.get("depths") or {})
         return Head(0)
 
-    def publish(self, path: str, after: Head, folders: tuple[str, ...], struct: T.StructType | None) -> bool:
+    def publish(self, path: str, after: Head, folders: tuple[str, ...], struct: T.StructType | None,
+                depths: dict[str, int] | None = None) -> bool:
         """Make ``folders`` the content of ``path``, if ``after`` is still its state."""
-        entry = {"folders": list(folders), "schema": json.loads(struct.json()) if struct is not None else None}
+        entry = {"folders": list(folders), "schema": json.loads(struct.json()) if struct is not None else None,
+                 "depths": {f: d for f, d in (depths or {}).items() if f in folders}}
         return fs.create_text(self.spark, f"{path}/{LOG}/{after.number + 1:010d}.json", json.dumps(entry) + "\n")
 
     def new_folder(self) -> str:
@@ -101,6 +116,9 @@ class TableStore:
         for d in fs.list_dirs(self.spark, path):
             if d.startswith("v-") and d not in head.folders:
                 gone += fs.delete(self.spark, f"{path}/{d}")
+        for d in fs.list_dirs(self.spark, f"{path}/{keys.FOLDER}"):
+            if d not in head.folders:
+                fs.delete(self.spark, f"{path}/{keys.FOLDER}/{d}")
         for n in fs.list_files(self.spark, f"{path}/{LOG}"):
             if n.endswith(".json") and n[:-5].isdigit() and int(n[:-5]) < head.number:
                 fs.delete(self.spark, f"{path}/{LOG}/{n}")
@@ -170,7 +188,7 @@ class TableStore:
         return True
 
     def append(self, df: DataFrame, schema: str, table: str, observe: bool = True,
-               after: Head | None = None) -> int | None:
+               after: Head | None = None, unique: bool = True, new_by: Sequence[str] | None = None) -> int | None:
         """Append rows by column name; returns the number appended.
 
         Rows are aligned to the table's schema first (an INSERT with a column
@@ -178,22 +196,96 @@ class TableStore:
         NULL, types are cast, constraints hold, and a column the table lacks is
         an error. All rows become visible at once. With ``after`` the table
         must still be in that state (what was checked against it holds).
+
+        The declared primary key holds unless ``unique`` is false: against the
+        folders that were there, and against those of appends that were
+        published meanwhile. ``new_by`` says that the rows are new by these
+        columns as of ``after``; if others appended since, the rows whose
+        key they brought are left out rather than refused.
         """
         from ledgerline.operators.labels import align_to
 
         path, head = self.path(schema, table), after or self._head_of(schema, table)
         df = align_to(df, head.schema)
         folder = self.new_folder()
-        rows = self._save(df, f"{path}/{folder}", observe)
-        for _ in range(RETRIES):
-            if self.publish(path, head, (*head.folders, folder), head.schema):
-                return rows
-            now = self._head_of(schema, table)
-            if after is not None or now.schema != head.schema:
-                break
-            head = now
+        key = primary_key(head.schema) if unique else []
+        index = KeyIndex(self.spark, path, key)
+        depths: dict[str, int] = {}
+        try:
+            rows = self._save(df, f"{path}/{folder}", observe)
+            if key:
+                depths = self._key_files(index, head, head.folders)
+                depths[folder] = index.add(folder, self._folder(path, folder, head))
+                index.refuse(folder, {f: depths[f] for f in head.folders})
+            for _ in range(RETRIES):
+                if self.publish(path, head, (*head.folders, folder), head.schema, {**head.depths, **depths}):
+                    return rows
+                now = self._head_of(schema, table)
+                added = now.added_to(head)
+                if now.schema != head.schema or after is not None and (added is None or not new_by):
+                    break
+                fresh = now.folders if added is None else added
+                if new_by and after is not None:
+                    folder, rows = self._leave_out(path, head, folder, fresh, list(new_by), rows)
+                if key:
+                    depths |= self._key_files(index, now, fresh)
+                    if folder not in depths:
+                        depths[folder] = index.add(folder, self._folder(path, folder, head))
+                    index.refuse(folder, {f: depths[f] for f in fresh})
+                head = now
+        except Exception:
+            self._discard(path, folder)
+            raise
+        self._discard(path, folder)
         raise ConcurrentWrite(f"{schema}.{table} was changed by another writer")
 
+    def append_planned(self, plan: Callable[[DataFrame], DataFrame], schema: str, table: str, observe: bool = True,
+                       new_by: Sequence[str] | None = None) -> int | None:
+        """Append ``plan(the table as it stands)``, on just the state that the plan read.
+
+        If another writer comes first the plan is made again from the new state; with
+        ``new_by`` (the plan's rows are new by these columns) rows staged before
+        others' appends are kept and only held against those appends. Either way
+        two runs at once leave what one after the other would have left.
+        """
+        for _ in range(RETRIES):
+            head = self._head_of(schema, table)
+            df = plan(self._load(self.path(schema, table), head))
+            try:
+                return self.append(df, schema, table, observe, after=head, new_by=new_by)
+            except ConcurrentWrite:
+                continue
+        raise ConcurrentWrite(f"{schema}.{table} was changed by other writers {RETRIES} times")
+
+    def _folder(self, path: str, folder: str, head: Head) -> DataFrame:
+        return self._load(path, Head(head.number, (folder,), head.schema))
+
+    def _key_files(self, index: KeyIndex, head: Head, folders: Sequence[str]) -> dict[str, int]:
+        """Depths of the folders' filters; those that a replacement wrote get their key files now."""
+        return {f: head.depths[f] if f in head.depths else index.add(f, self._folder(index.path, f, head), refuse=False)
+                for f in folders}
+
+    def _leave_out(self, path: str, head: Head, folder: str, added: Sequence[str], key: list[str],
+                   rows: int | None) -> tuple[str, int | None]:
+        """``folder`` without the rows whose key is in ``added``: itself, or a new folder."""
+        if not added:
+            return folder, rows
+        known = key_rows(self._load(path, Head(head.number, tuple(added), head.schema)), key).distinct()
+        own = self._folder(path, folder, head)
+        tagged = own.withColumns({f"__{c}": as_text(own.schema[c]) for c in key})
+        if tagged.join(known, [F.col(f"__{c}") == known[c] for c in key], "left_semi").isEmpty():
+            return folder, rows
+        left = tagged.join(known, [F.col(f"__{c}") == known[c] for c in key], "left_anti").select(*own.columns)
+        other = self.new_folder()
+        n = self._save(left, f"{path}/{other}", True)
+        self._discard(path, folder)
+        return other, n if rows is not None else None
+
+    def _discard(self, path: str, folder: str) -> None:
+        """Delete a folder that was not published."""
+        fs.delete(self.spark, f"{path}/{folder}")
+        fs.delete(self.spark, f"{path}/{keys.FOLDER}/{folder}")
+
     def rewrite(self, schema: str, table: str, fn: Callable[[DataFrame], DataFrame]) -> int:
         """Replace a table by a function of itself; raises if it was changed meanwhile."""
         path, head = self.path(schema, table), self._head_of(schema, table)

@@ -1,10 +1,12 @@
 import datetime as dt
 
+
 import pytest
 from pyspark.sql import types as T
 
 from ledgerline.functions.enums import enum_columns
 from ledgerline.operators import quality as Q
+from ledgerline.sources.keys import DuplicateKeys
 from ledgerline.sources.spec import check_expression, schema_from_spec
 from samples import MEDIA_SAMPLES, media_df, media_spec, spec
 
@@ -149,8 +151,11 @@ def test_appends_enforce_declared_constraints(spark, store):
     for rec, msg in cases:
         with pytest.raises(Exception, match=msg):
             store.append(media_df(spark, [rec]), "atp", "media")
-    # NULL passes a CHECK, as in SQL
-    assert store.append(media_df(spark, [dict(MEDIA_SAMPLES[0], release_year=None)]), "atp", "media") == 1
+    # NULL passes a CHECK, as in SQL (under a key of its own: the table's is held too)
+    other = dict(MEDIA_SAMPLES[0], release_year=None, hash="f" * 40)
+    with pytest.raises(DuplicateKeys):
+        store.append(media_df(spark, [dict(other, hash=MEDIA_SAMPLES[0]["hash"])]), "atp", "media")
+    assert store.append(media_df(spark, [other]), "atp", "media") == 1
     assert store.read("atp", "media").count() == 4
 
 

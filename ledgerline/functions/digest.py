@@ -56,7 +56,7 @@ def canonical(c: Column, dtype: T.DataType) -> Column:
     """Never NULL; equal just for values that are equal to ``GROUP BY``."""
     if isinstance(dtype, T.NullType):
         return F.lit(NULL)
-    return F.coalesce(_sized(_plain(c, dtype)), F.lit(NULL))
+    return F.when(c.isNull(), F.lit(NULL)).otherwise(_sized(_plain(c, dtype)))
 
 
 def row_digest(df: DataFrame, columns: Sequence[str] | None = None) -> Column:

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerline.functions.chars import KIND_KEY, LENGTH_KEY, as_text
 from ledgerline.functions.enums import EnumType, with_enum
 from ledgerline.operators import labels as L
 from ledgerline.operators import quality as Q
@@ -23,6 +24,8 @@ from ledgerline.plans.catalogue import (
     tags_text, training_keys,
 )
 from ledgerline.session import apply_session_defaults, scratch_dir
+from ledgerline.sources.keys import PRIMARY_KEY, DuplicateKeys
+from ledgerline.sources.spec import read_json_records, schema_from_spec
 from ledgerline.sources.store import TableStore
 
 FIXED_NOW = _dt.datetime(2025, 1, 1, 0, 0, 0)
@@ -143,6 +146,114 @@ def q_append_by_name(spark, sf_dir):
     return store.read("atp", "training")
 
 
+def _keyed(struct: T.StructType, key: str) -> T.StructType:
+    """``struct`` with ``key`` declared as its primary key."""
+    mark = {PRIMARY_KEY: True, "not_null": True}
+    return T.StructType([T.StructField(f.name, f.dataType, True, {**f.metadata, **mark} if f.name == key else f.metadata) for f in struct.fields])
+
+
+def q_append_unique(spark, sf_dir):
+    """O9 with a primary key: batches of orders, two of which repeat keys (one the
+    table's, one its own) and are refused; what each left in the table."""
+    o = _orders(spark, sf_dir)
+    store = _store(spark, "unique")
+    store.create("atp", "orders", _keyed(o.schema, "o_orderkey"))
+    status = F.col("o_orderstatus")
+    out = None
+    for step, batch in (("finished", o.where(status == "F")), ("all", o), ("others", o.where(~status.eqNullSafe("F"))), ("again", o.unionByName(o))):
+        try:
+            store.append(batch, "atp", "orders")
+            outcome = "appended"
+        except DuplicateKeys as e:
+            outcome = "repeats itself" if e.repeated else "repeats the table"
+        row = store.read("atp", "orders").agg(F.lit(step).alias("step"), F.lit(outcome).alias("outcome"), F.count(F.lit(1)).alias("rows"),
+                                              F.count_distinct("o_orderkey").alias("keys"), F.sum("o_custkey").alias("customers"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+class _OvertakenStore(TableStore):
+    """A store in which someone else syncs between the first sync's read and its append."""
+
+    def __init__(self, spark: SparkSession, root: str, other):
+        super().__init__(spark, root)
+        self.other = other
+
+    def publish(self, path, *args, **kwargs):
+        if self.other and path.endswith("/training"):
+            other, self.other = self.other, None
+            other()
+        return super().publish(path, *args, **kwargs)
+
+
+def q_sync_concurrent(spark, sf_dir):
+    """O10 as an append under concurrency: a sync is overtaken by one over half of the rows; each title
+    stands once, with the values of whoever came first."""
+    media = _media(spark, sf_dir)
+    how = {"key": "title_key", "status": "status", "columns": MEDIA_MAX_COLUMNS, "title": "title", "now": FIXED_NOW}
+    root = scratch_dir(spark, "concurrent")
+    plain = TableStore(spark, root)
+    plain.write(media, "atp", "media")
+    plain.write(media.where("l_linenumber <= 2"), "atp", "part")
+    fields = L.sync_media_to_training(media, training_keys(table(spark, sf_dir, "orders")), **how).schema.fields
+
+    def other():
+        L.sync_into(plain, media="part", **how)
+
+    store = _OvertakenStore(spark, root, None)
+    store.create("atp", "training", _keyed(T.StructType(fields), "title_key"))
+    store.other = other
+    L.sync_into(store, **how)
+    return _media_out(store.read("atp", "training").drop("created_at", "updated_at"))
+
+
+ELEMENT_LENGTH = 5
+
+
+def q_append_elements(spark, sf_dir):
+    """O9 with ``VARCHAR(5)[]``: blanks beyond the length are cut, a longer element refuses the batch."""
+    p = table(spark, sf_dir, "part")
+    words = F.transform(F.split("p_name", " "), lambda w: F.when(w != "red", F.concat(w, F.lit("   "))))
+    rows = p.select("p_partkey", words.alias("words"))
+    store = _store(spark, "elements")
+    md = {"element_char_length": ELEMENT_LENGTH, "element_char_kind": "VARCHAR"}
+    store.create("atp", "part", T.StructType([rows.schema["p_partkey"], T.StructField("words", T.ArrayType(T.StringType()), True, md)]))
+    fits = F.coalesce(F.forall("words", lambda w: F.length(F.rtrim(w)) <= ELEMENT_LENGTH), F.lit(True))
+    store.append(rows.where(fits), "atp", "part")
+    try:
+        store.append(rows.where(~fits), "atp", "part")
+    except Exception as e:  # noqa: BLE001 -- the refusal is what the query shows; anything else is raised
+        if "value too long for an element of words" not in str(e):
+            raise
+    return store.read("atp", "part").select("p_partkey", tags_text("words").alias("words"))
+
+
+def q_consolidate_char(spark, sf_dir):
+    """O2, O5 and O9 over ``CHAR(12)`` keys and values whose blanks at the end differ: groups, maxima,
+    lengths and joins do not see them."""
+    c = table(spark, sf_dir, "customer").withColumn(
+        "segment", F.concat("c_mktsegment", F.repeat(F.lit(" "), (F.col("c_custkey") % 3).cast("int"))))
+    md = {LENGTH_KEY: 12, KIND_KEY: "CHAR"}
+    struct = T.StructType([T.StructField("segment", T.StringType(), True, md), T.StructField("greatest", T.StringType(), True, md),
+                           T.StructField("c_acctbal", T.DoubleType())])
+    store = _store(spark, "char")
+    store.create("atp", "customer", struct)
+    store.append(c.select("segment", F.col("segment").alias("greatest"), "c_acctbal"), "atp", "customer")
+    live = store.read("atp", "customer")
+    taken = c.where("c_nationkey = 3").select(F.concat("c_mktsegment", F.lit("      ")).alias("segment", metadata={LENGTH_KEY: 20, KIND_KEY: "CHAR"}))
+    out = L.new_keys_only(L.consolidate_max(live, "segment"), taken.where("segment LIKE 'B%'"), "segment")
+    return out.withColumn("letters", F.length(as_text(struct["segment"])))
+
+
+def q_consolidate_collated(spark, sf_dir):
+    """O2 under a collation that does not tell capitals apart: text and arrays with NULL elements alike."""
+    p = table(spark, sf_dir, "part")
+    name = F.when(F.col("p_partkey") % 3 == 0, F.upper("p_name")).otherwise(F.col("p_name"))
+    words = F.transform(F.split(name, " "), lambda x: F.nullif(x, F.lit("red")))
+    a = p.select("p_brand", name.alias("name"), words.alias("words"))
+    return L.consolidate_max(a, "p_brand", collation="UTF8_LCASE").withColumn("words", tags_text("words"))
+
+
 def q_set_flag_all(spark, sf_dir):
     """Every row marked reviewed, by a staged rewrite of the table."""
     o = _orders(spark, sf_dir)
@@ -191,6 +302,19 @@ def q_latest_snapshot(spark, sf_dir):
     return df
 
 
+def q_restore_newest(spark, sf_dir):
+    """O16 + O18 + O22: backups of three days, the middle one last; the list of days finds the newest,
+    and its rows are restored under the primary key."""
+    o = _orders(spark, sf_dir)
+    store = _store(spark, "newest")
+    for day, rest in (("20250101", 0), ("20250103", 1), ("20250102", 2)):
+        store.write(o.where(F.col("o_orderkey") % 3 <= rest), "atp", "orders")
+        S.backup_table(store, "atp", "orders", day, created_at=FIXED_NOW)
+    store.create("atp", "orders", _keyed(o.schema, "o_orderkey"))
+    day = R.reload_table(store, "atp", "orders").date
+    return store.read("atp", "orders").withColumn("day", F.lit(day))
+
+
 def _target_schema(o: DataFrame) -> T.StructType:
     """The live table after a schema change: lost ``o_totalprice``, gained ``o_comment``."""
     fields = [f for f in o.schema.fields if f.name != "o_totalprice"]
@@ -224,7 +348,13 @@ def q_reload_round_trip(spark, sf_dir):
     changed = live.where("o_orderkey % 7 <> 0").unionByName(live.where("o_custkey % 11 = 0"))
     out = R.round_trip_diff(source, live).withColumn("compared", F.lit("restored")).unionByName(
         R.round_trip_diff(source, changed).withColumn("compared", F.lit("changed"))).unionByName(
-        R.keyed_diff(source, changed.distinct(), ["o_orderkey"]).withColumn("compared", F.lit("by key")))
+        R.keyed_diff(source, changed.distinct(), ["o_orderkey"]).withColumn("compared", F.lit("by key"))).unionByName(
+        R.digest_diff(source, changed).withColumn("compared", F.lit("by digest")))
+    # a microsecond more on some rows: different to every form
+    late = F.when(F.col("o_orderkey") % 13 == 0, F.col("o_orderdate") + F.expr("INTERVAL '0.000001' SECOND")).otherwise(F.col("o_orderdate"))
+    later = live.withColumn("o_orderdate", late)
+    for name, diff in (("a microsecond, by key", R.keyed_diff(source, later, ["o_orderkey"])), ("a microsecond, by digest", R.digest_diff(source, later))):
+        out = out.unionByName(diff.withColumn("compared", F.lit(name)))
     return out.withColumn("rows_inserted", F.lit(res.rows).cast("long"))
 
 
@@ -279,6 +409,27 @@ def q_key_violations(spark, sf_dir):
                             {"l_returnflag": EnumType("narrow_flag", ("R", "A")), "l_linestatus": LINE_STATUS})
 
 
+ORDERS_SPEC = {"atp": {
+    "enums": [{"name": e.name, "values": list(e.values)} for e in (ORDER_PRIORITY, ORDER_STATUS)],
+    "tables": {"orders": {"columns": [
+        {"name": "o_orderkey", "type": "BIGINT", "constraints": ["PRIMARY KEY"]}, {"name": "o_custkey", "type": "BIGINT"},
+        {"name": "o_orderstatus", "type": "order_status"}, {"name": "o_totalprice", "type": "DOUBLE PRECISION", "check": "o_totalprice >= 0"},
+        {"name": "o_orderdate", "type": "TIMESTAMP"}, {"name": "o_orderpriority", "type": "order_priority"},
+        {"name": "o_comment", "type": "VARCHAR(20)", "default": "'none'"}]}}}}
+
+
+def q_spec_json_load(spark, sf_dir):
+    """O25 + O26: orders as JSON lines, read back under a declared spec, defaults filled on append."""
+    o = table(spark, sf_dir, "orders")
+    path = scratch_dir(spark, "json")
+    o.write.json(path)
+    spec = schema_from_spec(ORDERS_SPEC, "orders")
+    store = _store(spark, "spec")
+    store.create("atp", "orders", spec.schema)
+    store.append(read_json_records(spark, path, spec).drop("o_comment"), "atp", "orders")
+    return store.read("atp", "orders")
+
+
 EVENT_DEFAULTS = T.StructType([
     T.StructField("value", T.DoubleType(), True, {"default": "0.0"}),
     T.StructField("status", T.StringType(), True, {"default": "'ingested'"}),
@@ -326,6 +477,11 @@ QUERIES = {
     "fill_title": q_fill_title,
     "stamp_utc": q_stamp_utc,
     "append_by_name": q_append_by_name,
+    "append_unique": q_append_unique,
+    "append_elements": q_append_elements,
+    "sync_concurrent": q_sync_concurrent,
+    "consolidate_char": q_consolidate_char,
+    "consolidate_collated": q_consolidate_collated,
     "set_flag_all": q_set_flag_all,
     "snapshot_copy": q_snapshot_copy,
     "snapshot_mapping": q_snapshot_mapping,
@@ -334,6 +490,8 @@ QUERIES = {
     "reconcile_columns": q_reconcile_columns,
     "restore_enums": q_restore_enums,
     "reload_round_trip": q_reload_round_trip,
+    "restore_newest": q_restore_newest,
+    "spec_json_load": q_spec_json_load,
     "backup_reload_all": q_backup_reload_all,
     "check_violations": q_check_violations,
     "key_violations": q_key_violations,

@@ -188,6 +188,12 @@ SELECT 'changed', count(*), count(*) FILTER (stays) + count(*) FILTER (twice),
        count(*) FILTER (NOT stays AND NOT twice), count(*) FILTER (stays AND twice), count(*) FROM o
 UNION ALL
 SELECT 'by key', count(*), count(*) FILTER (stays OR twice), count(*) FILTER (NOT stays AND NOT twice), 0, count(*) FROM o
+UNION ALL
+SELECT 'by digest', count(*), count(*) FILTER (stays) + count(*) FILTER (twice),
+       count(*) FILTER (NOT stays AND NOT twice), count(*) FILTER (stays AND twice), count(*) FROM o
+UNION ALL
+SELECT 'a microsecond, by ' || how, count(*), count(*), count(*) FILTER (o_orderkey % 13 = 0), count(*) FILTER (o_orderkey % 13 = 0), count(*)
+FROM orders, (VALUES ('key'), ('digest')) AS t(how) GROUP BY how
 """,
     "check_violations": "\nUNION ALL\n".join(_rules_sql("lineitem", LINEITEM_RULES_SQL)
                                           + _rules_sql("part", PART_RULES_SQL)),
@@ -240,3 +246,61 @@ SELECT 'backup', 'atp.absent', 'failed', NULL, 'TableNotFound: no table atp.abse
 UNION ALL
 SELECT 'reload', 'atp.absent', 'failed', NULL, 'SnapshotNotFound: bak holds no snapshot of atp.absent', NULL, NULL
 """
+
+ORACLE["append_unique"] = """
+WITH f AS (SELECT count(*) AS rows, count(DISTINCT o_orderkey) AS keys, CAST(sum(o_custkey) AS BIGINT) AS customers FROM orders WHERE o_orderstatus = 'F'),
+a AS (SELECT count(*) AS rows, count(DISTINCT o_orderkey) AS keys, CAST(sum(o_custkey) AS BIGINT) AS customers FROM orders)
+SELECT 'finished' AS step, 'appended' AS outcome, * FROM f
+UNION ALL SELECT 'all', 'repeats the table', * FROM f
+UNION ALL SELECT 'others', 'appended', * FROM a
+UNION ALL SELECT 'again', 'repeats itself', * FROM a
+"""
+
+# Whoever came first: titles judged by the first two lines keep their values, all others have those of every line.
+ORACLE["sync_concurrent"] = f"""
+WITH {MEDIA_CTE},
+first_lines AS (SELECT * FROM media WHERE l_linenumber <= 2),
+seen AS (SELECT title_key AS k, true AS early, * EXCLUDE (title_key) FROM first_lines UNION ALL SELECT title_key, false, * EXCLUDE (title_key) FROM media),
+tally AS (
+    SELECT k, early, count(*) FILTER (status IN ('accepted', 'override')) AS favoured,
+           count(*) FILTER (status = 'unfiltered') AS open, count(*) AS n
+    FROM seen WHERE k IS NOT NULL GROUP BY ALL
+),
+judged AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY early DESC) AS turn FROM tally WHERE favoured > 0 OR open < n)
+SELECT j.k AS title_key, if(any_value(j.favoured) > 0, 'would_watch', 'would_not_watch') AS label, coalesce(max(m.title), '') AS title,
+       max(m.l_partkey) AS l_partkey, max(m.l_suppkey) AS l_suppkey, max(m.l_linenumber) AS l_linenumber,
+       max(m.l_quantity) AS l_quantity, max(m.l_extendedprice) AS l_extendedprice,
+       max(m.l_discount) AS l_discount, max(m.l_tax) AS l_tax,
+       {FLAG_OF_RANK.format(r=f"max({FLAG_RANK})")} AS l_returnflag,
+       max(m.l_linestatus) AS l_linestatus, max(m.l_shipdate) AS l_shipdate,
+       {TAGS_TEXT.format(c="max(m.tags)")} AS tags
+FROM seen m JOIN judged j ON m.k = j.k AND m.early = j.early AND j.turn = 1
+GROUP BY j.k
+"""
+
+ORACLE["append_elements"] = f"""
+WITH w AS (SELECT p_partkey, list_transform(string_split(p_name, ' '), lambda x: nullif(x, 'red')) AS words FROM part)
+SELECT p_partkey, {TAGS_TEXT.format(c="list_transform(words, lambda x: (x || '   ')[1:5])")} AS words
+FROM w WHERE len(list_filter(words, lambda x: length(x) > 5)) = 0
+"""
+
+ORACLE["consolidate_char"] = """
+SELECT rpad(c_mktsegment, 12, ' ') AS segment, rpad(c_mktsegment, 12, ' ') AS greatest, max(c_acctbal) AS c_acctbal,
+       CAST(length(c_mktsegment) AS INTEGER) AS letters
+FROM customer c
+WHERE NOT EXISTS (FROM customer o WHERE o.c_nationkey = 3 AND o.c_mktsegment LIKE 'B%' AND o.c_mktsegment = c.c_mktsegment)
+GROUP BY c_mktsegment
+"""
+
+ORACLE["consolidate_collated"] = """
+WITH n AS (SELECT p_brand, if(p_partkey % 3 = 0, upper(p_name), p_name) AS name FROM part),
+k AS (
+    SELECT p_brand, {'k': lower(name), 'v': name} AS t,
+           list_transform(string_split(name, ' '), lambda x: {'n': x = 'red', 'k': if(x = 'red', '', lower(x)), 'v': if(x = 'red', '~', x)}) AS w
+    FROM n WHERE p_brand IS NOT NULL
+)
+SELECT p_brand, max(t).v AS name, array_to_string(list_transform(max(w), lambda x: x.v), '|') AS words FROM k GROUP BY p_brand
+"""
+
+ORACLE["restore_newest"] = "SELECT *, '20250103' AS day FROM orders WHERE o_orderkey % 3 <= 1"
+ORACLE["spec_json_load"] = "SELECT *, 'none' AS o_comment FROM orders"

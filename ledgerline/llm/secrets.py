@@ -11,9 +11,14 @@ positives.
 Transitions (a 128 x 128 table) and the dictionary (the ``DICTIONARY`` most frequent
 short words) are counted over all documents. The forest is fitted on at most
 ``TRAIN_FINDINGS`` labelled findings, those of the smallest hash. :func:`scan` takes
-any labelled findings; the query, which has no table of them, labels those that
-need no judgement: provider formats with their digits and assigned values
-of mixed characters are secrets, runs of letters that dictionary words cover are not.
+any labelled findings. The query has no table of them, so :func:`planted` makes them: into
+copies of at most ``PLANT_ROWS`` documents it writes secrets (keys in the providers'
+formats, random keys and passwords, with and without a telling name) and harmless look-alikes
+(words run together, names and paths, placeholders, digests and ids that are named as such).
+What is a secret is known from the planting alone, from none of the measures.
+
+The fitted forest is saved to the shared folder and loaded again: only its trees, and not
+the session its training summary holds, reach the tasks.
 
 Defined cases: a null text is empty and has no candidate; a null path counts as
 an unknown one; repeated rows each get their findings; without labelled
@@ -23,7 +28,9 @@ an empty result.
 
 from __future__ import annotations
 
+import base64
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -31,16 +38,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import documents, saved, text_of
+from ledgerline.session import scratch_dir
 
 DICTIONARY = 4000
 TRAIN_FINDINGS = 4000
+PLANT_ROWS = 1500         # documents that findings are planted in
 TREES, DEPTH = 20, 6
 WORDS_HELD = 400_000   # words a map task counts before it sends them on
 
@@ -157,16 +166,112 @@ def measures(text: str, path: str | None, a: int, b: int, rule: str, table: np.n
             float(path_kind(path)), float((path or "").count("/"))]
 
 
-def known_label(value: str, rule: str, m: list[float]) -> int | None:
-    """1 or 0 where no judgement is needed."""
-    cover, digits = m[FEATURES.index("coverage")], m[FEATURES.index("digits")]
-    if rule in PROVIDERS and (digits > 0 or rule == "private_key"):
-        return 1
-    if rule == "assigned" and 0.1 <= digits <= 0.95 and cover < 0.3:
-        return 1
-    if digits == 0 and cover >= 0.5:
-        return 0
-    return None
+# -- labelled findings ------------------------------------------------------------------------
+_UPPER, _DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+_ANY = _UPPER + _UPPER.lower() + _DIGITS
+_NAMES = ("token", "password", "api_key", "secret", "auth", "access_key", "db_password", "client-secret")
+
+
+def _of(rng: random.Random, letters: str, n: int) -> str:
+    return "".join(rng.choices(letters, k=n))
+
+
+def a_secret(rng: random.Random) -> tuple[str, bool]:
+    """A made-up secret, and whether its own form tells what it is."""
+    kind = rng.randrange(10)
+    if kind == 0:
+        return rng.choice(("AKIA", "ASIA")) + _of(rng, _UPPER + "234567", 16), True
+    if kind == 1:
+        return f"gh{rng.choice('pousr')}_" + _of(rng, _ANY, rng.choice((36, 40, 76))), True
+    if kind == 2:
+        return f"xox{rng.choice('abp')}-{_of(rng, _DIGITS, 11)}-{_of(rng, _ANY, 24)}", True
+    if kind == 3:
+        part = lambda n: base64.urlsafe_b64encode(rng.randbytes(n)).decode().rstrip("=")
+        return f"eyJ{part(18)}.eyJ{part(rng.randrange(20, 90))}.{part(32)}", True
+    if kind == 4:
+        return f"-----BEGIN {rng.choice(('', 'RSA ', 'EC '))}PRIVATE KEY-----", True
+    if kind < 7:
+        return rng.randbytes(rng.choice((12, 16, 20, 24, 32))).hex(), False
+    if kind == 7:
+        return base64.b64encode(rng.randbytes(rng.randrange(18, 60))).decode(), False
+    if kind == 8:
+        return _of(rng, _ANY, rng.randrange(20, 48)), False
+    return _of(rng, _ANY + "!#$%&*+-?@^_~", rng.randrange(10, 20)), False
+
+
+def _wordy(rng: random.Random, words: list[str], least: int, joint: str) -> str:
+    out = rng.choice(words)
+    while len(out) < least:
+        out += joint + rng.choice(words)
+    return out
+
+
+def a_lookalike(rng: random.Random, words: list[str]) -> str:
+    """A harmless value, in its surroundings."""
+    kind = rng.randrange(9)
+    run = _wordy(rng, words, rng.randrange(20, 34), "")
+    if kind < 3:
+        return run if rng.random() < 0.7 else run.capitalize() if rng.random() < 0.5 else run.upper()
+    if kind == 3:
+        return _wordy(rng, words, 20, rng.choice("_-/"))
+    if kind == 4:
+        return f"{rng.choice(_NAMES)} = {rng.choice(('get_', 'read-', ''))}{_wordy(rng, words, 8, rng.choice('_-'))}"
+    if kind == 5:
+        return f"{rng.choice(_NAMES)}: {rng.choice(('x' * rng.randrange(8, 40), '*' * 12, 'changeme', 'your-' + rng.choice(words) + '-here', '12345678', '<' + run + '>'))}"
+    if kind == 6:
+        return rng.choice(("=", "-", "_", "0", "A")) * rng.randrange(20, 80)
+    if kind == 7:
+        return f"{rng.choice(('commit', 'sha', 'md5', 'checksum', 'hash'))} {rng.randbytes(rng.choice((16, 20, 32))).hex()}"
+    h = rng.randbytes(16).hex()
+    return f"uuid {h[:8]}-{h[8:12]}-{h[12:16]}-{h[16:20]}-{h[20:]}"
+
+
+def plant(text: str, rng: random.Random, words: list[str]) -> tuple[str, list[tuple[int, int, int]]]:
+    """The text with a secret and a look-alike between its words, and (start, end, label) of both."""
+    spans, pieces, at = [], [], 0
+    gaps = [0, *[m.end() for m in re.finditer(r"\s", text)]]
+    for place, label in sorted(zip((rng.choice(gaps), rng.choice(gaps)), rng.sample((0, 1), 2))):
+        if label:
+            value, plain = a_secret(rng)
+            if not plain and (len(value) < 20 or rng.random() < 0.6):
+                value = f"{rng.choice(_NAMES)}{rng.choice((' = ', '=', ': '))}" + rng.choice(("{}", "'{}'", '"{}"')).format(value)
+        else:
+            value = a_lookalike(rng, words)
+        pieces += [text[at:place], value, " "]
+        start = sum(map(len, pieces[:-2]))
+        spans.append((start, start + len(value), label))
+        at = place
+    return "".join([*pieces, text[at:]]), spans
+
+
+def _plant(table: np.ndarray, words: frozenset, rounds: int):
+    own = sorted(w for w in words if len(w) > 2) or ["alpha", "beta", "gamma", "delta", "river", "table"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = []
+            for d, text, path in zip(*(b.column(c).to_pylist() for c in ("doc_id", "_q_text", "path"))):
+                for k in range(rounds):
+                    rng = random.Random(zlib.crc32(f"{d}:{k}".encode()))
+                    new, spans = plant(text, rng, own)
+                    for s, e, rule in candidates(new):
+                        label = next((y for a, z, y in spans if a <= s and e <= z), None)
+                        if label is not None:
+                            rows.append((d, s, e, rule, label, *measures(new, path, s, e, rule, table, words)))
+            yield _batch(rows, label=True)
+
+    return run
+
+
+# -- scan -------------------------------------------------------------------------------------
+_SPAN = "doc_id long, start long, `end` long, rule string"
+_MEASURES = ", ".join(f"{f} double" for f in FEATURES)
+
+
+def _batch(rows: list[tuple], label: bool) -> pa.RecordBatch:
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), *[pa.int32()] * label, *[pa.float64()] * len(FEATURES)]
+    cols = list(zip(*rows)) if rows else [[]] * len(kinds)
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["doc_id", "start", "end", "rule", *["label"] * label, *FEATURES])
 
 
 def _find(table: np.ndarray, words: frozenset):
@@ -175,23 +280,29 @@ def _find(table: np.ndarray, words: frozenset):
             rows = []
             for d, text, path in zip(*(b.column(c).to_pylist() for c in ("doc_id", "_q_text", "path"))):
                 for s, e, rule in candidates(text):
-                    m = measures(text, path, s, e, rule, table, words)
-                    rows.append((d, s, e, rule, known_label(text[s:e], rule, m), *m))
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int32(), *[pa.float64()] * len(FEATURES)]
-            cols = list(zip(*rows)) if rows else [[]] * len(kinds)
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
-                                             ["doc_id", "start", "end", "rule", "known", *FEATURES])
+                    rows.append((d, s, e, rule, *measures(text, path, s, e, rule, table, words)))
+            yield _batch(rows, label=False)
 
     return run
 
 
-def find(docs: DataFrame, path: str = "source") -> DataFrame:
-    """Candidates of all documents with their measures, and ``known`` labels."""
-    table, words = statistics(docs)
+def _rows(docs: DataFrame, path: str) -> DataFrame:
     where = F.col(path).cast("string") if path in docs.columns else F.lit(None).cast("string")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("_q_text"), where.alias("path"))
-    schema = "doc_id long, start long, `end` long, rule string, known int, " + ", ".join(f"{f} double" for f in FEATURES)
-    return saved(rows.mapInArrow(_find(table, words), schema), "candidates")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("_q_text"), where.alias("path"))
+
+
+def find(docs: DataFrame, stats: tuple[np.ndarray, frozenset], path: str = "source") -> DataFrame:
+    """Candidates of all documents with their measures; ``stats`` from :func:`statistics`."""
+    return saved(_rows(docs, path).mapInArrow(_find(*stats), f"{_SPAN}, {_MEASURES}"), "candidates")
+
+
+def planted(docs: DataFrame, stats: tuple[np.ndarray, frozenset], path: str = "source", limit: int = PLANT_ROWS) -> DataFrame:
+    """Labelled findings planted in copies of the ``limit`` documents of the smallest hash (of fewer, each several times)."""
+    rows = _rows(docs, path)
+    chosen = saved(rows.select(F.xxhash64("doc_id", "_q_text").alias("h")).distinct().orderBy("h").limit(limit), "hosts")
+    rounds = min(200, -(-TRAIN_FINDINGS // (2 * max(1, chosen.count()))))
+    hosts = rows.withColumn("h", F.xxhash64("doc_id", "_q_text")).join(F.broadcast(chosen), "h").dropDuplicates(["h"])  # 8 bytes a row
+    return saved(hosts.select("doc_id", "_q_text", "path").mapInArrow(_plant(*stats, rounds), f"{_SPAN}, label int, {_MEASURES}"), "planted")
 
 
 def scan(found: DataFrame, labelled: DataFrame, limit: int = TRAIN_FINDINGS) -> DataFrame:
@@ -204,11 +315,14 @@ def scan(found: DataFrame, labelled: DataFrame, limit: int = TRAIN_FINDINGS) ->
         return found.select(*out, F.lit(1.0).alias("score"), F.lit(1).alias("is_secret"))
     vector = VectorAssembler(inputCols=list(FEATURES), outputCol="_q_x")
     forest = RandomForestClassifier(featuresCol="_q_x", labelCol="label", numTrees=TREES, maxDepth=DEPTH, seed=7)
-    model = forest.fit(vector.transform(sample.withColumn("label", F.col("label").cast("double"))))
+    path = scratch_dir(found.sparkSession, "forest")
+    forest.fit(vector.transform(sample.withColumn("label", F.col("label").cast("double")))).save(path)
+    model = RandomForestClassificationModel.load(path)
     scored = model.transform(vector.transform(found)).withColumn("score", vector_to_array("probability")[1])
     return scored.select(*out, "score", (F.col("score") >= 0.5).cast("int").alias("is_secret"))
 
 
 def op2_secret_scan(spark, sf_dir):
-    found = find(documents(spark, sf_dir))
-    return scan(found, found.where("known IS NOT NULL").withColumn("label", F.col("known")))
+    docs = documents(spark, sf_dir)
+    stats = statistics(docs)
+    return scan(find(docs, stats), planted(docs, stats))

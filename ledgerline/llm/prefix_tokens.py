@@ -6,15 +6,17 @@ encoding is the right one exactly if each two neighbouring tokens are the
 encoding of their joint text, so last(i) is the one vocabulary entry t that
 ends at i and is compatible with last(i - |t|), and count(i) = count(i - |t|) + 1.
 Vocabulary entries with a word end are tried separately, as the end of the
-prefix, on top of the open prefix before them. A worker remembers the totals of
-pre-tokens and runs, and the counts before each run of a text are summed once. The
-total is a look-up; the count at any code point and the longest prefix within a
-budget need the table of one run besides: no text is encoded again.
-
-Defined cases: a null text is empty and has no tokens; added-token strings are
-one token each, as the library's default has it; texts with combining marks, jamo
-or control spaces (where normalisation looks across code points) are counted
-by the library, prefix by prefix when such a prefix is asked for.
+prefix, on top of the open prefix before them. A worker remembers the table of each
+pre-token: last token and count at every prefix. The counts before each run of a
+text are summed once. Total, count at any code point and longest prefix within a
+budget are look-ups in these tables (closing a prefix is one step more): no text is encoded again.
+
+A text with added-token strings is cut at them (one token each, as the library's default
+has it); only a prefix that ends inside such a string reads its beginning as plain text.
+
+Defined cases: a null text is empty and has no tokens; the control characters 0x1C to 0x1F are
+no white space to the tokenizer; runs with combining marks or jamo, where normalisation looks
+across code points, are counted by the library, a prefix from the start of its last pre-token.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
+from array import array
 from bisect import bisect_right
 from collections.abc import Iterator
 from itertools import accumulate
@@ -37,6 +40,7 @@ KEEP = 250_000    # pre-tokens, and runs, remembered by a worker in each of two
 PAIRS = 1_000_000
 LIMIT = 2048
 END = "</w>"
+_RUN = re.compile(r"[\S\x1c-\x1f]+")
 _LOW = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
 
 
@@ -62,10 +66,11 @@ class PrefixCounter:
         self.open = {t: i for t, i in ids.items() if not t.endswith(END)}
         self.tok = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
-        self.pieces = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+        self.added = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
+        self.pieces = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|(?:[^\s\p{L}\p{N}]|[\x1c-\x1f])+")
         self.fits: dict[int, bool] = {}
         self.alone: dict[int, bool] = {}
-        self.words = Memo(self.piece_total, KEEP)
+        self.words = Memo(self.piece, KEEP)
         self.chunks = Memo(self.run_total, KEEP)
 
     def fit(self, a: int, b: int) -> bool:
@@ -86,48 +91,13 @@ class PrefixCounter:
             else:       # ... or earlier
                 limit, b = y + 1, outer
 
-    def word(self, s: str, bounds) -> tuple | bytes:
-        """Counts of the closed prefixes of ``s`` (byte stand-ins) at ``bounds``."""
-        longest, fits, n, opened, closed = self.longest, self.fits, self.size, self.open, self.closed
-        last, count, out = [-1], [0], []
-        if len(fits) > PAIRS:
-            fits.clear()
-        at = set(bounds)
-        for i in range(1, len(s) + 1):
-            for entries in ((opened, closed) if i in at else (opened,)):
-                for w in range(1, min(i, longest) + 1):
-                    t = entries.get(s[i - w:i])
-                    if t is None:
-                        continue
-                    before = last[i - w]
-                    if before >= 0:
-                        key = before * n + t
-                        ok = fits.get(key)
-                        if ok is None:
-                            ok = fits[key] = self.fit(before, t)
-                        if not ok:
-                            continue
-                    elif w < i or self.made[t][0] >= 0 and not self.whole(t):
-                        continue
-                    if entries is opened:
-                        last.append(t)
-                        count.append(count[i - w] + 1)
-                    else:
-                        out.append(count[i - w] + 1)
-                    break
-                else:
-                    raise ValueError(f"no encoding of {s[:i]!r}")
-        return bytes(out) if out[-1] < 256 and max(out) < 256 else tuple(out)
-
-    def total(self, s: str) -> int:
-        """Tokens of a pre-token: the counts of its open prefixes, and the closed end."""
+    def table(self, s: str) -> tuple[str, array, array, int]:
+        """A pre-token (byte stand-ins), last token and count at each of its prefixes, and its tokens as a whole."""
         fits, n, entry = self.fits, self.size, self.open.get
-        last, count, size = [-1], [0], len(s)
+        last, count = [-1], [0]
         if len(fits) > PAIRS:
             fits.clear()
-        for i in range(1, size + 1):
-            if i == size:
-                entry = self.closed.get
+        for i in range(1, len(s) + 1):
             j = i
             while j:
                 j -= 1
@@ -146,22 +116,56 @@ class PrefixCounter:
                     last.append(t)
                     count.append(count[j] + 1)
                     break
-                if i - j > self.longest:
-                    raise ValueError(f"no encoding of {s[:i]!r}")
             else:
                 raise ValueError(f"no encoding of {s[:i]!r}")
-        return count[-1]
+        held = s, array("i", last), array("i", count)
+        return *held, self.closed_at(*held, len(s))
+
+    def closed_at(self, s: str, last, count, i: int) -> int:
+        """Tokens of the first ``i`` bytes as a pre-token of their own: a step from the open prefixes."""
+        fits, n, entry = self.fits, self.size, self.closed.get
+        for j in range(i - 1, -1, -1):
+            t = entry(s[j:i])
+            if t is None:
+                continue
+            before = last[j]
+            if before >= 0:
+                key = before * n + t
+                ok = fits.get(key)
+                if ok is None:
+                    ok = fits[key] = self.fit(before, t)
+            else:
+                ok = self.made[t][0] < 0 or self.whole(t)
+            if ok:
+                return count[j] + 1
+        raise ValueError(f"no encoding of {s[:i]!r}")
+
+    def piece(self, p: str) -> tuple:
+        return self.table(p if p.isascii() and p.isalnum() else stand_ins(p))
+
+    def at(self, p: str, n: int, held: tuple | None = None) -> int:
+        """Tokens of the first ``n`` code points of a pre-token; ``held``: its table, if at hand."""
+        s, last, count, total = held or self.words[p]
+        if n == len(p):
+            return total
+        if p in ("'re", "'ve", "'ll"):  # cut short it is an apostrophe and a letter
+            return n
+        return self.closed_at(s, last, count, n if p.isascii() else len(p[:n].encode()))
 
-    def piece_total(self, p: str) -> int:
-        return self.total(p if p.isascii() and p.isalnum() else stand_ins(p))
+    def longest_start(self, p: str, budget: int) -> int:
+        """Code points of the longest beginning of a pre-token of at most ``budget`` tokens."""
+        held = self.words[p]  # long ones are not remembered
+        count = held[2]
+        reach = max((j for j in range(len(count)) if count[j] < budget), default=0) + self.longest  # closing spans one entry
+        return next((n for n in range(min(len(p), reach), 0, -1) if self.at(p, n, held) <= budget), 0)
 
     def run_total(self, c: str) -> int:
         if c.isascii() and c.isalpha():
-            return self.words[c.lower()]
+            return self.words[c.lower()][-1]
         if c[-1] in ".," and c[:-1].isascii() and c[:-1].isalpha():
-            return self.words[c[:-1].lower()] + self.words[c[-1]]
+            return self.words[c[:-1].lower()][-1] + self.words[c[-1]][-1]
         if _PLAIN.match(c):
-            return sum([self.words[p] for p in _LOW.findall(c.lower())])
+            return sum([self.words[p][-1] for p in _LOW.findall(c.lower())])
         return len(self.tok.encode(c, add_special_tokens=False))
 
     def whole(self, t: int) -> bool:
@@ -190,86 +194,126 @@ class PrefixCounter:
             else:
                 limit, b = min(limit, y + 1), outer
 
-    def piece(self, p: str) -> tuple | bytes:
-        """Counts after each code point of a pre-token."""
-        if p in ("'re", "'ve", "'ll"):  # cut short it is an apostrophe and a letter
-            return (1, 2, self.word(stand_ins(p), [3])[0])
-        if p.isascii():
-            return self.word(p if p.isalnum() else stand_ins(p), range(1, len(p) + 1))
-        return self.word(stand_ins(p), list(accumulate(len(c.encode()) for c in p)))
-
-    def chunk(self, c: str):
-        """Counts after each code point of a run without white space, or, where
-        a prefix's normal form depends on what follows, only the total."""
-        plain = c.isascii() and c.isalpha()
-        if plain:
-            return self.piece(c.lower())
-        plain = _PLAIN.match(c) is not None
-        if plain:
-            pieces = _LOW.findall(c.lower())
-        else:
-            if any(unicodedata.category(x)[0] == "M" or 0x1100 <= ord(x) <= 0x11FF for x in c) \
-                    or unicodedata.normalize("NFC", c) != c or any(len(x.lower()) != 1 for x in c):
-                return len(self.tok.encode(c, add_special_tokens=False))
-            pieces = self.pieces.findall("".join(x.lower() for x in c))
-        out, base = [], 0
-        for p in pieces:
-            got = self.piece(p)
-            out += [base + k for k in got] if base else got
-            base += got[-1]
-        if not plain and (len(out) != len(c) or base != len(self.tok.encode(c, add_special_tokens=False))):
-            return len(self.tok.encode(c, add_special_tokens=False))
-        return bytes(out) if base < 256 else tuple(out)
+    def split(self, c: str) -> list[str] | None:
+        """Pre-tokens of a run without white space; None where a prefix's normal form depends on what follows."""
+        if c.isascii() and c.isalpha():
+            return [c.lower()]
+        if _PLAIN.match(c):
+            return _LOW.findall(c.lower())
+        if any(unicodedata.category(x)[0] == "M" or 0x1100 <= ord(x) <= 0x11FF for x in c) \
+                or unicodedata.normalize("NFC", c) != c or any(len(x.lower()) != 1 for x in c):
+            return None
+        pieces = self.pieces.findall("".join(x.lower() for x in c))
+        if sum(map(len, pieces)) != len(c) or sum(self.words[p][-1] for p in pieces) != len(self.tok.encode(c, add_special_tokens=False)):
+            return None
+        return pieces
 
     def index(self, text: str) -> PrefixIndex:
         return PrefixIndex(self, text)
 
 
 class PrefixIndex:
-    """Counts at every code-point prefix of one text."""
+    """Counts at every code-point prefix of one text: its runs, where they start, and the tokens before each.
+    Added-token strings are runs of their own."""
 
     def __init__(self, counter: PrefixCounter, text: str):
         self.counter, self.text = counter, text
-        self.odd = any(s in text for s in counter.special) or _CONTROL_SPACE.search(text) is not None
-        self.runs = [] if self.odd else text.split()
-        self.before = list(accumulate(map(counter.chunks.__getitem__, self.runs), initial=0))
-        self.total = len(counter.tok.encode(text, add_special_tokens=False)) if self.odd else self.before[-1]
-        self._starts: list[int] | None = None
+        self.added: set[int] = set()
+        self.starts: list[int] | None = None
+        if any(s in text for s in counter.special) or _CONTROL_SPACE.search(text):
+            self.runs, self.starts, at = [], [], 0
+            for k, part in enumerate(counter.added.split(text) if counter.added else [text]):
+                if k % 2:
+                    self.added.add(len(self.runs))
+                for m in [re.match(r"(?s).*", part)] if k % 2 else _RUN.finditer(part):
+                    self.runs.append(m[0])
+                    self.starts.append(at + m.start())
+                at += len(part)
+            totals = (1 if k in self.added else counter.chunks[r] for k, r in enumerate(self.runs))
+        else:
+            self.runs = text.split()
+            totals = map(counter.chunks.__getitem__, self.runs)
+        self.before = list(accumulate(totals, initial=0))
+        self.total = self.before[-1]
+        self._held: tuple = (None, None)
 
     def _at(self) -> list[int]:
-        if self._starts is None:
-            self._starts = [m.start() for m in re.finditer(r"\S+", self.text)]
-        return self._starts
+        if self.starts is None:
+            self.starts = [m.start() for m in re.finditer(r"\S+", self.text)]
+        return self.starts
+
+    def _inside(self, k: int, n: int) -> int:
+        """Tokens of the first ``n`` code points of run ``k``, and of what is before them."""
+        run = self.runs[k]
+        if n >= len(run):
+            return self.before[k + 1]
+        if not n:
+            return self.before[k]
+        if k in self.added:  # a part of such a string is plain text, joined with the run it touches
+            touches = k and k - 1 not in self.added and self.starts[k - 1] + len(self.runs[k - 1]) == self.starts[k]
+            head = self.runs[k - 1] if touches else ""
+            text = head + run[:n]
+            return self.before[k - 1 if touches else k] + len(self.counter.tok.encode(text, add_special_tokens=False))
+        return self.before[k] + self._tokens(run, n)
+
+    def _parts(self, run: str) -> tuple[list, list, bool]:
+        """Where the pre-tokens of a run start, the tokens before each, and whether the library has to count inside them."""
+        c = self.counter
+        pieces = c.split(run)
+        if pieces is not None:
+            return [0, *accumulate(map(len, pieces))], [0, *accumulate(c.words[p][-1] for p in pieces)], False
+        e, starts, tokens, end = c.tok.encode(run, add_special_tokens=False), [0], [0], 0
+        for i, (a, z) in enumerate(e.offsets):
+            if i and e.word_ids[i] != e.word_ids[i - 1] and a >= end and run[a - 1] != "'":  # no code point is shared, no contraction can arise
+                starts.append(a)
+                tokens.append(i)
+            end = max(end, z)
+        return [*starts, len(run)], [*tokens, len(e.ids)], True
+
+    def _part(self, run: str, a: int, n: int, z: int, by_library: bool) -> int:
+        """Tokens of ``run[a:n]``, the beginning of the pre-token ``run[a:z]``."""
+        c = self.counter
+        return len(c.tok.encode(run[a:n], add_special_tokens=False)) if by_library else c.at("".join(x.lower() for x in run[a:z]), n - a)
+
+    def _look(self, run: str) -> tuple[list, list, bool]:
+        if self._held[0] is not run:
+            self._held = run, self._parts(run)
+        return self._held[1]
+
+    def _tokens(self, run: str, n: int) -> int:
+        """Tokens of the first ``n`` code points of a run."""
+        starts, tokens, by_library = self._look(run)
+        k = min(bisect_right(starts, n - 1), len(starts) - 1) - 1
+        return tokens[k] + (self._part(run, starts[k], n, starts[k + 1], by_library) if n < starts[k + 1] or by_library else tokens[k + 1] - tokens[k])
+
+    def _longest(self, run: str, budget: int) -> int:
+        """Code points of the longest beginning of a run of at most ``budget`` tokens; the run has more."""
+        starts, tokens, by_library = self._look(run)
+        k = bisect_right(tokens, budget) - 1  # the first pre-token that does not fit whole
+        a, z, left = starts[k], starts[k + 1], budget - tokens[k]
+        if by_library:
+            return next(n for n in range(z, a - 1, -1) if n == a or self._part(run, a, n, z, True) <= left)
+        return a + self.counter.longest_start("".join(x.lower() for x in run[a:z]), left)
 
     def count(self, i: int) -> int:
         """Tokens of ``text[:i]``."""
         if i >= len(self.text):
             return self.total
-        if self.odd:
-            return len(self.counter.tok.encode(self.text[:i], add_special_tokens=False))
-        starts = self._at()
-        k = bisect_right(starts, i - 1) - 1
-        if k < 0:
-            return 0
-        t, inside = self.counter.chunk(self.runs[k]), i - starts[k]
-        if type(t) is int:
-            run = self.text[starts[k]:i].rstrip()
-            return self.before[k] + len(self.counter.tok.encode(run, add_special_tokens=False))
-        return self.before[k] + t[min(inside, len(t)) - 1]
+        k = bisect_right(self._at(), i - 1) - 1
+        return self._inside(k, i - self.starts[k]) if k >= 0 else 0
 
     def fit(self, budget: int) -> int:
         """Length of the longest prefix of at most ``budget`` tokens."""
         if self.total <= budget:
             return len(self.text)
-        if self.odd:  # counts of these few texts may rise and fall: look from the end
-            return next(i for i in range(len(self.text), -1, -1) if self.count(i) <= budget)
-        k = bisect_right(self.before, budget) - 1  # the first run that does not fit whole
-        starts = self._at()
-        end = starts[k]
-        t = self.counter.chunk(self.runs[k])
-        size = len(re.compile(r"\S+").match(self.text, end)[0])
-        return next(i for i in range(end + size, end - 1, -1)
-                    if i == end or (self.count(i) if type(t) is int else self.before[k] + t[i - end - 1]) <= budget)
+        k, starts = bisect_right(self.before, budget) - 1, self._at()  # the first run that does not fit whole
+        if k + 1 in self.added:  # cut short, the string after it may leave fewer tokens
+            for n in range(len(self.runs[k + 1]) - 1, 0, -1):
+                if self._inside(k + 1, n) <= budget:
+                    return starts[k + 1] + n
+        if k in self.added:
+            return starts[k] + next(n for n in range(len(self.runs[k]), -1, -1) if self._inside(k, n) <= budget)
+        return starts[k] + self._longest(self.runs[k], budget - self.before[k])
 
 
 _COUNTERS: dict[str, PrefixCounter] = {}

@@ -1,6 +1,7 @@
 """Token ids, prefix counts and the code files against the library itself."""
 
 import random
+import time
 import zlib
 
 import numpy as np
@@ -76,6 +77,28 @@ def test_counts_at_every_prefix_on_any_mix(t):
     check_prefixes(prefix_tokens.counter(WORD), t)
 
 
+SPECIAL = ["a<|endoftext|>b", "<|endoftext|>", "the <|endoftext|> the", "!!<|startoftext|><|endoftext|>!!<|endofte", "x\x1cy \x1d z", "\x1f\x1f <|endoftext|>\x1e",
+           "e\u0301<|endoftext|>\u0301e", "İa İstanbul xİ", "=\u0338=", "a,b;c" * 5 + "<|endoftext|>"]
+
+
+def test_counts_around_added_tokens_and_control_characters():
+    c = prefix_tokens.counter(WORD)
+    rng = random.Random(4)
+    for t in SPECIAL + ["".join(rng.choice([*SPECIAL, " ", "the", "'ll", "é"]) for _ in range(5)) for _ in range(60)]:
+        check_prefixes(c, t)
+
+
+def test_long_odd_texts_take_no_longer_than_others():
+    c = prefix_tokens.counter(WORD)
+    plain = "harbour quiet tion " * 28_000
+    for t in (plain + "<|endoftext|>" + plain, "a<|endoftext|>b" * 70_000, "x\x1cy " * 250_000, "a,b;" * 250_000, "e\u0301x " * 200_000, "harbour" * 100_000):
+        start = time.process_time()
+        x = c.index(t)
+        n = x.fit(2048)
+        assert time.process_time() - start < 8, t[:30]  # about a second; a quadratic search takes hours
+        assert len(c.tok.encode(t[:n], add_special_tokens=False)) <= 2048 < len(c.tok.encode(t[:n + 200], add_special_tokens=False))
+
+
 @given(st.lists(st.integers(0, 2**32 - 1) | st.integers(0, 300), max_size=3000))
 @settings(max_examples=60, deadline=None)
 def test_codes_round_trip_and_random_access(values):

@@ -8,9 +8,9 @@ bound on the sequences a partition needs; where the count equals the bound the
 partition is certified: it keeps its sequences, but for those less than half
 full. Partitions with a gap keep their full sequences only. The pieces of the
 others form one pool, which is dealt anew to fewer partitions (documents change
-partition), and best-fit decreasing runs again, until the pool is empty, nothing
-improves or ``ROUNDS`` have passed. A round that does not lower the count is
-not taken.
+partition), and best-fit decreasing runs again, until the pool is empty or a round does not
+lower the count; such a round is not taken. Pieces are dealt by a number each got when
+it was written, so repeated rows part too.
 
 Defined cases: a null text is empty and still has the end id; repeated rows are
 packed once each; an empty table gives no piece.
@@ -33,10 +33,10 @@ from ledgerline.llm.tokens import default_path, encoder
 SEQUENCE = 1024
 END_ID = 2
 PART_ITEMS = 8192
-ROUNDS = 3
 FULL = 1 << 62  # sequence ids of pieces that fill one by themselves
 
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
+ROW = "_q_row"  # number of a written piece
 
 
 # -- bounds and packing of one partition -----------------------------------------------
@@ -105,8 +105,8 @@ def _pack(round_no: int, capacity: int):
         ends = np.cumsum(lengths)
         start = ends - lengths
         fill = np.bincount(bins, weights=lengths).astype(np.int64)
-        out = rows[["doc_id", "piece", "start", "length", "ids_crc32"]].copy()
-        out["sequence_id"] = (np.int64(round_no) << 58) | (np.int64(part) << 26) | bins
+        out = rows[["doc_id", "piece", "start", "length", "ids_crc32", ROW]].copy()
+        out["sequence_id"] = (np.int64(min(round_no, 15)) << 58) | (np.int64(part) << 26) | bins
         out["offset"] = start - np.maximum.accumulate(np.where(first, start, 0))
         out["part"], out["gap"] = part, count - bound
         out["fill"] = fill[bins]
@@ -115,13 +115,13 @@ def _pack(round_no: int, capacity: int):
     return run
 
 
-PACKED = PIECE + ", sequence_id long, offset long, part int, gap long, fill long"
+PACKED = PIECE + f", {ROW} long, sequence_id long, offset long, part int, gap long, fill long"
 
 
 def _deal(pool: DataFrame, count: int, round_no: int) -> DataFrame:
-    parts = max(1, -(-count // (PART_ITEMS << round_no)))
-    by = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.lit(round_no)), F.lit(parts))
-    return pool.select("doc_id", "piece", "start", "length", "ids_crc32", by.cast("int").alias("part"))
+    parts = max(1, -(-count // (PART_ITEMS << min(round_no, 3))))
+    by = F.pmod(F.xxhash64(ROW, F.lit(round_no)), F.lit(parts))
+    return pool.select("doc_id", "piece", "start", "length", "ids_crc32", ROW, by.cast("int").alias("part"))
 
 
 def _sequences(df: DataFrame) -> int:
@@ -131,19 +131,17 @@ def _sequences(df: DataFrame) -> int:
 def pack_pieces(pieces: DataFrame, capacity: int = SEQUENCE) -> DataFrame:
     """Each piece with sequence_id and offset."""
     whole = pieces.where(F.col("length") == capacity)
-    pool = pieces.where(F.col("length") < capacity)
-    count, done = pool.count(), []
-    for k in range(ROUNDS):
-        if not count:
-            break
+    pool = saved(pieces.where(F.col("length") < capacity).withColumn(ROW, F.monotonically_increasing_id()), "pool")
+    count, done, k, before = pool.count(), [], 0, None
+    while count:
         packed = saved(_deal(pool, count, k).groupBy("part").applyInPandas(_pack(k, capacity), PACKED), "packed")
-        if k and _sequences(packed) >= before:  # no better: what was there stays
+        if before is not None and _sequences(packed) >= before:  # no better: what was there stays
             break
         again = (F.col("gap") > 0) & (F.col("fill") < capacity) | (F.col("fill") * 2 < capacity)
         final, rest = packed.where(~again), packed.where(again)
         done.append(final)
         last, pool = rest, rest
-        before, count = _sequences(rest), rest.count()
+        before, count, k = _sequences(rest), rest.count(), k + 1
     if count:
         done.append(last)
     out = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]

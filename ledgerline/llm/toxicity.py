@@ -14,7 +14,7 @@ the two largest probabilities, the expected number of toxic words and the
 length, fitted on training documents. Words over 0.5 are the offending spans.
 
 Training takes at most ``TRAIN_ROWS`` labelled documents (those of the smallest
-hash of the id, a sample that does not depend on the table's order) and at most
+hash of the id, a sample that does not depend on the table's order; one row an id) and at most
 ``TRAIN_WORDS`` words of windows; scoring covers every row.
 
 Defined cases: a null or empty text has no words, and its score is that of no
@@ -255,7 +255,10 @@ def training_rows(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_ROWS) -
              .where(F.col("y").isin(0, 1) & (fold() != 0)).groupBy("doc_id").agg(F.max("y").alias("y")))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
-    return [(r.text, r.y) for r in texts.join(chosen, "doc_id").orderBy("doc_id", "text").toLocalIterator()]
+    # one row an id, chosen before any text moves: a repeated id costs one text
+    found = texts.join(F.broadcast(chosen), "doc_id")
+    one = found.groupBy("doc_id", "y").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("r"))
+    return [(r.text, r.y) for r in one.orderBy("doc_id").select("r.text", "y").toLocalIterator()]
 
 
 # -- scoring ----------------------------------------------------------------------------

@@ -230,3 +230,13 @@ def test_spans_stay_where_lower_case_has_more_words():
     batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["t"])
     got = [b.column("_q_spans").to_pylist() for b in toxicity._score(field, "t", True)([batch])][0]
     assert got == ["11:15", "0:4,10:20", "4:8", "3:7"]
+
+
+def test_training_rows_hold_one_text_an_id(spark):
+    texts = [(1, f"text {k}") for k in range(300)] + [(k, "clean") for k in range(2, 60)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(5)
+    labels = spark.createDataFrame([(k, k % 2) for k in range(1, 60)] * 2, "doc_id long, toxic int")
+    kept = [k for k in range(1, 60) if zlib.crc32(str(k).encode()) % 5]
+    rows = toxicity.training_rows(docs, labels)
+    assert len(rows) == len(kept) and rows == toxicity.training_rows(docs.repartition(3), labels)
+    assert len(toxicity.training_rows(docs, labels, 10)) == 10

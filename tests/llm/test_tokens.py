@@ -180,6 +180,19 @@ def test_packing(spark, byte, monkeypatch):
     assert packing.pack_documents(docs.where("false")).count() == 0
 
 
+def test_packing_of_a_row_that_a_third_of_all_repeat(spark, byte, monkeypatch):
+    monkeypatch.setattr(packing, "PART_ITEMS", 100)
+    rng = random.Random(6)
+    rows = [(7, "the same row " * 9)] * 400 + [(None, None)] * 30 + [(1000 + i, "a " * rng.randrange(60)) for i in range(800)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    pieces = packing.pack_documents(docs, capacity=64)
+    n, total = check_packing(spark, docs, byte, 64)
+    whole = packing.best_fit(np.array([r.length for r in pieces.select("length").collect()]), 64).max() + 1
+    assert n <= whole * 1.03 + 2
+    dealt = packing._deal(spark.range(900).selectExpr("7L AS doc_id", "0 AS piece", "0L AS start", "9L AS length", "1L AS ids_crc32", "id AS _q_row"), 900, 0)
+    assert max(r["count"] for r in dealt.groupBy("part").count().collect()) < 150
+
+
 def test_bounds_hold_against_the_best_packing():
     rng = random.Random(3)
 

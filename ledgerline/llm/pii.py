@@ -25,6 +25,7 @@ from __future__ import annotations
 import hashlib
 import re
 import unicodedata
+from bisect import bisect_left, insort
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -147,8 +148,9 @@ _ITEM = re.compile(rf"(?i)(?P<plus>plus)\s|(?P<d>\b{_ONE}\b)|(?P<dot>\s(?:dot|po
 _BRACKET_AT = re.compile(r"(?i)\s*(?:[\[({<]\s*(?:at|@|arroba|chez|a t)\s*[\])}>]|(?<=[\w])_at_(?=[\w]))\s*")
 _BRACKET_DOT = re.compile(r"(?i)\s*(?:[\[({<]\s*(?:dot|\.|point|punkt|punto|d o t)\s*[\])}>]|(?<=[\w])_dot_(?=[\w]))\s*")
 # "name at host dot tld": words alone, as far as an address goes
-_WORD_AT = re.compile(r"(?i)(?<![\w.%+-])(?P<l>[a-z0-9_%+-]+(?:(?:\.| (?:dot|punkt|point|punto) )[a-z0-9_%+-]+)*)(?P<at> ?@ ?| (?:at|arroba) )"
-                      r"(?P<d>[a-z0-9-]+(?:(?: ?\. ?| (?:dot|punkt|point|punto) )[a-z0-9-]+)+)")
+# both sides of an "at": the local part is read backwards, on the reversed text
+_BEFORE_AT = re.compile(r"(?i)[a-z0-9_%+-]++(?:(?:\.| (?:tod|tknup|tniop|otnup) )[a-z0-9_%+-]++)*+(?![\w.%+-])")
+_AFTER_AT = re.compile(r"(?i)[a-z0-9-]+(?:(?: ?\. ?| (?:dot|punkt|point|punto) )[a-z0-9-]+)+")
 _SPELLED_DOT = re.compile(r"(?i) (?:dot|punkt|point|punto) | \. ?|(?<=[a-z0-9])\. (?=[a-z])")
 _TRIGGER = re.compile(r"(?i)[\[({<]\s*(?:at|@|arroba|chez|a t|dot|\.|point|punkt|punto|d o t)\s*[\])}>]|_at_|_dot_| at | arroba | ?@ ")
 _NEAR_DOT = re.compile(r"(?i) (?:dot|punkt|point|punto) |[\[({<]\s*(?:dot|\.|d o t|point|punkt|punto)|_dot_")
@@ -206,20 +208,17 @@ def _word_address(text: str) -> list[tuple[int, int, str]]:
         return []
     if not (_NEAR_DOT.search(text) or " @" in text or "@ " in text):
         return []
-    out = []
+    out, back = [], text[::-1]
     for at in re.finditer(r"(?i) (?:at|arroba) | ?@ ?", text):
-        # look at the words around one "at" only, so that the search stays linear
-        a, b = max(0, at.start() - 80), min(len(text), at.end() + 120)
-        for m in _WORD_AT.finditer(text[a:b]):
-            if a + m.start("at") != at.start() or not _SPELLED_DOT.search(m["d"]) and m["at"] == "@":
-                continue
-            spelled = " " in m["at"].strip("@") and "@" not in m["at"]
-            if spelled and not re.search(r"(?i) (?:dot|punkt|point|punto) ", m["d"]) :
-                continue  # "look at foo.bar" is prose
-            # the domain ends with its last spelled dot's word or plain suffix
-            out.append((a + m.start("at"), a + m.end("at"), "@"))
-            for part in ("l", "d"):
-                out += [(a + m.start(part) + x.start(), a + m.start(part) + x.end(), ".") for x in _SPELLED_DOT.finditer(m[part])]
+        # from the "at" on both sides up to the first word that cannot belong: whole addresses, linear time
+        left, right = _BEFORE_AT.match(back, len(text) - at.start()), _AFTER_AT.match(text, at.end())
+        if not left or not right or not _SPELLED_DOT.search(right[0]) and at[0] == "@":
+            continue
+        if "@" not in at[0] and not re.search(r"(?i) (?:dot|punkt|point|punto) ", right[0]):
+            continue  # "look at foo.bar" is prose
+        out.append((at.start(), at.end(), "@"))
+        for a, b in ((len(text) - left.end(), at.start()), right.span()):
+            out += [(x.start(), x.end(), ".") for x in _SPELLED_DOT.finditer(text, a, b)]
     return _apart(out)
 
 
@@ -276,13 +275,24 @@ def disguised(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, in
             m.apply(edits)
             found += [(k, *m.source(a, b)) for k, a, b in find(m.text)]
     out: list[tuple[int, int, int]] = []
+    held = {k: sorted((a, b) for z, a, b in base if z == k) for k in range(len(KINDS))}  # apart from each other
+    new: dict[int, list[tuple[int, int]]] = {k: [] for k in held}
     for k, a, b in sorted(set(found) - set(base), key=lambda x: (x[0], x[1] - x[2], x[1])):  # longer ones first
-        if all(b <= x or y <= a or a <= x and y <= b for z, x, y in base if z == k) \
-                and all(b <= x or y <= a for z, x, y in out if z == k):
+        over = touched(held[k], a, b)
+        if all(a <= x and y <= b for x, y in over) and not touched(new[k], a, b):
+            insort(new[k], (a, b))
             out.append((k, a, b))
     return out
 
 
+def touched(spans: list[tuple[int, int]], a: int, b: int) -> list[tuple[int, int]]:
+    """The first and the last of sorted disjoint spans that overlap [a, b)."""
+    lo = bisect_left(spans, (a,))
+    lo -= lo > 0 and spans[lo - 1][1] > a
+    hi = bisect_left(spans, (b,))
+    return [spans[lo], spans[hi - 1]] if lo < hi else []
+
+
 def digest(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for k, a, b in sorted(spans))
 

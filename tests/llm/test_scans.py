@@ -72,6 +72,39 @@ def test_scan_handles_odd_rows_and_long_texts(spark):
     assert pii.personal_data(docs.where("false")).count() == 0
 
 
+def test_long_disguised_addresses_are_whole():
+    for n in (5, 40, 3000):
+        local, domain = " dot ".join(f"name{k}" for k in range(n)), " dot ".join(f"host{k}" for k in range(n))
+        text = f"write to {local} at {domain} now"
+        # "to name0" is no part of it: a space alone does not join words
+        assert (0, text.index("name0"), text.index(" now")) in pii.disguised(text, pii.find(text)), n
+
+
+def test_thousands_of_addresses_take_linear_time():
+    took = {}
+    for n in (2000, 8000):
+        text = " ".join(f"see user{k} at host{k} dot example or plain{k}@host.example and x{k} [at] y [dot] org." for k in range(n))
+        start = time.process_time()
+        base = pii.find(text)
+        got = pii.disguised(text, base)
+        took[n] = time.process_time() - start
+        assert len(base) == n and len(got) >= 2 * n
+        assert all(text[a:b].startswith(("user", "x", "plain")) for _, a, b in got)
+    assert took[8000] < 12 * took[2000] + 1
+
+
+def test_touched_spans():
+    rng = random.Random(9)
+    for _ in range(500):
+        cuts = sorted(rng.sample(range(60), 2 * rng.randrange(8)))
+        spans = list(zip(cuts[::2], cuts[1::2]))
+        a = rng.randrange(59)
+        b = rng.randrange(a + 1, 60)
+        want = [(x, y) for x, y in spans if x < b and a < y]
+        got = pii.touched(spans, a, b)
+        assert set(got) <= set(want) and bool(got) == bool(want) and (not want or (got[0], got[-1]) == (want[0], want[-1]))
+
+
 def secret_corpus():
     rng = random.Random(4)
     syllables = ["the", "tion", "and", "ing", "er", "st", "on", "re", "with"]

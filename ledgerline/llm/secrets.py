@@ -68,7 +68,7 @@ RULES = (
 )
 PROVIDERS = ("aws_key", "github_token", "slack_token", "jwt", "private_key")
 _TELLING = ("password", "passwd", "pwd", "secret", "token", "key", "auth", "credential")
-_HARMLESS = ("example", "sample", "test", "dummy", "hash", "sha", "md5", "uuid", "commit", "checksum")
+_HARMLESS = re.compile(r"(?<![a-z])(example|sample|test|dummy|hash|sha|md5|uuid|commit|checksum)(?![a-z])")
 _WORD = re.compile(r"[a-z]{2,8}")
 FEATURES = ("length", "transition", "coverage", "digits", "capitals", "distinct", "hexadecimal", "switches", "telling", "harmless",
             "assigned", "path_kind", "path_depth")
@@ -162,7 +162,7 @@ def measures(text: str, path: str | None, a: int, b: int, rule: str, table: np.n
     return [math.log(n), float(table[raw[:-1], raw[1:]].mean()) if n > 1 else 0.0, coverage(value, words), kinds.count(0) / n,
             kinds.count(1) / n, len(set(value)) / n, float(all(c in "0123456789abcdefABCDEF" for c in value)),
             sum(x != y for x, y in zip(kinds, kinds[1:])) / n, float(sum(w in beside for w in _TELLING)),
-            float(sum(w in beside for w in _HARMLESS)), float(rule == "assigned" or bool(re.search(r"[=:][ \"']*$", before))),
+            float(len(set(_HARMLESS.findall(beside)))), float(rule == "assigned" or bool(re.search(r"[=:][ \"']*$", before))),
             float(path_kind(path)), float((path or "").count("/"))]
 
 

@@ -459,4 +459,5 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
 
 def op7_suffix_dedup(spark, sf_dir):
-    return remove_repeats(documents(spark, sf_dir).select("doc_id", "text"))
+    out = remove_repeats(documents(spark, sf_dir).select("doc_id", "text"))
+    return out.withColumn("repeated", F.col("n_removed") > 0)  # whether anything of the text stands elsewhere

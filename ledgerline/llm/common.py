@@ -114,22 +114,31 @@ def mix64(x: np.ndarray, seed: int = 0) -> np.ndarray:
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, root) of each node in ``edges(a, b)``; root is the smallest node id.
 
-    Each round every node takes the smallest label among its own and its
-    neighbours', then the label of that label (pointer jumping), so a chain of n
-    nodes needs about log n rounds. Tables of labels are written to the shared
-    folder between rounds; only a count reaches the driver.
+    Each round every node takes the smallest of itself and its neighbours, then what that one
+    took, and the edges are rewritten to what their ends took: ends that are equal and
+    repeated edges fall away, so rounds shrink to the few nodes that still
+    stand for others. The rounds are then undone from the last to the first, which gives
+    every node its root. Tables are written to the shared folder between rounds; only a count reaches the driver.
     """
-    both = saved(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-                 .where("a <> b").distinct(), "edges")
-    labels = saved(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"))
-                   .select("node", F.least("node", "m").alias("root")), "labels")
+    left = saved(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct(), "edges")
+    taken: list[DataFrame] = []
     for _ in range(max_rounds):
-        heard = (both.join(labels.withColumnRenamed("node", "b"), "b").select(F.col("a").alias("node"), "root", F.lit(None).alias("old"))
-                 .unionByName(labels.select("node", "root", F.col("root").alias("old"))))
-        step = heard.groupBy("node").agg(F.min("root").alias("mid"), F.max("old").alias("old"))
-        up = labels.select(F.col("node").alias("mid"), F.col("root").alias("up"))
-        new = saved(step.join(up, "mid", "left").select("node", "old", F.least("mid", F.coalesce("up", "mid")).alias("root")), "labels")
-        if new.where("old <> root").isEmpty():
-            return new.select("node", "root")
-        labels = new.select("node", "root")
-    raise RuntimeError("components did not settle")
+        if left.isEmpty():
+            break
+        both = left.unionByName(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        first = saved(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("up")), "first")
+        second = first.select(F.col("node").alias("up"), F.col("up").alias("root"))
+        taken.append(saved(first.join(second, "up").select("node", "root"), "taken"))
+        of = taken[-1]
+        moved = (left.join(of.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a")
+                 .join(of.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b"))
+        left = saved(moved.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).where("a <> b").distinct(), "edges")
+    else:
+        raise RuntimeError("components did not settle")
+    if not taken:
+        return left.select(F.col("a").alias("node"), F.col("a").alias("root"))
+    roots = taken.pop()
+    while taken:
+        later = roots.select(F.col("node").alias("root"), F.col("root").alias("last"))
+        roots = saved(taken.pop().join(later, "root", "left").select("node", F.coalesce("last", "root").alias("root")), "labels")
+    return roots

@@ -8,19 +8,22 @@
 2. Two sets of ``BANDS`` x ``ROWS`` consistent weighted samples of each text, one with
    and one without the IDF factor: two texts agree in a sample with the probability
    of their weighted Jaccard similarity under the weights of its set.
-3. Texts with an equal band are candidates. In each bucket all members are first
-   held against one leader, so a group of n near copies costs n - 1 comparisons.
-   Pairs are verified by the exact weighted Jaccard similarity, ``SIMILARITY`` or
-   more. A large group of copies makes
+3. Texts with an equal band are candidates. Candidates whose samples agree too rarely in
+   both sets to reach the similarity (22 of 40, 4 standard deviations below it) are
+   passed over before any text moves; the others are verified by the exact weighted Jaccard
+   similarity, ``SIMILARITY`` or more. A large group of copies makes
    its own shingles common and its members' edits weigh more, so the similarity
    is taken with and without the IDF factor and the greater one counts.
-4. Members that are not similar to their bucket's leader are held against all
-   other members of the bucket that they are not joined with yet: pairs whose
-   samples agree too rarely in both sets to reach the similarity (20 of 40, 4.7
-   standard deviations below it) are passed over, the others verified in the task; only
-   links come out. (Members that are similar to the leader are joined through it.)
-   A large such bucket is split into blocks of ``BLOCK`` members that are compared
-   block by block; none is capped.
+4. Buckets are contracted step by step, so that a group of n near copies costs about n
+   comparisons however many bands its members share. First each text is held against one
+   leader, the smallest one of all its buckets. Then, where the leader of a bucket and a member are not
+   yet in one class, against that leader.
+5. In buckets that still hold different classes, members are compared with all members of
+   other classes, in blocks of signatures without texts; only members with a promising
+   partner go on with their texts to be verified, block by block in the task. This runs in
+   ``WAVES``, and what one wave has joined is one class to the next: first within the blocks
+   of a few bands, at last between all blocks of all bands. No bucket is
+   capped; only links come out.
 
 Equal texts share one node (the text's digest), so copies cost no comparison.
 Classes are the components; a class's id is its smallest doc_id.
@@ -36,7 +39,6 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -49,8 +51,10 @@ SETS = 2                 # samples with and without the IDF factor
 SIMILARITY = 0.8
 FEATURE_BITS = 21
 SLICE = 1 << 13          # features in a slice of the counts
-BLOCK = 256
-AGREE = 0.5              # share of equal samples, of either set, below which a pair is not verified
+WAVES = ((0, 1, False), (1, 4, False), (0, SETS * BANDS, True))  # first band, last band + 1, blocks meet other blocks
+SCREEN = 2048            # members of a block whose signatures are compared
+BLOCK = 256              # members of a block whose texts are compared
+AGREE = 0.55             # share of equal samples, of either set, below which a pair is not verified
 _SEEDS = mix64(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64), 0xD6E8FEB86659FD93)
 
 
@@ -154,7 +158,10 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for r in range(ROWS):
                 key = mix64(key ^ sig[:, :, r], r + 1)
         nodes = b.column("node").take(pa.array(np.repeat(np.arange(b.num_rows), bands)))
-        yield pa.RecordBatch.from_arrays([pa.array(key.reshape(-1).view(np.int64)), nodes], ["key", "node"])
+        # the sets take turns, so that every wave has bands of both
+        turn = np.arange(bands) % BANDS * SETS + np.arange(bands) // BANDS
+        yield pa.RecordBatch.from_arrays([pa.array(key.reshape(-1).view(np.int64)), pa.array(np.tile(turn, b.num_rows).astype(np.int32)), nodes],
+                                         ["key", "band", "node"])
 
 
 # -- 3. verification -------------------------------------------------------------------------
@@ -175,14 +182,24 @@ def _verify(idf: np.ndarray, least: float):
     return run
 
 
-def verified(pairs: DataFrame, texts: DataFrame, idf: np.ndarray, least: float) -> DataFrame:
-    """The pairs (a, b) of similar texts. ``texts``: one row of each node."""
-    one = pairs.join(texts.select(F.col("node").alias("a"), F.col("t").alias("ta")), "a")
+def _promising(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        one, two = (buffers(b.column(c))[0].view("<u4").reshape(b.num_rows, SETS, BANDS * ROWS) for c in ("sa", "sb"))
+        keep = pa.array(np.flatnonzero(((one == two).sum(axis=2) >= int(AGREE * BANDS * ROWS)).any(axis=1)))
+        yield pa.RecordBatch.from_arrays([b.column("a").take(keep), b.column("b").take(keep)], ["a", "b"])
+
+
+def verified(pairs: DataFrame, sigs: DataFrame, texts: DataFrame, idf: np.ndarray, least: float) -> DataFrame:
+    """The pairs (a, b) of similar texts. ``sigs``, ``texts``: one row of each node."""
+    both = (pairs.join(sigs.select(F.col("node").alias("a"), F.col("sig").alias("sa")), "a")
+            .join(sigs.select(F.col("node").alias("b"), F.col("sig").alias("sb")), "b").select("a", "b", "sa", "sb"))
+    left = saved(both.mapInArrow(_promising, "a binary, b binary"), "promising")
+    one = left.join(texts.select(F.col("node").alias("a"), F.col("t").alias("ta")), "a")
     two = one.join(texts.select(F.col("node").alias("b"), F.col("t").alias("tb")), "b")
-    return two.select("a", "b", "ta", "tb").mapInArrow(_verify(idf, least), "a binary, b binary")
+    return saved(two.select("a", "b", "ta", "tb").mapInArrow(_verify(idf, least), "a binary, b binary"), "links")
 
 
-# -- 4. open buckets ---------------------------------------------------------------------------
+# -- 5. open buckets ---------------------------------------------------------------------------
 def _similar(x: np.ndarray, wx: tuple, y: np.ndarray, wy: tuple, least: float) -> bool:
     """Weighted Jaccard of ``least`` or more, with or without the IDF factor."""
     if not len(x) or not len(y):
@@ -197,49 +214,126 @@ def _similar(x: np.ndarray, wx: tuple, y: np.ndarray, wy: tuple, least: float) -
     return False
 
 
+GROUP = ("key", "i", "j")
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each block pair; they come sorted by it."""
+    held, at = [], None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        cols = [b.column(k).to_numpy() for k in GROUP]
+        new = np.ones(b.num_rows, bool)
+        new[1:] = np.any([c[1:] != c[:-1] for c in cols], axis=0)
+        cuts = [*np.flatnonzero(new).tolist(), b.num_rows]
+        for a, z in zip(cuts, cuts[1:]):
+            name = tuple(c[a] for c in cols)
+            if held and name != at:
+                yield pa.Table.from_batches(held)
+                held = []
+            at = name
+            held.append(b.slice(a, z - a))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _members(t: pa.Table) -> tuple[list, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Nodes, signatures, numbers of their classes, sides, and who is the leader."""
+    nodes, seen = t.column("node").to_pylist(), {}
+    root = np.array([seen.setdefault(r, len(seen)) for r in t.column("root").to_pylist()])
+    sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), "<u4").reshape(len(nodes), -1, BANDS * ROWS)
+    return nodes, sig, root, t.column("side").to_numpy(), t.column("lead").to_numpy()
+
+
+def _partners(sig: np.ndarray, root: np.ndarray, side: np.ndarray, lead: np.ndarray, k: int, agree: int) -> np.ndarray:
+    """Members of other classes, of the other block or of the one block, whose samples agree often
+    enough; not the leader, whom all have met."""
+    if lead[k]:
+        return np.zeros(0, np.int64)
+    other = np.flatnonzero((root != root[k]) & ~lead & ((side == 2) | (side != side[k])))
+    return other[((sig[other] == sig[k]).sum(axis=2) >= agree).any(axis=1)]
+
+
+def _screen(agree: int):
+    """Members of a block pair with a promising partner in another class, by signatures alone."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _groups(batches):
+            if t.num_rows < 2:
+                continue
+            nodes, sig, root, side, lead = _members(t)
+            hit = np.zeros(len(nodes), bool)
+            # a member of the largest class is found from its partner's side
+            for k in np.flatnonzero(root != np.bincount(root).argmax()).tolist():
+                near = _partners(sig, root, side, lead, k, agree)
+                hit[near] = True
+                hit[k] |= len(near) > 0
+            if hit.any():
+                keep = pa.array(np.flatnonzero(hit))
+                yield from t.select(["key", "node"]).take(keep).to_batches()
+
+    return run
+
+
 def _between(agree: int, idf: np.ndarray, least: float):
-    """Links of one block pair that join what is not joined yet: each member apart
-    from the leader is held against all others of enough equal samples."""
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.drop_duplicates("node").reset_index(drop=True)
-        data, at = buffers(pa.array(rows["t"], pa.string()))
-        s, times, off = shingles(data, at)
-        w = weights(s, times, idf)
-        part = [slice(off[k], off[k + 1]) for k in range(len(rows))]
-        sig = np.frombuffer(b"".join(rows["sig"]), "<u4").reshape(len(rows), -1, BANDS * ROWS)
-        apart, side = rows["apart"].to_numpy(bool), rows["side"].to_numpy()
-        root = np.arange(len(rows))
-        if not apart.all():  # all these are similar to the leader
-            root[~apart] = np.flatnonzero(~apart)[0]
-        out = []
-        for k in np.flatnonzero(apart).tolist():
-            near = ((sig == sig[k]).sum(axis=2) >= agree).any(axis=1)
-            near &= (side == 2) | (side != side[k])
-            for m in np.flatnonzero(near).tolist():
-                if root[m] != root[k] and _similar(s[part[k]], (w[part[k]], times[part[k]]), s[part[m]], (w[part[m]], times[part[m]]), least):
-                    root[root == root[k]] = root[m]
-                    out.append((min(rows["node"][k], rows["node"][m]), max(rows["node"][k], rows["node"][m])))
-        return pd.DataFrame({"a": pd.Series([p[0] for p in out], dtype=object), "b": pd.Series([p[1] for p in out], dtype=object)})
+    """Links of one block pair that join what is not in one class yet."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _groups(batches):
+            if t.num_rows < 2:
+                continue
+            nodes, sig, root, side, lead = _members(t)
+            data, at = buffers(t.column("t"))
+            s, times, off = shingles(data, at)
+            w = weights(s, times, idf)
+            part = [slice(off[k], off[k + 1]) for k in range(len(nodes))]
+            out = []
+            for k in range(len(nodes)):
+                for m in _partners(sig, root, side, lead, k, agree).tolist():
+                    if root[m] != root[k] and _similar(s[part[k]], (w[part[k]], times[part[k]]), s[part[m]], (w[part[m]], times[part[m]]), least):
+                        root[root == root[k]] = root[m]
+                        out.append((min(nodes[k], nodes[m]), max(nodes[k], nodes[m])))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*out)], ["a", "b"])
 
     return run
 
 
-def more_links(members: DataFrame, links: DataFrame, sigs: DataFrame, texts: DataFrame, idf: np.ndarray, least: float) -> DataFrame:
-    """Links within buckets (key, node, leader) beyond those with the leader;
-    ``links(a, b)``: leaders and the members found similar to them."""
-    linked = links.select(F.col("a").alias("leader"), F.col("b").alias("node"), F.lit(True).alias("linked"))
-    flagged = saved(members.join(linked, ["leader", "node"], "left")
-                    .select("key", "node", (F.col("linked").isNull() & (F.col("node") != F.col("leader"))).alias("apart")), "members")
-    still = (flagged.groupBy("key").agg(F.bool_or("apart").alias("some"), F.count("*").alias("n"))
-             .where("some AND n > 2").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
-    rows = (flagged.join(still, "key").join(sigs, "node").join(texts, "node")
-            .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")))
-    # a block meets itself and every other block once
-    met = (rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-           .select("key", "node", "apart", "sig", "t", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"),
-                   F.when(F.col("block") == F.col("with"), 2).when(F.col("block") < F.col("with"), 0).otherwise(1).alias("side")))
+def _by_block(rows: DataFrame) -> DataFrame:
+    return rows.repartition(*GROUP).sortWithinPartitions(*GROUP)
+
+
+def _blocks(members: DataFrame, size: int, across: bool) -> DataFrame:
+    """Every block of a bucket's members meets itself and, ``across`` blocks, every other block once."""
+    sizes = members.groupBy("key").agg(F.ceil(F.count("*") / size).cast("int").alias("blocks"))
+    rows = members.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    if not across:
+        return rows.withColumns({"i": F.col("block"), "j": F.col("block"), "side": F.lit(2)}).drop("block", "blocks")
+    return (rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .withColumns({"i": F.least("block", "with"), "j": F.greatest("block", "with"),
+                          "side": F.when(F.col("block") == F.col("with"), 2).when(F.col("block") < F.col("with"), 0).otherwise(1)})
+            .drop("block", "with", "blocks"))
+
+
+def rooted(rows: DataFrame, labels: DataFrame, node: str, root: str) -> DataFrame:
+    """``rows`` with the class of ``node``: itself where it has none yet."""
+    named = labels.select(F.col("node").alias(node), F.col("root").alias("_q_root"))
+    return rows.join(named, node, "left").withColumn(root, F.coalesce("_q_root", node)).drop("_q_root")
+
+
+def more_links(members: DataFrame, labels: DataFrame, sigs: DataFrame, texts: DataFrame, idf: np.ndarray, least: float,
+               across: bool = True) -> DataFrame:
+    """Links between classes (``labels``) within buckets (key, node, leader) beyond those with the leader."""
+    lead = (F.col("node") == F.col("leader")).alias("lead")
+    classed = saved(rooted(members, labels, "node", "root").select("key", "node", "root", lead), "members")
+    rest = classed.where("NOT lead").groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+    still = rest.where("lo <> hi").select("key")
     agree = int(AGREE * BANDS * ROWS)
-    return met.groupBy("key", "i", "j").applyInPandas(_between(agree, idf, least), "a binary, b binary").distinct()
+    opened = classed.join(still, "key")
+    seen = _blocks(opened.join(sigs, "node"), SCREEN, across).select("key", "node", "root", "lead", "sig", "i", "j", "side")
+    found = saved(_by_block(seen).mapInArrow(_screen(agree), "key long, node binary").distinct(), "contenders")
+    held = _blocks(found.join(classed, ["key", "node"]).join(sigs, "node").join(texts, "node"), BLOCK, across)
+    return (_by_block(held.select("key", "node", "root", "lead", "sig", "t", "i", "j", "side"))
+            .mapInArrow(_between(agree, idf, least), "a binary, b binary").distinct())
 
 
 # -- classes -----------------------------------------------------------------------------------
@@ -252,7 +346,7 @@ def node_classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     idf = idf_table(docs)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("t"), node_of().alias("node"))
     sigs = saved(rows.select("node", "t").mapInArrow(_sample(idf), "node binary, sig binary").dropDuplicates(["node"]), "samples")
-    members = sigs.mapInArrow(_bands, "key long, node binary")
+    members = sigs.mapInArrow(_bands, "key long, band int, node binary")
     shared = members.groupBy("key").agg(F.min("node").alias("leader"), F.max("node").alias("hi")).where("leader <> hi")
     members = saved(members.join(shared.select("key", "leader"), "key"), "buckets")
     needed = members.select("node").distinct()
@@ -261,10 +355,24 @@ def node_classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
              .groupBy("node").agg(F.min("doc_id").alias("first")).join(needed, "node"))
     texts = saved(rows.join(first, "node").where("doc_id <=> first").select("node", "t"), "texts")
     texts = texts.withColumn("_n", F.row_number().over(Window.partitionBy("node").orderBy("node"))).where("_n = 1").drop("_n")
-    pairs = saved(members.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
-    edges = saved(verified(pairs, texts, idf, least), "links")
-    more = saved(more_links(members, edges, sigs, texts, idf, least), "links")
-    return components(edges.unionByName(more))
+    apart = members.where("node <> leader")
+    # one leader a text, then only leaders of other classes
+    first = saved(apart.groupBy(F.col("node").alias("b")).agg(F.min("leader").alias("a")).select("a", "b"), "pairs")
+    edges = verified(first, sigs, texts, idf, least)
+    labels = components(edges)
+    left = rooted(rooted(apart.select("leader", "node").distinct(), labels, "node", "own"), labels, "leader", "other").where("own <> other")
+    left = left.select(F.col("leader").alias("a"), F.col("node").alias("b")).join(first, ["a", "b"], "left_anti")
+    edges = edges.unionByName(verified(saved(left, "pairs"), sigs, texts, idf, least))
+    labels = components(edges)
+    for at, upto, across in WAVES:
+        wave = members.where((F.col("band") >= at) & (F.col("band") < upto))
+        more = saved(more_links(wave, labels, sigs, texts, idf, least, across), "links")
+        if not more.isEmpty():  # classes are joined, not texts: what is one class stays one node
+            new = components(rooted(rooted(more, labels, "a", "ra"), labels, "b", "rb").select(F.col("ra").alias("a"), F.col("rb").alias("b")))
+            ends = more.select(F.col("a").alias("node")).unionByName(more.select(F.col("b").alias("node"))).distinct()
+            known = rooted(ends.join(labels, "node", "left_anti").withColumn("root", F.col("node")).unionByName(labels), new.select("node", F.col("root")), "root", "top")
+            labels = saved(known.select("node", F.col("top").alias("root")), "labels")
+    return labels
 
 
 def near_classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:

@@ -91,21 +91,34 @@ class TableStore:
     # -- publishing ------------------------------------------------------------
     def head(self, path: str) -> Head:
         """The state that readers see."""
-        names = [n for n in fs.list_files(self.spark, f"{path}/{LOG}") if n.endswith(".json") and n[:-5].isdigit()]
-        for name in sorted(names, key=lambda n: int(n[:-5]), reverse=True):
-            text = fs.read_text(self.spark, f"{path}/{LOG}/{name}")
-            if text.endswith("\n"):  # a file still being written is not published yet
-                entry = json.loads(text)
-                struct = T.StructType.fromJson(entry["schema"]) if entry["schema"] else None
-                return Head(int(name[:-5]), tuple(entry["folders"]), struct, entry.get("depths") or {})
-        return Head(0)
+        for _ in range(RETRIES):
+            numbers = self._log_numbers(path)
+            try:
+                for number in reversed(numbers):
+                    text = fs.read_text(self.spark, self._log_file(path, number))
+                    if text.endswith("\n"):  # a file still being written is not published yet
+                        entry = json.loads(text)
+                        struct = T.StructType.fromJson(entry["schema"]) if entry["schema"] else None
+                        return Head(number, tuple(entry["folders"]), struct, entry.get("depths") or {})
+                return Head(0)
+            except Exception:
+                if fs.exists(self.spark, self._log_file(path, number)):
+                    raise
+                # overtaken and cleaned up since the listing: list again
+        raise ConcurrentWrite(f"the log of {path} was cleaned up {RETRIES} times while it was read")
+
+    def _log_file(self, path: str, number: int) -> str:
+        return f"{path}/{LOG}/{number:010d}.json"
+
+    def _log_numbers(self, path: str) -> list[int]:
+        return sorted(int(n[:-5]) for n in fs.list_files(self.spark, f"{path}/{LOG}") if n.endswith(".json") and n[:-5].isdigit())
 
     def publish(self, path: str, after: Head, folders: tuple[str, ...], struct: T.StructType | None,
                 depths: dict[str, int] | None = None) -> bool:
         """Make ``folders`` the content of ``path``, if ``after`` is still its state."""
         entry = {"folders": list(folders), "schema": json.loads(struct.json()) if struct is not None else None,
                  "depths": {f: d for f, d in (depths or {}).items() if f in folders}}
-        return fs.create_text(self.spark, f"{path}/{LOG}/{after.number + 1:010d}.json", json.dumps(entry) + "\n")
+        return fs.create_text(self.spark, self._log_file(path, after.number + 1), json.dumps(entry) + "\n")
 
     def new_folder(self) -> str:
         return f"v-{uuid.uuid4().hex}"
@@ -119,9 +132,9 @@ class TableStore:
         for d in fs.list_dirs(self.spark, f"{path}/{keys.FOLDER}"):
             if d not in head.folders:
                 fs.delete(self.spark, f"{path}/{keys.FOLDER}/{d}")
-        for n in fs.list_files(self.spark, f"{path}/{LOG}"):
-            if n.endswith(".json") and n[:-5].isdigit() and int(n[:-5]) < head.number:
-                fs.delete(self.spark, f"{path}/{LOG}/{n}")
+        for number in self._log_numbers(path):
+            if number < head.number:
+                fs.delete(self.spark, self._log_file(path, number))
         return gone
 
     # -- reads ---------------------------------------------------------------

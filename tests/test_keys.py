@@ -197,3 +197,23 @@ def test_syncs_in_threads(spark, store):
         t.join()
     titles = [r.imdb_id for r in store.read("atp", "training").collect()]
     assert sum(got) == len(titles) == len(set(titles)) == 2
+
+
+def test_a_log_cleaned_up_while_it_is_read_is_read_again(spark, store, monkeypatch):
+    store.create("s", "t", KEYED)
+    path, was, reads = store.path("s", "t"), store_module.fs.read_text, []
+
+    def read_text(session, file):
+        reads.append(file)
+        if len(reads) == 1:  # another writer publishes and cleans up between our listing and our read
+            monkeypatch.setattr(store_module.fs, "read_text", was)
+            store.truncate("s", "t")
+            store.vacuum(path)
+            monkeypatch.setattr(store_module.fs, "read_text", read_text)
+        return was(session, file)
+
+    monkeypatch.setattr(store_module.fs, "read_text", read_text)
+    assert store.head(path).number == 2 and len(reads) == 2
+    monkeypatch.setattr(store_module.fs, "read_text", lambda *a: (_ for _ in ()).throw(OSError("unreachable")))
+    with pytest.raises(OSError, match="unreachable"):
+        store.head(path)

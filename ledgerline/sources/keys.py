@@ -83,7 +83,7 @@ class KeyIndex:
         counted = key_rows(rows, self.key).groupBy(*self.key).agg(F.count(F.lit(1)).alias("n"))
         found = (counted.withColumn(HASH, F.xxhash64(*self.key)).sortWithinPartitions(HASH)
                  .observe(seen, F.count(F.lit(1)).alias("keys"), F.max("n").alias("most")))
-        found.select(*self.key, HASH).write.mode("overwrite").parquet(self.files(folder, "keys"))
+        found.select(*self.key, HASH).write.parquet(self.files(folder, "keys"))
         if refuse and (seen.get["most"] or 0) > 1:
             raise DuplicateKeys(f"the rows repeat values of the primary key {self.key}", repeated=True)
         depth = max(0, math.ceil(math.log2(max(1, (seen.get["keys"] or 0) * BITS_PER_KEY / (64 * WORDS)))))
@@ -91,7 +91,7 @@ class KeyIndex:
         (held.groupBy(F.expr(_block(str(depth))).alias("block"))
          .agg(*[F.bit_or(F.expr(_bit(k))).alias(f"w{k}") for k in range(WORDS)])
          .withColumns({"folder": F.lit(folder), "depth": F.lit(depth)})
-         .write.mode("overwrite").parquet(self.files(folder, "bloom")))
+         .write.parquet(self.files(folder, "bloom")))
         return depth
 
     # -- looking up --------------------------------------------------------------

@@ -49,7 +49,7 @@ class ConcurrentWrite(RuntimeError):
 @dataclass(frozen=True)
 class Head:
     """The published state of a folder: 0 and nothing before the first write.
-    ``depths``: folders with key files, and the depth of their filter."""
+    ``depths``: names of key files (the folder's, or that and a suffix), and the depth of their filter."""
 
     number: int
     folders: tuple[str, ...] = ()
@@ -117,7 +117,7 @@ class TableStore:
                 depths: dict[str, int] | None = None) -> bool:
         """Make ``folders`` the content of ``path``, if ``after`` is still its state."""
         entry = {"folders": list(folders), "schema": json.loads(struct.json()) if struct is not None else None,
-                 "depths": {f: d for f, d in (depths or {}).items() if f in folders}}
+                 "depths": {name: d for name, d in (depths or {}).items() if name.partition(".")[0] in folders}}
         return fs.create_text(self.spark, self._log_file(path, after.number + 1), json.dumps(entry) + "\n")
 
     def new_folder(self) -> str:
@@ -130,7 +130,7 @@ class TableStore:
             if d.startswith("v-") and d not in head.folders:
                 gone += fs.delete(self.spark, f"{path}/{d}")
         for d in fs.list_dirs(self.spark, f"{path}/{keys.FOLDER}"):
-            if d not in head.folders:
+            if d not in head.depths:
                 fs.delete(self.spark, f"{path}/{keys.FOLDER}/{d}")
         for number in self._log_numbers(path):
             if number < head.number:
@@ -227,9 +227,10 @@ class TableStore:
         try:
             rows = self._save(df, f"{path}/{folder}", observe)
             if key:
+                own = {folder: index.add(folder, self._folder(path, folder, head))}
                 depths = self._key_files(index, head, head.folders)
-                depths[folder] = index.add(folder, self._folder(path, folder, head))
-                index.refuse(folder, {f: depths[f] for f in head.folders})
+                index.refuse(folder, depths)
+                depths |= own
             for _ in range(RETRIES):
                 if self.publish(path, head, (*head.folders, folder), head.schema, {**head.depths, **depths}):
                     return rows
@@ -241,10 +242,11 @@ class TableStore:
                 if new_by and after is not None:
                     folder, rows = self._leave_out(path, head, folder, fresh, list(new_by), rows)
                 if key:
-                    depths |= self._key_files(index, now, fresh)
                     if folder not in depths:
                         depths[folder] = index.add(folder, self._folder(path, folder, head))
-                    index.refuse(folder, {f: depths[f] for f in fresh})
+                    others = self._key_files(index, now, fresh)
+                    index.refuse(folder, others)
+                    depths |= others
                 head = now
         except Exception:
             self._discard(path, folder)
@@ -274,9 +276,17 @@ class TableStore:
         return self._load(path, Head(head.number, (folder,), head.schema))
 
     def _key_files(self, index: KeyIndex, head: Head, folders: Sequence[str]) -> dict[str, int]:
-        """Depths of the folders' filters; those that a replacement wrote get their key files now."""
-        return {f: head.depths[f] if f in head.depths else index.add(f, self._folder(index.path, f, head), refuse=False)
-                for f in folders}
+        """Key files of the folders and the depths of their filters. Those that a replacement wrote get
+        key files now, under a name of this append's own: others may be at it too."""
+        named = {name.partition(".")[0]: name for name in head.depths}
+        out = {}
+        for f in folders:
+            if f in named:
+                out[named[f]] = head.depths[named[f]]
+            else:
+                name = f"{f}.{uuid.uuid4().hex[:8]}"
+                out[name] = index.add(name, self._folder(index.path, f, head), refuse=False)
+        return out
 
     def _leave_out(self, path: str, head: Head, folder: str, added: Sequence[str], key: list[str],
                    rows: int | None) -> tuple[str, int | None]:

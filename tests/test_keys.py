@@ -101,6 +101,15 @@ def test_folders_of_a_replacement_get_their_key_files_when_needed(spark, store):
     assert store_module.fs.list_dirs(spark, f"{path}/_keys") == list(store.head(path).folders)
 
 
+def test_two_appends_may_build_the_key_files_of_one_folder(spark, store, monkeypatch):
+    store.write(spark.createDataFrame([(k, "x") for k in range(5)], KEYED), "s", "t")
+    overtaken(store, monkeypatch, lambda n: store.append(rows(spark, [7]), "s", "t"))
+    assert store.append(rows(spark, [8]), "s", "t") == 1
+    with pytest.raises(DuplicateKeys):
+        store.append(rows(spark, [4]), "s", "t")
+    assert read(store) == [0, 1, 2, 3, 4, 7, 8]
+
+
 def overtaken(store, monkeypatch, between, times=1):
     """Before the next publications, ``between(n)`` runs once each: another writer comes first."""
     left, was = list(range(times)), store_module.TableStore.publish

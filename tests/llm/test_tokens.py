@@ -1,6 +1,8 @@
 """Token ids, prefix counts and the code files against the library itself."""
 
+import itertools
 import random
+import re
 import time
 import zlib
 
@@ -10,7 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from ledgerline.llm import packing, prefix_tokens, token_files
-from ledgerline.llm.tokens import ByteEncoder, WordEncoder, default_path
+from ledgerline.llm.tokens import ByteEncoder, WordEncoder, _lone_marks, default_path
 
 WORD, BYTE = default_path("word_bpe_49k.json"), default_path("byte_bpe_50k.json")
 ODD = ["", " ", "a", "don't we'll they'RE 'Re x're", "A  b\n\n c", " lead and trail \n", "x<|endoftext|>y <|startoftext|>", "é É ß İ ǅ ς Σ",
@@ -54,6 +56,50 @@ def test_small_memory_gives_the_same_ids(byte, monkeypatch):
     assert [ids(x) for x in enc.encode(ODD)] == [ids(x) for x in byte.encode(ODD)]
 
 
+LONE = re.compile(r"(?!.*([.,\n][^\s\dA-Za-zÀ-ÖØ-öø-ÿ]|[^A-Za-z0-9À-ÖØ-öø-ÿ][.,]|[ \n][ \n]))(?![ \n])[\n -~À-ÖØ-öø-ÿ]*(?<![ \n])\Z", re.S)
+RUN = re.compile(r"[.,\n][^\s\dA-Za-zÀ-ÖØ-öø-ÿ]|[^A-Za-z0-9À-ÖØ-öø-ÿ][.,]|[ \n][ \n]|^[ \n]|[ \n]\Z")
+
+
+def test_lone_marks_are_those_of_the_rule_in_a_part_of_its_time():
+    for n in range(5):
+        for t in map("".join, itertools.product("aZ9é÷ .,\n!'\x7f\x1c\xa0中"[:14 if n < 4 else 9], repeat=n)):
+            assert bool(LONE.match(t)) == _lone_marks(t), t
+    text = "The méthod, of many words. " * 4000 + "end"
+
+    def seconds(f):
+        times = []
+        for _ in range(5):
+            at = time.process_time()
+            f(text)
+            times.append(time.process_time() - at)
+        return min(times)
+
+    assert _lone_marks(text.replace(". ", ".")) and not RUN.search(text)
+    assert 3 * seconds(_lone_marks) < seconds(RUN.search)  # searching was a sixth of the time of encoding
+
+
+def test_a_piece_is_looked_up_once_for_many_texts(monkeypatch):
+    asked = []
+
+    class Counted(dict):
+        def __getitem__(self, key):
+            asked.append(key)
+            if key not in self:
+                self[key] = enc.piece(key)
+            return super().__getitem__(key)
+
+    enc, library = ByteEncoder(BYTE), ByteEncoder(BYTE)
+    enc.known = Counted()
+    rng = random.Random(3)
+    many = [" ".join(rng.choice(["the", "méthod,", "of.", "a\nb", "x1", "l'été", "wow###", "'s", "12"]) for _ in range(rng.randrange(1, 60))) for _ in range(200)]
+    got = enc.encode(many)
+    assert [ids(x) for x in got] == [library.tok.encode(t, add_special_tokens=False).ids for t in many]
+    assert len(asked) < 100  # one by one: a look-up for each of some ten thousand pieces
+    # pieces of one hash are found out
+    monkeypatch.setattr("ledgerline.llm.tokens._NAME", np.ones(256, np.uint64))
+    assert enc.encode(many) == got
+
+
 def check_prefixes(c, t):
     x = c.index(t)
     want = [len(c.tok.encode(t[:i], add_special_tokens=False)) for i in range(len(t) + 1)]

@@ -55,6 +55,7 @@ GRAM = 50
 FILTER_BITS = 27         # a bitmap of 16 MB at most
 CELL = 8                 # neighbouring starts of round 393
 CONTEXT_MEMO = 200_000   # contexts a task remembers to have emitted
+BLOCK = 1 << 17          # bytes of texts that are looked at together
 _LETTER = mix64(np.arange(1, 257, dtype=np.uint64), 0x9E3779B97F4A7C15)
 _LETTER2 = mix64(np.arange(1, 257, dtype=np.uint64), 0x52DCE729DA3ED2A9)
 _BASE = (np.uint64(0x9E3779B97F4A7C15) | np.uint64(1), np.uint64(0xD1342543DE82EF95) | np.uint64(1))
@@ -64,17 +65,18 @@ _POWERS: dict = {}
 
 
 def _powers(which: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of a base and of its inverse, kept per worker."""
-    if which not in _POWERS or len(_POWERS[which][0]) <= n:
-        size = max(n, 1 << 20)
-        both = []
-        for b in (int(_BASE[which]), pow(int(_BASE[which]), -1, 1 << 64)):
-            x = np.full(size + 1, b, np.uint64)
-            x[0] = 1
-            with np.errstate(over="ignore"):
-                both.append(np.multiply.accumulate(x))
+    """Powers of a base and of its inverse; those for a block are kept per worker."""
+    if which in _POWERS and n < len(_POWERS[which][0]):
+        return _POWERS[which]
+    both = []
+    for b in (int(_BASE[which]), pow(int(_BASE[which]), -1, 1 << 64)):
+        x = np.full(max(n, BLOCK) + 1, b, np.uint64)
+        x[0] = 1
+        with np.errstate(over="ignore"):
+            both.append(np.multiply.accumulate(x))
+    if n <= BLOCK:
         _POWERS[which] = tuple(both)
-    return _POWERS[which]
+    return tuple(both)
 
 
 class Ranks:
@@ -157,12 +159,13 @@ class Open:
         for r in cell.groupBy("k").agg(F.bitmap_construct_agg("p").alias("m")).collect():
             on = np.flatnonzero(np.unpackbits(np.frombuffer(r.m, np.uint8), bitorder="little"))
             field[(r.k - 1) * 32768 + on] = True
-        self.field = np.packbits(field, bitorder="little")
+        # sent once for all scans that read it, and held once by a worker
+        self.sent = hashes.sparkSession.sparkContext.broadcast(np.packbits(field, bitorder="little"))
 
     def has(self, hashes: np.ndarray) -> np.ndarray:
-        out = np.ones(len(hashes), bool)
+        out, field = np.ones(len(hashes), bool), self.sent.value
         for x in _places(hashes, self.bits):
-            out &= (self.field[(x >> np.uint64(3)).astype(np.int64)] >> (x & np.uint64(7)).astype(np.uint8)) & 1 == 1
+            out &= (field[(x >> np.uint64(3)).astype(np.int64)] >> (x & np.uint64(7)).astype(np.uint8)) & 1 == 1
         return out
 
 
@@ -171,7 +174,7 @@ def _blocks(batches, column="t"):
     """Small buffers of whole texts: data, offsets, first row, last row, batch."""
     for b in batches:
         data, offsets = buffers(b.column(column))
-        for i, j in slices(offsets, 1 << 19):
+        for i, j in slices(offsets, BLOCK):
             if offsets[j] - offsets[i] >= LENGTH:
                 yield data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], i, j, b
 

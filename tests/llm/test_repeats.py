@@ -84,3 +84,12 @@ def test_every_string_has_one_owner():
     starts = [p for a, b in zip(offsets, offsets[1:]) for p in range(a, b - 399)]
     owned = [p for a, b in zip(lo, hi) for p in range(a, b + 1)]
     assert owned == starts and all(a <= x and x + 50 <= b + 400 for x, a, b in zip(q, lo, hi))
+
+
+def test_filters_travel_beside_the_scans(spark):
+    from pyspark import cloudpickle
+
+    some = repeats.Open(spark.range(200_000).toDF("h"))
+    assert some.bits == 24 and some.has(np.arange(200_000, dtype=np.int64).view(np.uint64)).all()
+    # each scan used to hold copies of its bitmaps, 2 MB each here, 16 MB at size
+    assert len(cloudpickle.dumps(repeats._scan_strings(some, some, some))) < 100_000

@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 
 from ledgerline.session import scratch_dir
 
+TASK_ROWS = 100_000  # ids or pairs of ids that are worth a task
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{str(sf_dir).rstrip('/')}/{name}.parquet")
 
@@ -41,6 +44,17 @@ def saved(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def fitted(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, of at most so many small rows, in as many tasks as these need: joins and groups
+    of what little is left shuffle nothing when one task is enough."""
+    return df.coalesce(max(1, -(-rows // TASK_ROWS)))
+
+
+def kept(df: DataFrame, tag: str, rows: int) -> DataFrame:
+    """Like :func:`saved`, fitted to its rows as it is written and as it is read."""
+    return fitted(saved(fitted(df, rows), tag), rows)
+
+
 # -- Arrow ----------------------------------------------------------------------
 def buffers(arr: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and n+1 offsets of a string or binary array (null: empty)."""
@@ -121,24 +135,27 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     every node its root. Tables are written to the shared folder between rounds; only a count reaches the driver.
     """
     left = saved(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct(), "edges")
-    taken: list[DataFrame] = []
+    taken: list[tuple[DataFrame, int]] = []
     for _ in range(max_rounds):
-        if left.isEmpty():
+        n = left.count()
+        if not n:
             break
-        both = left.unionByName(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        first = saved(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("up")), "first")
+        left = fitted(left, n)
+        both = left.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e"))
+        first = kept(both.groupBy(F.col("e.a").alias("node")).agg(F.min("e.b").alias("m")).select("node", F.least("node", "m").alias("up")), "first", 2 * n)
         second = first.select(F.col("node").alias("up"), F.col("up").alias("root"))
-        taken.append(saved(first.join(second, "up").select("node", "root"), "taken"))
-        of = taken[-1]
+        of = kept(first.join(second, "up").select("node", "root"), "taken", 2 * n)
+        taken.append((of, 2 * n))
         moved = (left.join(of.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a")
                  .join(of.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b"))
-        left = saved(moved.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).where("a <> b").distinct(), "edges")
+        left = kept(moved.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).where("a <> b").distinct(), "edges", n)
     else:
         raise RuntimeError("components did not settle")
     if not taken:
         return left.select(F.col("a").alias("node"), F.col("a").alias("root"))
-    roots = taken.pop()
+    roots, _ = taken.pop()
     while taken:
         later = roots.select(F.col("node").alias("root"), F.col("root").alias("last"))
-        roots = saved(taken.pop().join(later, "root", "left").select("node", F.coalesce("last", "root").alias("root")), "labels")
+        before, n = taken.pop()
+        roots = kept(before.join(later, "root", "left").select("node", F.coalesce("last", "root").alias("root")), "labels", n)
     return roots

@@ -148,15 +148,20 @@ def _sample(idf: np.ndarray):
     return run
 
 
+def band_keys(sig: np.ndarray) -> np.ndarray:
+    """The key of each band of signatures (texts, bands, ROWS)."""
+    with np.errstate(over="ignore"):
+        key = np.zeros(sig.shape[:2], np.uint64) + np.arange(1, sig.shape[1] + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        for r in range(ROWS):
+            key = mix64(key ^ sig[:, :, r].astype(np.uint64), r + 1)
+    return key
+
+
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         raw, _ = buffers(b.column("sig"))
         bands = SETS * BANDS
-        sig = raw.view("<u4").reshape(b.num_rows, bands, ROWS).astype(np.uint64)
-        with np.errstate(over="ignore"):
-            key = np.zeros((b.num_rows, bands), np.uint64) + np.arange(1, bands + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-            for r in range(ROWS):
-                key = mix64(key ^ sig[:, :, r], r + 1)
+        key = band_keys(raw.view("<u4").reshape(b.num_rows, bands, ROWS))
         nodes = b.column("node").take(pa.array(np.repeat(np.arange(b.num_rows), bands)))
         # the sets take turns, so that every wave has bands of both
         turn = np.arange(bands) % BANDS * SETS + np.arange(bands) // BANDS
@@ -275,8 +280,9 @@ def _screen(agree: int):
     return run
 
 
-def _between(agree: int, idf: np.ndarray, least: float):
-    """Links of one block pair that join what is not in one class yet."""
+def _between(agree: int, idf: np.ndarray, least: float, across: bool):
+    """Links of one block pair that join what is not in one class yet. ``across``, a wave of all
+    bands: two texts meet in every bucket that they share, so only the first one verifies them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _groups(batches):
             if t.num_rows < 2:
@@ -286,9 +292,14 @@ def _between(agree: int, idf: np.ndarray, least: float):
             s, times, off = shingles(data, at)
             w = weights(s, times, idf)
             part = [slice(off[k], off[k + 1]) for k in range(len(nodes))]
+            keys = band_keys(sig.reshape(len(nodes), -1, ROWS)) if across else None
+            here = np.uint64(t.column("key")[0].as_py() & 0xFFFFFFFFFFFFFFFF)
             out = []
             for k in range(len(nodes)):
-                for m in _partners(sig, root, side, lead, k, agree).tolist():
+                near = _partners(sig, root, side, lead, k, agree)
+                if across and len(near) and (keys[k] == here).any():
+                    near = near[keys[k][(keys[near] == keys[k]).argmax(axis=1)] == here]
+                for m in near.tolist():
                     if root[m] != root[k] and _similar(s[part[k]], (w[part[k]], times[part[k]]), s[part[m]], (w[part[m]], times[part[m]]), least):
                         root[root == root[k]] = root[m]
                         out.append((min(nodes[k], nodes[m]), max(nodes[k], nodes[m])))
@@ -328,12 +339,17 @@ def more_links(members: DataFrame, labels: DataFrame, sigs: DataFrame, texts: Da
     rest = classed.where("NOT lead").groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
     still = rest.where("lo <> hi").select("key")
     agree = int(AGREE * BANDS * ROWS)
-    opened = classed.join(still, "key")
-    seen = _blocks(opened.join(sigs, "node"), SCREEN, across).select("key", "node", "root", "lead", "sig", "i", "j", "side")
+    # written, so that what is small is known to be small: then the tables of signatures and texts need not move
+    opened = saved(classed.join(still, "key"), "open")
+    if opened.isEmpty():
+        return opened.select(F.col("node").alias("a"), F.col("node").alias("b"))
+    seen = _blocks(opened, SCREEN, across).join(sigs, "node").select("key", "node", "root", "lead", "sig", "i", "j", "side")
     found = saved(_by_block(seen).mapInArrow(_screen(agree), "key long, node binary").distinct(), "contenders")
-    held = _blocks(found.join(classed, ["key", "node"]).join(sigs, "node").join(texts, "node"), BLOCK, across)
+    if found.isEmpty():
+        return opened.where("false").select(F.col("node").alias("a"), F.col("node").alias("b"))
+    held = saved(_blocks(found.join(opened, ["key", "node"]), BLOCK, across), "blocks").join(sigs, "node").join(texts, "node")
     return (_by_block(held.select("key", "node", "root", "lead", "sig", "t", "i", "j", "side"))
-            .mapInArrow(_between(agree, idf, least), "a binary, b binary").distinct())
+            .mapInArrow(_between(agree, idf, least, across), "a binary, b binary").distinct())
 
 
 # -- classes -----------------------------------------------------------------------------------
@@ -353,8 +369,9 @@ def node_classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     # one text of each needed node, from the row of its smallest id
     first = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), node_of().alias("node"))
              .groupBy("node").agg(F.min("doc_id").alias("first")).join(needed, "node"))
-    texts = saved(rows.join(first, "node").where("doc_id <=> first").select("node", "t"), "texts")
-    texts = texts.withColumn("_n", F.row_number().over(Window.partitionBy("node").orderBy("node"))).where("_n = 1").drop("_n")
+    texts = rows.join(first, "node").where("doc_id <=> first").select("node", "t")
+    # repeated rows of one id; sorted out once, where the join has dealt by node
+    texts = saved(texts.withColumn("_n", F.row_number().over(Window.partitionBy("node").orderBy("node"))).where("_n = 1").drop("_n"), "texts")
     apart = members.where("node <> leader")
     # one leader a text, then only leaders of other classes
     first = saved(apart.groupBy(F.col("node").alias("b")).agg(F.min("leader").alias("a")).select("a", "b"), "pairs")

@@ -241,3 +241,19 @@ def test_members_of_a_large_group_far_apart_under_idf_are_found(spark, changed):
     got = {r.doc_id: r.class_id for r in minhash.near_classes(docs).collect()}
     assert [got[k] for k in range(60)] == [0] * 60
     assert all(got[k] == k for k, _ in rows[60:])
+
+
+def test_texts_that_share_many_buckets_are_verified_once(monkeypatch):
+    asked = []
+    monkeypatch.setattr(minhash, "_similar", lambda *a: asked.append(1) or False)
+    bands = minhash.SETS * minhash.BANDS
+    sig = np.arange(bands * minhash.ROWS, dtype="<u4")
+    keys = minhash.band_keys(sig.reshape(1, bands, minhash.ROWS))[0].view(np.int64)
+    nodes = [b"a", b"b", b"c"]
+    rows = [(int(k), n, n, False, sig.tobytes(), "some words of a text", 0, 0, 2) for k in keys for n in nodes]
+    names = ["key", "node", "root", "lead", "sig", "t", "i", "j", "side"]
+    kinds = [pa.int64(), pa.binary(), pa.binary(), pa.bool_(), pa.binary(), pa.string(), pa.int32(), pa.int32(), pa.int32()]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+    idf = np.ones(1 << minhash.FEATURE_BITS, np.float32)
+    assert not list(minhash._between(22, idf, 0.8, True)(iter([batch])))
+    assert len(asked) == 6  # three pairs from both ends; 120 in all buckets

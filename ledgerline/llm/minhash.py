@@ -20,7 +20,8 @@
    yet in one class, against that leader.
 5. In buckets that still hold different classes, members are compared with all members of
    other classes, in blocks of signatures without texts; only members with a promising
-   partner go on with their texts to be verified, block by block in the task. This runs in
+   partner go on with their texts to be verified, block by block in the task; a pair that shares
+   many buckets is looked at in the first. This runs in
    ``WAVES``, and what one wave has joined is one class to the next: first within the blocks
    of a few bands, at last between all blocks of all bands. No bucket is
    capped; only links come out.
@@ -53,7 +54,9 @@ FEATURE_BITS = 21
 SLICE = 1 << 13          # features in a slice of the counts
 WAVES = ((0, 1, False), (1, 4, False), (0, SETS * BANDS, True))  # first band, last band + 1, blocks meet other blocks
 SCREEN = 2048            # members of a block whose signatures are compared
-BLOCK = 256              # members of a block whose texts are compared
+BLOCK = 2048             # members of a block whose texts are compared
+BLOCK_BYTES = 1 << 21    # and about so many bytes of their texts
+COMPARED = 1 << 18       # shingles of partners that are looked up at once
 AGREE = 0.55             # share of equal samples, of either set, below which a pair is not verified
 _SEEDS = mix64(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64), 0xD6E8FEB86659FD93)
 
@@ -260,26 +263,71 @@ def _partners(sig: np.ndarray, root: np.ndarray, side: np.ndarray, lead: np.ndar
     return other[((sig[other] == sig[k]).sum(axis=2) >= agree).any(axis=1)]
 
 
-def _screen(agree: int):
-    """Members of a block pair with a promising partner in another class, by signatures alone."""
+def _first_here(keys: np.ndarray | None, here: np.uint64, k: int, near: np.ndarray) -> np.ndarray:
+    """Of the partners of a member in this bucket those that it meets in no bucket of an earlier band."""
+    if keys is None or not len(near) or not (keys[k] == here).any():
+        return near
+    return near[keys[k][(keys[near] == keys[k]).argmax(axis=1)] == here]
+
+
+def _bucket(t: pa.Table, sig: np.ndarray, across: bool) -> tuple[np.ndarray | None, np.uint64]:
+    """Keys of all bands of the members, in a wave of all bands, and the key of this bucket."""
+    keys = band_keys(sig.reshape(len(sig), -1, ROWS)) if across else None
+    return keys, np.uint64(t.column("key")[0].as_py() & 0xFFFFFFFFFFFFFFFF)
+
+
+FOUND = "key long, node binary, root binary, lead boolean, bytes long"
+
+
+def _screen(agree: int, across: bool):
+    """Members of a block pair with a promising partner in another class, by signatures alone.
+    ``across``, a wave of all bands: a pair counts in the first of the buckets that it shares."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _groups(batches):
             if t.num_rows < 2:
                 continue
             nodes, sig, root, side, lead = _members(t)
+            keys, here = _bucket(t, sig, across)
             hit = np.zeros(len(nodes), bool)
             # a member of the largest class is found from its partner's side
             for k in np.flatnonzero(root != np.bincount(root).argmax()).tolist():
-                near = _partners(sig, root, side, lead, k, agree)
+                near = _first_here(keys, here, k, _partners(sig, root, side, lead, k, agree))
                 hit[near] = True
                 hit[k] |= len(near) > 0
             if hit.any():
                 keep = pa.array(np.flatnonzero(hit))
-                yield from t.select(["key", "node"]).take(keep).to_batches()
+                yield from t.select(["key", "node", "root", "lead", "bytes"]).take(keep).to_batches()
 
     return run
 
 
+class _Bags:
+    """Shingles of a block's texts with both weights, to compare one text with many at once."""
+
+    def __init__(self, s: np.ndarray, off: np.ndarray, *weights: np.ndarray):
+        every, self.ids = np.unique(s, return_inverse=True)
+        self.off, self.weights = off, [w.astype(np.float32) for w in weights]
+        self.marks = [np.zeros(len(every), np.float32) for _ in weights]
+        sums = [np.concatenate([np.zeros(1), np.cumsum(w, dtype=np.float64)])[off] for w in self.weights]
+        self.sums = [np.diff(x) for x in sums]
+
+    def alike(self, k: int, near: np.ndarray, least: float) -> np.ndarray:
+        """Of ``near`` those as similar to text ``k``, up to rounding, as ``least`` with either weight."""
+        good, own = np.zeros(len(near), bool), slice(self.off[k], self.off[k + 1])
+        size = self.off[near + 1] - self.off[near]
+        for i, j in slices(np.concatenate([np.zeros(1, np.int64), np.cumsum(size)]), COMPARED):
+            some, n = near[i:j], size[i:j]
+            starts = np.cumsum(n) - n
+            at = np.repeat(self.off[some] - starts, n) + np.arange(n.sum())
+            ids = self.ids[at]
+            for mark, w, sums in zip(self.marks, self.weights, self.sums):
+                mark[self.ids[own]] = w[own]
+                both = np.add.reduceat(np.minimum(mark[ids], w[at]), starts, dtype=np.float64)
+                mark[self.ids[own]] = 0
+                good[i:j] |= both >= least * (sums[k] + sums[some] - both) - 1e-6 * sums[k]
+        return near[good]
+
+
 def _between(agree: int, idf: np.ndarray, least: float, across: bool):
     """Links of one block pair that join what is not in one class yet. ``across``, a wave of all
     bands: two texts meet in every bucket that they share, so only the first one verifies them."""
@@ -292,14 +340,12 @@ def _between(agree: int, idf: np.ndarray, least: float, across: bool):
             s, times, off = shingles(data, at)
             w = weights(s, times, idf)
             part = [slice(off[k], off[k + 1]) for k in range(len(nodes))]
-            keys = band_keys(sig.reshape(len(nodes), -1, ROWS)) if across else None
-            here = np.uint64(t.column("key")[0].as_py() & 0xFFFFFFFFFFFFFFFF)
+            bags = _Bags(s, off, w, times)
+            keys, here = _bucket(t, sig, across)
             out = []
             for k in range(len(nodes)):
-                near = _partners(sig, root, side, lead, k, agree)
-                if across and len(near) and (keys[k] == here).any():
-                    near = near[keys[k][(keys[near] == keys[k]).argmax(axis=1)] == here]
-                for m in near.tolist():
+                near = _first_here(keys, here, k, _partners(sig, root, side, lead, k, agree))
+                for m in bags.alike(k, near, least).tolist():
                     if root[m] != root[k] and _similar(s[part[k]], (w[part[k]], times[part[k]]), s[part[m]], (w[part[m]], times[part[m]]), least):
                         root[root == root[k]] = root[m]
                         out.append((min(nodes[k], nodes[m]), max(nodes[k], nodes[m])))
@@ -313,10 +359,9 @@ def _by_block(rows: DataFrame) -> DataFrame:
     return rows.repartition(*GROUP).sortWithinPartitions(*GROUP)
 
 
-def _blocks(members: DataFrame, size: int, across: bool) -> DataFrame:
-    """Every block of a bucket's members meets itself and, ``across`` blocks, every other block once."""
-    sizes = members.groupBy("key").agg(F.ceil(F.count("*") / size).cast("int").alias("blocks"))
-    rows = members.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+def _blocks(members: DataFrame, across: bool) -> DataFrame:
+    """Every block of a bucket's members, dealt to ``blocks``, meets itself and, ``across`` blocks, every other block once."""
+    rows = members.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     if not across:
         return rows.withColumns({"i": F.col("block"), "j": F.col("block"), "side": F.lit(2)}).drop("block", "blocks")
     return (rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -336,18 +381,24 @@ def more_links(members: DataFrame, labels: DataFrame, sigs: DataFrame, texts: Da
     """Links between classes (``labels``) within buckets (key, node, leader) beyond those with the leader."""
     lead = (F.col("node") == F.col("leader")).alias("lead")
     classed = saved(rooted(members, labels, "node", "root").select("key", "node", "root", lead), "members")
-    rest = classed.where("NOT lead").groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-    still = rest.where("lo <> hi").select("key")
+    other = F.when(~F.col("lead"), F.col("root"))
+    still = (classed.groupBy("key").agg(F.min(other).alias("lo"), F.max(other).alias("hi"), F.ceil(F.count("*") / SCREEN).cast("int").alias("blocks"))
+             .where("lo <> hi").select("key", "blocks"))
     agree = int(AGREE * BANDS * ROWS)
     # written, so that what is small is known to be small: then the tables of signatures and texts need not move
     opened = saved(classed.join(still, "key"), "open")
     if opened.isEmpty():
         return opened.select(F.col("node").alias("a"), F.col("node").alias("b"))
-    seen = _blocks(opened, SCREEN, across).join(sigs, "node").select("key", "node", "root", "lead", "sig", "i", "j", "side")
-    found = saved(_by_block(seen).mapInArrow(_screen(agree), "key long, node binary").distinct(), "contenders")
+    # signatures and texts join the nodes once, not once a bucket
+    marked = (opened.select("node").distinct().join(sigs, "node")
+              .join(texts.select("node", F.octet_length("t").cast("long").alias("bytes")), "node"))
+    seen = _blocks(opened, across).join(marked, "node").select("key", "node", "root", "lead", "sig", "bytes", "i", "j", "side")
+    found = saved(_by_block(seen).mapInArrow(_screen(agree, across), FOUND).distinct(), "contenders")
     if found.isEmpty():
         return opened.where("false").select(F.col("node").alias("a"), F.col("node").alias("b"))
-    held = saved(_blocks(found.join(opened, ["key", "node"]), BLOCK, across), "blocks").join(sigs, "node").join(texts, "node")
+    parts = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("bytes") / BLOCK_BYTES)).cast("int").alias("blocks")
+    bodies = found.select("node").distinct().join(sigs, "node").join(texts, "node")
+    held = saved(_blocks(found.join(found.groupBy("key").agg(parts), "key"), across), "blocks").join(bodies, "node")
     return (_by_block(held.select("key", "node", "root", "lead", "sig", "t", "i", "j", "side"))
             .mapInArrow(_between(agree, idf, least, across), "a binary, b binary").distinct())
 

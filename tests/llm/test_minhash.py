@@ -257,3 +257,45 @@ def test_texts_that_share_many_buckets_are_verified_once(monkeypatch):
     idf = np.ones(1 << minhash.FEATURE_BITS, np.float32)
     assert not list(minhash._between(22, idf, 0.8, True)(iter([batch])))
     assert len(asked) == 6  # three pairs from both ends; 120 in all buckets
+
+
+def test_members_of_an_open_bucket_are_not_copied_for_its_size(spark, monkeypatch):
+    """Short texts, all promising and none similar, meet in one block: rows stay as many as members."""
+    n, rng = 600, random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(6))
+    nodes = [f"{k:04d}".encode() for k in range(n)]
+    made, was = {}, minhash.saved
+    monkeypatch.setattr(minhash, "saved", lambda df, tag: made.setdefault(tag, was(df, tag)))
+    twin = " ".join(word() for _ in range(20))
+    texts = spark.createDataFrame([(x, twin if k in (7, 599) else " ".join(word() for _ in range(20))) for k, x in enumerate(nodes)], "node binary, t string")
+    sig = np.arange(minhash.SETS * minhash.BANDS * minhash.ROWS, dtype="<u4").tobytes()
+    sigs = spark.createDataFrame([(x, sig) for x in nodes], "node binary, sig binary")
+    members = spark.createDataFrame([(1, x, nodes[0]) for x in nodes], "key long, node binary, leader binary")
+    labels = minhash.components(spark.createDataFrame([], "a binary, b binary"))
+    got = minhash.more_links(members, labels, sigs, texts, np.ones(1 << minhash.FEATURE_BITS, np.float32), 0.8).collect()
+    assert [(bytes(r.a), bytes(r.b)) for r in got] == [(nodes[7], nodes[599])]
+    assert made["blocks"].count() == n - 1  # the leader has been met by all
+
+
+def test_a_pair_is_a_contender_in_one_bucket():
+    bands = minhash.SETS * minhash.BANDS
+    sig = np.arange(bands * minhash.ROWS, dtype="<u4")
+    keys = np.sort(minhash.band_keys(sig.reshape(1, bands, minhash.ROWS))[0].view(np.int64))
+    rows = [(int(k), x, x, False, sig.tobytes(), 9, 0, 0, 2) for k in keys for x in (b"a", b"b", b"c")]
+    names = ["key", "node", "root", "lead", "sig", "bytes", "i", "j", "side"]
+    kinds = [pa.int64(), pa.binary(), pa.binary(), pa.bool_(), pa.binary(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+    every = lambda across: sum(b.num_rows for b in minhash._screen(22, across)(iter([batch])))
+    assert (every(True), every(False)) == (3, 3 * bands)
+
+
+def test_many_partners_at_once_are_judged_as_one_by_one(monkeypatch):
+    monkeypatch.setattr(minhash, "COMPARED", 300)
+    rows = [t for _, t in corpus(5) if t and plain_shingles(t)]
+    s, times, off = shingles(*buffers(pa.array(rows)))
+    w = minhash.weights(s, times, np.random.default_rng(0).uniform(0.5, 8, 1 << minhash.FEATURE_BITS).astype(np.float32))
+    bags, part = minhash._Bags(s, off, w, times), [slice(a, b) for a, b in zip(off, off[1:])]
+    for k in range(0, len(rows), 7):
+        want = [m for m in range(len(rows)) if minhash._similar(s[part[k]], (w[part[k]], times[part[k]]), s[part[m]], (w[part[m]], times[part[m]]), 0.8)]
+        assert bags.alike(k, np.arange(len(rows)), 0.8).tolist() == want
+    assert bags.alike(0, np.zeros(0, np.int64), 0.8).tolist() == []

@@ -8,6 +8,8 @@ result with the same schema.
 
 from __future__ import annotations
 
+import ctypes
+import functools
 from collections.abc import Callable, Iterator
 from typing import Any
 
@@ -114,6 +116,36 @@ class Memo(dict):
         return got
 
 
+# -- memory of Python workers ------------------------------------------------------
+def _give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        pass
+
+
+def released(run: Callable[[Iterator[pa.RecordBatch]], Iterator]) -> Callable[[Iterator[pa.RecordBatch]], Iterator]:
+    """``run`` for ``mapInArrow``, giving what its task has freed back to the machine: Spark keeps
+    Python workers for later tasks, and each would keep the most it ever held beside the executor."""
+    @functools.wraps(run)
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator:
+        yield from run(batches)
+        _give_back()
+
+    return task
+
+
+class Sent:
+    """An array that tasks index: sent once for all steps that read it, and held once by a worker."""
+
+    def __init__(self, spark: SparkSession, array: np.ndarray):
+        self.held = spark.sparkContext.broadcast(array)
+
+    def __getitem__(self, places: np.ndarray) -> np.ndarray:
+        return self.held.value[places]
+
+
 # -- 64-bit hashing in numpy -------------------------------------------------------
 def mix64(x: np.ndarray, seed: int = 0) -> np.ndarray:
     """A bijective 64-bit finaliser."""

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import table, text_of, texts_of
+from ledgerline.llm.common import released, table, text_of, texts_of
 
 WINDOW = 13
 BLOCK_PATTERNS = 200_000
@@ -101,6 +101,7 @@ def pattern_blocks(benchmark: DataFrame, n: int, limit: int) -> Iterator[list[Pa
 
 
 def _search(sets: list[PatternSet], first: bool):
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ns, starts, ends, items = [], [], [], []
@@ -132,6 +133,7 @@ def _search(sets: list[PatternSet], first: bool):
 
 def _judge(min_share: int):
     """Spans and items to the measures of a document."""
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             hits, count, sha, bad = [], [], [], []

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import documents, saved, text_of
+from ledgerline.llm.common import documents, released, saved, text_of
 
 BUCKET_KEYS = 512       # distinct hashes in a bucket before it is split
 MAX_DEPTH = 20          # directory of at most 2^20 slots, one byte each
@@ -101,6 +101,7 @@ def _combine(directory: Directory):
              pa.array([v[0] for v in table.values()], pa.int64()), pa.array([v[1] for v in table.values()], pa.int64())],
             ["bucket", "h", "text", "keep_id", "n"])
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table: dict = {}
         held = 0
@@ -123,6 +124,7 @@ def _combine(directory: Directory):
     return run
 
 
+@released
 def _own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by bucket and hash: chain the distinct texts of a hash."""
     names = ["bucket", "h", "chain", "keep_id", "n", "sha"]

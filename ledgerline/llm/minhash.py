@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import buffers, components, documents, mix64, saved, slices, text_of
+from ledgerline.llm.common import Sent, buffers, components, documents, mix64, released, saved, slices, text_of
 from ledgerline.llm.shingles import shingles
 
 BANDS, ROWS = 10, 4
@@ -62,6 +62,7 @@ _SEEDS = mix64(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64), 0xD6E8FEB86659FD
 
 
 # -- 1. document frequencies -------------------------------------------------------------
+@released
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(1 << FEATURE_BITS, np.int64)
     for b in batches:
@@ -80,6 +81,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          ["slice", "counts"])
 
 
+@released
 def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: dict[int, np.ndarray] = {}
     for b in batches:
@@ -104,7 +106,7 @@ def idf_table(docs: DataFrame) -> np.ndarray:
 
 
 # -- 2. samples ----------------------------------------------------------------------------
-def weights(s: np.ndarray, times: np.ndarray, idf: np.ndarray) -> np.ndarray:
+def weights(s: np.ndarray, times: np.ndarray, idf: np.ndarray | Sent) -> np.ndarray:
     return times.astype(np.float32) * idf[(s >> np.uint64(64 - FEATURE_BITS)).astype(np.int64)]
 
 
@@ -134,7 +136,8 @@ def samples(s: np.ndarray, w: np.ndarray, at: np.ndarray, *more: np.ndarray) ->
     return out.reshape(len(starts), -1)
 
 
-def _sample(idf: np.ndarray):
+def _sample(idf: np.ndarray | Sent):
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             data, offsets = buffers(b.column("t"))
@@ -160,6 +163,7 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
     return key
 
 
+@released
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         raw, _ = buffers(b.column("sig"))
@@ -173,7 +177,8 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 # -- 3. verification -------------------------------------------------------------------------
-def _verify(idf: np.ndarray, least: float):
+def _verify(idf: np.ndarray | Sent, least: float):
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sides = [buffers(b.column(c)) for c in ("ta", "tb")]
@@ -190,6 +195,7 @@ def _verify(idf: np.ndarray, least: float):
     return run
 
 
+@released
 def _promising(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         one, two = (buffers(b.column(c))[0].view("<u4").reshape(b.num_rows, SETS, BANDS * ROWS) for c in ("sa", "sb"))
@@ -197,7 +203,7 @@ def _promising(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column("a").take(keep), b.column("b").take(keep)], ["a", "b"])
 
 
-def verified(pairs: DataFrame, sigs: DataFrame, texts: DataFrame, idf: np.ndarray, least: float) -> DataFrame:
+def verified(pairs: DataFrame, sigs: DataFrame, texts: DataFrame, idf: np.ndarray | Sent, least: float) -> DataFrame:
     """The pairs (a, b) of similar texts. ``sigs``, ``texts``: one row of each node."""
     both = (pairs.join(sigs.select(F.col("node").alias("a"), F.col("sig").alias("sa")), "a")
             .join(sigs.select(F.col("node").alias("b"), F.col("sig").alias("sb")), "b").select("a", "b", "sa", "sb"))
@@ -282,6 +288,7 @@ FOUND = "key long, node binary, root binary, lead boolean, bytes long"
 def _screen(agree: int, across: bool):
     """Members of a block pair with a promising partner in another class, by signatures alone.
     ``across``, a wave of all bands: a pair counts in the first of the buckets that it shares."""
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _groups(batches):
             if t.num_rows < 2:
@@ -328,9 +335,10 @@ class _Bags:
         return near[good]
 
 
-def _between(agree: int, idf: np.ndarray, least: float, across: bool):
+def _between(agree: int, idf: np.ndarray | Sent, least: float, across: bool):
     """Links of one block pair that join what is not in one class yet. ``across``, a wave of all
     bands: two texts meet in every bucket that they share, so only the first one verifies them."""
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _groups(batches):
             if t.num_rows < 2:
@@ -376,7 +384,7 @@ def rooted(rows: DataFrame, labels: DataFrame, node: str, root: str) -> DataFram
     return rows.join(named, node, "left").withColumn(root, F.coalesce("_q_root", node)).drop("_q_root")
 
 
-def more_links(members: DataFrame, labels: DataFrame, sigs: DataFrame, texts: DataFrame, idf: np.ndarray, least: float,
+def more_links(members: DataFrame, labels: DataFrame, sigs: DataFrame, texts: DataFrame, idf: np.ndarray | Sent, least: float,
                across: bool = True) -> DataFrame:
     """Links between classes (``labels``) within buckets (key, node, leader) beyond those with the leader."""
     lead = (F.col("node") == F.col("leader")).alias("lead")
@@ -410,7 +418,7 @@ def node_of():
 
 def node_classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """(node, root) of texts that are in a class with a different text."""
-    idf = idf_table(docs)
+    idf = Sent(docs.sparkSession, idf_table(docs))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("t"), node_of().alias("node"))
     sigs = saved(rows.select("node", "t").mapInArrow(_sample(idf), "node binary, sig binary").dropDuplicates(["node"]), "samples")
     members = sigs.mapInArrow(_bands, "key long, band int, node binary")

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import documents, saved, text_of, texts_of
+from ledgerline.llm.common import documents, released, saved, text_of, texts_of
 from ledgerline.llm.tokens import default_path, encoder
 
 SEQUENCE = 1024
@@ -154,6 +154,7 @@ def pack_pieces(pieces: DataFrame, capacity: int = SEQUENCE) -> DataFrame:
 
 # -- documents to pieces -----------------------------------------------------------------
 def _cut(path: str, kind: str, capacity: int, end_id: int):
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, end = encoder(path, kind), np.array([end_id], "<u4").tobytes()
         for b in batches:

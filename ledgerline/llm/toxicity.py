@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import Memo, table, text_of, texts_of
+from ledgerline.llm.common import Memo, released, table, text_of, texts_of
 
 TRAIN_ROWS = 6000
 TRAIN_WORDS = 150_000
@@ -263,6 +263,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_ROWS) -
 
 # -- scoring ----------------------------------------------------------------------------
 def _score(field: Field, column: str, with_spans: bool):
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             scores, spans = [], []

@@ -2,8 +2,10 @@
 
 import random
 
+import numpy as np
 import pyarrow as pa
 
+from ledgerline.llm import common, minhash
 from ledgerline.llm.common import Memo, buffers, components, texts_of
 
 
@@ -42,3 +44,20 @@ def test_buffers_of_sliced_and_null_arrays():
     batch = pa.RecordBatch.from_arrays([pa.array(["a" * 10, "b" * 10, "c"])], ["t"])
     assert [x for _, _, part in texts_of(batch, "t", 12) for x in part] == ["a" * 10, "b" * 10, "c"]
     assert [(i, j) for i, j, _ in texts_of(batch, "t", 12)] == [(0, 1), (1, 3)]
+
+
+def test_workers_give_freed_memory_back_at_the_end_of_a_task(monkeypatch):
+    asked = []
+    monkeypatch.setattr(common, "_give_back", lambda: asked.append(1))
+    task = common.released(lambda batches: (2 * b for b in batches))(iter([1, 2]))
+    assert (next(task), asked) == (2, [])
+    assert (list(task), asked) == ([4], [1])
+
+
+def test_an_array_is_sent_beside_the_steps_that_read_it(spark):
+    from pyspark import cloudpickle
+
+    array = np.arange(1 << 18, dtype=np.float32)
+    sent = common.Sent(spark, array)
+    assert sent[np.array([3, 5])].tolist() == [3, 5]
+    assert len(cloudpickle.dumps(minhash._verify(sent, 0.8))) < 20_000 < len(cloudpickle.dumps(minhash._verify(array, 0.8)))

@@ -33,9 +33,15 @@ What is unique needs no exact set: each scan skips anchors by a bitmap of at
 most 2^``FILTER_BITS`` bits of the ranks still open; a fuller bitmap only lets
 more rows through. Only texts that lose something are shuffled, in the last step.
 
+Beside what is removed, ``shared_passages`` finds the texts of which ``PASSAGE`` words on
+end (words as op12 takes them) stand in another row too, whatever their bytes: 51 words are
+some 320 bytes here, mostly too short to be removed. It goes the same way over words: round 8
+at the anchors of all runs of 51 words, whole contexts, which settle copies and near copies,
+and round 51 for what the texts left over share. It changes nothing that is removed.
+
 Defined cases: null and shorter texts lose nothing; matches never cross texts;
 rows that repeat a text count as other places; an empty table gives an empty
-result.
+result. A passage that stands twice in one row only is not shared.
 """
 
 from __future__ import annotations
@@ -48,7 +54,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import buffers, documents, mix64, saved, slices, text_of
+from ledgerline.llm.common import buffers, documents, mix64, released, saved, slices, text_of
 
 LENGTH = 400
 GRAM = 50
@@ -56,6 +62,9 @@ FILTER_BITS = 27         # a bitmap of 16 MB at most
 CELL = 8                 # neighbouring starts of round 393
 CONTEXT_MEMO = 200_000   # contexts a task remembers to have emitted
 BLOCK = 1 << 17          # bytes of texts that are looked at together
+PASSAGE = 51             # words of a passage: over 50
+WORDS = 8                # words of the first round over words
+_SPACE = np.isin(np.arange(256), [32, *range(9, 14)])
 _LETTER = mix64(np.arange(1, 257, dtype=np.uint64), 0x9E3779B97F4A7C15)
 _LETTER2 = mix64(np.arange(1, 257, dtype=np.uint64), 0x52DCE729DA3ED2A9)
 _BASE = (np.uint64(0x9E3779B97F4A7C15) | np.uint64(1), np.uint64(0xD1342543DE82EF95) | np.uint64(1))
@@ -80,13 +89,15 @@ def _powers(which: int, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Ranks:
-    """Hash of any range of a buffer, from running sums (64-bit arithmetic wraps)."""
+    """Hash of any range of a buffer of bytes, or of words given by their ranks, from running
+    sums (64-bit arithmetic wraps)."""
 
     def __init__(self, data: np.ndarray, which: int = 0):
         up, self.down = _powers(which, len(data))
         with np.errstate(over="ignore"):
             self.sums = np.zeros(len(data) + 1, np.uint64)
-            np.cumsum((_LETTER, _LETTER2)[which][data] * up[:len(data)], out=self.sums[1:])
+            letters = (_LETTER, _LETTER2)[which][data] if data.dtype == np.uint8 else mix64(data, 43 + which)
+            np.cumsum(letters * up[:len(data)], out=self.sums[1:])
         self.seed = 7 + which
 
     def of(self, start: np.ndarray, size) -> np.ndarray:
@@ -170,12 +181,12 @@ class Open:
 
 
 # -- scans ------------------------------------------------------------------------------------
-def _blocks(batches, column="t"):
+def _blocks(batches, column="t", least=LENGTH):
     """Small buffers of whole texts: data, offsets, first row, last row, batch."""
     for b in batches:
         data, offsets = buffers(b.column(column))
         for i, j in slices(offsets, BLOCK):
-            if offsets[j] - offsets[i] >= LENGTH:
+            if offsets[j] - offsets[i] >= least:
                 yield data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], i, j, b
 
 
@@ -186,9 +197,9 @@ def _scan_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(r.of(q, GRAM).view(np.int64))], ["g"])
 
 
-def _context(r: Ranks, r2: Ranks, q, lo, hi):
+def _context(r: Ranks, r2: Ranks, q, lo, hi, length: int = LENGTH):
     """128-bit rank of an anchor's context: its owned strings, and where it lies in them."""
-    size = hi + LENGTH - lo
+    size = hi + length - lo
     with np.errstate(over="ignore"):
         tail = (q - lo).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + size.astype(np.uint64)
     return mix64(r.of(lo, size) ^ tail, 11), mix64(r2.of(lo, size) ^ tail, 13)
@@ -354,6 +365,91 @@ def _matches(keyed: DataFrame, open_grams: Open, open_sides: Open, wanted: DataF
                  .agg(F.min("d").alias("lo_d"), F.max("d").alias("hi_d")), "matches")
 
 
+# -- passages of words ------------------------------------------------------------------------
+def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ranks of all words of the texts in a buffer, and the offsets of the texts in words."""
+    word = ~_SPACE[data]
+    edge = np.zeros(len(data) + 1, bool)
+    edge[offsets] = True
+    start = np.flatnonzero(word & (np.r_[True, ~word[:-1]] | edge[:-1]))
+    stop = np.flatnonzero(word & (np.r_[~word[1:], True] | edge[1:])) + 1
+    return Ranks(data).of(start, stop - start), np.searchsorted(start, offsets)
+
+
+def _passage_anchors(batches):
+    """For each buffer: ranks over words, anchors, first and last start of their runs, the
+    texts' keys; a text is looked at once in a task."""
+    done: set[int] = set()
+    for data, offsets, i, j, b in _blocks(batches, least=2 * PASSAGE - 1):
+        words, first = _words(data, offsets)
+        r = Ranks(words)
+        q, lo, hi = anchors(words, first, r, PASSAGE, WORDS)
+        text = np.searchsorted(first, lo, side="right") - 1
+        new = np.zeros(j - i, bool)
+        for k, key in enumerate(b.column("k1").slice(i, j - i).to_pylist()):
+            if key not in done:
+                if len(done) >= CONTEXT_MEMO:
+                    done.clear()
+                done.add(key)
+                new[k] = True
+        keep = new[text]
+        if keep.any():
+            yield words, r, q[keep], lo[keep], hi[keep], pa.array(i + text[keep]), b
+
+
+PASSAGES = "k1 long, k2 long, g long, c1 long, c2 long"
+
+
+@released
+def _scan_passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for words, r, q, lo, hi, rows, b in _passage_anchors(batches):
+        ranks = r.of(q, WORDS), *_context(r, Ranks(words, 1), q, lo, hi, PASSAGE)
+        yield pa.RecordBatch.from_arrays([b.column("k1").take(rows), b.column("k2").take(rows),
+                                          *(pa.array(x.view(np.int64)) for x in ranks)], ["k1", "k2", "g", "c1", "c2"])
+
+
+def _scan_windows(loose: Open):
+    """The runs of ``PASSAGE`` words of the anchors in ``loose``."""
+    @released
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for words, r, q, lo, hi, rows, b in _passage_anchors(batches):
+            some = np.flatnonzero(loose.has(r.of(q, WORDS)))
+            if not len(some):
+                continue
+            of, k = _expand(hi[some] - lo[some] + 1)
+            p, rows = lo[some][of] + k, rows.take(pa.array(some[of]))
+            yield pa.RecordBatch.from_arrays(
+                [b.column("k1").take(rows), b.column("k2").take(rows),
+                 *(pa.array(x.of(p, PASSAGE).view(np.int64)) for x in (r, Ranks(words, 1)))], ["k1", "k2", "w1", "w2"])
+
+    return run
+
+
+def shared_passages(docs: DataFrame) -> DataFrame:
+    """k1, k2 (the text's key) of each text with ``PASSAGE`` words on end that another row holds too."""
+    t = text_of()
+    keyed = docs.select(F.xxhash64(t).alias("k1"), F.xxhash64(t, F.lit(42)).alias("k2"), t.alias("t")) \
+        .where(F.octet_length("t") >= 2 * PASSAGE - 1)
+
+    def of_several(df: DataFrame, *by: str) -> DataFrame:
+        """What different texts hold; written first, so that Spark may split its joins where many texts hold the same."""
+        return saved(df.groupBy(*by).agg(F.min("k1").alias("a"), F.max("k1").alias("b")).where("a <> b").select(*by), "several")
+
+    # round 8
+    found = saved(keyed.mapInArrow(_scan_passages, PASSAGES), "passages")
+    # whole contexts
+    settled = saved(found.join(of_several(found, "c1", "c2"), ["c1", "c2"], "left_semi").select("k1", "k2").distinct(), "settled")
+    # round 51: the anchors of texts not yet settled, in all texts
+    loose = saved(found.join(of_several(found, "g"), "g", "left_semi").join(settled, ["k1", "k2"], "left_anti")
+                  .select("g").distinct(), "loose")
+    windows = saved(keyed.mapInArrow(_scan_windows(Open(loose)), "k1 long, k2 long, w1 long, w2 long"), "windows")
+    shared = windows.join(of_several(windows, "w1", "w2"), ["w1", "w2"], "left_semi").select("k1", "k2").distinct()
+    copies = keyed.groupBy("k1", "k2").count().where("count > 1").select("k1", "k2")
+    copies = copies.join(found.select("k1", "k2").distinct(), ["k1", "k2"], "left_semi")
+    return settled.unionByName(shared).unionByName(copies).distinct()
+
+
+# -- the texts without their repeats ------------------------------------------------------------
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         sizes, gone, runs, sha = [], [], [], []
@@ -374,7 +470,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sha.append(hashlib.sha256(rest).hexdigest())
         yield pa.RecordBatch.from_arrays(
             [b.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(gone, pa.int64()), pa.array(runs, pa.int64()),
-             pa.array(sha, pa.string())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+             pa.array(sha, pa.string()), b.column("shared_passage")], COLUMNS)
 
 
 def _only(some: Open):
@@ -395,13 +491,13 @@ def _whole(some: Open):
             none = pa.array(np.zeros(len(raws), np.int64))
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array([len(x) for x in raws], pa.int64()), none, none,
-                 pa.array([hashlib.sha256(x).hexdigest() for x in raws], pa.string())],
-                ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+                 pa.array([hashlib.sha256(x).hexdigest() for x in raws], pa.string()), pa.array(np.zeros(len(raws), bool))], COLUMNS)
 
     return run
 
 
-RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, shared_passage boolean"
+COLUMNS = [x.split()[0] for x in RESULT.split(", ")]
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
@@ -447,20 +543,29 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     return spans.groupBy("k1", "k2").agg(F.collect_list("s").alias("spans"))
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of each row."""
-    spans = saved(repeated_spans(docs), "spans")
+def remove_repeats(docs: DataFrame, passages: DataFrame | None = None) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of each row; with the keys that
+    :func:`shared_passages` gives also shared_passage, whether the text is one of these."""
+    spans = repeated_spans(docs)
+    if passages is None:
+        spans = spans.withColumn("shared_passage", F.lit(False))
+    else:
+        spans = spans.join(passages.withColumn("shared_passage", F.lit(True)), ["k1", "k2"], "full")
+    spans = saved(spans, "spans")
     t = text_of()
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), t.alias("t"), F.xxhash64(t).alias("k1"),
                        F.xxhash64(t, F.lit(42)).alias("k2"))
-    # only texts that lose something move; the bitmap may send a few others along
+    # only texts that lose something or share a passage move; the bitmap may send a few others along
     some = Open(spans.select("k1"))
-    cut = (rows.mapInArrow(_only(some), rows.schema).join(spans, ["k1", "k2"], "left").select("doc_id", "t", "spans")
-           .mapInArrow(_cut, RESULT))
+    cut = (rows.mapInArrow(_only(some), rows.schema).join(spans, ["k1", "k2"], "left")
+           .select("doc_id", "t", "spans", F.coalesce("shared_passage", F.lit(False)).alias("shared_passage")).mapInArrow(_cut, RESULT))
     whole = rows.select("doc_id", "t", "k1").mapInArrow(_whole(some), RESULT)
-    return whole.unionByName(cut)
+    out = whole.unionByName(cut)
+    return out.drop("shared_passage") if passages is None else out
 
 
 def op7_suffix_dedup(spark, sf_dir):
-    out = remove_repeats(documents(spark, sf_dir).select("doc_id", "text"))
-    return out.withColumn("repeated", F.col("n_removed") > 0)  # whether anything of the text stands elsewhere
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    out = remove_repeats(docs, saved(shared_passages(docs), "shared"))
+    # whether a string of the text is removed; whether over 50 words of it on end stand in another row
+    return out.select(*COLUMNS[:-1], (F.col("n_removed") > 0).alias("repeated"), "shared_passage")

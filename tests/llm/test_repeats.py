@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -93,3 +94,35 @@ def test_filters_travel_beside_the_scans(spark):
     assert some.bits == 24 and some.has(np.arange(200_000, dtype=np.int64).view(np.uint64)).all()
     # each scan used to hold copies of its bitmaps, 2 MB each here, 16 MB at size
     assert len(cloudpickle.dumps(repeats._scan_strings(some, some, some))) < 100_000
+
+
+def words_shared(texts, n):
+    rows = [re.findall(r"[^\x20\x09-\x0D]+", x or "") for x in texts]
+    held = Counter(w for r in rows for w in {tuple(r[i:i + n]) for i in range(len(r) - n + 1)})
+    return [any(held[tuple(r[i:i + n])] > 1 for i in range(len(r) - n + 1)) for r in rows]
+
+
+def passages(seed):
+    rng = random.Random(seed)
+    prose = lambda n: [rng.choice("an be éc door it of on so the to us we".split()) + str(rng.randrange(4)) for _ in range(n)]
+    p, q = prose(90), prose(51)
+    body = [prose(rng.randrange(0, 200)) for _ in range(15)] + [prose(60)] * 2 + [prose(50)] * 2 + [["w"] * 300, ["w"] * 51, ["v"] * 102, []]
+    body += [prose(40) + p[k:k + n] + prose(30) for k, n in ((0, 90), (10, 51), (39, 51), (0, 50), (40, 50), (80, 10))]
+    body += [prose(70) + q, q + prose(70), prose(5) + q[:50] + prose(5), q[1:] + prose(3), prose(60) * 2]
+    body += [[*x[:k], "edit", *x[k + 1:]] for x in [prose(130)] for k in (10, 60, 65, 70, 120)]
+    join = lambda x: "".join(w + rng.choice([" ", "\n", "\t ", "  "]) for w in x)
+    return [join(x) for x in body] + [None, "x" * 700, "\u00a0".join(p)]
+
+
+@pytest.mark.parametrize("seed", [0, 1])
+def test_passages_of_over_50_words_are_found_whatever_their_bytes(spark, tmp_path, seed):
+    texts = passages(seed)
+    rows = [*enumerate(texts), (None, texts[3]), (0, texts[9])]  # a null id, an id used twice
+    want = words_shared([t for _, t in rows], 51)
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(5).write.parquet(str(tmp_path / "documents.parquet"))
+    got = repeats.op7_suffix_dedup(spark, str(tmp_path)).collect()
+    key = lambda x: tuple(map(str, x))
+    cut = brute([t for _, t in rows], 400)
+    assert sorted((tuple(r) for r in got), key=key) == sorted(((d, *c, c[1] > 0, w) for (d, _), c, w in zip(rows, cut, want)), key=key)
+    # passages too short in bytes to be removed: no column showed them before
+    assert sum(w and not c[1] for w, c in zip(want, cut)) >= 3 and not all(want)
